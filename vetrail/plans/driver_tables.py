@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from vetrail.columns import EventColumns, Outcomes
 from vetrail.operators.clean import with_outcome_flags
 from vetrail.operators.detail import detail_counts, with_detail_counts
-from vetrail.operators.history import SideEvents, side_sources
+from vetrail.operators.history import SideEvents, feature_table, side_sources
 
 ORDERS = EventColumns(
     entity="o_custkey",
@@ -84,3 +84,14 @@ def side_events(spark: SparkSession, sf_dir: str) -> list[SideEvents]:
         form_date="l_date",
         classes=("F", "O"),
     )
+
+
+def features(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """The full feature table of the orders."""
+    return feature_table(
+        counted_inspections(spark, sf_dir),
+        side_events(spark, sf_dir),
+        ORDERS,
+        keys=table(spark, sf_dir, "orders"),
+        **options,
+    )

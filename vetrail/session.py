@@ -20,6 +20,7 @@ def local_session(cores: str = "8", app: str = "vetrail", memory: str = "16g") -
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
