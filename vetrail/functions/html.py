@@ -29,10 +29,9 @@ def cell_date(cell: Column) -> Column:
 
 
 def cell_text(cell: Column) -> Column:
-    """Text of a cell without tags, trimmed."""
-    return strip_blanks(
-        unescape(F.regexp_replace(F.coalesce(cell, F.lit("")), "(?s)<[^>]+>", ""))
-    )
+    """Text of a cell without tags and comments; blanks next to a tag are dropped."""
+    shown = F.regexp_replace(F.coalesce(cell, F.lit("")), "(?s)<!--.*?-->", "")
+    return unescape(strip_blanks(F.regexp_replace(shown, r"(?sU)\s*<[^>]+>\s*", "")))
 
 
 def anchor_text(cell: Column) -> Column:

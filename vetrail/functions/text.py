@@ -75,15 +75,16 @@ def char_grams(name: Column | str, sizes: tuple[int, ...] = (2, 3, 4)) -> Column
     c = F.col(name) if isinstance(name, str) else name
     words = F.filter(F.split(c, _UNICODE + r"\s+"), lambda w: w != "")
 
+    def cut(framed: Column, n: int):
+        return lambda at: F.substring(framed, at, F.lit(n))
+
     def of_word(word: Column) -> Column:
         framed = F.concat(F.lit(" "), word, F.lit(" "))
         width = F.length(framed)
         grams = []
         for i, n in enumerate(sizes):
-            slides = F.transform(
-                F.sequence(F.lit(1), F.greatest(width - (n - 1), F.lit(1))),
-                lambda at, n=n: F.substring(framed, at, F.lit(n)),
-            )
+            starts = F.sequence(F.lit(1), F.greatest(width - (n - 1), F.lit(1)))
+            slides = F.transform(starts, cut(framed, n))
             if i:
                 slides = F.when(width > sizes[i - 1], slides).otherwise(
                     F.array().cast("array<string>")

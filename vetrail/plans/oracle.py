@@ -262,3 +262,133 @@ r as (select 'Non-OAI' as row, p0 as precision, r0 as recall, f0 as f1, s0 as su
   union all select 'weighted avg', (p0 * s0 + p1 * s1) / (s0 + s1), (r0 * s0 + r1 * s1) / (s0 + s1),
     (f0 * s0 + f1 * s1) / (s0 + s1), s0 + s1 from m)
 select row, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from r"""
+
+
+# Name normalisation; the blank-and-form steps in the order that leaves d/b/a uncut, and the other.
+_RAW = """'  ' || array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')
+  || ', ' || upper(p_type[1]) || lower(p_type[2:])
+  || case p_size % 3 when 0 then ' Co., Inc.' when 1 then ' (GmbH) dba Other' else '/Ltd www.x.com' end"""
+
+
+def _norm(c: str, strip_first: bool = False) -> str:
+    def cut(x: str, pattern: str, to: str = "") -> str:
+        return f"regexp_replace({x}, '{pattern}', '{to}', 'g')"
+
+    web, tail = r"\bwww\.[a-z0-9.-]+\.(com|org|net|us)\b", r"\bd/?b/?a\b.*$"
+    forms = r"\b(llc|inc|corp|corporation|ltd|limited|co|company|plc|gmbh|ag|sa)\b"
+    x = f"lower(coalesce({c}, ''))"
+    if strip_first:
+        x = cut(cut(x, web), tail)
+    x = cut(cut(x, r"[.,;:!?''\"()\[\]{}/\\]", " "), forms)
+    if not strip_first:
+        x = cut(cut(x, tail), web)
+    return f"trim({cut(x, chr(92) + 's+', ' ')})"
+
+
+ORACLE["normalize_names"] = f"""
+select p_partkey, {_norm(_RAW)} as norm, {_norm(_RAW, True)} as norm_stripped from part"""
+
+ORACLE["normalize_locations"] = """
+select p_partkey,
+  array_to_string(list_filter([
+    case when p_brand <> 'Brand#7' then lower(p_brand) end,
+    case when p_size > 40 then null else 'tx' end, lower(p_type)], lambda x: x is not null), '|') as location,
+  cast(p_size < 20 and p_size <= 40 as bigint) as overlap
+from part"""
+
+# All grams of a name: for each word framed by blanks, slides of 2, 3 and 4 characters.
+_GRAMS = """flatten(list_transform(list_filter(string_split_regex(name, '\\s+'), lambda w: w <> ''),
+  lambda w: flatten(list_transform(list_filter([2, 3, 4], lambda n: n = 2 or n - 1 < length(w) + 2),
+    lambda n: list_transform(range(1, greatest(length(w) + 3 - n, 1) + 1),
+      lambda i: substring(' ' || w || ' ', i, n))))))"""
+ORACLE["char_grams"] = f"""
+select gram, count(*) as n, count(distinct name) as n_names
+from (select name, unnest({_GRAMS}) as gram from (select {_norm('p_name')} as name from part))
+group by 1"""
+
+_FIRM = "concat_ws(' ', concat_ws(', ', p_name, p_type), 'Inc.')"
+_FACILITY = "concat_ws(' ', p_name, p_brand)"
+
+
+def _matching(sources: str) -> str:
+    """Cosine of every source name with every target name that shares a gram."""
+    return f"""src as ({sources}),
+tgt as (select {_norm(_FACILITY)} as name, count(*) as w, min(p_partkey) as id,
+  arg_min(p_brand, p_partkey) as city, arg_min(p_type, p_partkey) as country from part group by 1),
+snames as (select name, sum(w) as w from src group by 1),
+every as (select name, sum(w) as w from (select name, w from tgt union all select name, w from snames) group by 1),
+terms as (select name, w, gram, count(*) as tf
+  from (select name, w, unnest({_GRAMS}) as gram from every) group by 1, 2, 3),
+vocabulary as (select gram, ln((1 + (select sum(w) from every)) / (1 + sum(w))) + 1 as idf
+  from terms group by 1),
+weighted as (select name, gram, tf * idf as x from terms join vocabulary using (gram)),
+unit as (select name, gram, x / sqrt(sum(x * x) over (partition by name)) as x from weighted),
+pairs as (select s.name as s_name, t.name as t_name, sum(s.x * t.x) as cosine
+  from unit s join unit t using (gram)
+  where s.name in (select name from snames) and t.name in (select name from tgt) group by 1, 2),
+best as (select s_name, id, cosine, city, country from pairs join tgt on tgt.name = t_name
+  qualify row_number() over (partition by s_name order by round(cosine, 9) desc, id) = 1)"""
+
+
+_LETTER_MATCH = f"""{_matching(f"select {_FIRM} as raw, {_norm(_FIRM)} as name, count(*) as w from part group by 1, 2")},
+matched as (select p_partkey, {_FIRM} as company_name, id as matched_fei, cosine as score
+  from part left join best on s_name = {_norm(_FIRM)} and round(cosine, 9) >= 0.5)"""
+ORACLE["tfidf_match"] = f"""
+with {_LETTER_MATCH}
+select p_partkey, company_name, matched_fei, round(coalesce(score, 0), 6) as match_score from matched"""
+ORACLE["match_table"] = f"""
+with {_LETTER_MATCH}
+select 'letters' as source, company_name as name, min(matched_fei) as fei, round(max(score), 6) as score
+from matched where matched_fei is not null group by company_name"""
+
+_RECALL_MATCH = f"""{_matching(f'''select {_FIRM} as raw, {_norm(_FIRM)} as name, 1 as w,
+  arg_min(p_brand, p_partkey) as s_city, arg_min(p_type, p_partkey) as s_country from part group by 1, 2''')},
+accepted as (
+  select raw, id, case when round(cosine, 9) >= 0.8 then cosine
+    when round(cosine, 9) >= 0.5 and (s_city = city or s_country = country) then cosine + 0.15 end as score
+  from src join best on s_name = name),
+matched as (select p_partkey, {_FIRM} as recalling_firm, id as matched_fei, score
+  from part left join accepted on raw = {_FIRM} and score is not null)"""
+ORACLE["match_accept"] = f"""
+with {_RECALL_MATCH}
+select p_partkey, recalling_firm, matched_fei, round(coalesce(score, 0), 6) as match_score from matched"""
+ORACLE["match_rate"] = f"""
+with {_RECALL_MATCH}
+select count(*) as n_names, count(fei) as n_matched, round(count(fei) / count(*), 6) as rate
+from (select recalling_firm, min(matched_fei) as fei from matched group by 1)"""
+
+ORACLE["lookup_join"] = """
+select c_custkey, n_name as label, cast(n_nationkey as bigint) as matched_fei
+from customer join nation on n_nationkey = c_nationkey where n_nationkey <> 3"""
+
+
+def _plain(x: str) -> str:
+    for entity, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("amp", "&")):
+        x = f"replace({x}, '&{entity};', '{char}')"
+    return x
+
+
+_TEXT = _plain(r"trim(regexp_replace(regexp_extract(a, '(?s)<a[^>]*>(.*?)</a>', 1), '(?s)\s*<[^>]+>\s*', '', 'g'))")
+_HREF = _plain("regexp_extract(a, 'href=\"([^\"]*)\"', 1)")
+ORACLE["html_links"] = f"""
+with links as (
+  select page_id, unnest(found) as a, cast(generate_subscripts(found, 1) - 1 as bigint) as pos
+  from (select page_id, regexp_extract_all(html, '(?s)<a [^>]*>.*?</a>') as found from pages))
+select page_id, pos, {_TEXT} as link_text,
+  case when {_HREF} <> '' and not starts_with({_HREF}, 'http') then 'https://host.example' || {_HREF}
+    else {_HREF} end as url
+from links"""
+ORACLE["html_cells"] = """
+select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as posted_date,
+  case when o_orderstatus = 'P' then '' else strftime(o_orderdate, '%Y-%m-%d') end as issue_date,
+  'Firm' || o_orderkey || '& Co' as company_name,
+  case when o_orderstatus = 'F' then 'https://other.example/' || o_orderkey
+    else 'https://host.example/c/' || o_orderkey end as letter_url,
+  o_orderpriority as issuing_office, '' as subject
+from orders"""
+ORACLE["html_inspections"] = """
+select c_custkey, c_name as firm_name, 'Springfield' as city, '' as state,
+  cast(c_nationkey as varchar) as country, '00000' as zip_code,
+  case when c_nationkey < 9 then '2021-02-03' else 'unknown' end as inspection_end_date,
+  c_mktsegment as classification, '' as project_area, '' as posted_date, '' as fei_number
+from customer"""

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from vetrail.columns import HISTORY_FEATURES
 from vetrail.functions.coerce import coerced_date, coerced_long, strict_date, whole_days
-from vetrail.operators import clean, detail, history, metrics, profile, split
+from vetrail.functions import html, text
+from vetrail.operators import clean, detail, history, metrics, profile, resolve, scraped, split
 from vetrail.plans import driver_tables as d
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -370,3 +371,173 @@ def threshold_at_recall(spark, sf_dir):
 def class_report(spark, sf_dir):
     guessed = _scored(spark, sf_dir).withColumn("guess", (F.col("fine") >= 0.3).cast("int"))
     return tidy(metrics.classification_report(guessed, "y", "guess", ("Non-OAI", "OAI")))
+
+
+# --- names, locations, grams, matching ----------------------------------------------------------
+
+
+@query
+def normalize_names(spark, sf_dir):
+    part = d.table(spark, sf_dir, "part")
+    raw = F.concat(
+        F.lit("  "), F.initcap("p_name"), F.lit(", "), F.initcap("p_type"),
+        F.when(F.col("p_size") % 3 == 0, " Co., Inc.")
+        .when(F.col("p_size") % 3 == 1, " (GmbH) dba Other")
+        .otherwise("/Ltd www.x.com"),
+    )
+    return part.select(
+        "p_partkey",
+        text.normalize_name(raw).alias("norm"),
+        text.normalize_name(raw, strip_first=True).alias("norm_stripped"),
+    )
+
+
+@query
+def normalize_locations(spark, sf_dir):
+    part = d.table(spark, sf_dir, "part")
+    here = text.normalize_location(
+        F.nullif("p_brand", F.lit("Brand#7")), F.when(F.col("p_size") > 40, "N/A").otherwise(F.lit(" TX ")),
+        "p_type",
+    )
+    there = text.normalize_location(
+        F.lit("-"), F.when(F.col("p_size") < 20, "tx").otherwise(F.lit(""))
+    )
+    return part.select(
+        "p_partkey",
+        here.alias("location"),
+        text.locations_overlap(here, there).cast("int").cast("bigint").alias("overlap"),
+    )
+
+
+@query
+def char_grams(spark, sf_dir):
+    names = d.table(spark, sf_dir, "part").select(text.normalize_name("p_name").alias("name"))
+    return (
+        names.select("name", F.explode(text.char_grams("name")).alias("gram"))
+        .groupBy("gram")
+        .agg(F.count("*").alias("n"), F.count_distinct("name").alias("n_names"))
+    )
+
+
+def _facilities(spark, sf_dir):
+    return d.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("FEI Number"),
+        F.concat_ws(" ", "p_name", "p_brand").alias("Legal Name"),
+        F.col("p_brand").alias("City"),
+        F.lit("").alias("State"),
+        F.col("p_type").alias("Country/Area"),
+    )
+
+
+def _firms(spark, sf_dir):
+    return d.table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.concat_ws(" ", F.concat_ws(", ", "p_name", "p_type"), F.lit("Inc.")).alias("recalling_firm"),
+        F.col("p_brand").alias("city"),
+        F.lit("N/A").alias("state"),
+        F.col("p_type").alias("country"),
+    )
+
+
+def _matched_letters(spark, sf_dir):
+    letters = _firms(spark, sf_dir).select("p_partkey", F.col("recalling_firm").alias("company_name"))
+    return resolve.match_letters(letters, _facilities(spark, sf_dir), threshold=0.5)
+
+
+def _matched_recalls(spark, sf_dir):
+    return resolve.match_recalls(
+        _firms(spark, sf_dir), _facilities(spark, sf_dir), "p_partkey", threshold=0.5
+    )
+
+
+@query
+def tfidf_match(spark, sf_dir):
+    return tidy(_matched_letters(spark, sf_dir))
+
+
+@query
+def match_accept(spark, sf_dir):
+    rows = _matched_recalls(spark, sf_dir)
+    return tidy(rows.select("p_partkey", "recalling_firm", "matched_fei", "match_score"))
+
+
+@query
+def match_table(spark, sf_dir):
+    return tidy(resolve.match_mapping(_matched_letters(spark, sf_dir), "letters", "company_name"))
+
+
+@query
+def match_rate(spark, sf_dir):
+    return tidy(resolve.match_rate(_matched_recalls(spark, sf_dir), "recalling_firm"))
+
+
+@query
+def lookup_join(spark, sf_dir):
+    nation = d.table(spark, sf_dir, "nation").filter("n_nationkey <> 3")
+    mapping = nation.select(
+        F.lit("suppliers").alias("source"), F.col("n_name").alias("name"),
+        F.col("n_nationkey").cast("bigint").alias("fei"),
+    )
+    rows = d.table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("label")
+    )
+    return resolve.with_entity(rows, mapping, "suppliers", "label")
+
+
+# --- HTML cells ---------------------------------------------------------------------------------
+
+
+@query
+def html_links(spark, sf_dir):
+    pages = d.table(spark, sf_dir, "pages")
+    cells = pages.select(
+        "page_id", F.posexplode(F.regexp_extract_all("html", F.lit("(?s)<a [^>]*>.*?</a>"), 0))
+    )
+    return cells.select(
+        "page_id",
+        F.col("pos").cast("bigint").alias("pos"),
+        html.anchor_text(F.col("col")).alias("link_text"),
+        html.absolute_url(html.anchor_href(F.col("col")), "https://host.example").alias("url"),
+    )
+
+
+@query
+def html_cells(spark, sf_dir):
+    orders = d.table(spark, sf_dir, "orders")
+    stamp = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    key = F.col("o_orderkey").cast("string")
+    rows = orders.select(
+        "o_orderkey",
+        F.array(
+            F.concat(F.lit('<time datetime="'), stamp, F.lit('">shown</time>')),
+            F.when(F.col("o_orderstatus") == "P", "").otherwise(
+                F.concat(F.lit('<p><time datetime="'), stamp, F.lit('">x</time></p>'))
+            ),
+            F.concat(
+                F.lit('<a class="l" href="'),
+                F.when(F.col("o_orderstatus") == "F", "https://other.example/").otherwise(F.lit("/c/")),
+                key, F.lit('"> Firm <b>'), key, F.lit("</b> &amp; Co </a>"),
+            ),
+            F.concat(F.lit("<p> "), F.col("o_orderpriority"), F.lit(" </p>")),
+        ).alias("cells"),
+    )
+    return scraped.letter_rows(rows, "cells", "https://host.example", "o_orderkey")
+
+
+@query
+def html_inspections(spark, sf_dir):
+    customer = d.table(spark, sf_dir, "customer")
+    rows = customer.select(
+        "c_custkey",
+        F.array(
+            F.concat(F.lit("<td>"), F.col("c_name"), F.lit("</td>")),
+            F.lit("<td> Springfield </td>"),
+            F.lit(""),
+            F.concat(F.lit("<span>"), F.col("c_nationkey").cast("string"), F.lit("</span>")),
+            F.lit("00000"),
+            F.when(F.col("c_nationkey") < 9, '<time datetime="2021-02-03T00:00:00Z">3 Feb</time>')
+            .otherwise("<td>unknown</td>"),
+            F.col("c_mktsegment"),
+        ).alias("cells"),
+    )
+    return scraped.inspection_rows(rows, "cells", "c_custkey")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -39,3 +39,9 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
+
+
+def materialized(rows: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder once and go on from there, with the lineage cut."""
+    shared_folder(rows.sparkSession)
+    return rows.checkpoint()
