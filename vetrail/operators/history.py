@@ -124,6 +124,32 @@ def prior_side_totals(
     )
 
 
+def upcoming_side_total(
+    events: DataFrame, entity: str, date: str, source: SideEvents, days: int = 365
+) -> DataFrame:
+    """Sums over the side events of the following days (the event's own day excluded).
+
+    An alternative target: for example whether a letter follows within a year.
+    """
+    daily, sums, _ = _daily_totals([source])
+    keyed = events.withColumns({"_entity": F.col(entity), "_day": _day_number(date)})
+    marks = keyed.filter("_entity is not null and _day is not null").groupBy("_entity", "_day").agg(
+        F.lit(True).alias("_mark")
+    )
+    later = Window.partitionBy("_entity").orderBy("_day").rangeBetween(1, days)
+    carried = (
+        marks.unionByName(daily, allowMissingColumns=True)
+        .select("_entity", "_day", "_mark", *[F.sum(m).over(later).alias(m) for m in sums])
+        .filter("_mark")
+        .drop("_mark")
+    )
+    return (
+        keyed.join(carried, ["_entity", "_day"], "left")
+        .withColumns({m: F.coalesce(m, F.lit(0)).cast("bigint") for m in sums})
+        .drop("_entity", "_day")
+    )
+
+
 def heavy_entities(keys: DataFrame, entity: str, limit: int) -> DataFrame | None:
     """Entities with more than ``limit`` rows, or None if there is none.
 
@@ -144,6 +170,7 @@ def history_features(
     side: Sequence[SideEvents] = (),
     ties: str = "positional",
     keep: Sequence[str] = (),
+    totals: Mapping[str, str] | None = None,
     keys: DataFrame | None = None,
     entity_limit: int = 2_000_000,
 ) -> DataFrame:
@@ -152,7 +179,8 @@ def history_features(
     ``events`` carries ``is_oai``, ``is_vai``, ``is_nai``, ``n_citations`` and ``n_unique_cfr``.
     Rows without an entity are dropped. ``ties="positional"`` orders the events of one day by
     (event id, area), and the later sees the earlier; ``ties="strict"`` shows it earlier days only.
-    ``keep`` names further columns of ``events`` to carry through. ``keys`` may give a cheaper
+    ``keep`` names further columns of ``events`` to carry through, ``totals`` further output sums
+    over the earlier events (output name to column of ``events``). ``keys`` may give a cheaper
     frame than ``events`` in which to count the rows per entity; ``entity_limit`` is the number
     above which an entity is split into day blocks.
     """
@@ -169,12 +197,14 @@ def history_features(
         F.col(cols.area).alias("project_area"),
         F.col("is_oai").alias("target_oai"),
         *[F.col(c).cast("bigint") for c in ("is_vai", "is_nai", "n_citations", "n_unique_cfr")],
+        *[F.col(c).cast("bigint").alias(f"_add_{name}") for name, c in (totals or {}).items()],
         *keep,
     )
+    adds = _ADDS | {name: f"_add_{name}" for name in totals or {}}
     daily, sums, latest = _daily_totals(side) if side else (None, [], [])
     heavy = heavy_entities(events if keys is None else keys, cols.entity, entity_limit)
     if heavy is None:
-        found = _by_entity(rows, daily, sums, latest, ties)
+        found = _by_entity(rows, daily, sums, latest, ties, adds)
     else:
         few = F.broadcast(heavy)  # at most rows / entity_limit keys
 
@@ -182,13 +212,13 @@ def history_features(
             return None if frame is None else frame.join(few, "_entity", how)
 
         found = _by_entity(
-            part(rows, "left_anti"), part(daily, "left_anti"), sums, latest, ties
+            part(rows, "left_anti"), part(daily, "left_anti"), sums, latest, ties, adds
         ).unionByName(
             _by_day_blocks(
-                part(rows, "left_semi"), part(daily, "left_semi"), sums, latest, ties
+                part(rows, "left_semi"), part(daily, "left_semi"), sums, latest, ties, adds
             )
         )
-    return _assemble(found, sums, latest, keep)
+    return _assemble(found, sums, latest, [*(totals or {}), *keep])
 
 
 def _timeline(rows: DataFrame, daily: DataFrame | None) -> DataFrame:
@@ -197,12 +227,12 @@ def _timeline(rows: DataFrame, daily: DataFrame | None) -> DataFrame:
     return marked if daily is None else marked.unionByName(daily, allowMissingColumns=True)
 
 
-def _by_entity(rows, daily, sums, latest, ties) -> DataFrame:
+def _by_entity(rows, daily, sums, latest, ties, per_row) -> DataFrame:
     """Running totals and the two newest earlier events, one window partition per entity."""
     line = Window.partitionBy("_entity").orderBy("_day", "inspection_id", "project_area")
     before = line.rowsBetween(Window.unboundedPreceding, -1)
     earlier = _earlier_days()
-    adds = {k: F.when(F.col("_event"), 1 if c == "_one" else F.col(c)) for k, c in _ADDS.items()}
+    adds = {k: F.when(F.col("_event"), 1 if c == "_one" else F.col(c)) for k, c in per_row.items()}
     # The newest earlier event, and through it the one before that. Side rows are skipped as nulls.
     newest = F.when(F.col("_event"), F.struct("_day", "inspection_id", "project_area", "target_oai", "is_vai"))
     linked = _timeline(rows, daily).withColumn("_1", F.last(newest, ignorenulls=True).over(before))
@@ -230,17 +260,17 @@ def _by_entity(rows, daily, sums, latest, ties) -> DataFrame:
             {"last_day": F.col("_2._day"), "last_oai": F.col("_2.target_oai"),
              "last_vai": F.col("_2.is_vai"), "second_oai": F.col("_2.second")}
         )
-        .drop("_event", "_1", "_2", "is_vai", "is_nai", "n_citations", "n_unique_cfr")
+        .drop("_event", "_1", "_2")
     )
 
 
-def _by_day_blocks(rows, daily, sums, latest, ties) -> DataFrame:
+def _by_day_blocks(rows, daily, sums, latest, ties, per_row) -> DataFrame:
     """The same totals in two levels, so that no task holds all rows of an entity."""
     # Without this exchange the windows would accept rows that are clustered by entity alone.
     rows = rows.repartition("_entity", "_day")
     in_day = Window.partitionBy("_entity", "_day").orderBy("inspection_id", "project_area")
     before = in_day.rowsBetween(Window.unboundedPreceding, -1)
-    adds = {k: F.lit(1) if c == "_one" else F.col(c) for k, c in _ADDS.items()}
+    adds = {k: F.lit(1) if c == "_one" else F.col(c) for k, c in per_row.items()}
     ranked = rows.withColumns(
         {
             **{f"d_{k}": F.coalesce(F.sum(c).over(before), F.lit(0)).cast("bigint") for k, c in adds.items()},
@@ -272,7 +302,7 @@ def _by_day_blocks(rows, daily, sums, latest, ties) -> DataFrame:
             "_event",
             "p",
             F.last(second, ignorenulls=True).over(earlier)["oai"].alias("p_oai2"),
-            *[F.coalesce(F.sum(f"c_{k}").over(earlier), F.lit(0)).alias(f"c_{k}") for k in _ADDS],
+            *[F.coalesce(F.sum(f"c_{k}").over(earlier), F.lit(0)).alias(f"c_{k}") for k in per_row],
             F.max("c_max").over(earlier).alias("c_max"),
             *[F.sum(m).over(earlier).alias(m) for m in sums],
             *[F.max(name).over(earlier).alias(name) for name in latest],
@@ -282,13 +312,13 @@ def _by_day_blocks(rows, daily, sums, latest, ties) -> DataFrame:
     )
     joined = ranked.join(carried, ["_entity", "_day"])
     if ties == "strict":  # the rows of the same day do not count
-        joined = joined.withColumns({f"d_{k}": F.lit(0).cast("bigint") for k in _ADDS}).withColumn(
+        joined = joined.withColumns({f"d_{k}": F.lit(0).cast("bigint") for k in per_row}).withColumn(
             "d_max", F.lit(None).cast("bigint")
         )
     inside, two_inside = F.col("d_n") > 0, F.col("d_n") > 1
     return joined.withColumns(
         {
-            **{f"t_{k}": F.col(f"c_{k}") + F.col(f"d_{k}") for k in _ADDS},
+            **{f"t_{k}": F.col(f"c_{k}") + F.col(f"d_{k}") for k in per_row},
             "t_max": F.greatest("c_max", "d_max"),
             "last_day": F.when(inside, F.col("_day")).otherwise(F.col("p._day")),
             "last_oai": F.when(inside, F.col("d_oai1")).otherwise(F.col("p.l_oai")),
@@ -299,8 +329,7 @@ def _by_day_blocks(rows, daily, sums, latest, ties) -> DataFrame:
         }
     ).drop(
         "p", "p_oai2", "c_max", "d_max", "d_oai1", "d_vai1", "d_oai2", "d_closes",
-        *[f"{side}_{k}" for side in "cd" for k in _ADDS],
-        "is_vai", "is_nai", "n_citations", "n_unique_cfr",
+        *[f"{level}_{k}" for level in "cd" for k in per_row],
     )
 
 
@@ -348,7 +377,7 @@ def _assemble(found: DataFrame, sums, latest, keep) -> DataFrame:
         "project_area",
         "target_oai",
         *[c.alias(name) for name, c in out.items()],
-        *keep,
+        *[F.col(f"t_{c}").alias(c) if f"t_{c}" in found.columns else F.col(c) for c in keep],
     )
 
 

@@ -392,3 +392,182 @@ select c_custkey, c_name as firm_name, 'Springfield' as city, '' as state,
   case when c_nationkey < 9 then '2021-02-03' else 'unknown' end as inspection_end_date,
   c_mktsegment as classification, '' as project_area, '' as posted_date, '' as fei_number
 from customer"""
+
+
+# Latest value per column: the last non-null one by date, then by position.
+ORACLE["latest_nonnull"] = f"""
+with {FEATURES},
+r as (select *, case when target_oai = 0 then project_area end as c from features)
+select fei_number, arg_max(inspection_id, n_prior_inspections) as inspection_id,
+  max(inspection_date) as inspection_date,
+  arg_max(c, n_prior_inspections) filter (where c is not null) as country,
+  arg_max(n_recalls, n_prior_inspections) as n_recalls, arg_max(pct_oai, n_prior_inspections) as pct_oai
+from r group by fei_number"""
+
+_NEXT = f"""{FEATURES},
+newest as (select * from features
+  qualify row_number() over (partition by fei_number order by n_prior_inspections desc) = 1),
+rolled as (
+  select * replace (
+    n_prior_inspections + 1 as n_prior_inspections, n_prior_oai + target_oai as n_prior_oai,
+    n_prior_nai + 1 - target_oai as n_prior_nai,
+    round((n_prior_oai + target_oai) / (n_prior_inspections + 1), 6) as pct_oai,
+    round(n_prior_vai / (n_prior_inspections + 1), 6) as pct_vai,
+    cast(date_diff('day', inspection_date, date '2002-01-01') as bigint) as days_since_last_inspection,
+    target_oai as last_classification_oai, 0::bigint as last_classification_vai,
+    cast(n_prior_inspections >= 1 and target_oai > last_classification_oai as bigint) as trend_worsening,
+    case when n_prior_inspections >= 1 then (target_oai + last_classification_oai) / 2
+      else target_oai::double end as recent_oai_rate)
+  from newest)"""
+ORACLE["next_event_features"] = f"with {_NEXT} select * from rolled"
+
+# A row dated 2002-01-01 for every customer, after all of its orders.
+ORACLE["next_event_exact"] = f"""
+with {_EVENTS}, {_ITEMS},
+newest as (select *, lag(oai) over (partition by fei order by rn) as oai2 from placed
+  qualify row_number() over (partition by fei order by rn desc) = 1),
+total as (select fei, count(*) as n, sum(oai) as oai, sum(vai) as vai, sum(nai) as nai, sum(cit) as cit,
+  sum(cfr) as cfr, max(cit) as max_cit from events_ group by fei),
+side as (select fei,
+  count(case when flag = 'R' then 1 end) as letters, max(case when flag = 'R' then dt end) as letter,
+  count(case when flag = 'A' then 1 end) as recalls,
+  count(case when flag = 'A' and line = 'F' then 1 end) as c1,
+  count(case when flag = 'A' and line = 'O' then 1 end) as c2,
+  count(case when flag = 'N' and status = 'O' then 1 end) as forms
+  from items where dt < date '2002-01-01' group by fei)
+select n.fei as fei_number, date '2002-01-01' as inspection_date, n.kind as product_type, n.country,
+  n.area as project_area, cast(t.n as bigint) as n_prior_inspections, cast(t.oai as bigint) as n_prior_oai,
+  cast(t.vai as bigint) as n_prior_vai, cast(t.nai as bigint) as n_prior_nai,
+  round(t.oai / t.n, 6) as pct_oai, round(t.vai / t.n, 6) as pct_vai,
+  cast(date_diff('day', n.dt, date '2002-01-01') as bigint) as days_since_last_inspection,
+  n.oai as last_classification_oai, n.vai as last_classification_vai,
+  cast(coalesce(n.oai > n.oai2, false) as bigint) as trend_worsening,
+  case when t.n >= 2 then (n.oai + n.oai2) / 2 else 0.0::double end as recent_oai_rate,
+  cast(t.cit as bigint) as total_prior_citations, round(t.cit / t.n, 6) as avg_citations_per_inspection,
+  cast(t.max_cit as bigint) as max_citations_single_inspection,
+  cast(t.cfr as bigint) as total_unique_cfr_violated,
+  coalesce(letters, 0) as n_warning_letters, cast(coalesce(letters, 0) > 0 as bigint) as has_warning_letter,
+  cast(coalesce(date_diff('day', letter, date '2002-01-01'), -1) as bigint) as days_since_last_wl,
+  coalesce(recalls, 0) as n_recalls, cast(coalesce(recalls, 0) > 0 as bigint) as has_recall,
+  coalesce(c1, 0) as n_class_I_recalls, coalesce(c2, 0) as n_class_II_recalls,
+  coalesce(forms, 0) as n_published_483s, cast(coalesce(forms, 0) > 0 as bigint) as has_published_483
+from newest n join total t using (fei) left join side s using (fei)"""
+
+_TIER_APP = """case when score >= 0.6 then 'CRITICAL' when score >= 0.3 then 'HIGH'
+  when score >= 0.1 then 'MEDIUM' else 'LOW' end"""
+_TIER_BATCH = """case when score <= 0 or score > 1 then null when score <= 0.1 then 'Low'
+  when score <= 0.3 then 'Medium' when score <= 0.6 then 'High' else 'Critical' end"""
+_RANK = "cast(list_position(['Low', 'Medium', 'High', 'Critical'], risk_tier) - 1 as bigint) as tier_rank"
+_SCORES = "(select l_discount * 10 as score, count(*) as n from lineitem group by 1)"
+ORACLE["risk_tier_app"] = f"""
+select round(score, 6) as score, n, {_TIER_APP} as risk_tier from {_SCORES}"""
+ORACLE["risk_tier_batch"] = f"""
+select round(score, 6) as score, n, {_TIER_BATCH} as risk_tier,
+  {_RANK.replace('risk_tier)', _TIER_BATCH + ')')} from {_SCORES}"""
+
+# Unrounded rates, so that the score is rounded once.
+_RULE = """(n_prior_oai / greatest(n_prior_inspections, 1) + recent_oai_rate) / 2"""
+_BATCH = f"""{FEATURES},
+newest as (select *, {_RULE} as score from features
+  qualify row_number() over (partition by fei_number order by n_prior_inspections desc) = 1),
+batch as (select fei_number, product_type, country, round(score, 6) as risk_score,
+  {_TIER_BATCH} as risk_tier, inspection_date from newest)"""
+ORACLE["batch_scores"] = f"with {_BATCH} select *, {_RANK} from batch"
+ORACLE["alerts"] = f"with {_BATCH} select *, {_RANK} from batch where risk_tier in ('High', 'Critical')"
+ORACLE["tier_counts"] = f"""
+with {_BATCH} select risk_tier, count(*) as n from batch where risk_tier is not null group by 1"""
+ORACLE["profile_cards"] = f"""
+with {_NEXT}, s as (select *, {_RULE} as score from rolled)
+select fei_number, product_type, country, project_area,
+  strftime(inspection_date, '%Y-%m-%d') as last_inspection, n_prior_inspections as total_inspections,
+  n_prior_oai as oai_inspections, n_prior_vai as vai_inspections, n_prior_nai as nai_inspections,
+  n_warning_letters as warning_letters, n_recalls as recalls, n_published_483s as published_483s,
+  days_since_last_inspection, {_TIER_APP} as risk_tier from s"""
+ORACLE["entity_history"] = """
+select o_custkey as fei_number, cast(o_orderdate as date) as inspection_date,
+  c_mktsegment as product_type, o_orderpriority as project_area,
+  case o_orderstatus when 'F' then 'OAI' else 'NAI/VAI' end as classification
+from orders left join customer on c_custkey = o_custkey"""
+ORACLE["riskiest"] = f"""
+with {FEATURES},
+top as (select fei_number, inspection_id, inspection_date, {_RULE} as score, target_oai from features
+  order by score desc, inspection_id limit 5)
+select fei_number, inspection_id, inspection_date, round(score, 6) as risk_score, target_oai,
+  row_number() over (order by score desc, inspection_id) as rank from top"""
+
+ORACLE["quality_gates"] = """
+with f as (
+  select cast(o_orderdate as date) as dt, cast(o_orderstatus = 'F' as int) as y,
+    row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) - 1 as prior from orders),
+g as (select count(*) as n, avg(y) as rate, count(case when prior = 0 then 1 end) as firsts,
+    count(case when year(dt) < 2000 then 1 end) as train, count(case when year(dt) >= 2000 then 1 end) as test,
+    date_diff('day', max(case when year(dt) < 2000 then dt end), min(case when year(dt) >= 2000 then dt end)) as gap
+  from f)
+select 'rows' as gate, n::double as value, cast(n > 10000 as bigint) as passed from g
+union all select 'missing_columns', 0, 1
+union all select 'target_not_binary', 0, 1
+union all select 'target_rate', round(rate, 6), cast(rate > 0.01 and rate < 0.2 as bigint) from g
+union all select 'first_rows', firsts, cast(firsts > 0 as bigint) from g
+union all select 'history_of_first_rows', 0, 1
+union all select 'train_rows', train, cast(train > 0 as bigint) from g
+union all select 'test_rows', test, cast(test > 0 as bigint) from g
+union all select 'days_between_parts', gap, cast(gap > 0 as bigint) from g"""
+ORACLE["score_gates"] = """
+with g as (select count(case when l_discount * 11 > 1 or l_discount * 11 < 0 then 1 end) as n from lineitem)
+select 'outside_unit_range' as gate, n::double as value, cast(n = 0 as bigint) as passed from g
+union all select 'sum_not_one', 0, 1"""
+
+_ORDER_SCORES = """s as (select o_orderkey, cast(o_orderdate as date) as dt, o_totalprice / 500000 as score,
+  cast(o_orderstatus = 'F' as int) as y from orders)"""
+ORACLE["score_drift"] = f"""
+with {_ORDER_SCORES},
+b as (select avg(score) as m, stddev_samp(score) as sd from s where year(dt) < 1998),
+w as (select cast(date_trunc('week', dt) as date) as week, count(*) as n, avg(score) as mean_score
+  from s where year(dt) >= 1998 group by 1)
+select week, n, round(mean_score, 6) as mean_score, round(m, 6) as baseline_mean,
+  round(abs(mean_score - m) / sd, 6) as deviations, cast(abs(mean_score - m) > 0.25 * sd as bigint) as alert
+from w, b"""
+ORACLE["predicted_vs_actual"] = f"""
+with {_ORDER_SCORES}
+select cast(date_trunc('month', dt) as date) as month, count(*) as n, round(avg(score), 6) as predicted,
+  round(avg(y), 6) as actual, round(avg(score) - avg(y), 6) as gap
+from s group by 1"""
+ORACLE["training_window"] = f"""
+with {_ORDER_SCORES}
+select cast(year(dt) as bigint) as part, count(*) as n_rows, cast(sum(y) as bigint) as n_pos,
+  round(avg(y), 6) as rate
+from s where dt >= date '1997-07-01' and dt < date '2000-07-01' group by 1"""
+ORACLE["letter_within_year"] = f"""
+with {_ITEMS}
+select o.o_orderkey, o.o_custkey, cast(o.o_orderdate as date) as o_date, count(i.dt) as n_warning_letters
+from orders o left join items i on i.fei = o.o_custkey and i.flag = 'R'
+  and i.dt > cast(o.o_orderdate as date) and i.dt <= cast(o.o_orderdate as date) + 365
+group by o.o_orderkey, o.o_custkey, o.o_orderdate"""
+
+_SECTIONS = {
+    "sterility": "113, 42, 46", "process_validation": "100, 110", "quality_system": "22, 192",
+    "records_documentation": "180, 186", "testing_lab": "160, 165",
+}
+_KINDS = [
+    *[(k, f"l_partkey % 200 in ({v})") for k, v in _SECTIONS.items()],
+    ("other", f"l_partkey % 200 not in ({', '.join(_SECTIONS.values())})"),
+]
+_BEFORE = "over (partition by fei order by dt, id, area rows between unbounded preceding and 1 preceding)"
+ORACLE["severity_history"] = f"""
+with {_EVENTS},
+c as (select l_orderkey, {', '.join(f'count(case when {test} then 1 end) as {k}' for k, test in _KINDS)}
+  from lineitem group by 1)
+select id as inspection_id,
+  {', '.join(f'cast(coalesce(sum({k}) {_BEFORE}, 0) as bigint) as prior_citations_{k}' for k, _ in _KINDS)}
+from events_ left join c on l_orderkey = id"""
+_SUBJECTS = {
+    "cgmp": "F", "unapproved_drug": "O", "adulterated": "F", "misbranded": "O", "medical_device": "-",
+    "compounding": "-", "fsvp": "-",
+}
+ORACLE["subject_history"] = f"""
+with {_ITEMS}
+select o.o_orderkey, {', '.join(
+    f"count(case when i.line = '{v}' then 1 end) as wl_{k}" for k, v in _SUBJECTS.items())}
+from orders o left join items i on i.fei = o.o_custkey and i.flag = 'R'
+  and i.dt < cast(o.o_orderdate as date)
+group by o.o_orderkey"""

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date as Date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetrail.columns import HISTORY_FEATURES
 from vetrail.functions.coerce import coerced_date, coerced_long, strict_date, whole_days
-from vetrail.functions import html, text
-from vetrail.operators import clean, detail, history, metrics, profile, resolve, scraped, split
+from vetrail.functions import html, scores, text
+from vetrail.operators import (
+    categories, clean, detail, history, metrics, monitor, profile, quality, resolve, score, scraped,
+    split,
+)
 from vetrail.plans import driver_tables as d
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -332,8 +336,8 @@ def _by_model(spark, sf_dir):
 
 @query
 def roc_auc(spark, sf_dir):
-    scores = metrics.evaluate(_scored(spark, sf_dir), "y", "fine")
-    return tidy(scores.select("n_rows", "n_pos", "roc_auc"))
+    found = metrics.evaluate(_scored(spark, sf_dir), "y", "fine")
+    return tidy(found.select("n_rows", "n_pos", "roc_auc"))
 
 
 @query
@@ -541,3 +545,199 @@ def html_inspections(spark, sf_dir):
         ).alias("cells"),
     )
     return scraped.inspection_rows(rows, "cells", "c_custkey")
+
+
+# --- scoring ------------------------------------------------------------------------------------
+
+AS_OF = Date(2002, 1, 1)
+
+
+def _with_rule_score(features: DataFrame) -> DataFrame:
+    """A score that needs no model: the mean of two history rates."""
+    return features.withColumn(
+        "risk_score", (F.col("pct_oai") + F.col("recent_oai_rate")) / 2
+    )
+
+
+@query
+def latest_nonnull(spark, sf_dir):
+    rows = d.features(spark, sf_dir).withColumn(
+        "country", F.when(F.col("target_oai") == 0, F.col("project_area"))
+    )
+    return tidy(
+        score.latest_values(
+            rows, ["inspection_id", "inspection_date", "country", "n_recalls", "pct_oai"]
+        )
+    )
+
+
+@query
+def next_event_features(spark, sf_dir):
+    return tidy(score.next_event_features(d.features(spark, sf_dir), AS_OF))
+
+
+@query
+def next_event_exact(spark, sf_dir):
+    found = score.next_event_exact(
+        d.counted_inspections(spark, sf_dir), d.side_events(spark, sf_dir), AS_OF, d.ORDERS,
+        keys=d.table(spark, sf_dir, "orders"),
+    )
+    return tidy(found.drop("inspection_id", "target_oai"))
+
+
+@query
+def risk_tier_app(spark, sf_dir):
+    items = d.table(spark, sf_dir, "lineitem").select((F.col("l_discount") * 10).alias("score"))
+    return tidy(
+        items.groupBy("score").agg(F.count("*").alias("n")).select(
+            "score", "n", scores.lookup_tier(F.col("score")).alias("risk_tier")
+        )
+    )
+
+
+@query
+def risk_tier_batch(spark, sf_dir):
+    items = d.table(spark, sf_dir, "lineitem").select((F.col("l_discount") * 10).alias("score"))
+    tier = scores.batch_tier(F.col("score"))
+    return tidy(
+        items.groupBy("score").agg(F.count("*").alias("n")).select(
+            "score", "n", tier.alias("risk_tier"), scores.tier_rank(tier).alias("tier_rank")
+        )
+    )
+
+
+def _batch(spark, sf_dir):
+    rows = score.latest_values(
+        d.features(spark, sf_dir),
+        ["product_type", "country", "inspection_date", "pct_oai", "recent_oai_rate"],
+    )
+    return score.batch_scores(_with_rule_score(rows))
+
+
+@query
+def batch_scores(spark, sf_dir):
+    return tidy(_batch(spark, sf_dir))
+
+
+@query
+def alerts(spark, sf_dir):
+    return tidy(score.alerts(_batch(spark, sf_dir)))
+
+
+@query
+def tier_counts(spark, sf_dir):
+    return profile.value_counts(_batch(spark, sf_dir), "risk_tier")
+
+
+@query
+def profile_cards(spark, sf_dir):
+    rows = _with_rule_score(score.next_event_features(d.features(spark, sf_dir), AS_OF))
+    return tidy(score.profile_cards(rows).drop("risk_score"))
+
+
+@query
+def entity_history(spark, sf_dir):
+    return score.entity_history(d.features(spark, sf_dir))
+
+
+@query
+def riskiest(spark, sf_dir):
+    rows = _with_rule_score(d.features(spark, sf_dir)).select(
+        "fei_number", "inspection_id", "inspection_date", "risk_score", "target_oai"
+    )
+    return tidy(
+        profile.ranked(rows, F.desc("risk_score"), F.col("inspection_id"), k=5)
+    )
+
+
+# --- gates and monitoring -----------------------------------------------------------------------
+
+
+@query
+def quality_gates(spark, sf_dir):
+    return tidy(quality.feature_gates(d.features(spark, sf_dir), 2000, min_rows=10_000))
+
+
+@query
+def score_gates(spark, sf_dir):
+    items = d.table(spark, sf_dir, "lineitem").select(
+        (1 - F.col("l_discount") * 11).alias("p0"), (F.col("l_discount") * 11).alias("p1")
+    )
+    return tidy(quality.score_gates(items, "p0", "p1"))
+
+
+def _order_scores(spark, sf_dir):
+    return d.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_orderdate").cast("date").alias("o_date"),
+        (F.col("o_totalprice") / 500000).alias("score"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("target"),
+    )
+
+
+@query
+def score_drift(spark, sf_dir):
+    rows = _order_scores(spark, sf_dir).withColumn(
+        "week", F.date_trunc("week", "o_date").cast("date")
+    )
+    base = split.before_year(rows, "o_date", 1998)
+    return tidy(monitor.score_drift(split.since_year(rows, "o_date", 1998), base, "score", "week", 0.25))
+
+
+@query
+def predicted_vs_actual(spark, sf_dir):
+    rows = _order_scores(spark, sf_dir)
+    return tidy(
+        monitor.predicted_vs_actual(
+            rows.select("o_orderkey", "score"), rows.drop("score"), "o_orderkey", "o_date", "score", "target"
+        )
+    )
+
+
+@query
+def training_window(spark, sf_dir):
+    rows = _order_scores(spark, sf_dir)
+    recent = split.training_window(rows, "o_date", Date(2000, 7, 1))
+    return tidy(profile.target_profile(recent, "target", F.year("o_date")))
+
+
+@query
+def letter_within_year(spark, sf_dir):
+    orders = d.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_date")
+    )
+    letters = d.side_events(spark, sf_dir)[0]
+    return tidy(history.upcoming_side_total(orders, "o_custkey", "o_date", letters))
+
+
+@query
+def severity_history(spark, sf_dir):
+    codes = d.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.concat(F.lit("21 CFR 211."), (F.col("l_partkey") % 200).cast("string"), F.lit("(a)")).alias("code"),
+    )
+    counts = categories.severity_counts(codes, "l_orderkey", "code")
+    totals = categories.severity_totals()
+    events = d.counted_inspections(spark, sf_dir).join(
+        counts.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left"
+    ).na.fill(0, list(totals.values()))
+    found = history.history_features(
+        events, d.ORDERS, totals=totals, keys=d.table(spark, sf_dir, "orders")
+    )
+    return tidy(found.select("inspection_id", *totals))
+
+
+@query
+def subject_history(spark, sf_dir):
+    subject = (
+        F.when(F.col("l_linestatus") == "F", F.lit("CGMP/Finished Pharmaceuticals/Adulterated"))
+        .otherwise(F.lit("Unapproved New Drugs/Misbranded"))
+    )
+    letters = d.shipped_items(spark, sf_dir).filter("l_returnflag = 'R'").withColumn("subject", subject)
+    orders = d.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_date")
+    )
+    source = categories.letter_subjects(letters, "o_custkey", "l_date")
+    return tidy(
+        history.prior_side_totals(orders, "o_custkey", "o_date", [source]).drop("o_custkey", "o_date")
+    )
