@@ -12,10 +12,12 @@ from vetrail.columns import HISTORY_FEATURES
 from vetrail.functions.coerce import coerced_date, coerced_long, strict_date, whole_days
 from vetrail.functions import html, scores, text
 from vetrail.operators import (
-    categories, clean, detail, history, metrics, monitor, profile, quality, resolve, score, scraped,
-    split,
+    categories, clean, detail, explain, history, metrics, monitor, profile, quality, resolve, score,
+    scraped, split, train,
 )
 from vetrail.plans import driver_tables as d
+from vetrail.plans import retrain, scoring
+from vetrail.session import fresh_folder, materialized
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -741,3 +743,185 @@ def subject_history(spark, sf_dir):
     return tidy(
         history.prior_side_totals(orders, "o_custkey", "o_date", [source]).drop("o_custkey", "o_date")
     )
+
+
+# --- models -------------------------------------------------------------------------------------
+# Fitting is iterative, so these have no SQL twin; tests check them by their own arithmetic.
+
+CUT_YEAR = 2000
+
+
+def _model_rows(spark, sf_dir):
+    """Encoded feature table, materialised because every fit reads it several times."""
+    rows = split.label_encode(d.features(spark, sf_dir), split.CATEGORIES)
+    return materialized(rows)
+
+
+def _lists(rows):
+    encoded = [f"{c}_encoded" for c in split.CATEGORIES]
+    dropped = [*split.NOT_FEATURES, *encoded]
+    every = split.numeric_features(rows.columns, dropped) + encoded
+    trees = split.numeric_features(
+        rows.columns, dropped, redundant=[*split.REDUNDANT_FOR_TREES, split.DOMINANT_FEATURE]
+    ) + encoded
+    return every, trees
+
+
+def _parts(rows):
+    return (
+        split.before_year(rows, "inspection_date", CUT_YEAR),
+        split.since_year(rows, "inspection_date", CUT_YEAR),
+    )
+
+
+_SMALL = {"trees": 8, "depth": 4}
+
+
+@query
+def train_logreg(spark, sf_dir):
+    rows = _model_rows(spark, sf_dir)
+    every, _ = _lists(rows)
+    fit, test = _parts(rows)
+    named = {
+        "logistic": (train.fit_logistic(fit, every, max_iter=100), every),
+        "logistic balanced": (train.fit_logistic(fit, every, balanced=True, max_iter=100), every),
+    }
+    return tidy(train.model_metrics(named, test, "target_oai"))
+
+
+@query
+def train_gbt(spark, sf_dir):
+    rows = _model_rows(spark, sf_dir)
+    _, names = _lists(rows)
+    fit, test = _parts(rows)
+    early, late = split.rolling_split(fit, "inspection_date")
+    named = {
+        "trees": (train.fit_boosted_trees(early, names, valid=late, **_SMALL), names),
+        "trees weighted": (
+            train.fit_boosted_trees(early, names, valid=late, positive_weight=None, **_SMALL),
+            names,
+        ),
+    }
+    return tidy(train.model_metrics(named, test, "target_oai"))
+
+
+@query
+def ablation(spark, sf_dir):
+    rows = _model_rows(spark, sf_dir)
+    _, names = _lists(rows)
+    fit, test = _parts(rows)
+    names = [*names, split.DOMINANT_FEATURE]
+    return tidy(train.ablation(fit, test, names, [split.DOMINANT_FEATURE], **_SMALL))
+
+
+@query
+def search(spark, sf_dir):
+    rows = _model_rows(spark, sf_dir)
+    _, names = _lists(rows)
+    fit, _ = _parts(rows)
+    ranges = train.SEARCH_RANGES | {"trees": (3, 6), "depth": (2, 4), "min_gain": (0.0, 0.01)}
+    trials = train.random_search(fit, names, draws=train.random_draws(2, ranges=ranges), folds=2)
+    return tidy(spark.createDataFrame(trials))
+
+
+def _fitted_trees(spark, sf_dir):
+    rows = _model_rows(spark, sf_dir)
+    _, names = _lists(rows)
+    fit, test = _parts(rows)
+    return train.fit_boosted_trees(fit, names, positive_weight=None, **_SMALL), names, test
+
+
+@query
+def feature_importance(spark, sf_dir):
+    model, names, _ = _fitted_trees(spark, sf_dir)
+    return tidy(train.feature_importances(spark, model, names))
+
+
+@query
+def champion(spark, sf_dir):
+    """Retrain on all but the last year and offer the model to an empty registry."""
+    folder = fresh_folder(spark)
+    rows = _model_rows(spark, sf_dir)
+    _, names = _lists(rows)
+    for version, options in (("v1", {"trees": 2, "depth": 2}), ("v2", _SMALL)):
+        retrain.retrain(rows, names, folder, version, Date(2001, 8, 1), **options)
+    return tidy(spark.read.parquet(f"{folder}/registry").drop("path", "features", "label_encoders"))
+
+
+def _explained(spark, sf_dir):
+    model, names, test = _fitted_trees(spark, sf_dir)
+    keep = ("fei_number", "product_type", "country", "project_area", "inspection_date", "target_oai")
+    rows = explain.tree_contributions(
+        model, test, names, "inspection_id", f"{fresh_folder(spark)}/trees", keep
+    )
+    return rows, names, model
+
+
+@query
+def contributions(spark, sf_dir):
+    rows, names, _ = _explained(spark, sf_dir)
+    return tidy(explain.top_drivers(rows, names, "inspection_id", len(names)).drop("driver"))
+
+
+@query
+def linear_contributions(spark, sf_dir):
+    rows = _model_rows(spark, sf_dir)
+    every, _ = _lists(rows)
+    fit, test = _parts(rows)
+    model = train.fit_logistic(fit, every, max_iter=100)
+    found = explain.linear_contributions(model, test, every, "inspection_id")
+    return tidy(explain.global_importance(found, every, len(every)))
+
+
+@query
+def global_importance(spark, sf_dir):
+    rows, names, _ = _explained(spark, sf_dir)
+    return tidy(explain.global_importance(rows, names))
+
+
+@query
+def direction_summary(spark, sf_dir):
+    rows, names, _ = _explained(spark, sf_dir)
+    return tidy(explain.direction_summary(rows, names))
+
+
+@query
+def dependence(spark, sf_dir):
+    rows, names, _ = _explained(spark, sf_dir)
+    chosen = ["n_prior_oai", "n_prior_nai", "days_since_last_inspection", "total_prior_citations"]
+    return tidy(explain.dependence(rows, names, chosen))
+
+
+@query
+def top_drivers(spark, sf_dir):
+    rows, names, _ = _explained(spark, sf_dir)
+    return tidy(explain.top_drivers(rows, names, "inspection_id"))
+
+
+@query
+def waterfall(spark, sf_dir):
+    rows, names, model = _explained(spark, sf_dir)
+    return tidy(
+        explain.waterfall(rows, names, "target_oai", "inspection_id", explain.base_margin(model))
+    )
+
+
+@query
+def risk_report(spark, sf_dir):
+    rows, names, _ = _explained(spark, sf_dir)
+    keep = ("fei_number", "product_type", "country", "project_area", "inspection_date")
+    return tidy(explain.risk_report(rows, names, "inspection_id", keep, "target_oai"))
+
+
+@query
+def model_scores(spark, sf_dir):
+    """Roll every facility forward, score it, and attach tier and audit columns."""
+    rows = _model_rows(spark, sf_dir)
+    _, names = _lists(rows)
+    fit, _ = _parts(rows)
+    model = train.fit_boosted_trees(fit, names, positive_weight=None, **_SMALL)
+    return tidy(
+        scoring.score_facilities(
+            model, rows, names, AS_OF, {"model_version": "v1", "threshold": 0.5, "scored_on": AS_OF}
+        )
+    )

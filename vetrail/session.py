@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +46,8 @@ def materialized(rows: DataFrame) -> DataFrame:
     """Write a frame to the shared folder once and go on from there, with the lineage cut."""
     shared_folder(rows.sparkSession)
     return rows.checkpoint()
+
+
+def fresh_folder(spark: SparkSession) -> str:
+    """A new folder inside the shared one."""
+    return f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
