@@ -181,7 +181,7 @@ def brute_force(rows, cites, letters, strict):
 DAYS = st.integers(1, 9).map(lambda d: f"2020-01-0{d}")
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(st.tuples(st.integers(1, 3), DAYS, st.sampled_from("NVO"), st.sampled_from("AB")), min_size=1, max_size=25),
     st.lists(st.tuples(st.integers(0, 24), st.sampled_from(["x", "y", None])), max_size=20),

@@ -38,36 +38,24 @@ def leaf_contributions(
     trees = tree_model(model)
     trees.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
-    spots = nodes.select(
-        "treeID", "id", "prediction", "leftChild", "rightChild",
-        F.col("split.featureIndex").alias("feature"),
-    )
-    zeros = F.array_repeat(F.lit(0.0), n_features)
-    level = spots.filter("id = 0").withColumn("added", zeros)
+    names = ["id", "prediction", "leftChild", "rightChild", "feature"]
+    spots = nodes.withColumn("feature", F.col("split.featureIndex")).select("treeID", *names)
+    level = spots.filter("id = 0").withColumn("added", F.array_repeat(F.lit(0.0), n_features))
     leaves = level.filter("leftChild < 0").select("treeID", "id", "added")
     # One step per tree level; the frames stay as small as the model.
-    children = spots.select(
-        "treeID", F.col("id").alias("c_id"), F.col("prediction").alias("c_prediction"),
-        F.col("leftChild").alias("c_left"), F.col("rightChild").alias("c_right"),
-        F.col("feature").alias("c_feature"),
-    )
+    children = spots.withColumnsRenamed({c: f"c_{c}" for c in names})
     for _ in range(trees.getMaxDepth()):
+        # Credited before the parent's columns are replaced by the child's.
         step = F.col("c_prediction") - F.col("prediction")
+        credited = F.transform(
+            "added", lambda x, i: F.when(i == F.col("feature"), x + step).otherwise(x)
+        )
         level = (
             level.filter("leftChild >= 0")
             .withColumn("c_id", F.explode(F.array("leftChild", "rightChild")))
             .join(F.broadcast(children), ["treeID", "c_id"])
-            .select(
-                "treeID",
-                F.col("c_id").alias("id"),
-                F.col("c_prediction").alias("prediction"),
-                F.col("c_left").alias("leftChild"),
-                F.col("c_right").alias("rightChild"),
-                F.col("c_feature").alias("feature"),
-                F.transform(
-                    "added", lambda x, i: F.when(i == F.col("feature"), x + step).otherwise(x)
-                ).alias("added"),
-            )
+            .select("treeID", *[f"c_{c}" for c in names], credited.alias("added"))
+            .withColumnsRenamed({f"c_{c}": c for c in names})
         )
         leaves = leaves.unionByName(
             level.filter("leftChild < 0").select("treeID", "id", "added")
@@ -118,7 +106,7 @@ def tree_contributions(
     facts = found.select(
         key,
         *keep,
-        (vector_to_array("rawPrediction")[1] / 2).alias("margin"),
+        vector_to_array("rawPrediction")[1].alias("margin"),
         vector_to_array("probability")[1].alias("risk_score"),
         F.col("_values").alias("values"),
         F.posexplode(vector_to_array("_leaves")).alias("_tree", "_at"),
