@@ -42,11 +42,9 @@ def severity(code: Column) -> Column:
 def severity_counts(details: DataFrame, key: str, code: str) -> DataFrame:
     """Per event, the number of citations of each category (columns ``citations_<category>``)."""
     names = [*SEVERITY_CODES, OTHER_SEVERITY]
-    kind = severity(F.col(code))
-    return (
-        details.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(*[F.count_if(kind == n).alias(f"citations_{n}") for n in names])
+    kinds = details.filter(F.col(key).isNotNull()).select(key, severity(F.col(code)).alias("_kind"))
+    return kinds.groupBy(key).agg(
+        *[F.count_if(F.col("_kind") == n).alias(f"citations_{n}") for n in names]
     )
 
 

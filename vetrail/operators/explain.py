@@ -173,7 +173,10 @@ def direction_summary(explained: DataFrame, features: Sequence[str]) -> DataFram
     """How contribution moves with the feature's value: correlation and signed mean."""
     long = _long(explained, features)
     return long.groupBy("feature").agg(
-        F.corr("value", "contribution").alias("correlation"),
+        F.try_divide(
+            F.covar_pop("value", "contribution"),
+            F.stddev_pop("value") * F.stddev_pop("contribution"),
+        ).alias("correlation"),  # null for a constant
         F.avg("contribution").alias("mean_contribution"),
         F.min("contribution").alias("lowest"),
         F.max("contribution").alias("highest"),

@@ -33,14 +33,15 @@ class SideEvents:
     """A table of dated side events of an entity.
 
     ``measures`` maps an output name to the 0/1 or numeric column summed over earlier events;
-    ``latest`` names an output that holds the day of the newest earlier event.
+    ``latest`` maps an output name to the condition of the events whose newest day it tells. One
+    scan of a table can so serve several kinds of events.
     """
 
     rows: DataFrame
     entity: str
     date: str
     measures: Mapping[str, Column] = field(default_factory=dict)
-    latest: str | None = None
+    latest: Mapping[str, Column] = field(default_factory=dict)
 
 
 def _day_number(date: str) -> Column:
@@ -50,7 +51,7 @@ def _day_number(date: str) -> Column:
 def _daily_totals(sources: Sequence[SideEvents]) -> tuple[DataFrame, list[str], list[str]]:
     """One row per (entity, day) with the sums of all sources; undated events are dropped."""
     sums = [name for s in sources for name in s.measures]
-    latest = [s.latest for s in sources if s.latest]
+    latest = [name for s in sources for name in s.latest]
     stacked = None
     for s in sources:
         own = s.rows.filter(F.col(s.entity).isNotNull() & F.col(s.date).isNotNull()).select(
@@ -61,7 +62,11 @@ def _daily_totals(sources: Sequence[SideEvents]) -> tuple[DataFrame, list[str],
                 for m in sums
             ],
             *[
-                (_day_number(s.date) if name == s.latest else F.lit(None).cast("int")).alias(name)
+                (
+                    F.when(s.latest[name], _day_number(s.date))
+                    if name in s.latest
+                    else F.lit(None).cast("int")
+                ).alias(name)
                 for name in latest
             ],
         )
@@ -397,7 +402,10 @@ def side_sources(
     first, second = (F.col(recall_class).eqNullSafe(c).cast("int") for c in classes)
     one = F.lit(1)
     return [
-        SideEvents(letters, entity, letter_date, {"n_warning_letters": one}, "days_since_last_wl"),
+        SideEvents(
+            letters, entity, letter_date, {"n_warning_letters": one},
+            {"days_since_last_wl": F.lit(True)},
+        ),
         SideEvents(
             recalls,
             entity,

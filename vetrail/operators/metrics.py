@@ -1,7 +1,7 @@
 """Ranking and threshold metrics of scored rows.
 
 Scores are first grouped to distinct values with their class counts, so ties cost nothing, and
-running counts come from :mod:`vetrail.operators.ordered`. Nothing is collected but block limits.
+running counts come from :mod:`vetrail.operators.ordered`.
 """
 
 from __future__ import annotations
@@ -12,21 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vetrail.functions.scores import f1_with_epsilon
-from vetrail.operators.ordered import BLOCKS, block_limits, running_totals
+from vetrail.operators.ordered import running_totals
 
 
 def score_steps(
-    scored: DataFrame, label: str, score: str, by: Sequence[str] = (), blocks: int = BLOCKS
+    scored: DataFrame, label: str, score: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """One row per distinct score: class counts, and counts at or above it (``tp``, ``fp``)."""
     hit = F.col(label).cast("bigint")
     steps = scored.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
         F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg")
     )
-    limits = block_limits(scored, score, blocks)
-    return running_totals(
-        steps, "threshold", {"tp": "pos", "fp": "neg"}, limits, by=by, descending=True
-    )
+    return running_totals(steps, F.col("threshold").desc(), {"tp": "pos", "fp": "neg"}, by)
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -43,7 +40,6 @@ def evaluate(
     score: str,
     by: Sequence[str] = (),
     cut: float = 0.5,
-    blocks: int = BLOCKS,
 ) -> DataFrame:
     """ROC-AUC, average precision, and F1 at a cut, one row per group of ``by``.
 
@@ -55,7 +51,7 @@ def evaluate(
     above = F.col("threshold") >= cut
     tp_cut = F.coalesce(F.sum(F.when(above, pos)), F.lit(0))
     fp_cut = F.coalesce(F.sum(F.when(above, neg)), F.lit(0))
-    steps = score_steps(scored, label, score, by, blocks)
+    steps = score_steps(scored, label, score, by)
     return steps.groupBy(*by).agg(
         F.sum(pos + neg).alias("n_rows"),
         F.sum(pos).alias("n_pos"),
@@ -66,10 +62,10 @@ def evaluate(
     )
 
 
-def roc_curve(scored: DataFrame, label: str, score: str, blocks: int = BLOCKS) -> DataFrame:
+def roc_curve(scored: DataFrame, label: str, score: str) -> DataFrame:
     """Points (threshold, fpr, tpr), one per distinct score, and the start (inf, 0, 0)."""
     tp, fp, p, n = _columns()
-    points = score_steps(scored, label, score, blocks=blocks).select(
+    points = score_steps(scored, label, score).select(
         "threshold", _ratio(fp, n).alias("fpr"), _ratio(tp, p).alias("tpr")
     )
     start = scored.limit(1).select(
@@ -78,22 +74,22 @@ def roc_curve(scored: DataFrame, label: str, score: str, blocks: int = BLOCKS) -
     return points.unionByName(start)
 
 
-def pr_curve(scored: DataFrame, label: str, score: str, blocks: int = BLOCKS) -> DataFrame:
+def pr_curve(scored: DataFrame, label: str, score: str) -> DataFrame:
     """Precision and recall per threshold, and the end point (null, 1, 0)."""
     end = scored.limit(1).select(
         F.lit(None).cast("double").alias("threshold"),
         F.lit(1.0).alias("precision"),
         F.lit(0.0).alias("recall"),
     )
-    points = threshold_table(scored, label, score, blocks)
+    points = threshold_table(scored, label, score)
     return points.select("threshold", "precision", "recall").unionByName(end)
 
 
-def threshold_table(scored: DataFrame, label: str, score: str, blocks: int = BLOCKS) -> DataFrame:
+def threshold_table(scored: DataFrame, label: str, score: str) -> DataFrame:
     """Precision, recall and F1 when rows at or above each threshold are flagged."""
     tp, fp, p, _ = _columns()
     return (
-        score_steps(scored, label, score, blocks=blocks)
+        score_steps(scored, label, score)
         .select(
             "threshold", _ratio(tp, tp + fp).alias("precision"), _ratio(tp, p).alias("recall")
         )
@@ -102,10 +98,10 @@ def threshold_table(scored: DataFrame, label: str, score: str, blocks: int = BLO
 
 
 def threshold_at_recall(
-    scored: DataFrame, label: str, score: str, target: float = 0.80, blocks: int = BLOCKS
+    scored: DataFrame, label: str, score: str, target: float = 0.80
 ) -> DataFrame:
     """The threshold whose recall is nearest the target; the smallest one if several are."""
-    table = threshold_table(scored, label, score, blocks)
+    table = threshold_table(scored, label, score)
     return table.orderBy(F.abs(F.col("recall") - target), "threshold").limit(1)
 
 
@@ -161,9 +157,9 @@ def classification_report(
 
 
 def compare_models(
-    scored: DataFrame, label: str, score: str, model: str = "model", blocks: int = BLOCKS
+    scored: DataFrame, label: str, score: str, model: str = "model"
 ) -> DataFrame:
     """Metrics of every model, and which one is best by average precision."""
-    table = evaluate(scored, label, score, by=[model], blocks=blocks)
+    table = evaluate(scored, label, score, by=[model])
     best = table.agg(F.max_by(model, F.struct("pr_auc", model))).scalar()
     return table.withColumn("is_best", (F.col(model) == best).cast("int"))

@@ -1,60 +1,43 @@
-"""Running totals over a whole table without gathering it in one task.
+"""Running totals and ranks over a whole table without gathering it in one task.
 
-A window without a partition key runs in a single task. Here the order column is cut into blocks at
-its own quantiles; block totals (few rows) are accumulated and broadcast; the rest is a window
-inside each block. Block limits come from the data, so a crowded value range is cut finely.
+A window without a partition key runs in a single task. Here the rows are range-partitioned on the
+order columns, each partition is a block, block totals (one row per partition) are accumulated and
+broadcast, and the rest is a window inside each block. Range limits are sampled from the data, so a
+crowded part of the range gets as many blocks as it needs. They differ from run to run, so the rows
+are written with their block number before it is used twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCKS = 1024
+from vetrail.session import materialized
 
 
-def block_limits(rows: DataFrame, order: str, blocks: int = BLOCKS) -> list[float]:
-    """At most ``blocks - 1`` ascending cut points of a numeric column (one aggregate job)."""
-    shares = [i / blocks for i in range(1, blocks)]
-    cuts = rows.agg(
-        F.percentile_approx(F.col(order).cast("double"), shares, 20 * blocks)
-    ).first()[0]
-    return sorted(set(cuts or []))
-
-
-def with_block(rows: DataFrame, order: str, limits: Sequence[float]) -> DataFrame:
-    """Add ``_block``, the position of the row's value among the limits."""
-    splits = [float("-inf"), *limits, float("inf")]
-    if len(splits) < 3:
-        return rows.withColumn("_block", F.lit(0.0))
-    placed = Bucketizer(
-        splits=splits, inputCol="_order", outputCol="_block", handleInvalid="keep"
-    ).transform(rows.withColumn("_order", F.col(order).cast("double")))
-    return placed.drop("_order")
+def in_blocks(rows: DataFrame, *order: Column) -> DataFrame:
+    """Rows with ``_block``, the number of their range partition; blocks follow the order."""
+    return materialized(
+        rows.repartitionByRange(*order).withColumn("_block", F.spark_partition_id())
+    )
 
 
 def running_totals(
-    rows: DataFrame,
-    order: str,
-    sums: dict[str, str],
-    limits: Sequence[float],
-    by: Sequence[str] = (),
-    descending: bool = False,
+    rows: DataFrame, order: Column, sums: dict[str, str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Add inclusive running sums in the order of a column, and each group's grand total.
+    """Add inclusive running sums in an order, and each group's grand total.
 
-    ``sums`` maps an output name to the summed column; ``<name>_all`` is its total. Values of
-    ``order`` must be distinct inside a group. ``by`` names grouping columns with few values.
+    ``sums`` maps an output name to the summed column; ``<name>_all`` is its total. ``by`` names
+    grouping columns with few values; inside a group the order must tell the rows apart.
     """
-    placed = with_block(rows, order, limits)
-    direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    placed = in_blocks(rows, order, *[F.col(c).asc() for c in by])
     blocks = placed.groupBy(*by, "_block").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
-    # At most (blocks x groups) rows from here to the broadcast.
-    line = Window.partitionBy(*by).orderBy(direction("_block"))
-    before = line.rowsBetween(Window.unboundedPreceding, -1)
+    # At most (partitions x groups) rows from here to the broadcast.
+    before = (
+        Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    )
     whole = Window.partitionBy(*by)
     carried = blocks.select(
         *by,
@@ -64,7 +47,7 @@ def running_totals(
     )
     inside = (
         Window.partitionBy(*by, "_block")
-        .orderBy(direction(order))
+        .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
@@ -75,19 +58,10 @@ def running_totals(
 
 
 def text_codes(rows: DataFrame, column: str, value: str = "value", code: str = "code") -> DataFrame:
-    """Distinct texts of a column with their 0-based rank in text order.
-
-    Ranks inside the texts that share their first characters, after the totals of those before.
-    """
-    distinct = rows.select(F.col(column).alias(value)).distinct()
-    headed = distinct.withColumn("_head", F.substring(value, 1, 3))
-    heads = headed.groupBy("_head").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = heads.select("_head", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_head").orderBy(value)
-    return headed.join(offsets, "_head").select(
-        value, (F.col("_off") + F.row_number().over(inside) - 1).cast("bigint").alias(code)
-    )
+    """Distinct texts of a column with their 0-based rank in text order."""
+    distinct = rows.select(F.col(column).alias(value)).distinct().withColumn("_one", F.lit(1))
+    ranked = running_totals(distinct, F.col(value).asc(), {"_rank": "_one"})
+    return ranked.select(value, (F.col("_rank") - 1).cast("bigint").alias(code))
 
 
 def broadcast_if_small(table: DataFrame, max_rows: int = 100_000) -> DataFrame:

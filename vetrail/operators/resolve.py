@@ -31,54 +31,51 @@ def name_vectors(names: DataFrame, name: str, weight: str) -> DataFrame:
     """Unit TF-IDF vectors of distinct names: sorted arrays ``grams``, ``parts``, ``rest``.
 
     ``weight`` is how often each name occurs; it enters the document frequencies. Grams run from
-    the rarest to the most common; ``rest[i]`` is the norm of the vector from gram i on.
+    the rarest to the most common; ``rest[i]`` is the norm of the vector from gram i on, and has a
+    closing 0.
     """
-    def counts(grams: Column) -> Column:
-        return F.transform(
-            F.array_distinct(grams),
-            lambda g: F.struct(
-                g.alias("gram"), F.size(F.filter(grams, lambda x: x == g)).alias("tf")
-            ),
-        )
-
-    # The one-element array binds the grams to a variable, so they are cut once per name.
-    counted = F.flatten(F.transform(F.array(char_grams(name)), counts))
-    terms = names.select(name, weight, F.inline(counted))
+    # Names are small but costly to cut, so they are spread by number and not by size. Being
+    # clustered by name, they are counted per (name, gram) without a further shuffle.
+    n = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = names.select(name, weight).repartition(n, name)
+    terms = (
+        spread.select(name, weight, F.explode(char_grams(name)).alias("gram"))
+        .groupBy(name, "gram")
+        .agg(F.count("*").alias("tf"), F.first(weight).alias(weight))
+    )
     rows = names.agg(F.sum(weight)).scalar()
     vocabulary = terms.groupBy("gram").agg(F.sum(weight).alias("df"))
     vocabulary = vocabulary.withColumn("idf", F.log((1 + rows) / (1 + F.col("df"))) + 1)
-    ordered = F.sort_array(F.collect_list(F.struct("df", "gram", (F.col("tf") * F.col("idf")).alias("w"))))
-    vectors = terms.join(vocabulary, "gram").groupBy(name).agg(ordered.alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
+    ordered = F.sort_array(
+        F.collect_list(F.struct("df", "gram", (F.col("tf") * F.col("idf")).alias("w")))
+    )
+    vectors = terms.join(vocabulary, "gram").groupBy(name).agg(
+        ordered.alias("v"), F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("norm")
+    )
     unit = vectors.select(
         name,
         F.transform("v", lambda x: x["gram"]).alias("grams"),
-        F.transform("v", lambda x: x["w"] / norm).alias("parts"),
+        F.transform("v", lambda x: x["w"] / F.col("norm")).alias("parts"),
     )
-    size = F.size("parts")
-    return unit.withColumn(
-        "rest",
-        F.transform(
-            F.sequence(F.lit(1), size),
-            lambda i: F.sqrt(
-                F.aggregate(F.slice("parts", i, size), F.lit(0.0), lambda a, x: a + x * x)
-            ),
-        ),
+    squares = F.aggregate(
+        F.reverse("parts"),
+        F.array(F.lit(0.0)),
+        lambda found, x: F.concat(F.array(found[0] + x * x), found),
     )
+    return unit.withColumn("rest", F.transform(squares, F.sqrt))
 
 
 def _postings(vectors: DataFrame, side: str, threshold: float) -> DataFrame:
     """One slim row per leading gram of a vector: its part, and the norms from it and after it."""
-    lead = F.filter("rest", lambda r: r >= threshold - _SLACK)
-    after = F.concat(F.slice("rest", 2, F.size("rest")), F.array(F.lit(0.0)))
+    size = F.size(F.filter("rest", lambda r: r >= threshold - _SLACK))
     return vectors.select(
         F.col("name").alias(f"{side}_name"),
         F.inline(
             F.arrays_zip(
-                F.slice("grams", 1, F.size(lead)).alias("gram"),
-                F.slice("parts", 1, F.size(lead)).alias(f"{side}_part"),
-                lead.alias(f"{side}_rest"),
-                F.slice(after, 1, F.size(lead)).alias(f"{side}_after"),
+                F.slice("grams", 1, size).alias("gram"),
+                F.slice("parts", 1, size).alias(f"{side}_part"),
+                F.slice("rest", 1, size).alias(f"{side}_rest"),
+                F.slice("rest", 2, size).alias(f"{side}_after"),
             )
         ),
     )
@@ -150,7 +147,8 @@ def best_matches(
         F.struct(F.col(target_id).alias("id"), *carry).alias("target"),
     )
     # Copies of a name collapse here, with partial sums before the shuffle. Smallest id first.
-    names = (
+    # What is left is written once, so the raw rows are read and normalised once.
+    names = materialized(
         named_t.unionByName(named_s, allowMissingColumns=True)
         .groupBy("name")
         .agg(

@@ -159,7 +159,7 @@ def _prior(spark, sf_dir, which):
     orders = d.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_date")
     )
-    source = d.side_events(spark, sf_dir)[which]
+    source = d.side_tables(spark, sf_dir)[which]
     return tidy(history.prior_side_totals(orders, "o_custkey", "o_date", [source]))
 
 
@@ -708,7 +708,7 @@ def letter_within_year(spark, sf_dir):
     orders = d.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_date")
     )
-    letters = d.side_events(spark, sf_dir)[0]
+    letters = d.side_tables(spark, sf_dir)[0]
     return tidy(history.upcoming_side_total(orders, "o_custkey", "o_date", letters))
 
 
