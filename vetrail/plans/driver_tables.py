@@ -5,7 +5,7 @@ Customers are facilities, orders inspections, line items citations and side even
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetrail.columns import EventColumns, Outcomes
@@ -69,18 +69,20 @@ def shipped_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_LETTER = F.col("l_returnflag") == "R"
-_RECALL = F.col("l_returnflag") == "A"
-_FORM = (F.col("l_returnflag") == "N") & (F.col("o_orderstatus") == "O")
+def _kinds() -> tuple[Column, Column, Column]:
+    """Which items play letters, recalls and forms."""
+    flag = F.col("l_returnflag")
+    return flag == "R", flag == "A", (flag == "N") & (F.col("o_orderstatus") == "O")
 
 
 def side_tables(spark: SparkSession, sf_dir: str) -> list[SideEvents]:
     """Returned items as letters, accepted ones as recalls, new ones of open orders as forms."""
     items = shipped_items(spark, sf_dir)
+    letter, recall, form = _kinds()
     return side_sources(
-        letters=items.filter(_LETTER),
-        recalls=items.filter(_RECALL),
-        forms=items.filter(_FORM),
+        letters=items.filter(letter),
+        recalls=items.filter(recall),
+        forms=items.filter(form),
         entity="o_custkey",
         letter_date="l_date",
         recall_date="l_date",
@@ -93,19 +95,20 @@ def side_tables(spark: SparkSession, sf_dir: str) -> list[SideEvents]:
 
 def side_events(spark: SparkSession, sf_dir: str) -> list[SideEvents]:
     """The same three kinds out of one scan of the line items."""
+    letter, recall, form = _kinds()
     return [
         SideEvents(
-            shipped_items(spark, sf_dir).filter(_LETTER | _RECALL | _FORM),
+            shipped_items(spark, sf_dir).filter(letter | recall | form),
             "o_custkey",
             "l_date",
             {
-                "n_warning_letters": _LETTER.cast("int"),
-                "n_recalls": _RECALL.cast("int"),
-                "n_class_I_recalls": (_RECALL & (F.col("l_linestatus") == "F")).cast("int"),
-                "n_class_II_recalls": (_RECALL & (F.col("l_linestatus") == "O")).cast("int"),
-                "n_published_483s": _FORM.cast("int"),
+                "n_warning_letters": letter.cast("int"),
+                "n_recalls": recall.cast("int"),
+                "n_class_I_recalls": (recall & (F.col("l_linestatus") == "F")).cast("int"),
+                "n_class_II_recalls": (recall & (F.col("l_linestatus") == "O")).cast("int"),
+                "n_published_483s": form.cast("int"),
             },
-            {"days_since_last_wl": _LETTER},
+            {"days_since_last_wl": letter},
         )
     ]
 
