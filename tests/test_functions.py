@@ -39,7 +39,7 @@ def test_whole_numbers(spark):
 @pytest.mark.parametrize(
     "raw, default, stripped",
     [
-        ("Pfizer, Inc.", "pfizer", "pfizer"),
+        ("Quorvex, Inc.", "quorvex", "quorvex"),
         ("Acme d/b/a Foo", "acme d b a foo", "acme"),
         ("Acme dba Foo", "acme", "acme"),
         ("Coco Company Co", "coco", "coco"),

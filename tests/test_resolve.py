@@ -9,15 +9,15 @@ from test_functions import plain_grams
 from vetrail.operators import resolve
 
 TARGETS = [
-    (1, "Pfizer, Inc", "basel|ch"), (2, "Johnson and Johnson", "nj|us"),
-    (3, "Novartis Pharmaceuticals", "basel|ch"), (4, "Pfizer Inc.", "ny|us"), (5, "Acme Tools", ""),
+    (1, "Quorvex, Inc", "basel|ch"), (2, "Harper and Harper", "nj|us"),
+    (3, "Lumenor Pharmaceuticals", "basel|ch"), (4, "Quorvex Inc.", "ny|us"), (5, "Acme Tools", ""),
     (6, "Acme Tooling Works", "oh|us"), (7, None, ""), (8, "Zeta Labs GmbH", "bonn|de"),
     (9, "Beta Labs", "oh|us"), (10, "Co", "oh|us"),
 ]
 SOURCES = [
-    ("Pfizer Inc.", "ny|us"), ("Johnson & Johnson LLC", "nj|us"), ("Novartis AG", "basel|ch"),
+    ("Quorvex Inc.", "ny|us"), ("Harper & Harper LLC", "nj|us"), ("Lumenor AG", "basel|ch"),
     ("ACME TOOLS CO", ""), ("Acme Tool", "oh|us"), ("zeta lab", "bonn|de"), ("Gamma Labs", "oh|us"),
-    ("Unrelated Quux", "x"), ("", ""), (None, ""), ("Pfizer", "la|us"),
+    ("Unrelated Quux", "x"), ("", ""), (None, ""), ("Quorvex", "la|us"),
 ]
 
 
