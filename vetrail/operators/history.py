@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vetrail.columns import FEATURE_TABLE, HISTORY_FEATURES, EventColumns
+from vetrail.session import materialized
 
 # Day number of rows without a date: they come after every dated row.
 _UNDATED = 2**31 - 1
@@ -158,10 +159,12 @@ def upcoming_side_total(
 def heavy_entities(keys: DataFrame, entity: str, limit: int) -> DataFrame | None:
     """Entities with more than ``limit`` rows, or None if there is none.
 
-    Runs one job over the key column. There are at most (rows / limit) such entities.
+    Runs one job over the key column, and writes what it finds: at most (rows / limit) keys.
     """
-    heavy = keys.groupBy(F.col(entity).alias("_entity")).count().filter(F.col("count") > limit)
-    return None if heavy.isEmpty() else heavy.select("_entity").filter("_entity is not null")
+    known = keys.filter(F.col(entity).isNotNull())
+    counts = known.groupBy(F.col(entity).alias("_entity")).count()
+    heavy = counts.filter(F.col("count") > limit).select("_entity")
+    return None if heavy.isEmpty() else materialized(heavy)
 
 
 # What each row adds to the running totals of its entity.
