@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,19 @@ def local_session(cores: str = "8", app: str = "vetrail", memory: str = "16g") -
     )
 
 
+def with_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it.
+
+    For a session started outside the repository; a cluster gets the package as any other dependency.
+    """
+    home = str(Path(__file__).resolve().parents[1])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        joined = os.pathsep.join([home, *filter(None, paths)])
+        spark.sparkContext.environment["PYTHONPATH"] = joined
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can read, named by the cluster in ``spark.checkpoint.dir``.
 
