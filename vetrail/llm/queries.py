@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetrail.llm.common import table
+from vetrail.llm.fingerprint import fingerprints
+from vetrail.llm.langid import fit_languages, identify_languages
 from vetrail.llm.materialise import training_order
 from vetrail.llm.mixing import mix_sources
 from vetrail.llm.packing import pack_documents
+from vetrail.llm.quality import fit_quality, score_quality
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -20,6 +23,23 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def fold(column: str, folds: int) -> Column:
+    """crc32 of a column as text, modulo the number of folds."""
+    return F.crc32(F.col(column).cast("string")) % folds
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
+    model = fit_languages(documents.filter(~held_out))
+    rows = documents.select("doc_id", "text", held_out.alias("held_out"))
+    return identify_languages(rows, model).drop("text")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
@@ -29,7 +49,18 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    model = fit_quality(documents, labels.filter(~held_out))
+    rows = documents.select("doc_id", "text", held_out.alias("held_out"))
+    return score_quality(rows, model).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_fingerprints": op5_fingerprints,
+    "op7_language_id": op7_language_id,
+    "op10_quality": op10_quality,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op8_mixing": op8_mixing,
     "op9_token_output": op9_token_output,
