@@ -10,15 +10,21 @@ from pyspark.sql import functions as F
 
 from vetrail.llm.common import table
 from vetrail.llm.fingerprint import fingerprints
+from vetrail.llm.jaccard import jaccard_components
 from vetrail.llm.langid import fit_languages, identify_languages
 from vetrail.llm.materialise import training_order
 from vetrail.llm.mixing import mix_sources
 from vetrail.llm.packing import pack_documents
 from vetrail.llm.quality import fit_quality, score_quality
+from vetrail.llm.vectors import near_duplicate_vectors
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -27,6 +33,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def fold(column: str, folds: int) -> Column:
     """crc32 of a column as text, modulo the number of folds."""
     return F.crc32(F.col(column).cast("string")) % folds
@@ -58,7 +68,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op5_fingerprints": op5_fingerprints,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_language_id": op7_language_id,
     "op10_quality": op10_quality,
     "op4_best_fit_packing": op4_best_fit_packing,
