@@ -28,7 +28,7 @@ from vetrail.session import materialized
 
 CAPACITY = 4096
 END_ID = 1
-BLOCK_ROWS = 100_000
+BLOCK_ROWS = 5_000
 
 
 class _Lengths:

@@ -16,11 +16,16 @@ from vetrail.llm.materialise import training_order
 from vetrail.llm.mixing import mix_sources
 from vetrail.llm.packing import pack_documents
 from vetrail.llm.quality import fit_quality, score_quality
+from vetrail.llm.suffix import cut_repeats
 from vetrail.llm.vectors import near_duplicate_vectors
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op5_fingerprints": op5_fingerprints,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
