@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vetrail.operators.ordered import broadcast_if_small
 from vetrail.session import fresh_folder, with_package
 
 BLOCK_BYTES = 2 << 20
@@ -40,6 +41,15 @@ def written(rows: DataFrame, compression: str = "zstd") -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+#: Ids (with a number) that may be broadcast: 16 bytes each. More are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def broadcast_ids(rows: DataFrame) -> DataFrame:
+    """Hint a broadcast for a written table of ids that is counted to be small enough."""
+    return broadcast_if_small(rows, BROADCAST_IDS)
+
+
 def word_count(text: str | Column) -> Column:
     """Number of words of a text; null counts 0."""
     text = F.col(text) if isinstance(text, str) else text

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vetrail.llm.common import mix, shingle_lists, signed, text_blocks
+from vetrail.llm.common import broadcast_ids, mix, shingle_lists, signed, text_blocks
 from vetrail.llm.components import connected_components
 from vetrail.session import materialized
 
@@ -46,8 +46,6 @@ MAX_FREQUENT = 2_000_000
 COUNTED = 0.3
 _CUT = np.uint64(int(COUNTED * (1 << 64)))
 _SINGLES_TO, _PAIRS_FROM = 50, 41
-#: Ids of documents to verify that may be broadcast (16 bytes each); beyond it they are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
 _FLUSH = 1 << 20
 
 _EDGES = np.array(sorted({int(np.ceil(1.25**k)) for k in range(90)}), np.int64)
@@ -232,8 +230,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
     """Those of the pairs (a, b) whose documents link, checked on the whole texts."""
     pairs = materialized(pairs)
     ids = materialized(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct())
-    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    needed = materialized(texts.join(F.broadcast(ids) if small else ids, "doc", "left_semi"))
+    needed = materialized(texts.join(broadcast_ids(ids), "doc", "left_semi"))
     return (
         pairs.join(needed.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
         .join(needed.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")

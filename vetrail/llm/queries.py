@@ -12,6 +12,7 @@ from vetrail.llm.common import table
 from vetrail.llm.fingerprint import fingerprints
 from vetrail.llm.jaccard import jaccard_components
 from vetrail.llm.langid import fit_languages, identify_languages
+from vetrail.llm.licenses import NOTICES, scan_templates
 from vetrail.llm.materialise import training_order
 from vetrail.llm.mixing import mix_sources
 from vetrail.llm.packing import pack_documents
@@ -23,13 +24,22 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return cut_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices, and the protected passages of the benchmark, found in all documents."""
+    notices = spark.createDataFrame(sorted(NOTICES.items()), "template_id string, template string")
+    passages = table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("passage-"), F.col("item_id").cast("string")), "text"
+    )
+    return scan_templates(table(spark, sf_dir, "documents"), notices.union(passages))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -75,6 +85,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_license_scans": op3_license_scans,
     "op5_fingerprints": op5_fingerprints,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_language_id": op7_language_id,

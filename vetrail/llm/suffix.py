@@ -24,7 +24,7 @@ surroundings collapse ahead of the shuffle.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -455,43 +455,42 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield work(held)
 
 
-def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, raw, at in text_blocks(batches):
-        names = rows.schema.names
-        low, high = rows.column(names.index("low")), rows.column(names.index("high"))
-        n, removed, spans, digest, kept_bytes = [], [], [], [], []
-        for k in range(rows.num_rows):
-            own = raw[at[k] : at[k + 1]]
-            a, b = low[k].values, high[k].values
-            kept = own
-            gone = runs = 0
-            if a is not None and len(a):
-                a = np.clip(a.to_numpy(zero_copy_only=False), 0, len(own))
-                b = np.clip(b.to_numpy(zero_copy_only=False), 0, len(own))
-                depth = np.zeros(len(own) + 1, np.int64)
-                np.add.at(depth, a, 1)
-                np.add.at(depth, b, -1)
-                out = np.cumsum(depth[:-1]) > 0
-                kept = own[~out]
-                gone = int(out.sum())
-                runs = int(out[:1].sum() + (out[1:] & ~out[:-1]).sum())
-            n.append(len(own))
-            removed.append(gone)
-            spans.append(runs)
-            data = kept.tobytes()
-            digest.append(hashlib.sha256(data).hexdigest())
-            kept_bytes.append(data)
-        yield pa.RecordBatch.from_arrays(
-            [
-                rows.column(names.index("doc")),
-                pa.array(n, pa.int64()),
-                pa.array(removed, pa.int64()),
-                pa.array(spans, pa.int64()),
-                pa.array(digest, pa.string()),
-                pa.array(kept_bytes, pa.binary()),
-            ],
-            names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-        )
+def _cut_texts(kept_columns: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, raw, at in text_blocks(batches):
+            names = rows.schema.names
+            lows, highs = rows.column(names.index("low")), rows.column(names.index("high"))
+            removed, spans, digest, kept_bytes = [], [], [], []
+            for k in range(rows.num_rows):
+                kept = own = raw[at[k] : at[k + 1]]
+                low, high = lows[k].values, highs[k].values
+                gone = runs = 0
+                if low is not None and len(low):
+                    depth = np.zeros(len(own) + 1, np.int64)
+                    np.add.at(depth, np.clip(low.to_numpy(zero_copy_only=False), 0, len(own)), 1)
+                    np.add.at(depth, np.clip(high.to_numpy(zero_copy_only=False), 0, len(own)), -1)
+                    out = np.cumsum(depth[:-1]) > 0
+                    kept = own[~out]
+                    gone = int(out.sum())
+                    runs = int(out[:1].sum() + (out[1:] & ~out[:-1]).sum())
+                removed.append(gone)
+                spans.append(runs)
+                kept_bytes.append(kept.tobytes())
+                digest.append(hashlib.sha256(kept_bytes[-1]).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column(names.index("doc")),
+                    pa.array(np.diff(at), pa.int64()),
+                    pa.array(removed, pa.int64()),
+                    pa.array(spans, pa.int64()),
+                    pa.array(digest, pa.string()),
+                    pa.array([b.decode(errors="ignore") for b in kept_bytes], pa.string()),
+                    *[rows.column(names.index(f"_{c}")) for c in kept_columns],
+                ],
+                names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", *[f"_{c}" for c in kept_columns]],
+            )
+
+    return run
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -528,24 +527,33 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
 
 def cut_repeats(
-    documents: DataFrame, id_column: str = "doc_id", text: str = "text", spans: DataFrame | None = None
+    documents: DataFrame, id_column: str = "doc_id", text: str = "text", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes).
+    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256, kept_text, ``keep`` columns.
 
     A byte is removed if a 100-byte string that covers it also starts earlier: in a document of smaller id, or
     before in the same one. Overlaps count, and strings are judged on the input. Null text is empty. Texts
     under 100 bytes lose nothing. Rows that share an id are one document: what starts earlier in
-    one is earlier for all, equal places of equal rows are one place. Removal may split a character; ``kept`` is
-    therefore binary. An empty table gives an empty result. Other columns are not read.
+    one is earlier for all, equal places of equal rows are one place. Removal may split a character: the hash
+    is that of all remaining bytes, ``kept_text`` lacks the parts of split characters. An empty table gives an empty result. Columns not named in ``keep`` are not read;
+    a kept column takes the place of one of the same name.
     """
     texts = documents.select(F.col(id_column).cast("long").alias("doc"), F.col(text).alias("text"))
-    spans = repeated_spans(texts) if spans is None else spans
+    spans = repeated_spans(texts)
     of_doc = spans.groupBy("doc").agg(F.collect_list("low").alias("low"), F.collect_list("high").alias("high"))
     # Both lists are collected from the same rows in the same order.
-    schema = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return (
-        texts.join(of_doc, "doc", "left")
-        .select("doc", "text", "low", "high")
-        .mapInArrow(_cut_texts, schema)
-        .withColumnRenamed("doc", id_column)
+    carried = documents.select(
+        F.col(id_column).cast("long").alias("doc"),
+        F.col(text).alias("text"),
+        *[F.col(c).alias(f"_{c}") for c in keep],
+    )
+    own = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+    schema = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+    for c in keep:
+        schema += f", `_{c}` {documents.schema[c].dataType.simpleString()}"
+    cut = carried.join(of_doc, "doc", "left").mapInArrow(_cut_texts(list(keep)), schema)
+    return cut.select(
+        F.col("doc").alias(id_column),
+        *[c for c in own if c not in keep],
+        *[F.col(f"_{c}").alias(c) for c in keep],
     )
