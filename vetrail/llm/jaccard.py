@@ -1,11 +1,11 @@
 """N-gram Jaccard join: token-combination prefixes, then exact verification.
 
 A document is its set of distinct word shingles; two link if their Jaccard likeness reaches a threshold.
-Tokens (shingle hashes) have two classes, rare and frequent, and one global order: rare ones first, each
-class by hash. A pair that links must share a token of both documents' prefixes (their first
+Tokens (shingle hashes) have classes and one global order: rare ones first, then frequent ones, then those
+that are not counted, each class by hash. A pair that links must share a token of both documents' prefixes (their first
 ``n - ceil(t n) + 1`` tokens).
 
-* Rare tokens are indexed one by one.
+* Rare tokens, and those not counted, are indexed one by one.
 * A document with too few rare tokens extends its prefix over frequent ones and indexes 2-token combinations of
   them. Frequent tokens fall into sub-classes by hash; a sub-class with m tokens in the prefix survives m-2
   misses, so the prefix is extended until the sub-classes together withstand one miss more than the
@@ -13,14 +13,15 @@ class by hash. A pair that links must share a token of both documents' prefixes
   each document is indexed for its band and the next, so that a linking pair meets in one of them.
   Sets of up to 50 tokens index frequent tokens one by one.
 
-Classes only steer the work: any split into rare and frequent gives the same links. They come from document
-frequencies counted over all documents, for the tokens in a fixed part of the hash range (those of
-which prefixes consist); the most frequent ones, a bounded number, are told to every task.
+Classes only steer the work: any split into classes gives the same links. They come from document
+frequencies counted over all documents, for the tokens in a fixed part of the hash range (three times what a
+prefix needs); the most frequent ones, a bounded number, are told to every task.
 
 Equal sets collapse first. Of the documents that meet under a signature each is first verified against the
-smallest document it meets most often, and links are joined to components. Then every pair that still meets
-across components is verified, so no link between components is lost. Pairs inside a component need
-no check: they cannot change it.
+smallest document it meets most often, and links are joined to components. While many pairs meet across
+components (a large group of near copies), each document is verified against a few other ones it meets,
+chosen at random per signature. Then every pair that still meets across components is verified, so no link
+between components is lost. Pairs inside a component need no check: they cannot change it.
 """
 
 from __future__ import annotations
@@ -43,9 +44,11 @@ FREQUENT = 50
 #: Most frequent tokens told to every task (8 bytes each).
 MAX_FREQUENT = 2_000_000
 #: Part of the hash range whose tokens are counted.
-COUNTED = 0.3
+COUNTED = 0.6
 _CUT = np.uint64(int(COUNTED * (1 << 64)))
 _SINGLES_TO, _PAIRS_FROM = 50, 41
+#: Turns with random partners at most, and how many open pairs per row need none.
+MAX_TURNS, FEW_PAIRS = 6, 8
 _FLUSH = 1 << 20
 
 _EDGES = np.array(sorted({int(np.ceil(1.25**k)) for k in range(90)}), np.int64)
@@ -61,23 +64,26 @@ def _needed(n: int, m: int, percent: int = PERCENT) -> int:
 
 
 def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, bool]:
-    """Signatures of a set of ascending tokens, and whether they are its prefix of rare tokens only."""
+    """Signatures of a set of ascending tokens, and whether they are just its prefix, without frequent tokens."""
     n = len(tokens)
     if not n:
         return tokens, True
     length = prefix_length(n, percent)
-    low = tokens[: np.searchsorted(tokens, _CUT)]
-    often = np.zeros(n, bool)
-    if len(frequent) and len(low):
-        place = np.minimum(np.searchsorted(frequent, low), len(frequent) - 1)
-        often[: len(low)] = frequent[place] == low
-    rare = tokens[~often]
+    cut = int(np.searchsorted(tokens, _CUT))
+    low, rest = tokens[:cut], tokens[cut:]
+    often = np.zeros(cut, bool)
+    if len(frequent) and cut:
+        often = frequent[np.minimum(np.searchsorted(frequent, low), len(frequent) - 1)] == low
+    rare, common = low[~often], low[often]
     if len(rare) >= length:
         return rare[:length], True
-    needed, common = length - len(rare), tokens[often]
-    out = [rare]
+    needed = length - len(rare)
+    if not len(common):
+        return np.concatenate([rare, rest[:needed]]), True
+    out, last = [rare], 0
     if n <= _SINGLES_TO:
         out.append(common[:needed])
+        last = max(0, needed - len(common))
     if n >= _PAIRS_FROM:
         own = int(np.searchsorted(_EDGES, n, "right"))
         for band in (own, own + 1):
@@ -87,7 +93,8 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
             new = np.zeros(len(common), np.int64)
             new[first] = 1
             withstood = np.arange(1, len(common) + 1) - np.cumsum(new)
-            stop = int(np.searchsorted(withstood, needed)) + 1
+            stop = min(int(np.searchsorted(withstood, needed)) + 1, len(common))
+            last = max(last, needed - int(withstood[stop - 1]))
             order = np.argsort(of[:stop], kind="stable")
             token, kind = common[:stop][order], of[:stop][order]
             # All pairs inside a sub-class: neighbours at distance 1, 2, ... of the sorted list.
@@ -96,6 +103,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
                 if not same.any():
                     break
                 out.append(mix(token[:-step][same] * np.uint64(3) + mix(token[step:][same] + np.uint64(band))))
+    out.append(rest[:last])
     return np.concatenate(out), False
 
 
@@ -239,6 +247,40 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
     )
 
 
+def _across(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """(sig, doc, component) of the signatures under which several components meet."""
+    placed = shared.join(found, F.col("doc") == F.col("node"), "left").select(
+        "sig", "doc", F.coalesce("component", "doc").alias("component")
+    )
+    placed = materialized(placed)
+    mixed = placed.groupBy("sig").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    return materialized(placed.join(mixed.filter("_low < _high").select("sig"), "sig"))
+
+
+def _open_pairs(mixed: DataFrame) -> tuple[int, int]:
+    """Pairs that meet across components, each as often as it meets, and rows."""
+    each = mixed.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
+    per = each.groupBy("sig").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("q"))
+    row = per.agg(F.sum((F.col("n") * F.col("n") - F.col("q")) / 2), F.sum("n")).first()
+    return int(row[0] or 0), int(row[1] or 0)
+
+
+def _random_partners(mixed: DataFrame, turn: int) -> DataFrame:
+    """Per document up to three of another component, those it meets most often of one random one per signature."""
+    draw = F.xxhash64("doc", F.lit(turn))
+    one = mixed.groupBy("sig").agg(F.min_by(F.struct("doc", "component"), draw).alias("_one"))
+    met = (
+        mixed.join(one, "sig")
+        .filter(F.col("component") != F.col("_one.component"))
+        .groupBy("doc", F.col("_one.doc").alias("other"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("doc")
+        .agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "other")), asc=False), 1, 3).alias("best"))
+        .select("doc", F.explode("best.other").alias("other"))
+    )
+    return met.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
+
+
 def jaccard_components(
     documents: DataFrame,
     id_column: str = "doc_id",
@@ -293,18 +335,21 @@ def jaccard_components(
     first = materialized(verified(likely.select("a", "b"), texts, percent))
     found = materialized(connected_components(first))
 
+    # Large groups: further turns with partners chosen at random, while they thin out what is left.
+    links, before = first, None
+    for turn in range(MAX_TURNS):
+        mixed = _across(shared, found)
+        left, rows = _open_pairs(mixed)
+        if left <= FEW_PAIRS * rows or (before is not None and left > before * 0.9):
+            break
+        before = left
+        tried = sized(_random_partners(mixed, turn)).select("a", "b")
+        links = materialized(links.union(verified(tried, texts, percent)))
+        found = materialized(connected_components(links))
+    else:
+        mixed = _across(shared, found)
+
     # Then all pairs that meet across components.
-    placed = shared.join(found, F.col("doc") == F.col("node"), "left").select(
-        "sig", "doc", F.coalesce("component", "doc").alias("component")
-    )
-    placed = materialized(placed)
-    mixed = (
-        placed.groupBy("sig")
-        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-        .filter("_low < _high")
-        .select("sig")
-    )
-    mixed = materialized(placed.join(mixed, "sig"))
     other = mixed.select("sig", F.col("doc").alias("b"), F.col("component").alias("_other"))
     across = (
         mixed.withColumnRenamed("doc", "a")
@@ -330,7 +375,7 @@ def jaccard_components(
         .otherwise(misses("a") & misses("b"))
     )
     second = verified(sized(across).filter(~out).select("a", "b"), texts, percent)
-    links = first.union(materialized(second))
+    links = links.union(materialized(second))
     # Rows of one id but different texts are tied through the classes they are in.
     tied = filled.join(classes, ["one", "two", "n"]).filter(F.col("doc") != F.col("rep"))
     links = links.union(tied.select(F.col("rep").alias("a"), F.col("doc").alias("b")))
