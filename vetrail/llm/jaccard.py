@@ -1,11 +1,10 @@
 """N-gram Jaccard join: token-combination prefixes, then exact verification.
 
 A document is its set of distinct word shingles; two link if their Jaccard likeness reaches a threshold.
-Tokens (shingle hashes) have classes and one global order: rare ones first, then frequent ones, then those
-that are not counted, each class by hash. A pair that links must share a token of both documents' prefixes (their first
+Tokens (shingle hashes) have two classes and one global order: rare ones first, each class by hash. A pair that links must share a token of both documents' prefixes (their first
 ``n - ceil(t n) + 1`` tokens).
 
-* Rare tokens, and those not counted, are indexed one by one.
+* Rare tokens are indexed one by one.
 * A document with too few rare tokens extends its prefix over frequent ones and indexes 2-token combinations of
   them. Frequent tokens fall into sub-classes by hash; a sub-class with m tokens in the prefix survives m-2
   misses, so the prefix is extended until the sub-classes together withstand one miss more than the
@@ -14,19 +13,22 @@ that are not counted, each class by hash. A pair that links must share a token o
   Sets of up to 50 tokens index frequent tokens one by one.
 
 Classes only steer the work: any split into classes gives the same links. They come from document
-frequencies counted over all documents, for the tokens in a fixed part of the hash range (three times what a
-prefix needs); the most frequent ones, a bounded number, are told to every task.
+frequencies counted over all documents, of tokens told apart by their leading bits (32 more than it takes
+to number the ranges they are counted in); the most frequent ones, a bounded number, are told to every task.
 
 Equal sets collapse first. Of the documents that meet under a signature each is first verified against the
 smallest document it meets most often, and links are joined to components. While many pairs meet across
 components (a large group of near copies), each document is verified against a few other ones it meets,
-chosen at random per signature. Then every pair that still meets across components is verified, so no link
-between components is lost. Pairs inside a component need no check: they cannot change it.
+chosen at random per signature. Then every pair that still meets across components is examined, so no link
+between components is lost: under signatures of up to ``HOT`` documents as pairs; documents that meet
+under hotter ones form clusters, whose blocks are compared inside tasks by bit maps of their tokens, and
+only pairs that the bit maps cannot rule out leave the task to be verified. Pairs inside a component need no check: they cannot change it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -43,10 +45,11 @@ PERCENT = 80
 FREQUENT = 50
 #: Most frequent tokens told to every task (8 bytes each).
 MAX_FREQUENT = 2_000_000
-#: Part of the hash range whose tokens are counted.
-COUNTED = 0.6
-_CUT = np.uint64(int(COUNTED * (1 << 64)))
 _SINGLES_TO, _PAIRS_FROM = 50, 41
+#: Documents under a signature from which on they are compared in blocks, and the size of a block.
+HOT, BLOCK_DOCS = 64, 512
+#: Bits of the map of a set's tokens.
+MAP_BITS = 4096
 #: Turns with random partners at most, and how many open pairs per row need none.
 MAX_TURNS, FEW_PAIRS = 6, 8
 _FLUSH = 1 << 20
@@ -63,27 +66,33 @@ def _needed(n: int, m: int, percent: int = PERCENT) -> int:
     return -(-percent * (n + m) // (100 + percent))
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, bool]:
-    """Signatures of a set of ascending tokens, and whether they are just its prefix, without frequent tokens."""
+@dataclass
+class Frequent:
+    """Ascending leading bits of the frequent tokens: ``token >> shift``."""
+
+    leading: np.ndarray
+    shift: int
+
+    def holds(self, tokens: np.ndarray) -> np.ndarray:
+        if not len(self.leading):
+            return np.zeros(len(tokens), bool)
+        wanted = tokens >> np.uint64(self.shift)
+        return self.leading[np.minimum(np.searchsorted(self.leading, wanted), len(self.leading) - 1)] == wanted
+
+
+def signatures(tokens: np.ndarray, frequent: Frequent, percent: int = PERCENT) -> tuple[np.ndarray, bool]:
+    """Signatures of a set of ascending tokens, and whether they are its prefix of rare tokens only."""
     n = len(tokens)
     if not n:
         return tokens, True
     length = prefix_length(n, percent)
-    cut = int(np.searchsorted(tokens, _CUT))
-    low, rest = tokens[:cut], tokens[cut:]
-    often = np.zeros(cut, bool)
-    if len(frequent) and cut:
-        often = frequent[np.minimum(np.searchsorted(frequent, low), len(frequent) - 1)] == low
-    rare, common = low[~often], low[often]
+    often = frequent.holds(tokens)
+    rare, common = tokens[~often], tokens[often]
     if len(rare) >= length:
         return rare[:length], True
-    needed = length - len(rare)
-    if not len(common):
-        return np.concatenate([rare, rest[:needed]]), True
-    out, last = [rare], 0
+    needed, out = length - len(rare), [rare]
     if n <= _SINGLES_TO:
         out.append(common[:needed])
-        last = max(0, needed - len(common))
     if n >= _PAIRS_FROM:
         own = int(np.searchsorted(_EDGES, n, "right"))
         for band in (own, own + 1):
@@ -93,8 +102,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
             new = np.zeros(len(common), np.int64)
             new[first] = 1
             withstood = np.arange(1, len(common) + 1) - np.cumsum(new)
-            stop = min(int(np.searchsorted(withstood, needed)) + 1, len(common))
-            last = max(last, needed - int(withstood[stop - 1]))
+            stop = int(np.searchsorted(withstood, needed)) + 1
             order = np.argsort(of[:stop], kind="stable")
             token, kind = common[:stop][order], of[:stop][order]
             # All pairs inside a sub-class: neighbours at distance 1, 2, ... of the sorted list.
@@ -103,25 +111,26 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
                 if not same.any():
                     break
                 out.append(mix(token[:-step][same] * np.uint64(3) + mix(token[step:][same] + np.uint64(band))))
-    out.append(rest[:last])
     return np.concatenate(out), False
 
 
-def _count_low(ranges: int):
-    """Tokens of the counted range with their document counts, packed per hash range."""
-    width = int(_CUT) // ranges + 1
+def _count_tokens(ranges: int, shift: int):
+    """Leading bits of tokens with their document counts, packed in 4 bytes per hash range."""
+    width = -(-(1 << (64 - shift)) // ranges)
 
     def flush(held: list[np.ndarray]) -> pa.RecordBatch:
-        tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-        at = np.searchsorted(tokens // np.uint64(width), np.arange(ranges + 1, dtype=np.uint64))
+        leading, counts = np.unique(np.concatenate(held) >> np.uint64(shift), return_counts=True)
+        of = leading // np.uint64(width)
+        packed = (leading - of * np.uint64(width)).astype(np.uint32)
+        at = np.searchsorted(of, np.arange(ranges + 1, dtype=np.uint64))
         rows = [(r, a, b) for r, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())) if b > a]
         one = counts == 1
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([r for r, _, _ in rows], pa.int32()),
-                pa.array([tokens[a:b][one[a:b]].tobytes() for _, a, b in rows], pa.binary()),
-                pa.array([tokens[a:b][~one[a:b]].tobytes() for _, a, b in rows], pa.binary()),
-                pa.array([counts[a:b][~one[a:b]].astype(np.int64).tobytes() for _, a, b in rows], pa.binary()),
+                pa.array([packed[a:b][one[a:b]].tobytes() for _, a, b in rows], pa.binary()),
+                pa.array([packed[a:b][~one[a:b]].tobytes() for _, a, b in rows], pa.binary()),
+                pa.array([counts[a:b][~one[a:b]].astype(np.int32).tobytes() for _, a, b in rows], pa.binary()),
             ],
             names=["range", "once", "more", "times"],
         )
@@ -130,9 +139,8 @@ def _count_low(ranges: int):
         held, size = [], 0
         for _, raw, at in text_blocks(batches):
             for tokens in shingle_lists(raw, at):
-                low = tokens[: np.searchsorted(tokens, _CUT)]
-                held.append(low)
-                size += len(low)
+                held.append(tokens)
+                size += len(tokens)
             if size > _FLUSH:
                 yield flush(held)
                 held, size = [], 0
@@ -147,36 +155,100 @@ def _merge_counts(least: int, most: int):
         def joined(column: str, kind: type) -> np.ndarray:
             return np.concatenate([np.frombuffer(x, kind) for x in rows[column]])
 
-        once, again = np.unique(joined("once", np.uint64), return_counts=True)
-        tokens = np.concatenate([once, joined("more", np.uint64)])
-        tokens, which = np.unique(tokens, return_inverse=True)
-        counts = np.bincount(which, np.concatenate([again, joined("times", np.int64)]), len(tokens))
+        once, again = np.unique(joined("once", np.uint32), return_counts=True)
+        tokens, which = np.unique(np.concatenate([once, joined("more", np.uint32)]), return_inverse=True)
+        counts = np.bincount(which, np.concatenate([again, joined("times", np.int32)]), len(tokens))
         keep = np.flatnonzero(counts >= least)
         if len(keep) > most:
             keep = keep[np.argsort(-counts[keep], kind="stable")[:most]]
-        return pd.DataFrame({"tokens": [tokens[keep].tobytes()]})
+        return pd.DataFrame({"range": rows["range"].iloc[:1], "tokens": [tokens[keep].tobytes()]})
 
     return merge
 
 
-def frequent_tokens(
-    texts: DataFrame, least: int = FREQUENT, most: int = MAX_FREQUENT
-) -> np.ndarray:
-    """Ascending tokens of the counted range that ``least`` documents or more hold, at most ``most``."""
+def frequent_tokens(texts: DataFrame, least: int = FREQUENT, most: int = MAX_FREQUENT) -> Frequent:
+    """Tokens that ``least`` documents or more hold, at most ``most``: the commonest of each hash range."""
     ranges = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = texts.mapInArrow(_count_low(ranges), "range int, once binary, more binary, times binary")
+    shift = 32 - (ranges.bit_length() - 1)
+    width = -(-(1 << (64 - shift)) // ranges)
+    counted = texts.mapInArrow(_count_tokens(ranges, shift), "range int, once binary, more binary, times binary")
     # Each hash range returns its share of the bound; the driver holds at most 8 * most bytes.
     share = -(-most // ranges)
-    found = counted.groupBy("range").applyInPandas(_merge_counts(least, share), "tokens binary").collect()
-    parts = [np.frombuffer(r[0], np.uint64) for r in found]
-    return np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    found = counted.groupBy("range").applyInPandas(_merge_counts(least, share), "range int, tokens binary").collect()
+    parts = [np.frombuffer(r[1], np.uint32).astype(np.uint64) + np.uint64(r[0] * width) for r in found]
+    return Frequent(np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64), shift)
+
+
+def bit_map(tokens: np.ndarray) -> np.ndarray:
+    """Which of the ``MAP_BITS`` places, told by their trailing bits, the tokens take; packed in bytes."""
+    places = np.zeros(MAP_BITS, bool)
+    places[(tokens & np.uint64(MAP_BITS - 1)).astype(np.int64)] = True
+    return np.packbits(places)
+
+
+def _compare_blocks(percent: int):
+    """Pairs across components and across two blocks of a cluster that the bit maps cannot rule out.
+
+    A place that only one set takes holds a token the other lacks. More such places than the threshold
+    allows misses rule a pair out. A document without a map is never ruled out.
+    """
+
+    def places(part: pd.DataFrame) -> np.ndarray:
+        none = bytes(MAP_BITS // 8)
+        packed = b"".join(none if x is None else x for x in part["bits"])
+        maps = np.frombuffer(packed, np.uint8).reshape(len(part), MAP_BITS // 8)
+        return np.unpackbits(maps, axis=1).astype(np.float32)
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(rows["_i"].iloc[0]), int(rows["_j"].iloc[0])
+        left, right = rows[rows["_own"] == i], rows[rows["_own"] == j]
+        one, two = places(left), places(right)
+        both = one @ two.T
+        n, m = left["n"].to_numpy(np.int64)[:, None], right["n"].to_numpy(np.int64)[None]
+        needed = -(-percent * (n + m) // (100 + percent))
+        open_ = (one.sum(axis=1)[:, None] - both <= n - needed) & (two.sum(axis=1)[None] - both <= m - needed)
+        open_ &= (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
+        open_ &= left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None]
+        a, b = left["doc"].to_numpy(np.int64), right["doc"].to_numpy(np.int64)
+        if i == j:
+            open_ &= a[:, None] < b[None]
+        x, y = np.nonzero(open_)
+        return pd.DataFrame({"a": np.minimum(a[x], b[y]), "b": np.maximum(a[x], b[y])})
+
+    return compare
+
+
+def _hot_pairs(hot: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Pairs to verify of documents that meet under hot signatures: clusters, compared block by block."""
+    lead = hot.groupBy("sig").agg(F.min("doc").alias("a"))
+    members = hot.select("doc", "component").distinct()
+    cluster = materialized(connected_components(hot.join(lead, "sig").select("a", F.col("doc").alias("b"))))
+    blocks = cluster.groupBy("component").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_DOCS)).cast("int").alias("_blocks")
+    )
+    blocks = cluster.join(blocks, "component").select(
+        F.col("node").alias("doc"), F.col("component").alias("_cluster"), "_blocks"
+    )
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("_blocks") - 1),
+        lambda k: F.struct(F.least("_own", k).alias("_i"), F.greatest("_own", k).alias("_j")),
+    )
+    return (
+        members.join(blocks, "doc")
+        .join(facts.select("doc", "n", "bits").dropDuplicates(["doc"]), "doc")
+        .withColumn("_own", F.pmod(F.xxhash64("doc", F.lit("block")), F.col("_blocks")).cast("int"))
+        .withColumn("_pair", F.explode(pairs))
+        .select("_cluster", "_pair._i", "_pair._j", "_own", "doc", "component", "n", "bits")
+        .groupBy("_cluster", "_i", "_j")
+        .applyInPandas(_compare_blocks(percent), "a long, b long")
+    )
 
 
 def _index_sets(frequent, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = frequent.value
         for rows, raw, at in text_blocks(batches):
-            n, one, two, last, rare, flat = [], [], [], [], [], []
+            n, one, two, last, rare, bits, flat = [], [], [], [], [], [], []
             for tokens in shingle_lists(raw, at):
                 sigs, only_rare = signatures(tokens, often, percent)
                 n.append(len(tokens))
@@ -184,6 +256,7 @@ def _index_sets(frequent, percent: int):
                 two.append(int(np.add.reduce(mix(tokens ^ np.uint64(0x5851F42D4C957F2D)))))
                 last.append(int(sigs[-1] >> np.uint64(1)) if len(sigs) and only_rare else 0)
                 rare.append(only_rare)
+                bits.append(None if only_rare else bit_map(tokens).tobytes())
                 flat.append(sigs)
             lengths = np.zeros(len(flat) + 1, np.int32)
             np.cumsum([len(s) for s in flat], out=lengths[1:])
@@ -195,9 +268,10 @@ def _index_sets(frequent, percent: int):
                     pa.array(signed(np.array(two, np.uint64))),
                     pa.array(rare, pa.bool_()),
                     pa.array(last, pa.int64()),
+                    pa.array(bits, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(lengths), pa.array(signed(np.concatenate(flat)))),
                 ],
-                names=["doc", "n", "one", "two", "rare", "last", "sigs"],
+                names=["doc", "n", "one", "two", "rare", "last", "bits", "sigs"],
             )
 
     return run
@@ -296,7 +370,7 @@ def jaccard_components(
     """
     texts = documents.select(F.col(id_column).cast("long").alias("doc"), F.col(text).alias("text"))
     often = texts.sparkSession.sparkContext.broadcast(frequent_tokens(texts, frequent))
-    schema = "doc long, n long, one long, two long, rare boolean, last long, sigs array<long>"
+    schema = "doc long, n long, one long, two long, rare boolean, last long, bits binary, sigs array<long>"
     sets = materialized(texts.mapInArrow(_index_sets(often, percent), schema))
     filled = sets.filter((F.col("n") > 0) & F.col("doc").isNotNull())
     classes = materialized(filled.groupBy("one", "two", "n").agg(F.min("doc").alias("rep")))
@@ -350,9 +424,13 @@ def jaccard_components(
         mixed = _across(shared, found)
 
     # Then all pairs that meet across components.
-    other = mixed.select("sig", F.col("doc").alias("b"), F.col("component").alias("_other"))
+    sizes = mixed.groupBy("sig").agg(F.count(F.lit(1)).alias("_docs"))
+    mixed = materialized(mixed.join(sizes, "sig"))
+    hot = _hot_pairs(mixed.filter(F.col("_docs") > HOT), filled, percent)
+    cold = mixed.filter(F.col("_docs") <= HOT).drop("_docs")
+    other = cold.select("sig", F.col("doc").alias("b"), F.col("component").alias("_other"))
     across = (
-        mixed.withColumnRenamed("doc", "a")
+        cold.withColumnRenamed("doc", "a")
         .join(other, "sig")
         .filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("_other")))
         .groupBy("a", "b")
@@ -374,7 +452,8 @@ def jaccard_components(
         .when(F.col("last_b") < F.col("last_a"), misses("b"))
         .otherwise(misses("a") & misses("b"))
     )
-    second = verified(sized(across).filter(~out).select("a", "b"), texts, percent)
+    to_check = sized(across).filter(~out).select("a", "b").union(hot).distinct()
+    second = verified(to_check, texts, percent)
     links = links.union(materialized(second))
     # Rows of one id but different texts are tied through the classes they are in.
     tied = filled.join(classes, ["one", "two", "n"]).filter(F.col("doc") != F.col("rep"))
