@@ -32,6 +32,7 @@ def test_dates(spark):
 
 def test_whole_numbers(spark):
     assert values(spark, coerce.coerced_long("v"), ["12.0", "x", "", None, " 7 "]) == [12, None, None, None, 7]
+    assert values(spark, coerce.coerced_long("v"), ["9007199254740993", "-5"]) == [9007199254740993, -5]
     with pytest.raises(Exception, match="not a whole number"):
         values(spark, coerce.coerced_long("v"), ["12.5"])
 

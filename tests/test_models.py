@@ -71,6 +71,38 @@ def test_expanding_folds(spark):
     assert [a for a, _ in sizes] == pytest.approx([100, 200, 300], abs=2)
 
 
+def test_expanding_folds_of_few_days(spark):
+    rows = spark.createDataFrame([(date(2020, 1, 1 + k % 2),) for k in range(10)], "d date")
+    with pytest.raises(ValueError, match="different days"):
+        split.expanding_folds(rows, "d", 3)
+    # One day holds nearly all rows: the folds are still there, and no part is empty.
+    crowded = spark.createDataFrame([(date(2020, 1, 1 + min(k, 4)),) for k in range(40)], "d date")
+    folds = split.expanding_folds(crowded, "d", 3)
+    assert len(folds) == 3
+    assert all(p.count() for f in folds for p in split.fold_parts(crowded, "d", *f))
+
+
+def test_codes_of_unseen_texts(spark):
+    old = spark.createDataFrame([("DE", "x"), ("US", None)], "a string, b string")
+    new = spark.createDataFrame([("AT", None), ("US", "y"), (None, "x")], "a string, b string")
+    codes = split.fit_codes(old, ["a", "b"])
+    got = sorted(tuple(r) for r in split.apply_codes(new, codes, ["a", "b"]).select("a_encoded", "b_encoded").collect())
+    assert got == [(-1, 0), (-1, 1), (1, -1)]
+
+
+def test_crosstab_counts_unlisted_values(spark):
+    rows = spark.createDataFrame([("g", v) for v in "abcc"] + [("g", None)], "g string, v string")
+    r = profile.crosstab_rate(rows, "g", "v", ["a", "b"], "a").first()
+    assert (r["a"], r["b"], r["other"], r["rate"]) == (1, 1, 2, 0.25)
+
+
+def test_repeated_keys_do_not_multiply(spark):
+    scores = spark.createDataFrame([(1, 0.2), (1, 0.4), (2, 0.5)], "k int, s double")
+    outcomes = spark.createDataFrame([(1, date(2020, 1, 5), 1), (1, date(2020, 1, 9), 0), (2, date(2020, 1, 7), 0)], "k int, d date, y int")
+    r = monitor.predicted_vs_actual(scores, outcomes, "k", "d", "s", "y").first()
+    assert r["n"] == 3 and r["predicted"] == pytest.approx((0.3 + 0.3 + 0.5) / 3) and r["actual"] == pytest.approx(1 / 3)
+
+
 def test_gates(spark):
     rows = spark.createDataFrame(
         [(1, date(2020, 1, 1), 0, 0, 0), (1, date(2025, 1, 1), 1, 1, 0)],
@@ -164,6 +196,17 @@ def test_tree_contributions_add_up(spark, rows, trees, tmp_path):
     assert {r["case"] for r in cases.collect()} >= {"true_positive"}
 
 
+def test_contributions_of_repeated_ids_stay_in_their_rows(spark, rows, trees, tmp_path):
+    twice = rows.unionByName(rows.withColumn("x", F.col("x") + 3))
+    found = explain.tree_contributions(trees, twice, NAMES, "inspection_id", str(tmp_path / "m"))
+    total = F.aggregate("contributions", F.lit(explain.base_margin(trees)), lambda a, x: a + x)
+    off = found.select(F.max(F.abs(total - F.col("margin"))), F.count("*")).first()
+    assert off[0] < 1e-9 and off[1] == 2400
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    rows_part = plan.split("Subquery")[0]
+    assert "Exchange" not in rows_part and "Generate" not in rows_part
+
+
 def test_single_leaf_trees_keep_their_rows(spark, rows, tmp_path):
     flat = rows.withColumns({c: F.lit(1.0) for c in NAMES})
     model = train.fit_boosted_trees(flat, NAMES, trees=2, depth=2)
@@ -212,13 +255,55 @@ def test_search_is_repeatable_and_sorted(spark, rows):
 def test_champion_is_replaced_only_by_a_better_one(spark, rows, tmp_path):
     registry = str(tmp_path / "registry")
     metric = {"roc_auc": 0.8, "pr_auc": 0.4}
-    args = (date(2024, 1, 1), metric, NAMES, {"c": ["a"]})
+    args = (date(2024, 1, 1), metric, NAMES, ["c"], "codes")
     assert train.champion(spark, registry) is None
     assert train.register_challenger(spark, registry, "v1", "p1", *args)
     assert not train.register_challenger(spark, registry, "v2", "p2", *args)  # not better
     better = (date(2024, 2, 1), metric | {"pr_auc": 0.5}, NAMES)
     assert train.register_challenger(spark, registry, "v3", "p3", *better)
     assert train.champion(spark, registry)["version"] == "v3"
+    # On one date the order of registration counts, not the text of the version.
+    for version, value in (("v9", 0.6), ("v10", 0.7)):
+        assert train.register_challenger(spark, registry, version, "p", date(2024, 2, 1), metric | {"pr_auc": value}, NAMES)
+    assert train.champion(spark, registry)["version"] == "v10"
+    assert not train.register_challenger(spark, registry, "v11", "p", date(2024, 2, 1), metric | {"pr_auc": 0.65}, NAMES)
+    with pytest.raises(ValueError, match="v9"):
+        train.register_challenger(spark, registry, "v9", "p", date(2024, 3, 1), metric, NAMES)
+    unknown = {"roc_auc": None, "pr_auc": None}
+    assert not train.register_challenger(spark, registry, "v12", "p", date(2024, 3, 1), unknown, NAMES)
+    assert train.champion(spark, registry)["version"] == "v10"
+
+
+def test_retrain_stores_codes_and_scores_from_the_registry(spark, rows, tmp_path):
+    coded = rows.withColumns({"country": F.when(F.col("x") > 5, "DE").otherwise("US"), "product_type": F.lit("p")})
+    options = {"categories": ["country"], "trees": 3, "depth": 2}
+    assert retrain.retrain(coded, NAMES, str(tmp_path), "v1", date(2024, 1, 1), **options)
+    with pytest.raises(ValueError, match="v1"):
+        retrain.retrain(coded, NAMES, str(tmp_path), "v1", date(2024, 2, 1), **options)
+    with pytest.raises(quality.GateFailed, match="n_features"):
+        retrain.retrain(coded, NAMES, str(tmp_path), "v2", date(2024, 2, 1), floor={"roc_auc": 0.1}, **options)
+    assert train.registry_table(spark, f"{tmp_path}/registry").count() == 1
+    # A country that was not fitted sorts before the others; theirs keep their codes.
+    more = coded.withColumn("country", F.when(F.col("fei_number") < 20, "AT").otherwise(F.col("country")))
+    out = scoring.score_champion(more, str(tmp_path), audit={"threshold": 0.5})
+    assert out.count() == 200
+    assert {"model_version", "trained_on", "n_features", "threshold"} <= set(out.columns)
+    codes = spark.read.parquet(f"{tmp_path}/v1-codes").collect()
+    assert {(r["column"], r["text"]): r["code"] for r in codes} == {("country", "DE"): 0, ("country", "US"): 1}
+    with pytest.raises(ValueError, match="no champion"):
+        scoring.score_champion(more, str(tmp_path / "none"))
+
+
+def test_one_class_in_the_newest_year_never_promotes(spark, rows, tmp_path):
+    newest = F.year("inspection_date") == 2023
+    flat = rows.withColumn("target_oai", F.when(newest, 0).otherwise(F.col("target_oai")))
+    assert not retrain.retrain(flat, NAMES, str(tmp_path), "v1", date(2024, 1, 1), trees=2, depth=2)
+
+
+def test_default_draws_split_and_refit(spark, rows):
+    trials = train.random_search(rows, NAMES, draws=[d | {"trees": 2} for d in train.random_draws(3)], folds=2, stop_early=True)
+    best = train.fit_best(rows, NAMES, trials)
+    assert all(t.numNodes > 1 for t in train.tree_model(best).trees)
 
 
 def test_retrain_writes_a_loadable_model(spark, rows, tmp_path):

@@ -21,7 +21,7 @@ def test_matches_sql(spark, sf_dir, con, name):
     assert differences(QUERIES[name](spark, sf_dir), con, SQL[name]) == []
 
 
-@pytest.mark.parametrize("name", ["train_logreg", "search", "champion"])
+@pytest.mark.parametrize("name", ["train_logreg", "train_gbt", "champion_scores", "top_drivers"])
 def test_model_queries_give_rows(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 

@@ -4,6 +4,7 @@ import json
 from datetime import date
 
 import pytest
+from vetrail.operators import quality
 from vetrail.plans import feature_pipeline, scoring
 from vetrail.sources import readers, schemas, sinks
 
@@ -141,3 +142,39 @@ def test_pipeline_from_files(spark, tmp_path, raw):
     assert (r["n_prior_oai"], r["total_prior_citations"], r["n_warning_letters"]) == (1, 2, 1)
     assert (r["n_recalls"], r["n_class_II_recalls"], r["n_published_483s"]) == (1, 1, 1)
     assert r["days_since_last_wl"] == 215
+
+
+def test_pipeline_builds_and_writes_the_mapping(spark, tmp_path, raw):
+    stored = str(tmp_path / "mapping")
+    out = feature_pipeline.run(
+        spark, raw["inspections"], raw["citations"], raw["letters"], raw["recalls"], raw["forms"],
+        stored, str(tmp_path / "features"), match=True,
+    )
+    assert readers.read_mapping(spark, stored).count() == 2
+    assert out.filter("inspection_id = 2").first()["n_warning_letters"] == 1
+
+
+@pytest.mark.parametrize(
+    ("gate", "limits"),
+    [("letters_rows", {"letters": 10**6}), ("recalls_rows", {"recalls": 10**6}), ("rows", {"rows": 10**6}),
+     ("target_rate", {"rate_limits": (0.9, 1.0)})],
+)
+def test_gates_stop_the_pipeline(spark, tmp_path, raw, gate, limits):
+    open_ = {"cut_year": 2020, "letters": 0, "recalls": 0, "rows": 0, "rate_limits": (0.0, 1.0)}
+    with pytest.raises(quality.GateFailed, match=gate):
+        feature_pipeline.run(
+            spark, raw["inspections"], raw["citations"], raw["letters"], raw["recalls"], raw["forms"],
+            str(tmp_path / "mapping"), str(tmp_path / "features"), match=True,
+            gates=feature_pipeline.Gates(**(open_ | limits)),
+        )
+    assert not (tmp_path / "features").exists()
+
+
+def test_documents_become_lines(spark, tmp_path):
+    folder = tmp_path / "documents"
+    folder.mkdir()
+    write(folder / "a.json", {"meta": 1, "results": [{"recalling_firm": "A", "x": "1"}, {"recalling_firm": "B"}]})
+    write(folder / "b.json", {"results": []})
+    readers.document_to_lines(spark, str(folder), str(tmp_path / "lines"))
+    rows = readers.read_recalls(spark, {"s": str(tmp_path / "lines")}, ["recalling_firm", "status"], lines=True)
+    assert sorted(r["recalling_firm"] for r in rows.collect()) == ["A", "B"]

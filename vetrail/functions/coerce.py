@@ -39,12 +39,18 @@ def coerced_date(c: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
 
 
 def coerced_long(c: Column | str) -> Column:
-    """Text to whole number: unreadable text is null, a fraction raises."""
-    number = F.trim(_col(c).cast("string")).try_cast("double")
+    """Text to whole number: unreadable text is null, a fraction raises.
+
+    Digits alone are read as they are; only texts such as "12.0" go through a double.
+    """
+    text = F.trim(_col(c).cast("string"))
+    exact = F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint"))
+    number = text.try_cast("double")
     whole = F.floor(number)
     fraction = F.raise_error(F.concat(F.lit("not a whole number: "), number.cast("string")))
     return (
-        F.when(number.isNull() | F.isnan(number), F.lit(None).cast("bigint"))
+        F.when(exact.isNotNull(), exact)
+        .when(number.isNull() | F.isnan(number), F.lit(None).cast("bigint"))
         .when(number == whole, whole.cast("bigint"))
         .otherwise(fraction.cast("bigint"))
     )

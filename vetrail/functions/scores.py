@@ -61,6 +61,7 @@ def percent_text(value: Column, digits: int = 1) -> Column:
 
 
 def driver_text(feature: Column, value: Column, impact: Column) -> Column:
-    """One risk driver as text: arrow, feature, value, signed impact."""
+    """One risk driver as text: arrow, feature, value, signed impact (halves away from 0)."""
+    impact = F.round(impact, 9)
     arrow = F.when(impact > 0, "↑").otherwise("↓")
     return F.format_string("%s %s = %.0f (impact: %+.3f)", arrow, feature, value, impact)

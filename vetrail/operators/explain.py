@@ -5,7 +5,7 @@ Contributions of a row stay together in one array next to it, so per-row ranking
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -16,6 +16,11 @@ from vetrail.functions.scores import driver_text, percent_text
 from vetrail.operators.profile import ranked
 from vetrail.operators.score import with_absent_as_zero
 from vetrail.operators.train import tree_model
+from vetrail.session import materialized
+
+
+#: Leaves x features of a model that is told to every task: 64 MB of doubles.
+MAX_LEAF_VALUES = 8_000_000
 
 
 def _inputs(rows: DataFrame, key: str, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -37,12 +42,12 @@ def leaf_contributions(
     """
     trees = tree_model(model)
     trees.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    nodes = materialized(spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*"))
     names = ["id", "prediction", "leftChild", "rightChild", "feature"]
     spots = nodes.withColumn("feature", F.col("split.featureIndex")).select("treeID", *names)
     level = spots.filter("id = 0").withColumn("added", F.array_repeat(F.lit(0.0), n_features))
     leaves = level.filter("leftChild < 0").select("treeID", "id", "added")
-    # One step per tree level; the frames stay as small as the model.
+    # One step per tree level; the frames stay as small as the model, and each level is written once.
     children = spots.withColumnsRenamed({c: f"c_{c}" for c in names})
     for _ in range(trees.getMaxDepth()):
         # Credited before the parent's columns are replaced by the child's.
@@ -50,7 +55,7 @@ def leaf_contributions(
         credited = F.transform(
             "added", lambda x, i: F.when(i == F.col("feature"), x + step).otherwise(x)
         )
-        level = (
+        level = materialized(
             level.filter("leftChild >= 0")
             .withColumn("c_id", F.explode(F.array("leftChild", "rightChild")))
             .join(F.broadcast(children), ["treeID", "c_id"])
@@ -94,36 +99,42 @@ def tree_contributions(
     """Contributions of boosted trees in margin space: ``contributions`` sum to margin - base.
 
     Adds ``margin``, ``risk_score`` and the arrays ``contributions`` and ``values`` in feature
-    order. ``key`` must tell the rows apart.
+    order. The model's leaves come as one nested array, and a row's leaf numbers are folded over it
+    inside the row: no row is multiplied or shuffled, and ``key`` may repeat. A model of more than
+    ``MAX_LEAF_VALUES`` (leaves x features) is refused, as every task holds that array.
     """
     spark = rows.sparkSession
     leaves = leaf_contributions(spark, model, len(features), path)
     trees = tree_model(model)
+    size = (trees.totalNumNodes + len(trees.trees)) // 2 * len(features)
+    if size > MAX_LEAF_VALUES:
+        raise ValueError(f"{size} leaf values; at most {MAX_LEAF_VALUES} are told to every task")
     assembler = model.stages[0]
     found = trees.copy({trees.leafCol: "_leaves"}).transform(
         assembler.transform(_inputs(rows, key, features, keep))
     )
-    facts = found.select(
+    # A single row: [tree][leaf][feature].
+    per_tree = leaves.groupBy("_tree").agg(
+        F.array_sort(F.collect_list(F.struct("_leaf", "_added"))).alias("found")
+    )
+    nested = per_tree.agg(
+        F.array_sort(
+            F.collect_list(F.struct("_tree", F.transform("found", lambda x: x["_added"]).alias("added")))
+        ).alias("trees")
+    ).select(F.transform("trees", lambda x: x["added"]).alias("trees"))
+    reached = F.zip_with(
+        vector_to_array("_leaves"), "_trees", lambda at, tree: F.get(tree, at.cast("int"))
+    )
+    zeros = F.array_repeat(F.lit(0.0), len(features))
+    return found.withColumn("_trees", nested.scalar()).select(
         key,
         *keep,
         vector_to_array("rawPrediction")[1].alias("margin"),
         vector_to_array("probability")[1].alias("risk_score"),
         F.col("_values").alias("values"),
-        F.posexplode(vector_to_array("_leaves")).alias("_tree", "_at"),
-    ).withColumn("_leaf", F.col("_at").cast("int"))
-    # All rows of a key come from one input row, so the partial sums meet before the shuffle.
-    firsts = [c for c in (*keep, "margin", "risk_score", "values")]
-    return (
-        facts.join(F.broadcast(leaves), ["_tree", "_leaf"])
-        .groupBy(key)
-        .agg(
-            *[F.first(c).alias(c) for c in firsts],
-            *[F.sum(F.col("_added")[i]).alias(f"_c{i}") for i in range(len(features))],
-        )
-        .select(
-            key, *firsts,
-            F.array(*[F.col(f"_c{i}") for i in range(len(features))]).alias("contributions"),
-        )
+        F.aggregate(
+            reached, zeros, lambda total, one: F.zip_with(total, one, lambda a, b: a + b)
+        ).alias("contributions"),
     )
 
 
@@ -149,6 +160,28 @@ def linear_contributions(
     )
 
 
+def rule_contributions(
+    rows: DataFrame,
+    weights: Mapping[str, float],
+    base: float,
+    key: str,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Contributions of a given linear rule: weight times the distance from the column's mean."""
+    features = list(weights)
+    prepared = _inputs(rows, key, features, keep)
+    means = prepared.agg(F.array(*[F.avg(c) for c in features]).alias("means")).scalar()
+    given = F.array(*[F.lit(float(weights[c])) for c in features])
+    apart = F.zip_with("_values", "_means", lambda x, m: x - m)
+    parts = prepared.withColumn("_means", means).withColumn(
+        "contributions", F.zip_with(apart, given, lambda x, w: x * w)
+    )
+    margin = F.aggregate("contributions", F.lit(float(base)), lambda total, x: total + x)
+    return parts.select(
+        key, *keep, margin.alias("margin"), F.col("_values").alias("values"), "contributions"
+    ).withColumn("risk_score", 1 / (1 + F.exp(-F.col("margin"))))
+
+
 def _long(explained: DataFrame, features: Sequence[str], *keep: str) -> DataFrame:
     names = F.array(*[F.lit(f) for f in features])
     return explained.select(

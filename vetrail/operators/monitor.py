@@ -27,8 +27,12 @@ def score_drift(
 def predicted_vs_actual(
     scores: DataFrame, outcomes: DataFrame, key: str, date: str, score: str, target: str
 ) -> DataFrame:
-    """Mean predicted score and actual rate per month, for scores whose outcome is known."""
-    known = scores.select(key, score).join(outcomes.select(key, date, target), key)
+    """Mean predicted score and actual rate per month, for outcomes that have a score.
+
+    Outcomes whose key repeats are rows of their own; a key scored several times has its mean score.
+    """
+    one = scores.groupBy(key).agg(F.avg(score).alias(score))
+    known = one.join(outcomes.select(key, date, target), key)
     return (
         known.groupBy(F.date_trunc("month", date).cast("date").alias("month"))
         .agg(

@@ -17,24 +17,37 @@ def value_counts(rows: DataFrame, column: str, top: int | None = None) -> DataFr
 
 def value_shares(rows: DataFrame, column: str) -> DataFrame:
     """Share of each value among the rows that have one."""
-    present = rows.filter(F.col(column).isNotNull())
-    counts = present.groupBy(column).agg(F.count("*").alias("n"))
-    total = present.agg(F.count("*")).scalar()
+    counts = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    # The total of the counts, not of the rows: the exchange is used again.
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share", F.col("n") / total).orderBy(F.desc("n"), column)
 
 
-def crosstab(rows: DataFrame, group: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Rows per group and value, one column per value, 0 where there are none."""
+def crosstab(
+    rows: DataFrame, group: str, column: str, values: Sequence[str], other: str = "other"
+) -> DataFrame:
+    """Rows per group and value, one column per value, 0 where there are none.
+
+    Values that are not listed are counted in the column ``other``.
+    """
     present = rows.filter(F.col(group).isNotNull() & F.col(column).isNotNull())
-    return present.groupBy(group).pivot(column, list(values)).count().na.fill(0)
+    return present.groupBy(group).agg(
+        *[F.count_if(F.col(column) == v).alias(v) for v in values],
+        F.count_if(~F.col(column).isin(list(values))).alias(other),
+    )
 
 
 def crosstab_rate(
-    rows: DataFrame, group: str, column: str, values: Sequence[str], rated: str
+    rows: DataFrame,
+    group: str,
+    column: str,
+    values: Sequence[str],
+    rated: str,
+    other: str = "other",
 ) -> DataFrame:
-    """Cross table with the rated value's part of the row total, highest first."""
-    total = sum((F.col(v) for v in values[1:]), F.col(values[0]))
-    table = crosstab(rows, group, column, values)
+    """Cross table with the rated value's part of all rows of the group, highest first."""
+    total = sum((F.col(v) for v in values), F.col(other))
+    table = crosstab(rows, group, column, values, other)
     return table.withColumn(
         "rate", F.coalesce(F.try_divide(F.col(rated), total), F.lit(0.0))
     ).orderBy(F.desc("rate"), group)

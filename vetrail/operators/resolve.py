@@ -36,7 +36,8 @@ def name_vectors(names: DataFrame, name: str, weight: str) -> DataFrame:
     """
     # Names are small but costly to cut, so they are spread by number and not by size. Being
     # clustered by name, they are counted per (name, gram) without a further shuffle.
-    n = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = names.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    n = int(n) if n.isdigit() else names.sparkSession.sparkContext.defaultParallelism
     spread = names.select(name, weight).repartition(n, name)
     terms = (
         spread.select(name, weight, F.explode(char_grams(name)).alias("gram"))
@@ -101,21 +102,25 @@ def _candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFram
 
 
 def _with_cosine(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Exact cosine of candidate pairs, from the parts of the grams they share."""
+    """Exact cosine of candidate pairs: both vectors are joined to the pair and multiplied in the row."""
 
-    def terms(side: str) -> DataFrame:
+    def side(s: str) -> DataFrame:
         return vectors.select(
-            F.col("name").alias(f"{side}_name"),
-            F.inline(
-                F.arrays_zip(F.col("grams").alias("gram"), F.col("parts").alias(f"{side}_part"))
-            ),
+            F.col("name").alias(f"{s}_name"), F.col("grams").alias(f"{s}_grams"), F.col("parts").alias(f"{s}_parts")
         )
 
+    shared = F.array_intersect("s_grams", "t_grams")
+    of_s, of_t = F.map_from_arrays("s_grams", "s_parts"), F.map_from_arrays("t_grams", "t_parts")
+    dot = F.aggregate(
+        F.transform("_shared", lambda g: F.element_at("_of_s", g) * F.element_at("_of_t", g)),
+        F.lit(0.0),
+        lambda total, x: total + x,
+    )
     return (
-        pairs.join(terms("s"), "s_name")
-        .join(terms("t"), ["t_name", "gram"])
-        .groupBy("s_name", "t_name")
-        .agg(F.sum(F.col("s_part") * F.col("t_part")).alias("cosine"))
+        pairs.join(side("s"), "s_name")
+        .join(side("t"), "t_name")
+        .select("s_name", "t_name", shared.alias("_shared"), of_s.alias("_of_s"), of_t.alias("_of_t"))
+        .select("s_name", "t_name", dot.alias("cosine"))
     )
 
 
@@ -215,8 +220,7 @@ def match_names(
     Locations count only if both sides have them. A target of lower rank is never tried.
     """
     located = source_location is not None and target_location is not None
-    carry = (target_location,) if located else ()
-    renamed = targets
+    carry, renamed = (), targets
     if located:
         renamed = targets.withColumn("_target_location", F.col(target_location))
         carry = ("_target_location",)

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vetrail.functions.coerce import text_or_nan
-from vetrail.operators.ordered import broadcast_if_small, text_codes
+from vetrail.operators.ordered import broadcast_if_small, running_totals
+from vetrail.session import materialized
 
 # Identity columns, categories, and features that trees do not need.
 NOT_FEATURES = ["inspection_id", "fei_number", "inspection_date", "target_oai", "year"]
@@ -69,11 +70,22 @@ def expanding_folds(rows: DataFrame, date: str, folds: int = 3) -> list[tuple[Da
     """Cut dates of expanding time-series folds.
 
     Fold i trains on rows before its first date and validates from there up to its second date
-    (open for the last fold). Cuts are date quantiles; whole days stay together.
+    (open for the last fold). Whole days stay together: a cut is the first day with at least i/(folds + 1)
+    of the rows before it, moved on where days are too few for that. Fewer days than ``folds + 1`` raise.
     """
-    shares = [i / (folds + 1) for i in range(1, folds + 1)]
-    days = rows.agg(F.percentile_approx(F.unix_date(date), shares, 100_000)).first()[0]
-    cuts = [Date.fromordinal(Date(1970, 1, 1).toordinal() + d) for d in sorted(set(days or []))]
+    # One row per calendar day.
+    counts = rows.filter(F.col(date).isNotNull()).groupBy(F.col(date).cast("date").alias("day")).count()
+    days = sorted((r["day"], r["count"]) for r in counts.collect())
+    if len(days) < folds + 1:
+        raise ValueError(f"{folds} folds need {folds + 1} different days; there are {len(days)}")
+    before = [0]
+    for _, n in days:
+        before.append(before[-1] + n)
+    cuts, at = [], 0
+    for i in range(1, folds + 1):
+        wanted = next(k for k, n in enumerate(before) if n * (folds + 1) >= i * before[-1])
+        at = min(max(wanted, at + 1), len(days) - 1 - (folds - i))
+        cuts.append(days[at][0])
     return list(zip(cuts, [*cuts[1:], None]))
 
 
@@ -86,12 +98,40 @@ def fold_parts(
     return train, valid if end is None else valid.filter(F.col(date) < F.lit(end))
 
 
-def label_encode(
-    rows: DataFrame, columns: Sequence[str], suffix: str = "_encoded", max_broadcast: int = 100_000
+#: Code of a category that the fitted codes do not know.
+UNSEEN = -1
+
+
+def fit_codes(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The codes of categories as a written table (column, text, code).
+
+    A code is the 0-based rank of the text among all of its column, missing being ``nan``. One pass over the
+    rows serves all columns.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), text_or_nan(c).alias("text")) for c in columns])
+    texts = rows.select(F.inline(pairs)).distinct().withColumn("_one", F.lit(1))
+    ranked = running_totals(texts, F.col("text").asc(), {"_rank": "_one"}, by=["column"])
+    return materialized(ranked.select("column", "text", (F.col("_rank") - 1).cast("bigint").alias("code")))
+
+
+def apply_codes(
+    rows: DataFrame,
+    codes: DataFrame,
+    columns: Sequence[str],
+    suffix: str = "_encoded",
+    max_broadcast: int = 100_000,
 ) -> DataFrame:
-    """Add the code of each category: its 0-based rank among all values, missing being ``nan``."""
+    """Add the fitted code of each category; texts that were not fitted get ``UNSEEN``."""
     for c in columns:
-        texts = rows.select(text_or_nan(c).alias("_text"))
-        codes = broadcast_if_small(text_codes(texts, "_text", "_text", c + suffix), max_broadcast)
-        rows = rows.withColumn("_text", text_or_nan(c)).join(codes, "_text", "left").drop("_text")
-    return rows
+        own = codes.filter(F.col("column") == c).select(
+            F.col("text").alias("_text"), F.col("code").alias(c + suffix)
+        )
+        rows = rows.withColumn("_text", text_or_nan(c)).join(
+            broadcast_if_small(own, max_broadcast), "_text", "left"
+        ).drop("_text")
+    return rows.na.fill(UNSEEN, [c + suffix for c in columns])
+
+
+def label_encode(rows: DataFrame, columns: Sequence[str], suffix: str = "_encoded") -> DataFrame:
+    """Fit codes on the rows and apply them to the same rows."""
+    return apply_codes(rows, fit_codes(rows, columns), columns, suffix)

@@ -21,7 +21,8 @@ from vetrail.operators.score import with_absent_as_zero
 from vetrail.operators.split import expanding_folds, fold_parts
 from vetrail.session import shared_folder
 
-# Boosting defaults and the ranges of the random search.
+# Boosting defaults and the ranges of the random search. The least gain is on the scale of
+# Spark's variance reduction of 0/1 labels taken as -1 and 1, where 0.01 already stops most splits.
 TREES, DEPTH, RATE = 300, 6, 0.1
 SEARCH_DRAWS, SEARCH_FOLDS = 30, 3
 SEARCH_RANGES = {
@@ -31,7 +32,7 @@ SEARCH_RANGES = {
     "min_rows": (1, 9),
     "subsample": (0.6, 1.0),
     "feature_share": (0.6, 1.0),
-    "min_gain": (0.0, 5.0),
+    "min_gain": (0.0, 0.005),
     "positive_weight": (10.0, 35.0),
 }
 
@@ -162,6 +163,15 @@ def score_rows(
     )
 
 
+def scaled(model: PipelineModel, rows: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+    """The columns of a logistic model as it reads them, as ``<feature>_scaled``."""
+    prepared = _prepared(rows, features, target)
+    for stage in model.stages[:-1]:
+        prepared = stage.transform(prepared)
+    values = vector_to_array("_x")
+    return prepared.select(*[values[i].alias(f"{c}_scaled") for i, c in enumerate(features)])
+
+
 def random_draws(
     n: int = SEARCH_DRAWS, seed: int = 42, ranges: Mapping[str, tuple] = SEARCH_RANGES
 ) -> list[dict]:
@@ -184,23 +194,58 @@ def random_search(
     draws: Sequence[dict] | None = None,
     folds: int = SEARCH_FOLDS,
     parallel: int = 4,
+    stop_early: bool = False,
 ) -> list[dict]:
     """Mean average precision of each draw over expanding time folds, best first.
 
-    The fits are Spark jobs; a few of them are submitted at a time.
+    The fits are Spark jobs; a few of them are submitted at a time. Each fold is prepared once and kept for
+    all draws. With ``stop_early`` a fit stops once the loss on the last fifth of its days no longer improves.
     """
-    parts = [fold_parts(train, date, a, b) for a, b in expanding_folds(train, date, folds)]
+    parts = []
+    for a, b in expanding_folds(train, date, folds):
+        fit_rows, valid_rows = fold_parts(train, date, a, b)
+        watched = None
+        if stop_early:
+            cut = expanding_folds(fit_rows, date, 4)[-1][0]
+            fit_rows, watched = fold_parts(fit_rows, date, cut, None)
+            watched = watched.persist(StorageLevel.MEMORY_AND_DISK)
+        parts.append(
+            (
+                fit_rows.persist(StorageLevel.MEMORY_AND_DISK),
+                watched,
+                valid_rows.persist(StorageLevel.MEMORY_AND_DISK),
+            )
+        )
 
     def trial(draw: dict) -> dict:
         found = []
-        for fit_rows, valid_rows in parts:
-            model = fit_boosted_trees(fit_rows, features, target, **draw)
-            scored = score_rows(model, valid_rows, features)
-            found.append(evaluate(scored, target, "risk_score").first()["pr_auc"])
-        return draw | {"pr_auc": sum(found) / len(found)}
+        for fit_rows, watched, valid_rows in parts:
+            model = fit_boosted_trees(fit_rows, features, target, valid=watched, **draw)
+            scored = score_rows(model, valid_rows, features).withColumn("_y", F.col(target).cast("int"))
+            found.append(evaluate(scored, "_y", "risk_score").first()["pr_auc"])
+        known = [x for x in found if x is not None]
+        return draw | {"pr_auc": sum(known) / len(known) if known else 0.0}
+
+    try:
+        with ThreadPoolExecutor(parallel) as pool:
+            return sorted(pool.map(trial, draws or random_draws()), key=lambda t: -t["pr_auc"])
+    finally:
+        for part in parts:
+            for rows in part:
+                if rows is not None:
+                    rows.unpersist()
+
 
-    with ThreadPoolExecutor(parallel) as pool:
-        return sorted(pool.map(trial, draws or random_draws()), key=lambda t: -t["pr_auc"])
+def fit_best(
+    train: DataFrame,
+    features: Sequence[str],
+    trials: Sequence[dict],
+    target: str = "target_oai",
+    valid: DataFrame | None = None,
+) -> PipelineModel:
+    """Fit the best trial of a search on all training rows: the tuned model of a comparison."""
+    best = {k: v for k, v in trials[0].items() if k != "pr_auc"}
+    return fit_boosted_trees(train, features, target, valid=valid, **best)
 
 
 def feature_importances(
@@ -250,8 +295,8 @@ def ablation(
 # --- persistence and promotion ------------------------------------------------------------------
 
 REGISTRY = (
-    "version string, path string, trained_on date, roc_auc double, pr_auc double, "
-    "features array<string>, label_encoders map<string,array<string>>, promoted boolean"
+    "sequence bigint, version string, path string, trained_on date, roc_auc double, pr_auc double, "
+    "features array<string>, categories array<string>, codes_path string, promoted boolean"
 )
 
 
@@ -270,34 +315,56 @@ def tree_model(model: PipelineModel) -> GBTClassificationModel:
     return model.stages[-1]
 
 
-def champion(spark: SparkSession, registry: str) -> dict | None:
-    """The last promoted entry of a registry table, or None (one row)."""
+def registry_table(spark: SparkSession, registry: str) -> DataFrame | None:
+    """All entries of a registry, or None before the first one."""
     try:
-        table = spark.read.schema(REGISTRY).parquet(registry)
-    except Exception as e:  # the folder does not exist before the first promotion
+        return spark.read.schema(REGISTRY).parquet(registry)
+    except Exception as e:  # the folder does not exist before the first entry
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
-    last = table.filter("promoted").orderBy(F.desc("trained_on"), F.desc("version")).first()
+
+
+def champion(spark: SparkSession, registry: str) -> dict | None:
+    """The promoted entry that was registered last, or None (one row)."""
+    table = registry_table(spark, registry)
+    last = table.filter("promoted").orderBy(F.desc("sequence")).first() if table else None
     return last.asDict() if last else None
 
 
+def refuse_known(spark: SparkSession, registry: str, version: str) -> None:
+    """Raise if a version is registered already: its model must not be replaced."""
+    table = registry_table(spark, registry)
+    if table and table.filter(F.col("version") == version).limit(1).count():
+        raise ValueError(f"version {version} is registered already")
+
+
 def register_challenger(
     spark: SparkSession,
     registry: str,
     version: str,
     path: str,
     trained_on: Date,
-    metrics: Mapping[str, float],
+    metrics: Mapping[str, float | None],
     features: Sequence[str],
-    label_encoders: Mapping[str, Sequence[str]] | None = None,
+    categories: Sequence[str] = (),
+    codes_path: str | None = None,
 ) -> bool:
-    """Append a challenger; it is promoted if there is no champion or its PR-AUC is higher."""
+    """Append a challenger; it is promoted if there is no champion or its PR-AUC is higher.
+
+    Entries are numbered in the order of registration. A version is registered once. Unknown
+    metrics (measured on one class only) never promote.
+    """
+    refuse_known(spark, registry, version)
+    table = registry_table(spark, registry)
+    number = 1 + ((table.agg(F.max("sequence")).first()[0] or 0) if table else 0)
     now = champion(spark, registry)
-    promoted = now is None or metrics["pr_auc"] > now["pr_auc"]
+    roc_auc, pr_auc = (None if metrics[m] is None else float(metrics[m]) for m in ("roc_auc", "pr_auc"))
+    known = roc_auc is not None and pr_auc is not None
+    promoted = known and (now is None or pr_auc > now["pr_auc"])
     row = (
-        version, path, trained_on, float(metrics["roc_auc"]), float(metrics["pr_auc"]),
-        list(features), {k: list(v) for k, v in (label_encoders or {}).items()}, promoted,
+        number, version, path, trained_on, roc_auc, pr_auc, list(features), list(categories),
+        codes_path, promoted,
     )
     spark.createDataFrame([row], REGISTRY).write.mode("append").parquet(registry)
     return promoted

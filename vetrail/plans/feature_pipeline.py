@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from vetrail.columns import EventColumns
-from vetrail.operators import clean, detail, history, resolve
+from vetrail.operators import clean, detail, history, quality, resolve
+from vetrail.session import materialized
 from vetrail.sources import readers, sinks
 
 
@@ -44,6 +46,18 @@ def build_features(
     return history.feature_table(events, side, cols, keys=scoped, **options)
 
 
+@dataclass(frozen=True)
+class Gates:
+    """Limits of the pipeline's gates; ``cut_year`` is the first year of the test part."""
+
+    cut_year: int
+    letters: int = quality.MIN_LETTERS
+    recalls: int = quality.MIN_RECALLS
+    rows: int = quality.MIN_FEATURE_ROWS
+    rate_limits: tuple[float, float] = quality.RATE_LIMITS
+    required: tuple[str, ...] = tuple(quality.REQUIRED_COLUMNS)
+
+
 def run(
     spark: SparkSession,
     inspections: str,
@@ -54,15 +68,36 @@ def run(
     mapping: str,
     output: str,
     kind: str = "csv",
+    gates: Gates | None = None,
+    match: bool = False,
 ) -> DataFrame:
-    """Read the raw files, write the feature table as Parquet, and return it as written."""
+    """Read the raw files, write the feature table as Parquet, and return it as written.
+
+    With ``match`` the mapping is built from the names first and written to ``mapping``, where it is
+    otherwise read. With ``gates`` too few letters or recalls, or a feature table that fails a gate, raise
+    :class:`quality.GateFailed`; the table is then not written.
+    """
+    events = readers.read_inspections(spark, inspections, kind)
+    notes = readers.read_letters(spark, letters)
+    recalled = readers.with_recall_date(readers.read_recalls(spark, recalls))
+    if gates:
+        quality.require(quality.row_gate(notes, "letters", gates.letters))
+        quality.require(quality.row_gate(recalled, "recalls", gates.recalls))
+    if match:
+        found = build_mapping(notes, recalled, events.filter("`FEI Number` is not null"), "recall_initiation_date")
+        sinks.write_parquet(found, mapping)
     features = build_features(
-        readers.read_inspections(spark, inspections, kind),
+        events,
         readers.read_citations(spark, citations, kind),
-        readers.read_letters(spark, letters),
-        readers.with_recall_date(readers.read_recalls(spark, recalls)),
+        notes,
+        recalled,
         readers.read_forms(spark, forms, kind),
         readers.read_mapping(spark, mapping),
     )
+    if gates:
+        features = materialized(features)
+        quality.require(
+            quality.feature_gates(features, gates.cut_year, gates.rows, gates.rate_limits, gates.required)
+        )
     sinks.write_parquet(features, output)
     return readers.read_features(spark, output)

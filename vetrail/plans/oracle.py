@@ -150,14 +150,21 @@ ORACLE["crosstab"] = """
 select cast(year(o_orderdate) as bigint) as year,
   count(case when o_orderstatus = 'F' then 1 end) as "F",
   count(case when o_orderstatus = 'O' then 1 end) as "O",
-  count(case when o_orderstatus = 'P' then 1 end) as "P"
+  count(case when o_orderstatus = 'P' then 1 end) as "P", cast(0 as bigint) as other
+from orders group by 1"""
+ORACLE["crosstab_unlisted"] = """
+select cast(year(o_orderdate) as bigint) as year,
+  count(case when o_orderstatus = 'F' then 1 end) as "F",
+  count(case when o_orderstatus = 'P' then 1 end) as "P",
+  count(case when o_orderstatus not in ('F', 'P') then 1 end) as other,
+  round(count(case when o_orderstatus = 'F' then 1 end) / count(o_orderstatus), 6) as rate
 from orders group by 1"""
 _WITH_CUSTOMER = """orders left join customer on c_custkey = o_custkey
   left join nation on n_nationkey = c_nationkey"""
 ORACLE["crosstab_rate"] = f"""
 select c_mktsegment, count(case when o_orderstatus = 'F' then 1 end) as "F",
   count(case when o_orderstatus = 'O' then 1 end) as "O",
-  count(case when o_orderstatus = 'P' then 1 end) as "P",
+  count(case when o_orderstatus = 'P' then 1 end) as "P", cast(0 as bigint) as other,
   round(count(case when o_orderstatus = 'F' then 1 end) / count(*), 6) as rate
 from {_WITH_CUSTOMER} where c_mktsegment is not null and o_orderstatus is not null group by 1"""
 _RATES = """select cast(year(o_orderdate) as bigint) as year, count(*) as n,
@@ -235,7 +242,8 @@ select *, cast(model = (select model from u order by pr_auc desc, model desc lim
 from u"""
 ORACLE["roc_curve"] = f"""
 with {_steps(_FINE)}
-select round(threshold, 6) as threshold, round(fp / n, 6) as fpr, round(tp / p, 6) as tpr from steps"""
+select round(threshold, 6) as threshold, round(fp / n, 6) as fpr, round(tp / p, 6) as tpr from steps
+union all select null, 0.0, 0.0"""
 ORACLE["pr_curve"] = f"""
 with {_steps(_TIED)}
 select round(threshold, 6) as threshold, round(tp / (tp + fp), 6) as precision, round(tp / p, 6) as recall
@@ -482,7 +490,7 @@ select fei_number, product_type, country, project_area,
   strftime(inspection_date, '%Y-%m-%d') as last_inspection, n_prior_inspections as total_inspections,
   n_prior_oai as oai_inspections, n_prior_vai as vai_inspections, n_prior_nai as nai_inspections,
   n_warning_letters as warning_letters, n_recalls as recalls, n_published_483s as published_483s,
-  days_since_last_inspection, {_TIER_APP} as risk_tier from s"""
+  days_since_last_inspection, printf('%.1f%%', round(score * 100, 1)) as risk_score, {_TIER_APP} as risk_tier from s"""
 ORACLE["entity_history"] = """
 select o_custkey as fei_number, cast(o_orderdate as date) as inspection_date,
   c_mktsegment as product_type, o_orderpriority as project_area,
@@ -571,3 +579,142 @@ select o.o_orderkey, {', '.join(
 from orders o left join items i on i.fei = o.o_custkey and i.flag = 'R'
   and i.dt < cast(o.o_orderdate as date)
 group by o.o_orderkey"""
+
+_CUT = "o_orderdate < timestamp '2000-01-01'"
+_LINEAR = [
+    "n_prior_inspections", "n_prior_oai", "n_prior_vai", "n_prior_nai", "pct_oai", "pct_vai",
+    "days_since_last_inspection", "last_classification_oai", "last_classification_vai", "trend_worsening",
+    "recent_oai_rate", "total_prior_citations", "avg_citations_per_inspection",
+    "max_citations_single_inspection", "total_unique_cfr_violated", "n_warning_letters", "has_warning_letter",
+    "days_since_last_wl", "n_recalls", "has_recall", "n_class_I_recalls", "n_class_II_recalls",
+    "n_published_483s", "has_published_483",
+]
+_NOT_TREES = ["has_warning_letter", "has_recall", "has_published_483", "pct_oai", "pct_vai", "last_classification_oai"]
+_TREES = [c for c in _LINEAR if c not in _NOT_TREES]
+_LISTS = " union all ".join(
+    f"select '{m}' as model, cast({i} as bigint) as place, '{c}' as feature, count(\"{c}\") as n_known from features"
+    for m, names in (("linear", _LINEAR), ("trees", _TREES))
+    for i, c in enumerate(names)
+)
+ORACLE["feature_lists"] = f"with {FEATURES} {_LISTS}"
+
+ORACLE["codes_of_older_rows"] = f"""
+with rows_ as (select o_orderkey, o_orderdate, n_name, c_mktsegment,
+  concat_ws(' ', c_mktsegment, case when o_orderkey % 7 = 0 then cast(year(o_orderdate) as varchar) end) as segment
+  from {_WITH_CUSTOMER}),
+a as (select v, row_number() over (order by v) - 1 as code
+  from (select distinct coalesce(n_name, 'nan') as v from rows_ where {_CUT})),
+b as (select v, row_number() over (order by v) - 1 as code
+  from (select distinct coalesce(segment, 'nan') as v from rows_ where {_CUT}))
+select o_orderkey, n_name, c_mktsegment, segment, coalesce(a.code, -1) as n_name_encoded,
+  coalesce(b.code, -1) as segment_encoded
+from rows_ left join a on a.v = coalesce(n_name, 'nan') left join b on b.v = coalesce(segment, 'nan')"""
+
+ORACLE["class_weights"] = f"""
+select n_neg, n_pos, round((n_neg + n_pos) / (2 * n_neg), 6) as w_neg, round((n_neg + n_pos) / (2 * n_pos), 6) as w_pos,
+  round(n_neg / n_pos, 6) as ratio
+from (select count(case when o_orderstatus <> 'F' then 1 end) as n_neg,
+  count(case when o_orderstatus = 'F' then 1 end) as n_pos from orders where {_CUT})"""
+
+ORACLE["time_folds"] = """
+with days as (select cast(o_orderdate as date) as day, count(*) as n from orders group by 1),
+run as (select day, sum(n) over (order by day) - n as before_, (select count(*) from orders) as total from days),
+cuts as (select f.fold, min(day) as start, min(before_) as n_train, any_value(total) as total
+  from run, (select unnest([1, 2, 3]) as fold) f where before_ * 4 >= f.fold * total group by 1)
+select cast(fold as bigint) as fold, start, cast(n_train as bigint) as n_train,
+  cast(coalesce(lead(n_train) over (order by fold), total) - n_train as bigint) as n_valid
+from cuts"""
+
+ORACLE["scaled_features"] = """
+select count(*) as n, 0.0::double as l_quantity_mean, 0.0::double as l_discount_mean,
+  1.0::double as l_quantity_sd, 1.0::double as l_discount_sd from lineitem"""
+
+_FLAG = """(select cast(l_linestatus = 'F' as bigint) as flag,
+  cast(l_returnflag = 'R' or l_quantity > 45 as int) as y from lineitem)"""
+ORACLE["logistic_of_one_flag"] = f"""
+select flag, count(*) as n, round(avg(y), 3) as score from {_FLAG} group by 1"""
+ORACLE["trees_of_one_flag"] = f"""
+select flag, count(*) as n, round(1 / (1 + exp(-2 * avg(2 * y - 1))), 6) as score from {_FLAG} group by 1"""
+
+ORACLE["registry"] = """
+select cast(s as bigint) as sequence, v as version, p * (select count(*) from orders)::double as pr_auc,
+  cast(k as bigint) as promoted, cast(v = 'v10' as bigint) as is_champion
+from (values (1, 'v8', 2.0::double, 1), (2, 'v9', 1.0, 0), (3, 'v10', 3.0, 1), (4, 'v11', 2.5, 0)) t(s, v, p, k)"""
+ORACLE["model_gates"] = f"""
+with u as ({ORACLE["model_comparison"]}),
+m as (select min(roc_auc) as roc, min(pr_auc) as pr from u)
+select 'roc_auc' as gate, roc as value, cast(roc > 0.7 as bigint) as passed from m
+union all select 'pr_auc', pr, cast(pr > 0.2 as bigint) from m union all select 'n_features', 12.0, 1"""
+ORACLE["additivity"] = """
+select o_orderkey as inspection_id, 0.0::double as off from orders, (select unnest([1, 2]))
+where o_orderdate >= timestamp '2000-01-01' and o_custkey is not null"""
+
+_WEIGHTS = {"n_prior_oai": 0.375, "n_prior_nai": -0.125, "n_recalls": 0.0625}
+_PARTS = " union all ".join(
+    f"select inspection_id, '{c}' as feature, {c}::double as value, {w} * ({c} - (select avg({c}) from features)) "
+    "as contribution from features"
+    for c, w in _WEIGHTS.items()
+)
+_RULED = f"""{FEATURES}, long as ({_PARTS}),
+margins as (select inspection_id, sum(contribution) - 0.5 as margin from long group by 1),
+ruled as (select f.inspection_id, fei_number, target_oai, margin, 1 / (1 + exp(-margin)) as risk_score
+  from features f join margins using (inspection_id)),
+strongest as (select *, row_number() over (partition by inspection_id order by round(abs(contribution), 9) desc, feature)
+  as place from long),
+texts as (select *, case when contribution > 0 then '↑' else '↓' end || ' ' || feature || ' = '
+  || printf('%.0f', value) || ' (impact: ' || printf('%+.3f', round(round(contribution, 9) + sign(contribution) * 1e-10, 3)) || ')' as driver from strongest)"""
+_DRIVER = "place, feature, value, round(contribution, 6) as contribution, driver"
+ORACLE["rule_drivers"] = f"with {_RULED} select inspection_id, {_DRIVER} from texts where place <= 2"
+ORACLE["rule_importance"] = f"""
+with {_RULED} select feature, round(avg(abs(contribution)), 6) as importance from long group by 1"""
+ORACLE["rule_direction"] = f"""
+with {_RULED} select feature, round(corr(value, contribution), 6) as correlation,
+  round(avg(contribution), 6) as mean_contribution, round(min(contribution), 6) as lowest,
+  round(max(contribution), 6) as highest from long group by 1"""
+ORACLE["rule_dependence"] = f"""
+with {_RULED} select feature, floor(value / 2) * 2 as value, count(*) as n,
+  round(avg(contribution), 6) as mean_contribution
+from long where feature in ('n_prior_oai', 'n_recalls') group by 1, 2"""
+ORACLE["rule_waterfall"] = f"""
+with {_RULED}, cases as (
+  select 'true_positive' as "case", * from (select * from ruled where target_oai = 1 and risk_score > 0.5
+    order by inspection_id limit 1)
+  union all select 'false_negative', * from (select * from ruled where target_oai = 1 and risk_score < 0.2
+    order by inspection_id limit 1))
+select inspection_id, "case", round(risk_score, 6) as risk_score, round(margin, 6) as margin, {_DRIVER},
+  -0.5::double as base
+from cases join texts using (inspection_id)"""
+ORACLE["rule_report"] = f"""
+with {_RULED}, head as (select *, row_number() over (order by risk_score desc, inspection_id) as rank from ruled
+  order by risk_score desc, inspection_id limit 5)
+select inspection_id, rank, printf('%.1f%%', risk_score * 100) as score_text,
+  case target_oai when 1 then 'OAI' else 'Non-OAI' end as actual, round(risk_score, 6) as risk_score, fei_number, {_DRIVER}
+from head join texts using (inspection_id)"""
+
+ORACLE["csv_inspections"] = """
+select o_orderkey as id, o_custkey as fei, 'Firm "' || o_custkey || '", Inc.' as name, cast(null as varchar) as city,
+  cast(o_orderdate as date) as day, o_orderstatus as outcome, cast(year(o_orderdate) as bigint) as year from orders"""
+ORACLE["csv_citations"] = """
+select nullif(l_returnflag, 'N') as code, 'a, b' as text, count(*) as n, cast(sum(l_orderkey) as bigint) as ids,
+  cast(sum(l_suppkey) as bigint) as keys from lineitem group by 1"""
+ORACLE["csv_forms"] = """
+select o_orderkey as id, case o_orderstatus when 'F' then o_custkey else o_custkey + 9007199254740993 end as fei,
+  cast(o_orderdate as date) as day
+from orders where o_orderstatus in ('F', 'O') and o_orderpriority <> '5-LOW'"""
+ORACLE["json_letters"] = """
+select o_orderkey as id, cast(o_custkey as varchar) as company_name,
+  case when o_orderpriority <> '5-LOW' then cast(o_orderdate as date) end as issue_date,
+  cast(null as varchar) as letter_url from orders"""
+ORACLE["json_recalls"] = """
+select case l_returnflag when 'R' then 'drug' else 'device' end as source, cast(l_suppkey as varchar) as recalling_firm,
+  case l_linestatus when 'F' then 'Class I' else '' end as classification, '' as status, count(*) as n,
+  count(case when l_linenumber <> 1 then 1 end) as n_dated,
+  max(case when l_linenumber <> 1 then cast(l_shipdate as date) end) as newest
+from lineitem where l_returnflag in ('R', 'A') group by 1, 2, 3"""
+ORACLE["document_recalls"] = """
+select cast(l_suppkey as varchar) as recalling_firm, l_returnflag as classification, count(*) as n
+from lineitem group by 1, 2"""
+ORACLE["stored_mapping"] = ORACLE["match_table"]
+ORACLE["dated_partitions"] = """
+select o_orderkey, o_orderstatus, case o_orderstatus when 'P' then date '2001-08-02' else date '2001-08-01' end as run_date
+from orders where o_orderstatus in ('P', 'O')"""

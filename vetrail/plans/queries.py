@@ -18,6 +18,7 @@ from vetrail.operators import (
 from vetrail.plans import driver_tables as d
 from vetrail.plans import retrain, scoring
 from vetrail.session import fresh_folder, materialized
+from vetrail.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -207,6 +208,13 @@ def crosstab(spark, sf_dir):
     return tidy(profile.crosstab(orders, "year", "o_orderstatus", ["F", "O", "P"]))
 
 
+@query
+def crosstab_unlisted(spark, sf_dir):
+    """A class that is not listed counts in the total and has a column of its own."""
+    orders = clean.with_year(d.table(spark, sf_dir, "orders"), "o_orderdate")
+    return tidy(profile.crosstab_rate(orders, "year", "o_orderstatus", ["F", "P"], "F"))
+
+
 @query
 def crosstab_rate(spark, sf_dir):
     rows = d.inspections(spark, sf_dir)
@@ -354,8 +362,8 @@ def model_comparison(spark, sf_dir):
 
 @query
 def roc_curve(spark, sf_dir):
-    points = metrics.roc_curve(_scored(spark, sf_dir), "y", "fine")
-    return tidy(points.filter("threshold < double('inf')"))
+    points = tidy(metrics.roc_curve(_scored(spark, sf_dir), "y", "fine"))
+    return points.withColumn("threshold", F.nullif("threshold", F.lit(float("inf"))))
 
 
 @query
@@ -634,7 +642,7 @@ def tier_counts(spark, sf_dir):
 @query
 def profile_cards(spark, sf_dir):
     rows = _with_rule_score(score.next_event_features(d.features(spark, sf_dir), AS_OF))
-    return tidy(score.profile_cards(rows).drop("risk_score"))
+    return tidy(score.profile_cards(rows))
 
 
 @query
@@ -746,7 +754,8 @@ def subject_history(spark, sf_dir):
 
 
 # --- models -------------------------------------------------------------------------------------
-# Fitting is iterative, so these have no SQL twin; tests check them by their own arithmetic.
+# Fitted at the default size with early stopping. What SQL can say of them (rules, codes, splits, registry rows,
+# additivity) has a twin; the fits themselves are tested by their own arithmetic.
 
 CUT_YEAR = 2000
 
@@ -774,7 +783,116 @@ def _parts(rows):
     )
 
 
-_SMALL = {"trees": 8, "depth": 4}
+_FITTED: dict[tuple[str, str], tuple] = {}
+
+
+def _fitted_trees(spark, sf_dir):
+    """The weighted trees at the default size, its features and the test rows: fitted once per session and data set."""
+    place = (spark.sparkContext.applicationId, sf_dir)
+    if place not in _FITTED:
+        rows = _model_rows(spark, sf_dir)
+        _, names = _lists(rows)
+        fit, test = _parts(rows)
+        early, late = split.rolling_split(fit, "inspection_date")
+        model = train.fit_boosted_trees(early, names, valid=late, positive_weight=None)
+        _FITTED[place] = model, names, test, rows
+    return _FITTED[place]
+
+
+@query
+def feature_lists(spark, sf_dir):
+    """Names and places of the columns that trees and the linear model read."""
+    names = d.features(spark, sf_dir).columns
+    trees = split.numeric_features(names, redundant=[*split.REDUNDANT_FOR_TREES, split.DOMINANT_FEATURE])
+    every = split.numeric_features(names)
+    pairs = [("linear", i, n) for i, n in enumerate(every)] + [("trees", i, n) for i, n in enumerate(trees)]
+    used = d.features(spark, sf_dir).agg(*[F.count(c).alias(c) for c in every])
+    counts = used.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("n_known")) for c in every])))
+    listed = spark.createDataFrame(pairs, "model string, place bigint, feature string")
+    return listed.join(counts, "feature").select("model", "place", "feature", "n_known")
+
+
+@query
+def codes_of_older_rows(spark, sf_dir):
+    """Codes fitted on the orders before the cut, applied to all: what was not seen gets the fixed code."""
+    rows = d.inspections(spark, sf_dir).select("o_orderkey", "o_date", "n_name", "c_mktsegment")
+    year = F.year("o_date").cast("string")
+    rows = rows.withColumn("segment", F.concat_ws(" ", "c_mktsegment", F.when(F.col("o_orderkey") % 7 == 0, year)))
+    codes = split.fit_codes(split.before_year(rows, "o_date", CUT_YEAR), ["n_name", "segment"])
+    return tidy(split.apply_codes(rows, codes, ["n_name", "segment"]).drop("o_date"))
+
+
+@query
+def class_weights(spark, sf_dir):
+    """Balanced weights of both classes, and the weight that balances the positives, before the cut."""
+    fit = split.before_year(_flagged(spark, sf_dir).withColumn("o_date", F.col("o_orderdate").cast("date")), "o_date", CUT_YEAR)
+    counts = train.ClassCounts.of(fit, "is_oai")
+    neg, pos = counts.balanced()
+    one = fit.limit(1).select(F.lit(counts.neg).alias("n_neg"), F.lit(counts.pos).alias("n_pos"))
+    return tidy(
+        one.withColumns({"w_neg": F.lit(neg), "w_pos": F.lit(pos), "ratio": F.lit(counts.ratio)}).select(
+            F.col("n_neg").cast("bigint"), F.col("n_pos").cast("bigint"), "w_neg", "w_pos", "ratio"
+        )
+    )
+
+
+@query
+def time_folds(spark, sf_dir):
+    """Sizes of the parts of three expanding folds."""
+    rows = d.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("o_date"))
+    out = None
+    for i, (start, end) in enumerate(split.expanding_folds(rows, "o_date", 3), 1):
+        fit, valid = split.fold_parts(rows, "o_date", start, end)
+        one = fit.agg(F.count("*").alias("n_train")).join(valid.agg(F.count("*").alias("n_valid")), how="full")
+        one = one.select(F.lit(i).cast("bigint").alias("fold"), F.lit(start).alias("start"), "n_train", "n_valid")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def scaled_features(spark, sf_dir):
+    """Mean and population deviation of the scaled columns the linear model reads."""
+    rows = d.table(spark, sf_dir, "lineitem").select(
+        "l_quantity", "l_discount", (F.col("l_returnflag") == "R").cast("int").alias("y")
+    )
+    names = ["l_quantity", "l_discount"]
+    model = train.fit_logistic(rows, names, "y", max_iter=1)
+    scaled = train.scaled(model, rows, names, "y")
+    means = [F.avg(scaled[f"{n}_scaled"]).alias(f"{n}_mean") for n in names]
+    spreads = [F.stddev_pop(scaled[f"{n}_scaled"]).alias(f"{n}_sd") for n in names]
+    return tidy(scaled.agg(F.count("*").alias("n"), *means, *spreads).withColumns(
+        {f"{n}_mean": F.round(F.abs(F.col(f"{n}_mean")), 6) for n in names}
+    ))
+
+
+@query
+def logistic_of_one_flag(spark, sf_dir):
+    """With one 0/1 column and hardly any penalty the fitted score is the rate of each of its groups."""
+    rows = d.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_linestatus") == "F").cast("int").alias("flag"),
+        ((F.col("l_returnflag") == "R") | (F.col("l_quantity") > 45)).cast("int").alias("y"),
+    )
+    model = train.fit_logistic(rows, ["flag"], "y", c=1e6)
+    scored = train.score_rows(model, rows, ["flag"])
+    return scored.groupBy(F.col("flag").cast("bigint").alias("flag")).agg(
+        F.count("*").alias("n"), F.round(F.avg("risk_score"), 3).alias("score")
+    )
+
+
+@query
+def trees_of_one_flag(spark, sf_dir):
+    """One tree of depth 1 on one 0/1 column: a leaf is the mean of 2y-1, the score its logistic function."""
+    rows = d.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_linestatus") == "F").cast("int").alias("flag"),
+        ((F.col("l_returnflag") == "R") | (F.col("l_quantity") > 45)).cast("int").alias("y"),
+    )
+    model = train.fit_boosted_trees(rows, ["flag"], "y", trees=1, depth=1)
+    scored = train.score_rows(model, rows, ["flag"])
+    return tidy(
+        scored.groupBy(F.col("flag").cast("bigint").alias("flag")).agg(
+            F.count("*").alias("n"), F.avg("risk_score").alias("score")
+        )
+    )
 
 
 @query
@@ -783,73 +901,103 @@ def train_logreg(spark, sf_dir):
     every, _ = _lists(rows)
     fit, test = _parts(rows)
     named = {
-        "logistic": (train.fit_logistic(fit, every, max_iter=100), every),
-        "logistic balanced": (train.fit_logistic(fit, every, balanced=True, max_iter=100), every),
+        "logistic": (train.fit_logistic(fit, every), every),
+        "logistic balanced": (train.fit_logistic(fit, every, balanced=True), every),
     }
     return tidy(train.model_metrics(named, test, "target_oai"))
 
 
 @query
 def train_gbt(spark, sf_dir):
-    rows = _model_rows(spark, sf_dir)
-    _, names = _lists(rows)
-    fit, test = _parts(rows)
-    early, late = split.rolling_split(fit, "inspection_date")
+    weighted, names, test, rows = _fitted_trees(spark, sf_dir)
+    early, late = split.rolling_split(_parts(rows)[0], "inspection_date")
     named = {
-        "trees": (train.fit_boosted_trees(early, names, valid=late, **_SMALL), names),
-        "trees weighted": (
-            train.fit_boosted_trees(early, names, valid=late, positive_weight=None, **_SMALL),
-            names,
-        ),
+        "trees": (train.fit_boosted_trees(early, names, valid=late), names),
+        "trees weighted": (weighted, names),
     }
     return tidy(train.model_metrics(named, test, "target_oai"))
 
 
 @query
 def ablation(spark, sf_dir):
-    rows = _model_rows(spark, sf_dir)
-    _, names = _lists(rows)
-    fit, test = _parts(rows)
+    _, names, test, rows = _fitted_trees(spark, sf_dir)
+    early, late = split.rolling_split(_parts(rows)[0], "inspection_date")
     names = [*names, split.DOMINANT_FEATURE]
-    return tidy(train.ablation(fit, test, names, [split.DOMINANT_FEATURE], **_SMALL))
+    return tidy(train.ablation(early, test, names, [split.DOMINANT_FEATURE], valid=late))
 
 
 @query
 def search(spark, sf_dir):
-    rows = _model_rows(spark, sf_dir)
-    _, names = _lists(rows)
-    fit, _ = _parts(rows)
-    ranges = train.SEARCH_RANGES | {"trees": (3, 6), "depth": (2, 4), "min_gain": (0.0, 0.01)}
-    trials = train.random_search(fit, names, draws=train.random_draws(2, ranges=ranges), folds=2)
-    return tidy(spark.createDataFrame(trials))
-
-
-def _fitted_trees(spark, sf_dir):
-    rows = _model_rows(spark, sf_dir)
-    _, names = _lists(rows)
-    fit, test = _parts(rows)
-    return train.fit_boosted_trees(fit, names, positive_weight=None, **_SMALL), names, test
+    """Four draws of the default ranges over three folds, and the best one fitted again on all training rows."""
+    _, names, test, rows = _fitted_trees(spark, sf_dir)
+    early, late = split.rolling_split(_parts(rows)[0], "inspection_date")
+    trials = train.random_search(early, names, draws=train.random_draws(4), stop_early=True)
+    tuned = train.fit_best(early, names, trials, valid=late)
+    metrics_ = train.model_metrics({"tuned": (tuned, names)}, test, "target_oai").drop("model")
+    return tidy(spark.createDataFrame(trials).join(F.broadcast(metrics_.withColumnsRenamed(
+        {c: f"tuned_{c}" for c in metrics_.columns}
+    )), how="left"))
 
 
 @query
 def feature_importance(spark, sf_dir):
-    model, names, _ = _fitted_trees(spark, sf_dir)
+    model, names, _, _ = _fitted_trees(spark, sf_dir)
     return tidy(train.feature_importances(spark, model, names))
 
 
 @query
 def champion(spark, sf_dir):
-    """Retrain on all but the last year and offer the model to an empty registry."""
+    """Retrain on all but the last year, and offer the model to an empty registry; v9 comes before v10."""
     folder = fresh_folder(spark)
-    rows = _model_rows(spark, sf_dir)
-    _, names = _lists(rows)
-    for version, options in (("v1", {"trees": 2, "depth": 2}), ("v2", _SMALL)):
-        retrain.retrain(rows, names, folder, version, Date(2001, 8, 1), **options)
-    return tidy(spark.read.parquet(f"{folder}/registry").drop("path", "features", "label_encoders"))
+    _, names, _, rows = _fitted_trees(spark, sf_dir)
+    names = [n for n in names if not n.endswith("_encoded")]
+    for version in ("v9", "v10"):
+        retrain.retrain(
+            rows.drop(*[f"{c}_encoded" for c in split.CATEGORIES]), names, folder, version, Date(2001, 8, 1),
+            categories=split.CATEGORIES, stop_early=True,
+        )
+    return tidy(spark.read.parquet(f"{folder}/registry").drop("path", "codes_path"))
+
+
+@query
+def champion_scores(spark, sf_dir):
+    """Retrain with stored codes, then score every facility from the registry, with audit columns, by date."""
+    folder = fresh_folder(spark)
+    _, names, _, rows = _fitted_trees(spark, sf_dir)
+    names = [n for n in names if not n.endswith("_encoded")]
+    raw = rows.drop(*[f"{c}_encoded" for c in split.CATEGORIES])
+    retrain.retrain(raw, names, folder, "v10", Date(2001, 8, 1), categories=split.CATEGORIES, stop_early=True)
+    scores_ = scoring.score_champion(raw, folder, AS_OF, {"threshold": 0.5})
+    scoring.write_scores(scores_, f"{folder}/out", AS_OF)
+    return tidy(spark.read.parquet(f"{folder}/out/facility_scores"))
+
+
+@query
+def registry(spark, sf_dir):
+    """Entries in the order of registration: a champion is replaced by a better one only, v10 counts after v9."""
+    folder = f"{fresh_folder(spark)}/registry"
+    n = float(d.table(spark, sf_dir, "orders").count())
+    for version, share in (("v8", 2.0), ("v9", 1.0), ("v10", 3.0), ("v11", 2.5)):
+        metrics_ = {"roc_auc": n, "pr_auc": share * n}
+        train.register_challenger(spark, folder, version, version, Date(2001, 8, 1), metrics_, ["a"])
+    rows = train.registry_table(spark, folder)
+    now = train.champion(spark, folder)["version"]
+    return tidy(
+        rows.select("sequence", "version", "pr_auc", F.col("promoted").cast("bigint").alias("promoted")).withColumn(
+            "is_champion", (F.col("version") == now).cast("bigint")
+        )
+    )
+
+
+@query
+def model_gates(spark, sf_dir):
+    """The floor of a model, on the metrics of two score columns."""
+    found = metrics.evaluate(_by_model(spark, sf_dir), "y", "score", by=["model"])
+    return tidy(quality.model_gates(found, 12))
 
 
 def _explained(spark, sf_dir):
-    model, names, test = _fitted_trees(spark, sf_dir)
+    model, names, test, _ = _fitted_trees(spark, sf_dir)
     keep = ("fei_number", "product_type", "country", "project_area", "inspection_date", "target_oai")
     rows = explain.tree_contributions(
         model, test, names, "inspection_id", f"{fresh_folder(spark)}/trees", keep
@@ -860,7 +1008,17 @@ def _explained(spark, sf_dir):
 @query
 def contributions(spark, sf_dir):
     rows, names, _ = _explained(spark, sf_dir)
-    return tidy(explain.top_drivers(rows, names, "inspection_id", len(names)).drop("driver"))
+    return tidy(explain.top_drivers(rows, names, "inspection_id", len(names)))
+
+
+@query
+def additivity(spark, sf_dir):
+    """Per row what contributions and base lack of the margin: nothing, also where ids repeat."""
+    model, names, test, _ = _fitted_trees(spark, sf_dir)
+    twice = test.unionByName(test)
+    rows = explain.tree_contributions(model, twice, names, "inspection_id", f"{fresh_folder(spark)}/trees")
+    total = F.aggregate("contributions", F.lit(explain.base_margin(model)), lambda a, x: a + x)
+    return rows.select("inspection_id", F.round(F.abs(total - F.col("margin")), 6).alias("off"))
 
 
 @query
@@ -868,7 +1026,7 @@ def linear_contributions(spark, sf_dir):
     rows = _model_rows(spark, sf_dir)
     every, _ = _lists(rows)
     fit, test = _parts(rows)
-    model = train.fit_logistic(fit, every, max_iter=100)
+    model = train.fit_logistic(fit, every)
     found = explain.linear_contributions(model, test, every, "inspection_id")
     return tidy(explain.global_importance(found, every, len(every)))
 
@@ -916,12 +1074,183 @@ def risk_report(spark, sf_dir):
 @query
 def model_scores(spark, sf_dir):
     """Roll every facility forward, score it, and attach tier and audit columns."""
-    rows = _model_rows(spark, sf_dir)
-    _, names = _lists(rows)
-    fit, _ = _parts(rows)
-    model = train.fit_boosted_trees(fit, names, positive_weight=None, **_SMALL)
+    model, names, _, rows = _fitted_trees(spark, sf_dir)
     return tidy(
         scoring.score_facilities(
             model, rows, names, AS_OF, {"model_version": "v1", "threshold": 0.5, "scored_on": AS_OF}
         )
     )
+
+
+# --- explanations of a given rule ---------------------------------------------------------------
+
+RULE = {"n_prior_oai": 0.375, "n_prior_nai": -0.125, "n_recalls": 0.0625}
+RULE_BASE = -0.5
+
+
+def _ruled(spark, sf_dir):
+    keep = ("fei_number", "target_oai")
+    return explain.rule_contributions(d.features(spark, sf_dir), RULE, RULE_BASE, "inspection_id", keep)
+
+
+@query
+def rule_drivers(spark, sf_dir):
+    return tidy(explain.top_drivers(_ruled(spark, sf_dir), list(RULE), "inspection_id", 2))
+
+
+@query
+def rule_importance(spark, sf_dir):
+    return tidy(explain.global_importance(_ruled(spark, sf_dir), list(RULE)))
+
+
+@query
+def rule_direction(spark, sf_dir):
+    return tidy(explain.direction_summary(_ruled(spark, sf_dir), list(RULE)))
+
+
+@query
+def rule_dependence(spark, sf_dir):
+    return tidy(explain.dependence(_ruled(spark, sf_dir), list(RULE), ["n_prior_oai", "n_recalls"], 2.0))
+
+
+@query
+def rule_waterfall(spark, sf_dir):
+    rows = _ruled(spark, sf_dir)
+    return tidy(explain.waterfall(rows, list(RULE), "target_oai", "inspection_id", RULE_BASE))
+
+
+@query
+def rule_report(spark, sf_dir):
+    rows = _ruled(spark, sf_dir)
+    return tidy(explain.risk_report(rows, list(RULE), "inspection_id", ("fei_number",), "target_oai", 5, 3))
+
+
+# --- readers and sinks --------------------------------------------------------------------------
+# Whole tables are written in a raw form and read back through the reader.
+
+
+@query
+def csv_inspections(spark, sf_dir):
+    """Orders as a CSV of inspections; dates are parsed strictly."""
+    path = fresh_folder(spark)
+    orders = d.table(spark, sf_dir, "orders")
+    raw = orders.select(
+        F.col("o_orderkey").alias("Inspection ID"), F.col("o_custkey").alias("FEI Number"),
+        F.concat(F.lit('Firm "'), F.col("o_custkey"), F.lit('", Inc.')).alias("Legal Name"),
+        F.lit(None).cast("string").alias("City"), F.lit("x").alias("State"), F.lit("y").alias("Country/Area"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("Inspection End Date"),
+        F.col("o_orderstatus").alias("Classification"), F.col("o_orderpriority").alias("Project Area"),
+        F.lit("z").alias("Product Type"), F.year("o_orderdate").alias("Fiscal Year"),
+    )
+    raw.write.option("header", True).option("escape", '"').csv(path)
+    rows = readers.read_inspections(spark, path)
+    return tidy(rows.select(
+        F.col("Inspection ID").alias("id"), F.col("FEI Number").alias("fei"), F.col("Legal Name").alias("name"),
+        F.col("City").alias("city"), F.col("Inspection End Date").alias("day"),
+        F.col("Classification").alias("outcome"), F.col("Fiscal Year").alias("year"),
+    ))
+
+
+@query
+def csv_citations(spark, sf_dir):
+    """Line items through the CSV sink and the reader of citations."""
+    path = fresh_folder(spark)
+    items = d.table(spark, sf_dir, "lineitem")
+    sinks.write_csv(items.select(
+        F.col("l_orderkey").alias("Inspection ID"), F.col("l_suppkey").alias("FEI Number"),
+        F.nullif("l_returnflag", F.lit("N")).alias("Act/CFR Number"), F.lit("a, b").alias("Short Description"),
+        F.lit("c").alias("Long Description"), F.lit("d").alias("Program Area"),
+    ), path)
+    rows = readers.read_citations(spark, path)
+    return tidy(rows.groupBy(F.col("Act/CFR Number").alias("code"), F.col("Short Description").alias("text")).agg(
+        F.count("*").alias("n"), F.sum("Inspection ID").alias("ids"), F.sum("FEI Number").alias("keys")
+    ))
+
+
+@query
+def csv_forms(spark, sf_dir):
+    """Coerced dates and facility keys, also beyond 2^53; rows that lack either go."""
+    path = fresh_folder(spark)
+    orders = d.table(spark, sf_dir, "orders")
+    key = (
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.col("o_custkey").cast("string"), F.lit(".0")))
+        .when(F.col("o_orderstatus") == "O", (F.col("o_custkey") + F.lit(9007199254740993)).cast("string"))
+        .otherwise("unknown")
+    )
+    day = F.when(F.col("o_orderpriority") == "5-LOW", "n/a").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    sinks.write_csv(orders.select(
+        key.alias("FEI Number"), day.alias("Record Date"), F.col("o_orderkey").alias("Download"), F.lit("p").alias("Publish Date")
+    ), path)
+    rows = readers.read_forms(spark, path)
+    return rows.select(
+        F.col("Download").cast("bigint").alias("id"), F.col("FEI Number").alias("fei"), F.col("Record Date").alias("day")
+    )
+
+
+@query
+def json_letters(spark, sf_dir):
+    """Letters as JSON lines through the JSON sink."""
+    path = fresh_folder(spark)
+    orders = d.table(spark, sf_dir, "orders")
+    day = F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    sinks.write_json(orders.select(
+        day.alias("issue_date"), F.col("o_custkey").cast("string").alias("company_name"), F.col("o_orderkey").cast("string").alias("subject")
+    ), path)
+    rows = readers.read_letters(spark, path, lines=True)
+    return rows.select(F.col("subject").cast("bigint").alias("id"), "company_name", "issue_date", "letter_url")
+
+
+@query
+def json_recalls(spark, sf_dir):
+    """Two sources of recalls as JSON lines, tagged and united; absent fields are empty text."""
+    items = d.table(spark, sf_dir, "lineitem")
+    paths = {}
+    for source, flag in (("drug", "R"), ("device", "A")):
+        paths[source] = fresh_folder(spark)
+        sinks.write_json(items.filter(F.col("l_returnflag") == flag).select(
+            F.col("l_suppkey").cast("string").alias("recalling_firm"),
+            F.when(F.col("l_linestatus") == "F", "Class I").alias("classification"),
+            F.when(F.col("l_linenumber") == 1, "20200230").otherwise(
+                F.date_format("l_shipdate", "yyyyMMdd")).alias("recall_initiation_date"),
+        ), paths[source])
+    fields = ["recalling_firm", "classification", "recall_initiation_date", "status"]
+    rows = readers.with_recall_date(readers.read_recalls(spark, paths, fields, lines=True))
+    return rows.groupBy("_source", "recalling_firm", "classification", "status").agg(
+        F.count("*").alias("n"), F.count("recall_date").alias("n_dated"), F.max("recall_date").alias("newest")
+    ).withColumnRenamed("_source", "source")
+
+
+@query
+def document_recalls(spark, sf_dir):
+    """Bulk documents, one object with a results array per file, turned into lines and read."""
+    folder = fresh_folder(spark)
+    items = d.table(spark, sf_dir, "lineitem").select(
+        F.pmod("l_orderkey", F.lit(8)).alias("part"), F.col("l_suppkey").cast("string").alias("recalling_firm"),
+        F.col("l_returnflag").alias("classification"),
+    )
+    documents = items.groupBy("part").agg(
+        F.to_json(F.struct(F.collect_list(F.struct("recalling_firm", "classification")).alias("results"))).alias("value")
+    )
+    documents.select("value").repartition(8).write.text(f"{folder}/documents")
+    readers.document_to_lines(spark, f"{folder}/documents", f"{folder}/lines")
+    rows = readers.read_recalls(spark, {"bulk": f"{folder}/lines"}, ["recalling_firm", "classification"], lines=True)
+    return rows.groupBy("recalling_firm", "classification").agg(F.count("*").alias("n"))
+
+
+@query
+def stored_mapping(spark, sf_dir):
+    """The mapping of matched names, written and read back as a table."""
+    path = fresh_folder(spark)
+    sinks.write_parquet(resolve.match_mapping(_matched_letters(spark, sf_dir), "letters", "company_name"), path)
+    return tidy(readers.read_mapping(spark, path))
+
+
+@query
+def dated_partitions(spark, sf_dir):
+    """Run dates replace their own partition only; the older run of a date is gone, other dates stay."""
+    path = fresh_folder(spark)
+    orders = d.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    days = [Date(2001, 8, 1), Date(2001, 8, 2)]
+    for flag, day in (("F", days[0]), ("P", days[1]), ("O", days[0])):
+        sinks.write_dated(orders.filter(F.col("o_orderstatus") == flag), path, day)
+    return spark.read.parquet(path)

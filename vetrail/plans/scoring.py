@@ -8,7 +8,7 @@ from datetime import date as Date
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from vetrail.operators import score, train
+from vetrail.operators import score, split, train
 from vetrail.sources import sinks
 
 
@@ -33,6 +33,29 @@ def score_facilities(
     return score.with_audit(scored, audit or {})
 
 
+def score_champion(
+    features: DataFrame, folder: str, as_of: Date | None = None, audit: Mapping[str, object] | None = None
+) -> DataFrame:
+    """Score every facility with the champion of ``folder``: its model, features and category codes.
+
+    The version, its training date and the number of its features are added as audit columns.
+    """
+    spark = features.sparkSession
+    entry = train.champion(spark, f"{folder}/registry")
+    if entry is None:
+        raise ValueError(f"no champion in {folder}")
+    model = train.load_model(entry["path"])
+    if entry["codes_path"]:
+        codes = spark.read.parquet(entry["codes_path"])
+        features = split.apply_codes(features, codes, entry["categories"])
+    own = {
+        "model_version": entry["version"],
+        "trained_on": entry["trained_on"],
+        "n_features": len(entry["features"]),
+    }
+    return score_facilities(model, features, entry["features"], as_of, own | dict(audit or {}))
+
+
 def write_scores(scores: DataFrame, folder: str, run_date: Date) -> DataFrame:
     """Write the scores as Parquet and CSV and the alerts as CSV, each under the run's date.
 

@@ -88,6 +88,18 @@ def read_recalls(
     return every
 
 
+def document_to_lines(spark: SparkSession, path, output: str) -> None:
+    """Turn files of one ``{results: [...]}`` object into JSON lines, which many tasks can read.
+
+    A document has to be parsed by one task; doing so once, and fields as they come, leaves a table that
+    splits. Files should be far smaller than an executor's memory.
+    """
+    texts = spark.read.text(path, wholetext=True)
+    records = F.from_json("value", "results array<map<string,string>>")["results"]
+    rows = texts.select(F.explode(records).alias("r")).select(F.to_json("r").alias("value"))
+    rows.write.mode("overwrite").text(output)
+
+
 def with_recall_date(recalls: DataFrame, text: str = "recall_initiation_date") -> DataFrame:
     """Add ``recall_date``; an unreadable date is null."""
     return recalls.withColumn("recall_date", coerced_date(text, "yyyyMMdd"))

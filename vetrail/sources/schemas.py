@@ -36,7 +36,6 @@ RECALL_FIELDS = [
     "recall_initiation_date", "reason_for_recall", "voluntary_mandated", "status",
 ]
 RECALL = _struct(*[(name, _TEXT) for name in RECALL_FIELDS])
-RECALL_DOCUMENT = _struct(("results", T.ArrayType(RECALL)))
 MATCH_DOCUMENT = T.MapType(
     _TEXT, T.MapType(_TEXT, _struct(("fei", _LONG), ("score", _DOUBLE)))
 )
