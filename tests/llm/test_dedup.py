@@ -99,6 +99,15 @@ def test_jaccard_awkward(awkward, frequent):
     assert {r["doc_id"]: r["component_id"] for r in found} == brute.jaccard_components(rows)
 
 
+@pytest.mark.parametrize("turns", [0, 6])
+def test_jaccard_hot_groups(awkward, turns, monkeypatch):
+    """Nearly every signature counts as hot: clusters are compared in blocks, with and without random partners."""
+    for name, value in {"HOT": 1, "BLOCK_DOCS": 4, "FEW_PAIRS": 0, "MAX_TURNS": turns}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    found = jaccard.jaccard_components(awkward, frequent=2).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == brute.jaccard_components(brute.texts_by_id(awkward))
+
+
 def test_signatures_always_meet():
     """Any two sets that link share a signature, whatever the classes are."""
     rng = np.random.default_rng(11)
