@@ -23,8 +23,10 @@ TOKENIZER = "word_bpe_49k.json"
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a language (no letter) or with an ambiguous one go."""
-    rows = identify_languages(docs, fit_languages(docs))
-    return rows.filter((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous")).select(docs.columns)
+    taken = {c: f"_{c}_of_docs" for c in ("lang_pred", "score", "ambiguous", "_letters") if c in docs.columns}
+    rows = identify_languages(docs.withColumnsRenamed(taken), fit_languages(docs))
+    kept = rows.filter((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous"))
+    return kept.select(*[F.col(taken.get(c, c)).alias(c) for c in docs.columns])
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +50,9 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    mixed = materialized(mix_sources(docs).filter("copies > 0").select("doc_id", "copies"))
-    rows = docs.join(broadcast_ids(mixed), "doc_id")
-    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(docs.columns)
+    mixed = mix_sources(docs).filter("copies > 0").select("doc_id", F.col("copies").alias("_copies"))
+    rows = docs.join(broadcast_ids(materialized(mixed)), "doc_id")
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -144,13 +144,12 @@ def test_likeness_is_unbiased():
     errors = []
     for share in (0.0, 0.2, 0.5, 0.8, 1.0):
         for size in (3, 40, 400, 4000):
-            both = rng.integers(0, 2**63, int(size * share) + (share == 1), dtype=np.uint64) * np.uint64(2)
-            a, b = (
-                np.unique(np.concatenate([both, rng.integers(0, 2**63, int(size * (1 - share)), dtype=np.uint64)]))
-                for _ in range(2)
-            )
-            if not len(a) or not len(b):
-                continue
+
+            def draw(n):
+                return rng.integers(0, 2**64, n, dtype=np.uint64, endpoint=False)
+
+            both = draw(int(size * share))
+            a, b = (np.unique(np.concatenate([both, draw(size - len(both))])) for _ in range(2))
             true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
             errors.append(fingerprint.likeness(fingerprint.codes(a), fingerprint.codes(b)) - true)
     assert abs(np.mean(errors)) < 0.02 and np.abs(errors).max() < 0.12

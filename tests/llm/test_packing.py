@@ -154,8 +154,8 @@ def _check_mix(rows: pd.DataFrame, loose: float):
         s = None if pd.isna(s) else s
         assert (g["source_size"] == sizes[s]).all()
         assert np.allclose(g["target"], targets[s])
-        least = g.loc[g["size"] > 0, "size"].min() if (g["size"] > 0).any() else 0
-        assert abs(g["taken"].sum() - targets[s]) <= max(loose * targets[s], least)
+        # Copies are whole: a source that is mostly one document can miss by half of it.
+        assert abs(g["taken"].sum() - targets[s]) <= max(loose * targets[s], g["size"].max() / 2)
     assert (rows["taken"] <= 2 * rows["size"]).all()
 
 

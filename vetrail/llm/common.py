@@ -18,6 +18,7 @@ from vetrail.operators.ordered import broadcast_if_small
 from vetrail.session import fresh_folder, with_package
 
 BLOCK_BYTES = 2 << 20
+BATCH_BYTES = 8 << 20
 SHINGLE_WORDS = 5
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -34,6 +35,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return with_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(frame: DataFrame) -> SparkSession:
+    """Hand rows to Python in batches of a bounded number of bytes, whatever the length of the texts."""
+    spark = with_package(frame.sparkSession)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def written(rows: DataFrame, compression: str = "zstd") -> DataFrame:
     """Like ``materialized``, compressed harder: for tables as large as their input."""
     path = fresh_folder(rows.sparkSession)

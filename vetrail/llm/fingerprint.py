@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vetrail.llm.common import BLOCK_BYTES, buffers, mix, shingle_lists
+from vetrail.llm.common import BLOCK_BYTES, bounded_batches, buffers, mix, shingle_lists
 
 BINS = 512
 BITS = 4
@@ -128,6 +128,7 @@ def fingerprints(documents: DataFrame, id_column: str = "doc_id", text: str = "t
     single document follows itself. Rows of equal ids follow one another in the order of their texts. An
     empty table gives an empty result. Other columns are not read.
     """
+    bounded_batches(documents)
     kind = documents.schema[id_column].dataType.simpleString()
     schema = (
         f"`{id_column}` {kind}, n_chars long, edited_sha256 string, fingerprint string, "

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vetrail.llm.common import broadcast_ids, mix, shingle_lists, signed, text_blocks
+from vetrail.llm.common import bounded_batches, broadcast_ids, mix, shingle_lists, signed, text_blocks
 from vetrail.llm.components import connected_components
 from vetrail.session import materialized
 
@@ -51,7 +51,7 @@ HOT, BLOCK_DOCS = 64, 512
 #: Bits of the map of a set's tokens.
 MAP_BITS = 4096
 #: Turns with random partners at most, and how many open pairs per row need none.
-MAX_TURNS, FEW_PAIRS = 6, 8
+MAX_TURNS, FEW_PAIRS = 3, 8
 _FLUSH = 1 << 20
 
 _EDGES = np.array(sorted({int(np.ceil(1.25**k)) for k in range(90)}), np.int64)
@@ -369,7 +369,7 @@ def jaccard_components(
     one of them links with, all do. An empty table gives an empty result. Other columns are not read.
     """
     texts = documents.select(F.col(id_column).cast("long").alias("doc"), F.col(text).alias("text"))
-    often = texts.sparkSession.sparkContext.broadcast(frequent_tokens(texts, frequent))
+    often = bounded_batches(texts).sparkContext.broadcast(frequent_tokens(texts, frequent))
     schema = "doc long, n long, one long, two long, rare boolean, last long, bits binary, sigs array<long>"
     sets = materialized(texts.mapInArrow(_index_sets(often, percent), schema))
     filled = sets.filter((F.col("n") > 0) & F.col("doc").isNotNull())
@@ -414,7 +414,7 @@ def jaccard_components(
     for turn in range(MAX_TURNS):
         mixed = _across(shared, found)
         left, rows = _open_pairs(mixed)
-        if left <= FEW_PAIRS * rows or (before is not None and left > before * 0.9):
+        if left <= FEW_PAIRS * rows or (before is not None and left > before * 0.5):
             break
         before = left
         tried = sized(_random_partners(mixed, turn)).select("a", "b")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vetrail.llm.common import text_blocks
+from vetrail.llm.common import bounded_batches, text_blocks
 
 ROWS_PER_LANGUAGE = 400
 FEATURES = 1 << 13
@@ -143,6 +143,7 @@ def fit_languages(
 
     Without any labelled row the model knows no language and every prediction is ``und``.
     """
+    bounded_batches(labelled)
     known = labelled.select(id_column, text, lang).filter(
         F.col(lang).isNotNull() & has_letter(F.col(text))
     )
@@ -195,7 +196,7 @@ def identify_languages(
     rows = documents.select(*kept, has_letter(F.col(text)).alias("_letters"))
     schema = documents.select(*kept).schema
     schema = schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # features x bits
+    shared = bounded_batches(documents).sparkContext.broadcast(model)  # features x bits
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value

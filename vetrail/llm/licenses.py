@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vetrail.llm.common import SHINGLE_WORDS, buffers, gram_hashes, mix, shingle_lists, text_blocks, word_hashes
+from vetrail.llm.common import SHINGLE_WORDS, bounded_batches, buffers, gram_hashes, mix, shingle_lists, text_blocks, word_hashes
 
 BANDS = 64
 CONTAINMENT = 0.8
@@ -104,7 +104,7 @@ def scan_templates(
     templates match nothing. A text or template of fewer than five words is one shingle. Repeated rows
     are scanned each. An empty table on either side gives an empty result. Other columns are not read.
     """
-    spark = documents.sparkSession
+    spark = bounded_batches(documents)
     kind = documents.schema[id_column].dataType.simpleString()
     schema = f"`{id_column}` {kind}, template_id string, containment double, first_word long, n_windows long"
     rows = templates.select(F.col(template_id).cast("string").alias("id"), F.col(template_text).alias("text"))

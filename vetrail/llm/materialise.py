@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vetrail.llm.common import mix, text_blocks, written
+from vetrail.llm.common import bounded_batches, mix, text_blocks, written
 from vetrail.llm.packing import END_ID
 from vetrail.llm.tokens import tokenizer
 from vetrail.session import materialized
@@ -110,7 +110,7 @@ def training_order(
     columns are not read. An empty table gives an empty result. Sequences are written once with their place
     in the table, so every later read, also after a lost executor, gives the same slots.
     """
-    spark = documents.sparkSession
+    spark = bounded_batches(documents)
     sequences = written(token_sequences(documents, file, id_column, text, tokens, end_id))
     parts = sequences.groupBy("_part").agg(F.count("*").alias("_rows"))
     # One row per written partition.

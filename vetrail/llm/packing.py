@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vetrail.llm.common import text_blocks
+from vetrail.llm.common import bounded_batches, text_blocks
 from vetrail.llm.tokens import tokenizer
 from vetrail.session import materialized
 
@@ -220,5 +220,6 @@ def pack_documents(
     into full pieces and a rest. Repeated rows are packed each. Other columns are not read. An empty
     table gives an empty result.
     """
+    bounded_batches(documents)
     pieces = materialized(token_pieces(documents, file, id_column, text, capacity, end_id))
     return pack_lengths(pieces, "length", capacity)

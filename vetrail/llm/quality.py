@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vetrail.llm.common import gram_hashes, span_hashes, text_blocks
+from vetrail.llm.common import bounded_batches, gram_hashes, span_hashes, text_blocks
 
 MAX_ROWS = 6000
 BITS = 18
@@ -121,6 +121,7 @@ def fit_quality(
     Rows with a null label or id are left out; a label repeated for an id counts once, the largest. Without
     a labelled row every score is 0.5.
     """
+    bounded_batches(documents)
     marked = labels.groupBy(id_column).agg(F.max(label).alias("_label")).filter(F.col("_label").isNotNull())
     total = labels.filter(F.col(label).isNotNull()).count()
     place = F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit("quality")), F.lit(1 << 30)) / (1 << 30)
@@ -162,7 +163,7 @@ def score_quality(
     """
     kept = [c for c in documents.columns if c not in ("score", "predicted")]
     schema = documents.select(*kept).schema.add("score", "double").add("predicted", "integer")
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # 2^18 weights
+    shared = bounded_batches(documents).sparkContext.broadcast(model)  # 2^18 weights
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vetrail.llm.common import mix, powers, text_blocks
+from vetrail.llm.common import bounded_batches, mix, powers, text_blocks
 from vetrail.session import materialized
 
 WINDOW = 100
@@ -498,7 +498,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
     Spans may reach over a text's ends and are then cut there.
     """
-    spark = texts.sparkSession
+    spark = bounded_batches(texts)
     long = texts.filter((F.octet_length("text") >= WINDOW) & F.col("doc").isNotNull())
     heavy = spark.sparkContext.broadcast(heavy_grams(long))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -13,7 +13,7 @@ import numpy as np
 from vetrail.llm.common import span_hashes, word_spans
 
 LONGEST = 64
-REMEMBERED = 3_000_000
+REMEMBERED = 2_000_000
 #: A word of its own that no text word equals: words holding it are encoded one by one.
 _MARK = "\x01"
 
@@ -31,8 +31,8 @@ class WordTokenizer:
 
     def _forget(self) -> None:
         self._hashes = np.zeros(0, np.uint64)
-        self._first = np.zeros(0, np.int64)
-        self._count = np.zeros(0, np.int64)
+        self._first = np.zeros(0, np.uint32)
+        self._count = np.zeros(0, np.uint16)
         self._flat = np.zeros(1 << 16, np.uint16)
         self._used = 0
 
@@ -67,8 +67,8 @@ class WordTokenizer:
         merged = np.concatenate([self._hashes, hashes])
         order = np.argsort(merged, kind="stable")
         self._hashes = merged[order]
-        self._first = np.concatenate([self._first, first])[order]
-        self._count = np.concatenate([self._count, counts])[order]
+        self._first = np.concatenate([self._first, first.astype(np.uint32)])[order]
+        self._count = np.concatenate([self._count, counts.astype(np.uint16)])[order]
 
     def encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a block of texts, one after another, and their number per text."""
