@@ -215,6 +215,8 @@ def history_features(
         found = _by_entity(rows, daily, sums, latest, ties, adds)
     else:
         few = F.broadcast(heavy)  # at most rows / entity_limit keys
+        # Both layouts read the joined events and the daily sums; they are worked out once.
+        rows, daily = materialized(rows), None if daily is None else materialized(daily)
 
         def part(frame: DataFrame | None, how: str) -> DataFrame | None:
             return None if frame is None else frame.join(few, "_entity", how)
@@ -289,6 +291,7 @@ def _by_day_blocks(rows, daily, sums, latest, ties, per_row) -> DataFrame:
             "d_closes": F.lead(F.lit(1), 1).over(in_day).isNull(),
         }
     )
+    ranked = materialized(ranked)
     blocks = ranked.filter("d_closes").select(
         "_entity",
         "_day",
