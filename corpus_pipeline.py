@@ -19,12 +19,15 @@ from vetrail.llm.suffix import cut_repeats
 from vetrail.session import materialized, with_package
 
 TOKENIZER = "word_bpe_49k.json"
+#: Texts whose two likeliest languages are closer than this go: far less than what the operator flags by
+#: default, so that short clean texts stay.
+AMBIGUOUS = 0.01
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a language (no letter) or with an ambiguous one go."""
     taken = {c: f"_{c}_of_docs" for c in ("lang_pred", "score", "ambiguous", "_letters") if c in docs.columns}
-    rows = identify_languages(docs.withColumnsRenamed(taken), fit_languages(docs))
+    rows = identify_languages(docs.withColumnsRenamed(taken), fit_languages(docs), ambiguous=AMBIGUOUS)
     kept = rows.filter((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous"))
     return kept.select(*[F.col(taken.get(c, c)).alias(c) for c in docs.columns])
 

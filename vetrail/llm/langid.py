@@ -168,7 +168,7 @@ def fit_languages(
 
     # The bounded sample's gram counts, not its texts, go to the driver.
     found = sample.select(text, lang).mapInArrow(counts, "lang string, at binary, n binary")
-    found = found.toPandas().sort_values("lang", kind="stable")
+    found = found.toPandas().sort_values(["lang", "at", "n"], kind="stable")
     languages = sorted(found["lang"].unique())
     x = np.zeros((len(found), FEATURES), np.float32)
     for k, (i, n) in enumerate(zip(found["at"], found["n"])):

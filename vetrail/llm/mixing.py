@@ -123,7 +123,8 @@ def tilted_rates(
         )
         if (state.agg(F.max("_off")).first()[0] or 0.0) < tolerance:
             break
-    rate = F.when(F.col("target") > 0, F.least(F.exp("dual"), F.lit(CAP))).otherwise(0.0)
+    # Nine places: the order of summation must not decide how a rate is rounded to copies.
+    rate = F.when(F.col("target") > 0, F.least(F.round(F.exp("dual"), 9), F.lit(CAP))).otherwise(0.0)
     return state.select("_key", "_none", rate.alias("rate"))
 
 

@@ -41,7 +41,7 @@ SIDE = WINDOW - GRAM
 NODES = 8
 #: Occurrences of a gram from which on it is split.
 HEAVY = 20_000
-MAX_HEAVY = 1_000_000
+MAX_HEAVY = 100_000
 _FLUSH = 400_000
 _SORT_ROWS = 20_000
 _PLACE_BITS = np.uint64(28)
