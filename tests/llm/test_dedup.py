@@ -26,9 +26,10 @@ def test_cut_repeats_query(spark, sf_dir):
     assert _cut(QUERIES["op1_suffix_array_dedup"](spark, sf_dir).collect()) == brute.cut_repeats(rows)
 
 
-@pytest.mark.parametrize("heavy", [suffix.HEAVY, 3])
-def test_cut_repeats_awkward(awkward, heavy, monkeypatch):
-    """Also with nearly all shared grams split, as the commonest ones are."""
+@pytest.mark.parametrize(("heavy", "giant"), [(suffix.HEAVY, suffix.GIANT), (3, suffix.GIANT), (3, 2), (suffix.HEAVY, 1)])
+def test_cut_repeats_awkward(awkward, heavy, giant, monkeypatch):
+    """Also with nearly all shared grams split, as the commonest ones are, and with buckets not sorted."""
+    monkeypatch.setattr(suffix, "GIANT", giant)
     monkeypatch.setattr(suffix.heavy_grams, "__defaults__", (heavy, suffix.MAX_HEAVY))
     assert _cut(suffix.cut_repeats(awkward).collect()) == brute.cut_repeats(brute.texts_by_id(awkward))
 

@@ -18,7 +18,8 @@ All windows (strings of ``window`` bytes) are judged, without comparing or sorti
 A gram with very many occurrences (counted over all documents) is split: its windows fall into ``NODES`` ranges by
 how far they reach to the right, and for each range the bytes common to all its windows take the gram's
 place. Buckets of such longer strings are small unless the windows themselves are equal, and equal
-surroundings collapse ahead of the shuffle.
+surroundings collapse ahead of the shuffle. A bucket that keeps very many classes all the same is not
+sorted in one task: its windows are hashed (128 bits) and their first places found by an aggregation.
 """
 
 from __future__ import annotations
@@ -46,8 +47,10 @@ _FLUSH = 400_000
 _SORT_ROWS = 20_000
 _PLACE_BITS = np.uint64(28)
 
-#: Marks a position whose windows all start earlier.
-_WHOLE = -2
+#: Classes of a bucket from which on it is not sorted in one task.
+GIANT = 50_000
+#: Marks a position whose windows all start earlier; added to the node of rows of giant buckets.
+_WHOLE, _FROM_GIANT = -2, 100
 
 _NODE_LOW = np.array([k * (SIDE + 1) // NODES for k in range(NODES)])
 _NODE_HIGH = np.array([(k + 1) * (SIDE + 1) // NODES - 1 for k in range(NODES)])
@@ -223,9 +226,12 @@ def _deal(heavy, ranges: int):
     return run
 
 
-def _meet(rows: pd.DataFrame) -> pd.DataFrame:
+def _meet(giant: int):
     """Marks of one hash range: positions covered whole, and first members of classes to be sorted."""
+    return lambda rows: _meet_range(rows, giant)
 
+
+def _meet_range(rows: pd.DataFrame, giant: int) -> pd.DataFrame:
     def joined(part: pd.DataFrame, column: str, kind: type) -> np.ndarray:
         return np.concatenate([np.frombuffer(x, kind) for x in part[column]] or [np.zeros(0, kind)])
 
@@ -244,6 +250,8 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
     classes = np.bincount(group, first) if len(group) else np.zeros(0)
     sort = first & (classes[group] > 1) if len(group) else first
     cover = ~first & ~same
+    own_node = node[sort].astype(np.int32)
+    own_node[classes[group[sort]] > giant] += _FROM_GIANT
     passed_doc, passed_pos = joined(passed, "doc", np.int64), joined(passed, "pos", np.int32)
     others = int(cover.sum()) + len(passed_doc)
     return pd.DataFrame(
@@ -251,7 +259,7 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
             "doc": np.concatenate([doc[sort], doc[cover], passed_doc]),
             "pos": np.concatenate([pos[sort], pos[cover], passed_pos]),
             "bucket": np.concatenate([bucket[sort].view(np.int64), np.zeros(others, np.int64)]),
-            "node": np.concatenate([node[sort].astype(np.int32), np.full(others, _WHOLE, np.int32)]),
+            "node": np.concatenate([own_node, np.full(others, _WHOLE, np.int32)]),
         }
     )
 
@@ -281,6 +289,36 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every window around an anchor that its node stands for: two hashes and where it starts."""
+    for batch in batches:
+        node, pos, left = (batch.column(i).to_numpy().astype(np.int64) for i in (1, 3, 4))
+        node = node - _FROM_GIANT
+        around = batch.column(5).to_pylist()
+        size = np.array([len(x) for x in around], np.int64)
+        raw = np.frombuffer(b"".join(around), np.uint8)
+        base = np.cumsum(size) - size
+        one, two = PrefixHashes(raw), PrefixHashes(raw, _BYTE_TOO)
+        low = np.where(node < 0, 0, _NODE_LOW[node])
+        high = np.where(node < 0, SIDE, _NODE_HIGH[node])
+        found = []
+        for r in range(SIDE + 1):
+            begin = left - (SIDE - r)
+            fits = np.flatnonzero((low <= r) & (r <= high) & (begin >= 0) & (begin + WINDOW <= size))
+            a = base[fits] + begin[fits]
+            found.append((mix(one.of(a, a + WINDOW)), mix(two.of(a, a + WINDOW)), fits, pos[fits] - (SIDE - r)))
+        hashes, others, rows, start = (np.concatenate(c) for c in zip(*found))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(hashes.view(np.int64)),
+                pa.array(others.view(np.int64)),
+                batch.column(2).take(pa.array(rows)),
+                pa.array(start),
+            ],
+            names=["one", "two", "doc", "start"],
+        )
+
+
 def common_prefix(hashes: PrefixHashes, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
     """Length of the common prefix of the spans from a and b, at most ``most``: binary search on hashes."""
     low, high = np.zeros(len(a), np.int64), most.astype(np.int64)
@@ -505,7 +543,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     marks = materialized(
         long.mapInArrow(_deal(heavy, ranges), _PACKED)
         .groupBy("range")
-        .applyInPandas(_meet, "doc long, pos int, bucket long, node int")
+        .applyInPandas(_meet(GIANT), "doc long, pos int, bucket long, node int")
     )
     to_sort = (
         marks.filter(F.col("node") != _WHOLE)
@@ -515,15 +553,24 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     around = long.join(to_sort, "doc").mapInArrow(
         _surroundings, "bucket long, node int, doc long, pos long, left int, bytes binary"
     )
+    around = materialized(around)
     sorted_spans = (
-        around.repartition("bucket")
+        around.filter(F.col("node") < _FROM_GIANT - 1)
+        .repartition("bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_sort_buckets, "doc long, low long, high long")
     )
     whole = marks.filter(F.col("node") == _WHOLE).select(
         "doc", (F.col("pos") - SIDE).cast("long").alias("low"), (F.col("pos") + WINDOW).cast("long").alias("high")
     )
-    return materialized(sorted_spans).union(whole)
+    # Windows of giant buckets: the first place of each by partial aggregation, the others are spans.
+    windows = around.filter(F.col("node") >= _FROM_GIANT - 1).mapInArrow(
+        _windows, "one long, two long, doc long, start long"
+    )
+    first = windows.groupBy("one", "two").agg(F.min(F.struct("doc", "start")).alias("first"))
+    again = windows.join(first, ["one", "two"]).filter(F.struct("doc", "start") != F.col("first"))
+    giant = again.select("doc", F.col("start").alias("low"), (F.col("start") + WINDOW).alias("high"))
+    return materialized(sorted_spans.union(giant)).union(whole)
 
 
 def cut_repeats(
