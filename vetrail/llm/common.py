@@ -175,10 +175,3 @@ def shingle_lists(
 def signed(x: np.ndarray) -> np.ndarray:
     """The same bits as Spark's signed long."""
     return x.view(np.int64)
-
-
-def lists(flat: np.ndarray, sizes: list[int] | np.ndarray, kind: pa.DataType) -> pa.ListArray:
-    """A list column of consecutive slices of a flat array."""
-    at = np.zeros(len(sizes) + 1, np.int32)
-    np.cumsum(sizes, out=at[1:])
-    return pa.ListArray.from_arrays(pa.array(at), pa.array(flat, kind))

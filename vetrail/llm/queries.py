@@ -15,6 +15,7 @@ from vetrail.llm.langid import fit_languages, identify_languages
 from vetrail.llm.licenses import NOTICES, scan_templates
 from vetrail.llm.materialise import training_order
 from vetrail.llm.mixing import mix_sources
+from vetrail.llm.oracle import ORACLE
 from vetrail.llm.packing import pack_documents
 from vetrail.llm.quality import fit_quality, score_quality
 from vetrail.llm.suffix import cut_repeats
@@ -22,6 +23,8 @@ from vetrail.llm.vectors import near_duplicate_vectors
 
 TOKENIZER = "word_bpe_49k.json"
 
+__all__ = ["ORACLE", "QUERIES"]
+
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
@@ -83,16 +86,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_suffix_array_dedup": op1_suffix_array_dedup,
-    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
-    "op3_license_scans": op3_license_scans,
-    "op5_fingerprints": op5_fingerprints,
-    "op6_embedding_near_dedup": op6_embedding_near_dedup,
-    "op7_language_id": op7_language_id,
-    "op10_quality": op10_quality,
-    "op4_best_fit_packing": op4_best_fit_packing,
-    "op8_mixing": op8_mixing,
-    "op9_token_output": op9_token_output,
+    f.__name__: f
+    for f in (
+        op1_suffix_array_dedup,
+        op2_ngram_jaccard_join,
+        op3_license_scans,
+        op4_best_fit_packing,
+        op5_fingerprints,
+        op6_embedding_near_dedup,
+        op7_language_id,
+        op8_mixing,
+        op9_token_output,
+        op10_quality,
+    )
 }
-
-ORACLE: dict[str, str] = {}
