@@ -41,14 +41,14 @@ GRAM = 32
 SIDE = WINDOW - GRAM
 NODES = 8
 #: Occurrences of a gram from which on it is split.
-HEAVY = 20_000
+HEAVY = 8_000
 MAX_HEAVY = 100_000
 _FLUSH = 400_000
-_SORT_ROWS = 20_000
+_SORT_ROWS = 10_000
 _PLACE_BITS = np.uint64(28)
 
 #: Classes of a bucket from which on it is not sorted in one task.
-GIANT = 50_000
+GIANT = 16_000
 #: Marks a position whose windows all start earlier; added to the node of rows of giant buckets.
 _WHOLE, _FROM_GIANT = -2, 100
 
@@ -85,7 +85,10 @@ class PrefixHashes:
 
 
 def elected(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, PrefixHashes]:
-    """Positions elected by at least one window of a block of texts, and their gram hashes."""
+    """Positions elected by at least one window of a block of texts, and their gram hashes.
+
+    A block, and so a single text, may have 256 MB.
+    """
     hashes = PrefixHashes(raw)
     n = len(raw)
     none = np.zeros(0, np.int64)
@@ -440,8 +443,8 @@ def _false_claims(raw, anchor, source, earliest, latest) -> np.ndarray:
     for r, (again, origin) in source.items():
         ends = (earliest[again] == r) | (latest[again] == r)
         again, origin = again[ends], origin[ends]
-        for s in range(0, len(again), 50_000):
-            a, o = again[s : s + 50_000], origin[s : s + 50_000]
+        for s in range(0, len(again), 5_000):
+            a, o = again[s : s + 5_000], origin[s : s + 5_000]
             one = raw[(anchor[a] - (SIDE - r))[:, None] + span]
             two = raw[(anchor[o] - (SIDE - r))[:, None] + span]
             wrong.append(a[(one != two).any(axis=1)])
@@ -570,7 +573,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     first = windows.groupBy("one", "two").agg(F.min(F.struct("doc", "start")).alias("first"))
     again = windows.join(first, ["one", "two"]).filter(F.struct("doc", "start") != F.col("first"))
     giant = again.select("doc", F.col("start").alias("low"), (F.col("start") + WINDOW).alias("high"))
-    return materialized(sorted_spans.union(giant)).union(whole)
+    return materialized(sorted_spans).union(materialized(giant)).union(whole)
 
 
 def cut_repeats(
