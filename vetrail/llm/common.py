@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from vetrail.operators.ordered import broadcast_if_small
 from vetrail.session import fresh_folder, with_package
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 BATCH_BYTES = 8 << 20
 SHINGLE_WORDS = 5
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"

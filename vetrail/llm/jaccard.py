@@ -52,7 +52,7 @@ HOT, BLOCK_DOCS = 64, 512
 MAP_BITS = 4096
 #: Turns with random partners at most, and how many open pairs per row need none.
 MAX_TURNS, FEW_PAIRS = 3, 8
-_FLUSH = 1 << 20
+_FLUSH = 1 << 19
 
 _EDGES = np.array(sorted({int(np.ceil(1.25**k)) for k in range(90)}), np.int64)
 
@@ -289,8 +289,8 @@ def _verify(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
                 a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
                 heads = [i for i in range(len(a)) if not i or a[i] != a[i - 1]]
                 of_a = dict(zip((a[i] for i in heads), sets(part.column(2).take(pa.array(heads)))))

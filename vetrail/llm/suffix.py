@@ -43,7 +43,7 @@ NODES = 8
 #: Occurrences of a gram from which on it is split.
 HEAVY = 8_000
 MAX_HEAVY = 100_000
-_FLUSH = 400_000
+_FLUSH = 200_000
 _SORT_ROWS = 10_000
 _PLACE_BITS = np.uint64(28)
 

@@ -13,7 +13,7 @@ import numpy as np
 from vetrail.llm.common import span_hashes, word_spans
 
 LONGEST = 64
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 #: A word of its own that no text word equals: words holding it are encoded one by one.
 _MARK = "\x01"
 
