@@ -1,11 +1,14 @@
 """Suffix-array dedup and n-gram Jaccard join against brute force."""
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from llm import brute
 from pyspark.sql import functions as F
 
 from vetrail.llm import jaccard, suffix
+from vetrail.llm.common import buffers
 from vetrail.llm.components import connected_components
 from vetrail.llm.queries import QUERIES
 
@@ -109,6 +112,30 @@ def test_jaccard_hot_groups(awkward, turns, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in found} == brute.jaccard_components(brute.texts_by_id(awkward))
 
 
+def test_blocks_keep_pairs_without_a_map():
+    tokens = np.arange(1, 200, dtype=np.uint64)
+    bits = [None, jaccard.bit_map(tokens).tobytes(), None]
+    rows = pd.DataFrame({"_i": 0, "_j": 0, "_own": 0, "doc": [1, 2, 3], "component": [1, 2, 3], "n": 199, "bits": bits})
+    found = jaccard._compare_blocks(80)(rows)
+    assert sorted(zip(found["a"], found["b"])) == [(1, 2), (1, 3), (2, 3)]
+
+
+def test_hot_documents_of_rare_tokens(spark):
+    """A hot token that counts as rare: an all-rare document meets a mixed one, and one far from both."""
+    words = [f"w{k}" for k in range(200)]
+    texts = [words, [*words[:199], "x"], words[:20] + [f"y{k}" for k in range(180)]]
+    lists = [list(jaccard.shingle_lists(*buffers(pa.array([" ".join(t)]))))[0] for t in texts]
+    facts = [(k, len(t), None if k != 1 else jaccard.bit_map(t).tobytes()) for k, t in enumerate(lists)]
+    hot = spark.createDataFrame([(7, k, k) for k in range(3)], "sig long, doc long, component long")
+    found = jaccard._hot_pairs(
+        hot,
+        spark.createDataFrame(facts, "doc long, n long, bits binary"),
+        spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc long, text string"),
+        80,
+    )
+    assert [tuple(r) for r in found.collect()] == [(0, 1)]
+
+
 def test_signatures_always_meet():
     """Any two sets that link share a signature, whatever the classes are."""
     rng = np.random.default_rng(11)

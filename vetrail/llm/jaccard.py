@@ -207,6 +207,7 @@ def _compare_blocks(percent: int):
         n, m = left["n"].to_numpy(np.int64)[:, None], right["n"].to_numpy(np.int64)[None]
         needed = -(-percent * (n + m) // (100 + percent))
         open_ = (one.sum(axis=1)[:, None] - both <= n - needed) & (two.sum(axis=1)[None] - both <= m - needed)
+        open_ |= left["bits"].isna().to_numpy()[:, None] | right["bits"].isna().to_numpy()[None]
         open_ &= (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
         open_ &= left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None]
         a, b = left["doc"].to_numpy(np.int64), right["doc"].to_numpy(np.int64)
@@ -218,7 +219,30 @@ def _compare_blocks(percent: int):
     return compare
 
 
-def _hot_pairs(hot: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+def _map_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, raw, at in text_blocks(batches):
+        maps = [bit_map(tokens).tobytes() for tokens in shingle_lists(raw, at)]
+        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(maps, pa.binary())], names=["doc", "bits"])
+
+
+def _mapped(facts: DataFrame, texts: DataFrame, members: DataFrame) -> DataFrame:
+    """(doc, n, bits) of the members. A prefix of rare tokens has no map yet: tokens beyond the bound on
+    frequent ones count as rare however many documents hold them. An id of several such texts stays without."""
+    known = facts.join(members.select("doc").distinct(), "doc", "left_semi").select("doc", "n", "bits")
+    known = known.dropDuplicates(["doc"])
+    bare = materialized(known.filter(F.col("bits").isNull()).select("doc"))
+    drawn = (
+        texts.join(broadcast_ids(bare), "doc", "left_semi")
+        .mapInArrow(_map_sets, "doc long, bits binary")
+        .groupBy("doc")
+        .agg(F.min("bits").alias("_drawn"), F.max("bits").alias("_other"))
+        .filter(F.col("_drawn") == F.col("_other"))
+        .select("doc", "_drawn")
+    )
+    return known.join(drawn, "doc", "left").select("doc", "n", F.coalesce("bits", "_drawn").alias("bits"))
+
+
+def _hot_pairs(hot: DataFrame, facts: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs to verify of documents that meet under hot signatures: clusters, compared block by block."""
     lead = hot.groupBy("sig").agg(F.min("doc").alias("a"))
     members = hot.select("doc", "component").distinct()
@@ -235,7 +259,7 @@ def _hot_pairs(hot: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     )
     return (
         members.join(blocks, "doc")
-        .join(facts.select("doc", "n", "bits").dropDuplicates(["doc"]), "doc")
+        .join(_mapped(facts, texts, members), "doc")
         .withColumn("_own", F.pmod(F.xxhash64("doc", F.lit("block")), F.col("_blocks")).cast("int"))
         .withColumn("_pair", F.explode(pairs))
         .select("_cluster", "_pair._i", "_pair._j", "_own", "doc", "component", "n", "bits")
@@ -426,7 +450,7 @@ def jaccard_components(
     # Then all pairs that meet across components.
     sizes = mixed.groupBy("sig").agg(F.count(F.lit(1)).alias("_docs"))
     mixed = materialized(mixed.join(sizes, "sig"))
-    hot = _hot_pairs(mixed.filter(F.col("_docs") > HOT), filled, percent)
+    hot = _hot_pairs(mixed.filter(F.col("_docs") > HOT), filled, texts, percent)
     cold = mixed.filter(F.col("_docs") <= HOT).drop("_docs")
     other = cold.select("sig", F.col("doc").alias("b"), F.col("component").alias("_other"))
     across = (
