@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetrail.llm.common import broadcast_ids, table
+from vetrail.llm.common import broadcast_ids, table, written
 from vetrail.llm.jaccard import jaccard_components
 from vetrail.llm.langid import UNKNOWN, fit_languages, identify_languages
 from vetrail.llm.mixing import mix_sources
@@ -24,6 +24,21 @@ TOKENIZER = "word_bpe_49k.json"
 AMBIGUOUS = 0.01
 
 
+def _row_keys(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows and the column that tells them apart: ``doc_id``, or where ids repeat or are null a written row
+    number that follows the ids, null last."""
+    odd = docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count()
+    if not odd:
+        return docs, "doc_id"
+    key = "_row"
+    while key in docs.columns:
+        key = f"_{key}"
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return written(rows.withColumn(key, F.monotonically_increasing_id())), key
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a language (no letter) or with an ambiguous one go."""
     taken = {c: f"_{c}_of_docs" for c in ("lang_pred", "score", "ambiguous", "_letters") if c in docs.columns}
@@ -33,28 +48,33 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest id stays, once."""
-    classes = jaccard_components(docs)
-    gone = materialized(
-        classes.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    )
-    kept = docs.join(broadcast_ids(gone), "doc_id", "left_anti").select(docs.columns)
-    repeated = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    """Of each group of near-duplicates the row of the smallest id stays, null ids last.
+
+    Rows are told apart by themselves: rows of one id stay unless their texts are near-duplicates.
+    """
+    rows, key = _row_keys(docs)
+    classes = jaccard_components(rows, id_column=key)
+    gone = materialized(classes.filter(F.col(key) != F.col("component_id")).select(key))
+    return rows.join(broadcast_ids(gone), key, "left_anti").select(docs.columns)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes that repeat earlier ones are cut out; characters cut through are dropped."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    cut = cut_repeats(docs, keep=others)
+    """Bytes that repeat earlier ones are cut out; characters cut through are dropped.
+
+    Rows that share an id or have none are documents of their own here, null ids last.
+    """
+    rows, key = _row_keys(docs)
+    others = [c for c in docs.columns if c not in (key, "text", "n_chars")]
+    cut = cut_repeats(rows, id_column=key, keep=others)
     cut = cut.withColumnRenamed("kept_text", "text")
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    mixed = mix_sources(docs).filter("copies > 0").select("doc_id", F.col("copies").alias("_copies"))
-    rows = docs.join(broadcast_ids(materialized(mixed)), "doc_id")
+    """Each row as often as the mix takes it, whether or not it has an id of its own."""
+    rows, key = _row_keys(docs)
+    mixed = mix_sources(rows, id_column=key).filter("copies > 0").select(key, F.col("copies").alias("_copies"))
+    rows = rows.join(broadcast_ids(materialized(mixed)), key)
     return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(docs.columns)
 
 

@@ -59,6 +59,29 @@ def test_stages_on_awkward_documents(spark, sf_dir):
     _check(_stages(spark, materialized(docs.union(docs.limit(3))), sf_dir))
 
 
+def test_rows_without_an_id_of_their_own(spark, sf_dir):
+    """Null ids and different texts under one id stay through near-duplicate removal, cuts and mixing."""
+    def prose(tag):
+        return " ".join(f"{tag}word{k}" for k in range(40))
+
+    shared = prose("shared")
+    ids = [(None, "a"), (None, "b"), (None, "a"), (1, "c"), (1, "d"), (1, "c"), (2, "e"), (None, "e")]
+    rows = [(i, prose(t), "en", "s", 0) for i, t in ids]
+    rows += [(3, f"{prose('f')} {shared}", "en", "s", 0), (3, f"{prose('g')} {shared}", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    near = materialized(corpus_pipeline.jaccard_join(spark, docs, sf_dir))
+    key = lambda r: (r["doc_id"] or 0, r["text"])
+    wanted = {(0, prose("a")), (0, prose("b")), (1, prose("c")), (1, prose("d")), (2, prose("e"))}
+    wanted |= {(3, rows[-1][1]), (3, rows[-2][1])}
+    assert sorted(map(key, near.collect())) == sorted(wanted)
+    cut = materialized(corpus_pipeline.suffix_array_dedup(spark, near, sf_dir))
+    texts = sorted(map(key, cut.collect()))
+    assert [t for t in texts if t[0] < 3] == sorted(t for t in wanted if t[0] < 3)
+    assert sorted(len(t) < 600 for i, t in texts if i == 3) == [False, True]
+    mixed = list(map(key, corpus_pipeline.mixing(spark, cut, sf_dir).collect()))
+    assert set(mixed) == set(texts) and max(mixed.count(t) for t in texts) <= 2
+
+
 def test_run_is_the_stages(spark, sf_dir):
     found = corpus_pipeline.run(spark, sf_dir)
     docs = _stages(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)[-1]
