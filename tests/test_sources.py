@@ -5,7 +5,7 @@ from datetime import date
 
 import pytest
 from vetrail.operators import quality
-from vetrail.plans import feature_pipeline, scoring
+from vetrail.plans import feature_pipeline, queries, scoring
 from vetrail.sources import readers, schemas, sinks
 
 
@@ -178,3 +178,15 @@ def test_documents_become_lines(spark, tmp_path):
     readers.document_to_lines(spark, str(folder), str(tmp_path / "lines"))
     rows = readers.read_recalls(spark, {"s": str(tmp_path / "lines")}, ["recalling_firm", "status"], lines=True)
     assert sorted(r["recalling_firm"] for r in rows.collect()) == ["A", "B"]
+
+
+def test_bulk_documents_follow_the_table(spark, tmp_path):
+    """Documents stay bounded as the table grows, and every record of every one of them is read."""
+    lines = spark.range(120_000).selectExpr(
+        "id * 5 as l_orderkey", "id % 3 as l_suppkey", "if(id % 2 = 0, 'A', 'N') as l_returnflag"
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    sizes = [r["value"].count("recalling_firm") for r in queries._bulk_documents(lines).collect()]
+    assert len(sizes) == 60 and max(sizes) == 2000
+    found = queries.document_recalls(spark, str(tmp_path)).collect()
+    assert sorted(r["n"] for r in found) == [20_000] * 6

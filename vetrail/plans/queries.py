@@ -1220,18 +1220,27 @@ def json_recalls(spark, sf_dir):
     ).withColumnRenamed("_source", "source")
 
 
-@query
-def document_recalls(spark, sf_dir):
-    """Bulk documents, one object with a results array per file, turned into lines and read."""
-    folder = fresh_folder(spark)
-    items = d.table(spark, sf_dir, "lineitem").select(
-        F.pmod("l_orderkey", F.lit(8)).alias("part"), F.col("l_suppkey").cast("string").alias("recalling_firm"),
+#: Order keys whose lines make one bulk document: its size is bounded, their number follows the table.
+DOCUMENT_KEYS = 10_000
+
+
+def _bulk_documents(lines):
+    """(part, value): documents of a results array, one per range of order keys."""
+    items = lines.select(
+        F.floor(F.col("l_orderkey") / DOCUMENT_KEYS).alias("part"), F.col("l_suppkey").cast("string").alias("recalling_firm"),
         F.col("l_returnflag").alias("classification"),
     )
-    documents = items.groupBy("part").agg(
+    return items.groupBy("part").agg(
         F.to_json(F.struct(F.collect_list(F.struct("recalling_firm", "classification")).alias("results"))).alias("value")
     )
-    documents.select("value").repartition(8).write.text(f"{folder}/documents")
+
+
+@query
+def document_recalls(spark, sf_dir):
+    """Bulk documents, one object with a results array per file, turned into lines and read."""
+    folder = fresh_folder(spark)
+    # A folder per document: a file never holds two.
+    _bulk_documents(d.table(spark, sf_dir, "lineitem")).write.partitionBy("part").text(f"{folder}/documents")
     readers.document_to_lines(spark, f"{folder}/documents", f"{folder}/lines")
     rows = readers.read_recalls(spark, {"bulk": f"{folder}/lines"}, ["recalling_firm", "classification"], lines=True)
     return rows.groupBy("recalling_firm", "classification").agg(F.count("*").alias("n"))
