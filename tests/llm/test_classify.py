@@ -1,6 +1,7 @@
 """Language identification, quality, fingerprints, license scans, embeddings."""
 
 import hashlib
+import pickle
 import zlib
 
 import numpy as np
@@ -244,6 +245,59 @@ def test_embedding_awkward(spark, monkeypatch):
     assert vectors.near_duplicate_vectors(table.limit(0)).count() == 0
 
 
+def _shard(ids, exact):
+    return pd.DataFrame({"ids": [np.array(ids, np.int64).tobytes()], "exact": [exact.tobytes()], "graph": [pickle.dumps([])]})
+
+
+def test_audit_sees_sparse_links(monkeypatch):
+    """A graph that finds nothing but the asked vector itself: three links among 600 vectors are still found."""
+    exact = vectors._units(np.random.default_rng(4).normal(size=(600, 24)))
+    exact[[100, 300, 501]] = exact[[101, 302, 7]]
+    own = lambda graph, exact, queries, beam, threshold: (np.arange(len(queries)),) * 2
+    monkeypatch.setattr(vectors, "_links", own)
+    shard = _shard(range(600), exact)
+    ties = vectors._search_shard(0.98)(shard, shard)
+    assert sorted(zip(ties["b"], ties["a"])) == [(7, 501), (100, 101), (300, 302)]
+
+
+def test_audit_counts_queries_not_pairs(monkeypatch):
+    """A hot group does not outvote small ones: the beam is widened until these are found."""
+    rng = np.random.default_rng(6)
+    exact = vectors._units(rng.normal(size=(1600, 24)))
+    exact[:800] = exact[0]
+    exact[800::2] = exact[801::2]
+    beams = []
+
+    def links(graph, exact, queries, beam, threshold):
+        beams.append(beam)
+        rows, nodes = np.nonzero(queries @ exact.T >= threshold)
+        kept = (rows < 800) | (beam > vectors.FIRST_BEAM)
+        return rows[kept], nodes[kept]
+
+    monkeypatch.setattr(vectors, "_links", links)
+    shard = _shard(range(1600), exact)
+    ties = vectors._search_shard(0.98)(shard, shard)
+    assert beams == [32, 64] and len(ties) == 799 + 400
+
+
+def test_embedding_large_label(spark):
+    """Some thousand distinct vectors of one label over several shards, duplicates in few of them."""
+    rng = np.random.default_rng(12)
+    exact = rng.normal(size=(3000, 24))
+    twins = rng.permutation(3000)[:120].reshape(-1, 2)
+    exact[twins[:, 1]] = exact[twins[:, 0]] + rng.normal(size=(60, 24)) * 0.02
+    rows = [(k, v.tolist(), "a") for k, v in enumerate(exact)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    found = vectors.near_duplicate_vectors(frame, shard_rows=1000).collect()
+    unit = vectors._units(exact)
+    a, b = np.nonzero(np.triu(unit @ unit.T >= vectors.THRESHOLD, 1))
+    groups = brute.Groups(range(3000))
+    for i, j in zip(a.tolist(), b.tolist()):
+        groups.join(i, j)
+    assert len(a) >= 60
+    assert {r["vec_id"]: r["component_id"] for r in found} == {k: groups.find(k) for k in range(3000)}
+
+
 def test_graph_recall():
     rng = np.random.default_rng(0)
     v = rng.normal(size=(3000, 16)).astype(np.float32)

@@ -3,8 +3,10 @@
 1. Equal vectors of a label collapse to one with a multiplicity.
 2. A label's distinct vectors are dealt over shards of a bounded size, and each shard gets a hierarchical
    navigable small-world graph. Every shard is queried with all vectors of the label, in blocks of shard
-   size. The beam is widened until an audit passes: for a sample of the queries all links of the shard are
-   worked out by brute force, and their ends must be in one component of what was found.
+   size. The beam is widened until an audit passes: for queries drawn at random all links of the shard but
+   those to themselves are worked out by brute force, until enough queries with links are drawn or no query is
+   left. Their ends must be in one component of what was found, as a mean of shares per query. If no query
+   is left, all links are known and the graph is not asked.
 3. A query and its verified links leave the task as ties to the smallest member of their local component,
    never as pairs, and the components are joined across tasks.
 4. Inside a component the links are counted exactly, block against block, so a count does not depend on what
@@ -27,7 +29,8 @@ from vetrail.session import materialized
 THRESHOLD = 0.98
 SHARD_ROWS = 8192
 FIRST_BEAM = 32
-AUDIT_ROWS = 128
+#: Queries with links that an audit needs, and how many queries are drawn at a time.
+AUDIT_ROWS, AUDIT_DRAW = 128, 512
 AUDIT_RECALL = 0.99
 COUNT_ROWS = 2048
 _SLACK = 1e-4
@@ -65,6 +68,35 @@ def _links(graph: Hnsw, exact: np.ndarray, queries: np.ndarray, beam: int, thres
     return np.concatenate(rows), np.concatenate(nodes)
 
 
+def _audit(
+    exact: np.ndarray, queries: np.ndarray, node_at: np.ndarray, query_at: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray, bool]:
+    """(query row, node) of all links of the drawn queries, and whether every query was drawn."""
+    order = np.random.default_rng(len(queries)).permutation(len(queries))
+    single, step = exact.astype(np.float32), max(1, (1 << 22) // max(1, exact.shape[1]))
+    rows, nodes, linked, end = [], [], 0, 0
+    while end < len(order) and linked < AUDIT_ROWS:
+        drawn = order[end : end + (AUDIT_DRAW if end else AUDIT_ROWS)]
+        end += len(drawn)
+        r, node = np.nonzero(queries[drawn].astype(np.float32) @ single.T >= threshold - _SLACK)
+        row = drawn[r]
+        for s in range(0, len(row), step):
+            a, b = row[s : s + step], node[s : s + step]
+            links = np.einsum("kd,kd->k", queries[a], exact[b]) >= threshold
+            links &= query_at[a] != node_at[b]
+            rows.append(a[links])
+            nodes.append(b[links])
+        linked = len(np.unique(np.concatenate(rows))) if rows else 0
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *rows]), np.concatenate([none, *nodes]), end >= len(order)
+
+
+def _recall(rows: np.ndarray, held: np.ndarray) -> float:
+    """Mean over the queries of the share of their links that is held."""
+    _, which = np.unique(rows, return_inverse=True)
+    return float((np.bincount(which, held) / np.bincount(which)).mean())
+
+
 def _build_shard(rows: pd.DataFrame) -> pd.DataFrame:
     """One row per shard: its ids, vectors and graph."""
     rows = rows.sort_values("vec_id", kind="stable")
@@ -90,20 +122,20 @@ def _search_shard(threshold: float):
         ids, query_ids = np.frombuffer(own["ids"], np.int64), np.frombuffer(asked["ids"], np.int64)
         exact = np.frombuffer(own["exact"], np.float64).reshape(len(ids), -1)
         queries = np.frombuffer(asked["exact"], np.float64).reshape(len(query_ids), -1)
-        graph = Hnsw(exact.astype(np.float32), pickle.loads(own["graph"]))
         names, place = np.unique(np.concatenate([ids, query_ids]), return_inverse=True)
         node_at, query_at = place[: len(ids)], place[len(ids) :]
-        audit = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT_ROWS, len(queries))).astype(int))
-        true_rows, true_nodes = np.nonzero(queries[audit] @ exact.T >= threshold)
-        true_rows = audit[true_rows]
-        beam = FIRST_BEAM
-        while True:
+        true_rows, true_nodes, every = _audit(exact, queries, node_at, query_at, threshold)
+        rows, nodes, beam = true_rows, true_nodes, FIRST_BEAM
+        graph = None if every else Hnsw(exact.astype(np.float32), pickle.loads(own["graph"]))
+        while not every:
             rows, nodes = _links(graph, exact, queries, min(beam, len(ids)), threshold)
             root = _roots(len(names), query_at[rows], node_at[nodes])
             held = root[query_at[true_rows]] == root[node_at[true_nodes]]
-            if beam >= len(ids) or not len(held) or held.mean() >= AUDIT_RECALL:
+            if beam >= len(ids) or _recall(true_rows, held) >= AUDIT_RECALL:
+                rows, nodes = np.concatenate([rows, true_rows]), np.concatenate([nodes, true_nodes])
                 break
             beam *= 2
+        root = _roots(len(names), query_at[rows], node_at[nodes])
         tied = np.flatnonzero(root != np.arange(len(names)))
         return pd.DataFrame({"a": names[tied], "b": names[root[tied]]})
 
