@@ -124,6 +124,27 @@ def test_training_order_round_trip(spark, sf_dir, tmp_path):
     assert [r["slot"] for r in part] == [5, 6, 7, 8]
 
 
+def test_binary_shards(awkward, spark, tmp_path):
+    """One file of fixed-stride records per shard, read by offset; a second run writes only what is broken."""
+    folder = f"{tmp_path}/shards"
+    ordered = materialise.training_order(awkward, FILE, tokens=64, shard_rows=16)
+    rows = materialise.written_shards(ordered, folder).toPandas().sort_values("slot")
+    files = sorted(p.name for p in (tmp_path / "shards").iterdir())
+    count = -(-len(rows) // 16)
+    assert files == sorted(f"shard-{k:08d}.{e}" for k in range(count) for e in ("bin", "json")) and count > 3
+    data = [(tmp_path / "shards" / f"shard-{k:08d}.bin").read_bytes() for k in range(count)]
+    assert b"".join(data) == b"".join(rows["payload"])
+    found = sorted(map(tuple, materialise.shard_manifest(spark, folder).collect()))
+    assert found == [(k, len(d) // 128, 128, zlib.crc32(d)) for k, d in enumerate(data)]
+    wanted = [bytes(p) for p in rows["payload"][13:37]]
+    assert list(materialise.read_records(folder, 13, 37, 128, 16)) == wanted
+    (tmp_path / "shards" / "shard-00000001.bin").write_bytes(b"cut")
+    kept = (tmp_path / "shards" / "shard-00000000.bin").stat().st_mtime_ns
+    materialise.written_shards(ordered, folder).count()
+    assert (tmp_path / "shards" / "shard-00000001.bin").read_bytes() == data[1]
+    assert (tmp_path / "shards" / "shard-00000000.bin").stat().st_mtime_ns == kept
+
+
 def test_training_order_awkward(awkward):
     rows = materialise.training_order(awkward, FILE).toPandas()
     assert sorted(rows["slot"]) == list(range(len(rows)))

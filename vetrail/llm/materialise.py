@@ -3,19 +3,24 @@
 Sequences are numbered without gaps, and a keyed Feistel permutation gives each number its global slot:
 a few rounds on the halves of the number, over the smallest even number of bits that holds all numbers;
 results outside the range walk the cycle until they are inside. So the training order is known without a
-sort of the corpus, any slot's sequence can be told by the inverse, and shard ``slot // shard_rows`` is
-written by one range of slots. A record has ``stride`` bytes: token ids as 16-bit little-endian
+sort of the corpus, any slot's sequence can be told by the inverse, and shard ``slot // shard_rows`` lies
+in one partition. Its task writes it as one file of nothing but records, under a temporary name until it is
+whole, with a line of its manifest beside it. A record has ``stride`` bytes: token ids as 16-bit little-endian
 numbers, padded with the end id. Record r of a shard starts at ``r * stride``, so a reader resumes
-anywhere by arithmetic.
+anywhere by arithmetic, and a writer that runs again keeps the shards that are whole.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -105,7 +110,7 @@ def training_order(
 ) -> DataFrame:
     """All sequences in training order: slot, shard, id, piece, n_tokens, payload.
 
-    The result is range-partitioned and sorted by slot; the slots are 0 to the number of sequences less
+    Each shard lies in one partition, sorted by slot; the slots are 0 to the number of sequences less
     one. Null and empty texts are one sequence of the end id. Repeated rows are sequences of their own. Other
     columns are not read. An empty table gives an empty result. Sequences are written once with their place
     in the table, so every later read, also after a lost executor, gives the same slots.
@@ -129,12 +134,94 @@ def training_order(
     )
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
-        placed.repartitionByRange(ranges, "slot")
+        placed.withColumn("shard", F.floor(F.col("slot") / shard_rows))
+        .repartition(ranges, "shard")
         .sortWithinPartitions("slot")
-        .withColumn("shard", F.floor(F.col("slot") / shard_rows))
     )
 
 
+def _store(folder: str) -> tuple[fs.FileSystem, str]:
+    if folder.startswith("file:"):
+        folder = "/" + folder[5:].lstrip("/")
+    return fs.FileSystem.from_uri(folder)
+
+
+def _shard_name(shard: int) -> str:
+    return f"shard-{shard:08d}"
+
+
+def _put(store: fs.FileSystem, path: str, data: bytes) -> None:
+    """Write under a temporary name, then rename."""
+    under = f"{path}.{uuid.uuid4().hex}.tmp"
+    with store.open_output_stream(under) as out:
+        out.write(data)
+    store.move(under, path)
+
+
+def _whole(store: fs.FileSystem, path: str, entry: dict) -> bool:
+    """Whether an earlier run left this very shard."""
+    if any(i.type == fs.FileType.NotFound for i in store.get_file_info([f"{path}.bin", f"{path}.json"])):
+        return False
+    with store.open_input_stream(f"{path}.json") as told, store.open_input_stream(f"{path}.bin") as data:
+        return json.loads(told.read()) == entry and zlib.crc32(data.read()) == entry["crc32"]
+
+
+def _write_shard(store: fs.FileSystem, root: str, shard: int, records: list[bytes]) -> None:
+    path, data = f"{root}/{_shard_name(shard)}", b"".join(records)
+    entry = {"shard": shard, "n_rows": len(records), "stride": len(records[0]), "crc32": zlib.crc32(data)}
+    if not _whole(store, path, entry):
+        _put(store, f"{path}.bin", data)
+        _put(store, f"{path}.json", json.dumps(entry).encode())
+
+
+def written_shards(ordered: DataFrame, folder: str) -> DataFrame:
+    """The rows of ``training_order``; the task that hands on a shard has written its file into ``folder``.
+
+    ``folder`` is one that all executors reach; Arrow opens it. Files are there when all rows have been read.
+    A shard, ``shard_rows`` records, is held in memory. Shards of an earlier run that are whole stay.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _store(folder)
+        store.create_dir(root, recursive=True)
+        now, records = None, []
+        for batch in batches:
+            shards = batch.column(batch.schema.get_field_index("shard")).to_pylist()
+            payloads = batch.column(batch.schema.get_field_index("payload")).to_pylist()
+            for shard, payload in zip(shards, payloads):
+                if shard != now and records:
+                    _write_shard(store, root, now, records)
+                    records = []
+                now = shard
+                records.append(payload)
+            yield batch
+        if records:
+            _write_shard(store, root, now, records)
+
+    bounded_batches(ordered)
+    return ordered.mapInArrow(run, ordered.schema)
+
+
+def shard_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """(shard, n_rows, stride, crc32) of the shards that are whole."""
+    files = spark.read.schema("shard long, n_rows long, stride long, crc32 long")
+    return files.option("pathGlobFilter", "shard-*.json").json(folder)
+
+
+def read_records(folder: str, start: int, stop: int, stride: int, shard_rows: int = SHARD_ROWS) -> Iterator[bytes]:
+    """Records of slots start to stop-1 by offset; nothing before them is read."""
+    store, root = _store(folder)
+    while start < stop:
+        shard, row = divmod(start, shard_rows)
+        n = min(stop - start, shard_rows - row)
+        with store.open_input_file(f"{root}/{_shard_name(shard)}.bin") as file:
+            data = file.read_at(n * stride, row * stride)
+        if len(data) != n * stride:
+            raise ValueError(f"shard {shard} ends before slot {start + n - 1}")
+        yield from (data[k : k + stride] for k in range(0, len(data), stride))
+        start += n
+
+
 def write_shards(sequences: DataFrame, folder: str) -> None:
     """Write the result of ``training_order``; files follow the slots, so a range is read from few."""
     sequences.write.mode("errorifexists").parquet(folder)

@@ -13,13 +13,14 @@ from vetrail.llm.fingerprint import fingerprints
 from vetrail.llm.jaccard import jaccard_components
 from vetrail.llm.langid import fit_languages, identify_languages
 from vetrail.llm.licenses import NOTICES, scan_templates
-from vetrail.llm.materialise import training_order
+from vetrail.llm.materialise import training_order, written_shards
 from vetrail.llm.mixing import mix_sources
 from vetrail.llm.oracle import ORACLE
 from vetrail.llm.packing import pack_documents
 from vetrail.llm.quality import fit_quality, score_quality
 from vetrail.llm.suffix import cut_repeats
 from vetrail.llm.vectors import near_duplicate_vectors
+from vetrail.session import fresh_folder
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -74,7 +75,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    """All sequences in training order; their tasks write the shards into a new shared folder."""
+    ordered = training_order(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return written_shards(ordered, f"{fresh_folder(spark)}/shards")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
