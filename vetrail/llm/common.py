@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +50,13 @@ def written(rows: DataFrame, compression: str = "zstd") -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def shared_store(folder: str) -> tuple[fs.FileSystem, str]:
+    """The store of a shared folder and the folder's path in it, for files that tasks write themselves."""
+    if folder.startswith("file:"):
+        folder = "/" + folder[5:].lstrip("/")
+    return fs.FileSystem.from_uri(folder)
+
+
 #: Ids (with a number) that may be broadcast: 16 bytes each. More are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 

@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vetrail.llm.clusters import centroid_clusters
+from vetrail.llm.codes import vector_codes
 from vetrail.llm.common import table
 from vetrail.llm.fingerprint import fingerprints
 from vetrail.llm.jaccard import jaccard_components
@@ -19,6 +21,7 @@ from vetrail.llm.oracle import ORACLE
 from vetrail.llm.packing import pack_documents
 from vetrail.llm.quality import fit_quality, score_quality
 from vetrail.llm.suffix import cut_repeats
+from vetrail.llm.urls import build_digest_array, filter_urls, rules_table
 from vetrail.llm.vectors import near_duplicate_vectors
 from vetrail.session import fresh_folder
 
@@ -88,6 +91,29 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(rows, model).drop("text")
 
 
+#: (host, path, verdict) as the query's contract states them.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return filter_urls(pages, build_digest_array(rules_table(spark, URL_RULES)))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -101,5 +127,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_token_output,
         op10_quality,
+        op11_url_filters,
+        op12_vector_codes,
+        op13_centroid_clusters,
     )
 }
