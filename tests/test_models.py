@@ -169,13 +169,13 @@ def trees(rows):
     return train.fit_boosted_trees(rows, NAMES, positive_weight=None, trees=5, depth=3)
 
 
-def test_tree_contributions_add_up(spark, rows, trees, tmp_path):
-    found = explain.tree_contributions(trees, rows, NAMES, "inspection_id", str(tmp_path / "m"), ("target_oai",))
+def test_tree_contributions_add_up(spark, rows, trees):
+    found = explain.tree_contributions(trees, rows, NAMES, "inspection_id", ("target_oai",))
     base = explain.base_margin(trees)
     total = F.aggregate("contributions", F.lit(base), lambda a, x: a + x)
     off = found.select(
         F.max(F.abs(total - F.col("margin"))),
-        F.max(F.abs(1 / (1 + F.exp(-2 * total)) - F.col("risk_score"))),
+        F.max(F.abs(1 / (1 + F.exp(-total)) - F.col("risk_score"))),
         F.count("*"),
     ).first()
     assert off[0] < 1e-9 and off[1] < 1e-9 and off[2] == 1200
@@ -196,21 +196,20 @@ def test_tree_contributions_add_up(spark, rows, trees, tmp_path):
     assert {r["case"] for r in cases.collect()} >= {"true_positive"}
 
 
-def test_contributions_of_repeated_ids_stay_in_their_rows(spark, rows, trees, tmp_path):
+def test_contributions_of_repeated_ids_stay_in_their_rows(spark, rows, trees):
     twice = rows.unionByName(rows.withColumn("x", F.col("x") + 3))
-    found = explain.tree_contributions(trees, twice, NAMES, "inspection_id", str(tmp_path / "m"))
+    found = explain.tree_contributions(trees, twice, NAMES, "inspection_id")
     total = F.aggregate("contributions", F.lit(explain.base_margin(trees)), lambda a, x: a + x)
     off = found.select(F.max(F.abs(total - F.col("margin"))), F.count("*")).first()
     assert off[0] < 1e-9 and off[1] == 2400
     plan = found._jdf.queryExecution().executedPlan().toString()
-    rows_part = plan.split("Subquery")[0]
-    assert "Exchange" not in rows_part and "Generate" not in rows_part
+    assert "Exchange" not in plan and "Generate" not in plan
 
 
-def test_single_leaf_trees_keep_their_rows(spark, rows, tmp_path):
+def test_single_leaf_trees_keep_their_rows(spark, rows):
     flat = rows.withColumns({c: F.lit(1.0) for c in NAMES})
     model = train.fit_boosted_trees(flat, NAMES, trees=2, depth=2)
-    found = explain.tree_contributions(model, flat, NAMES, "inspection_id", str(tmp_path / "m"))
+    found = explain.tree_contributions(model, flat, NAMES, "inspection_id")
     assert found.count() == 1200
     assert found.filter(F.exists("contributions", lambda x: x != 0)).count() == 0
 
@@ -237,17 +236,15 @@ def test_scoring_keeps_columns_and_sums_to_one(spark, rows, trees):
     out = train.score_rows(trees, rows.drop("noise"), NAMES)
     assert out.columns == [*[c for c in rows.columns if c != "noise"], "risk_score"]
     assert out.schema["n_prior_oai"].dataType == rows.schema["n_prior_oai"].dataType
-    both = trees.transform(train._prepared(rows, NAMES, "target_oai")).select(
-        vector_to_array("probability")[0].alias("a"), vector_to_array("probability")[1].alias("b")
-    )
+    both = train.score_rows(trees, rows, NAMES).select(F.col("risk_score").alias("b"), (1 - F.col("risk_score")).alias("a"))
     assert quality.score_gates(both, "a", "b").filter("passed = 0").count() == 0
 
 
 def test_search_is_repeatable_and_sorted(spark, rows):
-    ranges = train.SEARCH_RANGES | {"trees": (2, 3), "depth": (2, 3), "min_gain": (0.0, 0.01)}
+    ranges = train.SEARCH_RANGES | {"trees": (2, 3), "depth": (2, 3)}
     draws = train.random_draws(2, ranges=ranges)
     assert draws == train.random_draws(2, ranges=ranges)
-    trials = train.random_search(rows, NAMES, draws=draws, folds=2, parallel=2)
+    trials = train.random_search(rows, NAMES, draws=draws, folds=2)
     assert len(trials) == 2 and trials[0]["pr_auc"] >= trials[1]["pr_auc"]
     assert len(train.random_draws()) == 30 and set(train.random_draws()[0]) == set(train.SEARCH_RANGES)
 
@@ -303,13 +300,13 @@ def test_one_class_in_the_newest_year_never_promotes(spark, rows, tmp_path):
 def test_default_draws_split_and_refit(spark, rows):
     trials = train.random_search(rows, NAMES, draws=[d | {"trees": 2} for d in train.random_draws(3)], folds=2, stop_early=True)
     best = train.fit_best(rows, NAMES, trials)
-    assert all(t.numNodes > 1 for t in train.tree_model(best).trees)
+    assert all(t.feature[0] >= 0 for t in best.trees)
 
 
 def test_retrain_writes_a_loadable_model(spark, rows, tmp_path):
     assert retrain.retrain(rows, NAMES, str(tmp_path), "v1", date(2024, 1, 1), trees=3, depth=2, stop_early=True)
     entry = train.champion(spark, f"{tmp_path}/registry")
-    again = train.load_model(entry["path"])
+    again = train.load_model(spark, entry["path"])
     assert entry["features"] == NAMES and entry["roc_auc"] > 0.7
     assert train.score_rows(again, rows, NAMES).count() == 1200
     wide = rows.withColumns({c: F.lit("x") for c in ("product_type", "country")})

@@ -5,22 +5,22 @@ Contributions of a row stay together in one array next to it, so per-row ranking
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vetrail.functions.scores import driver_text, percent_text
+from vetrail.operators.boost import BoostedTrees
 from vetrail.operators.profile import ranked
 from vetrail.operators.score import with_absent_as_zero
-from vetrail.operators.train import tree_model
-from vetrail.session import materialized
-
-
-#: Leaves x features of a model that is told to every task: 64 MB of doubles.
-MAX_LEAF_VALUES = 8_000_000
+from vetrail.operators.shapley import shapley_values
+from vetrail.session import with_package
 
 
 def _inputs(rows: DataFrame, key: str, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -32,110 +32,37 @@ def _inputs(rows: DataFrame, key: str, features: Sequence[str], keep: Sequence[s
     )
 
 
-def leaf_contributions(
-    spark: SparkSession, model: PipelineModel, n_features: int, path: str
-) -> DataFrame:
-    """Per (tree, leaf): what each feature adds on the way from the root to that leaf.
-
-    A split's feature is credited with the change of the node's prediction. The table is as large
-    as the model (trees x leaves). The model is written to ``path`` and its nodes read back.
-    """
-    trees = tree_model(model)
-    trees.write().overwrite().save(path)
-    nodes = materialized(spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*"))
-    names = ["id", "prediction", "leftChild", "rightChild", "feature"]
-    spots = nodes.withColumn("feature", F.col("split.featureIndex")).select("treeID", *names)
-    level = spots.filter("id = 0").withColumn("added", F.array_repeat(F.lit(0.0), n_features))
-    leaves = level.filter("leftChild < 0").select("treeID", "id", "added")
-    # One step per tree level; the frames stay as small as the model, and each level is written once.
-    children = spots.withColumnsRenamed({c: f"c_{c}" for c in names})
-    for _ in range(trees.getMaxDepth()):
-        # Credited before the parent's columns are replaced by the child's.
-        step = F.col("c_prediction") - F.col("prediction")
-        credited = F.transform(
-            "added", lambda x, i: F.when(i == F.col("feature"), x + step).otherwise(x)
-        )
-        level = materialized(
-            level.filter("leftChild >= 0")
-            .withColumn("c_id", F.explode(F.array("leftChild", "rightChild")))
-            .join(F.broadcast(children), ["treeID", "c_id"])
-            .select("treeID", *[f"c_{c}" for c in names], credited.alias("added"))
-            .withColumnsRenamed({f"c_{c}": c for c in names})
-        )
-        leaves = leaves.unionByName(
-            level.filter("leftChild < 0").select("treeID", "id", "added")
-        )
-    # The leaf number a model reports is the rank of the leaf among its tree's leaves.
-    ordered = leaves.groupBy("treeID").agg(
-        F.array_sort(F.collect_list(F.struct("id", "added"))).alias("found")
-    )
-    weights = F.array(*[F.lit(float(w)) for w in trees.treeWeights])
-    return ordered.select(
-        F.col("treeID").alias("_tree"),
-        F.posexplode("found").alias("_leaf", "found"),
-    ).select(
-        "_tree",
-        "_leaf",
-        F.transform("found.added", lambda x: x * F.get(weights, F.col("_tree"))).alias("_added"),
-    )
-
-
-def base_margin(model: PipelineModel) -> float:
-    """Margin before any split: the weighted sum of the root predictions."""
-    trees = tree_model(model)
-    return sum(
-        w * t._call_java("rootNode").prediction() for w, t in zip(trees.treeWeights, trees.trees)
-    )
+def base_margin(model: BoostedTrees) -> float:
+    """Margin of a row of which nothing is known."""
+    return model.expected
 
 
 def tree_contributions(
-    model: PipelineModel,
-    rows: DataFrame,
-    features: Sequence[str],
-    key: str,
-    path: str,
-    keep: Sequence[str] = (),
+    model: BoostedTrees, rows: DataFrame, features: Sequence[str], key: str, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Contributions of boosted trees in margin space: ``contributions`` sum to margin - base.
+    """Exact Shapley values of boosted trees in margin space: ``contributions`` sum to margin - base.
 
-    Adds ``margin``, ``risk_score`` and the arrays ``contributions`` and ``values`` in feature
-    order. The model's leaves come as one nested array, and a row's leaf numbers are folded over it
-    inside the row: no row is multiplied or shuffled, and ``key`` may repeat. A model of more than
-    ``MAX_LEAF_VALUES`` (leaves x features) is refused, as every task holds that array.
+    Adds ``margin``, ``risk_score`` and the arrays ``contributions`` and ``values`` in feature order. Rows are
+    explained where they are, in Arrow batches: none is multiplied or shuffled, and ``key`` may repeat. The model goes
+    to the tasks; patterns of its leaves are worked out tree by tree, so memory does not grow with the trees.
     """
-    spark = rows.sparkSession
-    leaves = leaf_contributions(spark, model, len(features), path)
-    trees = tree_model(model)
-    size = (trees.totalNumNodes + len(trees.trees)) // 2 * len(features)
-    if size > MAX_LEAF_VALUES:
-        raise ValueError(f"{size} leaf values; at most {MAX_LEAF_VALUES} are told to every task")
-    assembler = model.stages[0]
-    found = trees.copy({trees.leafCol: "_leaves"}).transform(
-        assembler.transform(_inputs(rows, key, features, keep))
-    )
-    # A single row: [tree][leaf][feature].
-    per_tree = leaves.groupBy("_tree").agg(
-        F.array_sort(F.collect_list(F.struct("_leaf", "_added"))).alias("found")
-    )
-    nested = per_tree.agg(
-        F.array_sort(
-            F.collect_list(F.struct("_tree", F.transform("found", lambda x: x["_added"]).alias("added")))
-        ).alias("trees")
-    ).select(F.transform("trees", lambda x: x["added"]).alias("trees"))
-    reached = F.zip_with(
-        vector_to_array("_leaves"), "_trees", lambda at, tree: F.get(tree, at.cast("int"))
-    )
-    zeros = F.array_repeat(F.lit(0.0), len(features))
-    return found.withColumn("_trees", nested.scalar()).select(
-        key,
-        *keep,
-        vector_to_array("rawPrediction")[1].alias("margin"),
-        vector_to_array("probability")[1].alias("risk_score"),
-        F.col("_values").alias("values"),
-        F.aggregate(
-            reached, zeros, lambda total, one: F.zip_with(total, one, lambda a, b: a + b)
-        ).alias("contributions"),
-    )
+    with_package(rows.sparkSession)
+    inputs = _inputs(rows, key, features, keep).select(key, *keep, "_values")
+    numbers = T.ArrayType(T.DoubleType())
+    added = [("margin", T.DoubleType()), ("risk_score", T.DoubleType()), ("values", numbers), ("contributions", numbers)]
+    schema = T.StructType([*inputs.schema.fields[:-1], *[T.StructField(n, k) for n, k in added]])
+    n = len(features)
+
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.columns[-1].flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
+            margin = model.margins(x)
+            offsets = pa.array(np.arange(0, len(x) * n + 1, n, dtype=np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(m.ravel())) for m in (x, shapley_values(model, x))]
+            columns = [*batch.columns[:-1], pa.array(margin), pa.array(1 / (1 + np.exp(-margin))), *lists]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return inputs.mapInArrow(explain, schema)
 
 
 def linear_contributions(
@@ -182,7 +109,7 @@ def rule_contributions(
     ).withColumn("risk_score", 1 / (1 + F.exp(-F.col("margin"))))
 
 
-def _long(explained: DataFrame, features: Sequence[str], *keep: str) -> DataFrame:
+def _long(explained: DataFrame, features: Sequence[str], *keep: str | Column) -> DataFrame:
     names = F.array(*[F.lit(f) for f in features])
     return explained.select(
         *keep,
@@ -216,13 +143,51 @@ def direction_summary(explained: DataFrame, features: Sequence[str]) -> DataFram
     )
 
 
+def interaction_strengths(
+    explained: DataFrame, features: Sequence[str], chosen: Sequence[str], width: float = 1.0
+) -> DataFrame:
+    """(feature, partner, strength): how the contribution of a chosen feature moves with each other one.
+
+    Inside bins of the chosen feature's value its contribution is correlated with the other features' values; the
+    strength is the mean absolute correlation, weighed by the rows of the bins. One aggregate for all pairs.
+    """
+    long = _long(explained, features, F.col("values").alias("_all")).filter(F.col("feature").isin(list(chosen)))
+    spread = F.stddev_pop("contribution")
+    bins = long.groupBy("feature", F.floor(F.col("value") / width).alias("_bin")).agg(
+        F.count("*").alias("_n"),
+        *[
+            F.try_divide(F.covar_pop("contribution", F.col("_all")[j]), spread * F.stddev_pop(F.col("_all")[j])).alias(f"_r{j}")
+            for j in range(len(features))
+        ],
+    )
+    pairs = F.array(*[F.struct(F.lit(f).alias("partner"), F.col(f"_r{j}").alias("r")) for j, f in enumerate(features)])
+    each = bins.select("feature", "_n", F.inline(pairs)).filter(F.col("feature") != F.col("partner"))
+    return each.groupBy("feature", "partner").agg(
+        (F.sum(F.col("_n") * F.abs(F.coalesce("r", F.lit(0.0)))) / F.sum("_n")).alias("strength")
+    )
+
+
 def dependence(
     explained: DataFrame, features: Sequence[str], chosen: Sequence[str], width: float = 1.0
 ) -> DataFrame:
-    """Mean contribution by value, in bins of a width, for chosen features."""
-    long = _long(explained, features).filter(F.col("feature").isin(list(chosen)))
+    """Mean contribution by value, in bins of a width, for chosen features, told apart by their strongest partner.
+
+    The partner is the feature with the largest interaction strength (rounded to six places; ties: the first name).
+    ``partner_high`` is 1 where its value is above its mean over all rows.
+    """
+    strengths = interaction_strengths(explained, features, chosen, width)
+    # One row per chosen feature.
+    partners = strengths.groupBy("feature").agg(
+        F.min_by("partner", F.struct((-F.round("strength", 6)).alias("s"), F.col("partner").alias("p"))).alias("partner")
+    )
+    names = F.array(*[F.lit(f) for f in features])
+    long = _long(explained, features, F.col("values").alias("_all")).filter(F.col("feature").isin(list(chosen)))
+    paired = long.join(F.broadcast(partners), "feature")
+    means = explained.agg(F.array(*[F.avg(F.col("values")[j]) for j in range(len(features))]).alias("means")).scalar()
+    place = (F.array_position(names, F.col("partner")) - 1).cast("int")
     value = (F.floor(F.col("value") / width) * width).cast("double").alias("value")
-    return long.groupBy("feature", value).agg(
+    beside = (F.get("_all", place) > F.get("_means", place)).cast("bigint").alias("partner_high")
+    return paired.withColumn("_means", means).groupBy("feature", value, "partner", beside).agg(
         F.count("*").alias("n"), F.avg("contribution").alias("mean_contribution")
     )
 

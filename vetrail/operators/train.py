@@ -1,38 +1,40 @@
-"""Classifiers with Spark ML: fitting, search, importances, champion and challenger."""
+"""Classifiers: fitting, search, importances, champion and challenger."""
 
 from __future__ import annotations
 
 import random
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date as Date
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vetrail.operators import boost
+from vetrail.operators.boost import BoostedTrees, Spec
 from vetrail.operators.metrics import evaluate
 from vetrail.operators.score import with_absent_as_zero
 from vetrail.operators.split import expanding_folds, fold_parts
-from vetrail.session import shared_folder
 
-# Boosting defaults and the ranges of the random search. The least gain is on the scale of
-# Spark's variance reduction of 0/1 labels taken as -1 and 1, where 0.01 already stops most splits.
-TREES, DEPTH, RATE = 300, 6, 0.1
+Model = PipelineModel | BoostedTrees
+
+# Boosting defaults and the ranges of the random search.
+TREES, DEPTH, RATE, PATIENCE = 300, 6, 0.1, 20
 SEARCH_DRAWS, SEARCH_FOLDS = 30, 3
+#: Rounds without improvement that end a fit of a search that may stop early.
+SEARCH_PATIENCE = 10
 SEARCH_RANGES = {
     "trees": (100, 499),
     "depth": (3, 9),
     "rate": (0.01, 0.21),
-    "min_rows": (1, 9),
+    "min_weight": (1, 9),
     "subsample": (0.6, 1.0),
     "feature_share": (0.6, 1.0),
-    "min_gain": (0.0, 0.005),
+    "min_gain": (0.0, 5.0),
     "positive_weight": (10.0, 35.0),
 }
 
@@ -111,46 +113,45 @@ def fit_boosted_trees(
     target: str = "target_oai",
     valid: DataFrame | None = None,
     positive_weight: float | None = 1.0,
-    trees: int = TREES,
-    depth: int = DEPTH,
-    rate: float = RATE,
-    min_rows: int = 1,
-    subsample: float = 1.0,
-    feature_share: float = 1.0,
-    min_gain: float = 0.0,
-    seed: int = 42,
-) -> PipelineModel:
+    **options,
+) -> BoostedTrees:
     """Gradient-boosted trees. ``positive_weight=None`` weighs the positives by the class ratio.
 
-    With ``valid`` fitting stops once the validation loss no longer improves.
+    ``options`` are settings of :class:`boost.Spec`. With ``valid`` fitting stops once the average precision on it has
+    not improved for ``patience`` rounds (20 by default), and the trees up to the best round are kept.
     """
-    shared_folder(train.sparkSession)  # node ids are checkpointed there
-    if positive_weight is None:
-        positive_weight = ClassCounts.of(train, target).ratio
-    rows = _prepared(train, features, target, F.lit(False).alias("_valid"))
-    if valid is not None:
-        rows = rows.unionByName(_prepared(valid, features, target, F.lit(True).alias("_valid")))
-    rows = _weighted(rows, target, 1.0, positive_weight)
-    booster = GBTClassifier(
-        featuresCol="_x", labelCol=target, weightCol="_weight", maxIter=trees, maxDepth=depth,
-        stepSize=rate, minInstancesPerNode=min_rows, subsamplingRate=subsample,
-        featureSubsetStrategy=str(float(feature_share)) if feature_share < 1 else "all",
-        minInfoGain=min_gain, seed=seed, cacheNodeIds=True, checkpointInterval=10,
-    )
+    return fit_boosted_models(train, features, [{"positive_weight": positive_weight} | options], target, valid)[0]
+
+
+def fit_boosted_models(
+    train: DataFrame,
+    features: Sequence[str],
+    settings: Sequence[Mapping[str, object]],
+    target: str = "target_oai",
+    valid: DataFrame | None = None,
+) -> list[BoostedTrees]:
+    """Several boosted models of the same rows, fitted in the same scans."""
+    if any(s.get("positive_weight", 1.0) is None for s in settings):
+        ratio = ClassCounts.of(train, target).ratio
+        settings = [dict(s) | ({"positive_weight": ratio} if s.get("positive_weight", 1.0) is None else {}) for s in settings]
+    rows = _prepared(train, features, target, F.lit(0).alias("_part"))
+    watch = {}
     if valid is not None:
-        booster = booster.setValidationIndicatorCol("_valid")
-    assembled = VectorAssembler(inputCols=list(features), outputCol="_x")
-    held = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return Pipeline(stages=[assembled, booster]).fit(held)
-    finally:
-        held.unpersist()
+        rows = rows.unionByName(_prepared(valid, features, target, F.lit(1).alias("_part")))
+        watch = {"watch": Spec().fit, "watch_part": 1}
+    defaults = {"trees": TREES, "depth": DEPTH, "rate": RATE, "patience": PATIENCE} | watch
+    specs = [Spec(**(defaults | dict(s))) for s in settings]
+    edges = boost.bin_edges(rows.filter("_part = 0"), features)
+    return boost.fit_many(boost.binned(rows, features, target, part="_part", edges=edges), specs)
 
 
 def score_rows(
-    model: PipelineModel, rows: DataFrame, features: Sequence[str], score: str = "risk_score"
+    model: Model, rows: DataFrame, features: Sequence[str], score: str = "risk_score"
 ) -> DataFrame:
     """Add the probability of the positive class; the other columns stay as they are."""
+    if isinstance(model, BoostedTrees):
+        values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in rows.columns else F.lit(0.0) for c in features]
+        return rows.select(*rows.columns, (1 / (1 + F.exp(-boost.margin_column(model, values)))).alias(score))
     inputs = {f"_in_{c}": F.col(c) for c in features if c in rows.columns}
     kept = rows.withColumns(inputs) if inputs else rows
     numeric = with_absent_as_zero(kept, features).withColumns(
@@ -186,6 +187,9 @@ def random_draws(
     ]
 
 
+_EPOCH = Date(1970, 1, 1)
+
+
 def random_search(
     train: DataFrame,
     features: Sequence[str],
@@ -193,47 +197,37 @@ def random_search(
     date: str = "inspection_date",
     draws: Sequence[dict] | None = None,
     folds: int = SEARCH_FOLDS,
-    parallel: int = 4,
     stop_early: bool = False,
+    bins: int = boost.BINS,
 ) -> list[dict]:
     """Mean average precision of each draw over expanding time folds, best first.
 
-    The fits are Spark jobs; a few of them are submitted at a time. Each fold is prepared once and kept for
-    all draws. With ``stop_early`` a fit stops once the loss on the last fifth of its days no longer improves.
+    Rows are binned once; the models of all draws and folds grow side by side in the same scans, and are
+    measured in one. With ``stop_early`` a fit stops once the average precision on the last fifth of its days
+    no longer improves.
     """
-    parts = []
+    draws = list(draws or random_draws())
+    table = boost.binned(train, features, target, date, bins=bins)
+    first, last = Spec().fit
+    specs, spans = [], []
     for a, b in expanding_folds(train, date, folds):
-        fit_rows, valid_rows = fold_parts(train, date, a, b)
-        watched = None
+        start, end = (a - _EPOCH).days, (b - _EPOCH).days if b else last
+        fit, watch = (first, start), None
         if stop_early:
-            cut = expanding_folds(fit_rows, date, 4)[-1][0]
-            fit_rows, watched = fold_parts(fit_rows, date, cut, None)
-            watched = watched.persist(StorageLevel.MEMORY_AND_DISK)
-        parts.append(
-            (
-                fit_rows.persist(StorageLevel.MEMORY_AND_DISK),
-                watched,
-                valid_rows.persist(StorageLevel.MEMORY_AND_DISK),
-            )
-        )
-
-    def trial(draw: dict) -> dict:
-        found = []
-        for fit_rows, watched, valid_rows in parts:
-            model = fit_boosted_trees(fit_rows, features, target, valid=watched, **draw)
-            scored = score_rows(model, valid_rows, features).withColumn("_y", F.col(target).cast("int"))
-            found.append(evaluate(scored, "_y", "risk_score").first()["pr_auc"])
-        known = [x for x in found if x is not None]
-        return draw | {"pr_auc": sum(known) / len(known) if known else 0.0}
-
-    try:
-        with ThreadPoolExecutor(parallel) as pool:
-            return sorted(pool.map(trial, draws or random_draws()), key=lambda t: -t["pr_auc"])
-    finally:
-        for part in parts:
-            for rows in part:
-                if rows is not None:
-                    rows.unpersist()
+            early, _ = fold_parts(train, date, a, b)
+            cut = (expanding_folds(early, date, 4)[-1][0] - _EPOCH).days
+            fit, watch = (first, cut), (cut, start)
+        specs += [Spec(**draw, fit=fit, watch=watch, patience=SEARCH_PATIENCE) for draw in draws]
+        spans += [(start, end)] * len(draws)
+    models = boost.fit_many(table, specs)
+    found = evaluate(boost.score_blocks(table, models, spans), "y", "risk_score", by=["model"])
+    measured = {r["model"]: r["pr_auc"] for r in found.collect()}
+    trials = []
+    for i, draw in enumerate(draws):
+        known = [x for x in (measured.get(k) for k in range(i, len(models), len(draws))) if x is not None]
+        kept = [len(models[k].trees) for k in range(i, len(models), len(draws))]
+        trials.append(draw | {"pr_auc": sum(known) / len(known) if known else 0.0, "rounds": sum(kept) / len(kept)})
+    return sorted(trials, key=lambda t: -t["pr_auc"])
 
 
 def fit_best(
@@ -242,24 +236,23 @@ def fit_best(
     trials: Sequence[dict],
     target: str = "target_oai",
     valid: DataFrame | None = None,
-) -> PipelineModel:
+) -> BoostedTrees:
     """Fit the best trial of a search on all training rows: the tuned model of a comparison."""
-    best = {k: v for k, v in trials[0].items() if k != "pr_auc"}
+    best = {k: v for k, v in trials[0].items() if k in SEARCH_RANGES}
     return fit_boosted_trees(train, features, target, valid=valid, **best)
 
 
 def feature_importances(
-    spark: SparkSession, model: PipelineModel, features: Sequence[str]
+    spark: SparkSession, model: BoostedTrees, features: Sequence[str]
 ) -> DataFrame:
     """Gain importance per feature, highest first (one row per feature)."""
-    gains = model.stages[-1].featureImportances.toArray()
-    rows = [(f, float(g)) for f, g in zip(features, gains)]
+    rows = [(f, float(g)) for f, g in zip(features, model.importance())]
     table = spark.createDataFrame(rows, "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature")
 
 
 def model_metrics(
-    named: Mapping[str, tuple[PipelineModel, Sequence[str]]], rows: DataFrame, target: str
+    named: Mapping[str, tuple[Model, Sequence[str]]], rows: DataFrame, target: str
 ) -> DataFrame:
     """Metrics of several fitted models on the same rows, one row per model."""
     scored = None
@@ -277,19 +270,15 @@ def ablation(
     features: Sequence[str],
     without: Sequence[str],
     target: str = "target_oai",
-    fit: Callable[..., PipelineModel] = fit_boosted_trees,
+    valid: DataFrame | None = None,
     **options,
 ) -> DataFrame:
-    """Metrics with all features and without some of them."""
-    fewer = [f for f in features if f not in set(without)]
-    return model_metrics(
-        {
-            "all features": (fit(train, features, target, **options), features),
-            "without " + ", ".join(without): (fit(train, fewer, target, **options), fewer),
-        },
-        test,
-        target,
-    )
+    """Metrics of boosted trees with all features and without some of them, both fitted in the same scans."""
+    left_out = tuple(i for i, f in enumerate(features) if f in set(without))
+    settings = [dict(options), options | {"without": left_out}]
+    every, fewer = fit_boosted_models(train, features, settings, target, valid)
+    named = {"all features": (every, features), "without " + ", ".join(without): (fewer, features)}
+    return model_metrics(named, test, target)
 
 
 # --- persistence and promotion ------------------------------------------------------------------
@@ -300,19 +289,22 @@ REGISTRY = (
 )
 
 
-def save_model(model: PipelineModel, path: str) -> None:
+def save_model(spark: SparkSession, model: Model, path: str) -> None:
     """Write a fitted model, replacing what is there."""
-    model.write().overwrite().save(path)
+    if isinstance(model, BoostedTrees):
+        boost.save_boosted(spark, model, path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(spark: SparkSession, path: str) -> Model:
     """Read a fitted model back."""
-    return PipelineModel.load(path)
-
-
-def tree_model(model: PipelineModel) -> GBTClassificationModel:
-    """The boosted trees of a fitted pipeline."""
-    return model.stages[-1]
+    try:
+        return boost.load_boosted(spark, path)
+    except Exception as e:  # a linear model has no table of nodes
+        if "PATH_NOT_FOUND" in str(e):
+            return PipelineModel.load(path)
+        raise
 
 
 def registry_table(spark: SparkSession, registry: str) -> DataFrame | None:

@@ -634,7 +634,49 @@ _FLAG = """(select cast(l_linestatus = 'F' as bigint) as flag,
 ORACLE["logistic_of_one_flag"] = f"""
 select flag, count(*) as n, round(avg(y), 3) as score from {_FLAG} group by 1"""
 ORACLE["trees_of_one_flag"] = f"""
-select flag, count(*) as n, round(1 / (1 + exp(-2 * avg(2 * y - 1))), 6) as score from {_FLAG} group by 1"""
+with r as {_FLAG}, b as (select avg(y) as p from r)
+select flag, count(*) as n,
+  round(1 / (1 + exp(-(ln(any_value(p) / (1 - any_value(p))) - 0.1 * sum(p - y) / (sum(p * (1 - p)) + 1)))), 6) as score
+from r, b group by 1"""
+
+
+def _stumps(trees: int) -> str:
+    """Second-order boosting with trees of one split, every value of both columns tried."""
+    steps = [
+        """rows0 as materialized (select cast(l_quantity as double) as l_quantity, cast(l_discount as double) as l_discount,
+  cast(l_returnflag = 'R' or l_quantity > 45 as int) as y from lineitem),
+margins0 as materialized (select *, (select ln(avg(y) / (1 - avg(y))) from rows0) as m from rows0)"""
+    ]
+    for t in range(trees):
+        steps.append(
+            f"""parts{t} as (select *, 1 / (1 + exp(-m)) - y as g, 1 / (1 + exp(-m)) * (1 - 1 / (1 + exp(-m))) as h from margins{t}),
+sums{t} as (select 0 as k, l_quantity as v, sum(g) as g, sum(h) as h from parts{t} group by 2
+  union all select 1, l_discount, sum(g), sum(h) from parts{t} group by 2),
+below{t} as (select k, v, sum(g) over below as lg, sum(h) over below as lh, sum(g) over whole as ag, sum(h) over whole as ah from sums{t}
+  window below as (partition by k order by v rows between unbounded preceding and 1 preceding), whole as (partition by k)),
+gains{t} as (select *, lg * lg / (lh + 1) + (ag - lg) * (ag - lg) / (ah - lh + 1) - ag * ag / (ah + 1) as gain from below{t}
+  where lh >= 1 and ah - lh >= 1),
+best{t} as materialized (select *, -0.1 * lg / (lh + 1) as lv, -0.1 * (ag - lg) / (ah - lh + 1) as rv from gains{t} order by gain desc, k, v limit 1),
+margins{t + 1} as materialized (select r.* exclude (m), m + case when (case when b.k = 0 then l_quantity else l_discount end) < b.v
+  then lv else rv end as m from margins{t} r, best{t} b)"""
+        )
+    told = " union all ".join(f"select {t} as tree, * from best{t}" for t in range(trees))
+    return f"""with {', '.join(steps)} select cast(tree as bigint) as tree, case k when 0 then 'l_quantity' else 'l_discount' end as feature,
+  round(v, 2) as threshold, round(gain, 1) as gain, round(lv, 6) as left_value, round(rv, 6) as right_value from ({told})"""
+
+
+ORACLE["boosted_splits"] = _stumps(2)
+ORACLE["shapley_of_two_flags"] = """
+with r as (select cast(l_linestatus = 'F' as bigint) as a, cast(l_quantity > 25 as bigint) as b,
+  cast(l_returnflag = 'R' or l_quantity > 45 as int) as y from lineitem),
+p as (select avg(y) as p from r),
+cells as (select a, b, count(*) as n, sum(p * (1 - p)) as h, -0.1 * sum(p - y) / (sum(p * (1 - p)) + 1) as v from r, p group by 1, 2),
+shares as (select *, sum(h) over (partition by b) as hb, sum(h) over () as hh from cells),
+known as (select *, sum(v * hb / hh) over (partition by a) as of_a, sum(v * h / hb) over (partition by b) as of_b,
+  sum(v * h / hh) over () as of_none from shares)
+select a, b, n, round(ln(p / (1 - p)) + v, 6) as margin, round((of_a - of_none + v - of_b) / 2, 6) as a_value,
+  round((of_b - of_none + v - of_a) / 2, 6) as b_value, round(ln(p / (1 - p)) + of_none, 6) as base
+from known, p"""
 
 ORACLE["registry"] = """
 select cast(s as bigint) as sequence, v as version, p * (select count(*) from orders)::double as pr_auc,
@@ -671,10 +713,25 @@ ORACLE["rule_direction"] = f"""
 with {_RULED} select feature, round(corr(value, contribution), 6) as correlation,
   round(avg(contribution), 6) as mean_contribution, round(min(contribution), 6) as lowest,
   round(max(contribution), 6) as highest from long group by 1"""
+_CORRELATIONS = ", ".join(
+    f"""case when stddev_pop(contribution) = 0 or stddev_pop({c}) = 0 then 0
+    else abs(covar_pop(contribution, {c}) / (stddev_pop(contribution) * stddev_pop({c}))) end as r_{c}"""
+    for c in _WEIGHTS
+)
+_STRENGTHS = " union all ".join(
+    f"select feature, '{c}' as partner, sum(n * r_{c}) / sum(n) as strength from bins where feature <> '{c}' group by 1"
+    for c in _WEIGHTS
+)
+_HIGH = " ".join(f"when '{c}' then {c} > (select avg({c}) from features)" for c in _WEIGHTS)
 ORACLE["rule_dependence"] = f"""
-with {_RULED} select feature, floor(value / 2) * 2 as value, count(*) as n,
+with {_RULED}, wide as (select feature, value, contribution, floor(value / 2) as bin, {', '.join(_WEIGHTS)}
+  from long join features using (inspection_id) where feature in ('n_prior_oai', 'n_recalls')),
+bins as (select feature, bin, count(*) as n, {_CORRELATIONS} from wide group by 1, 2),
+strengths as ({_STRENGTHS}),
+partners as (select feature, arg_min(partner, (-round(strength, 6), partner)) as partner from strengths group by 1)
+select feature, bin * 2 as value, partner, cast(case partner {_HIGH} end as bigint) as partner_high, count(*) as n,
   round(avg(contribution), 6) as mean_contribution
-from long where feature in ('n_prior_oai', 'n_recalls') group by 1, 2"""
+from wide join partners using (feature) group by 1, 2, 3, 4"""
 ORACLE["rule_waterfall"] = f"""
 with {_RULED}, cases as (
   select 'true_positive' as "case", * from (select * from ruled where target_oai = 1 and risk_score > 0.5

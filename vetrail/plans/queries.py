@@ -12,7 +12,7 @@ from vetrail.columns import HISTORY_FEATURES
 from vetrail.functions.coerce import coerced_date, coerced_long, strict_date, whole_days
 from vetrail.functions import html, scores, text
 from vetrail.operators import (
-    categories, clean, detail, explain, history, metrics, monitor, profile, quality, resolve, score,
+    boost, categories, clean, detail, explain, history, metrics, monitor, profile, quality, resolve, score,
     scraped, split, train,
 )
 from vetrail.plans import driver_tables as d
@@ -783,19 +783,23 @@ def _parts(rows):
     )
 
 
+def _model_table(spark, sf_dir):
+    """Names of the trees' features, the test rows and all rows."""
+    rows = _model_rows(spark, sf_dir)
+    return _lists(rows)[1], _parts(rows)[1], rows
+
+
 _FITTED: dict[tuple[str, str], tuple] = {}
 
 
 def _fitted_trees(spark, sf_dir):
-    """The weighted trees at the default size, its features and the test rows: fitted once per session and data set."""
+    """Weighted and plain trees at the default size, features, test rows, all rows: fitted once per session and data set."""
     place = (spark.sparkContext.applicationId, sf_dir)
     if place not in _FITTED:
-        rows = _model_rows(spark, sf_dir)
-        _, names = _lists(rows)
-        fit, test = _parts(rows)
-        early, late = split.rolling_split(fit, "inspection_date")
-        model = train.fit_boosted_trees(early, names, valid=late, positive_weight=None)
-        _FITTED[place] = model, names, test, rows
+        names, test, rows = _model_table(spark, sf_dir)
+        early, late = split.rolling_split(_parts(rows)[0], "inspection_date")
+        models = train.fit_boosted_models(early, names, [{"positive_weight": None}, {}], valid=late)
+        _FITTED[place] = models, names, test, rows
     return _FITTED[place]
 
 
@@ -881,7 +885,7 @@ def logistic_of_one_flag(spark, sf_dir):
 
 @query
 def trees_of_one_flag(spark, sf_dir):
-    """One tree of depth 1 on one 0/1 column: a leaf is the mean of 2y-1, the score its logistic function."""
+    """One tree of depth 1 on one 0/1 column: a leaf is the Newton step of its rows from the common log odds."""
     rows = d.table(spark, sf_dir, "lineitem").select(
         (F.col("l_linestatus") == "F").cast("int").alias("flag"),
         ((F.col("l_returnflag") == "R") | (F.col("l_quantity") > 45)).cast("int").alias("y"),
@@ -895,6 +899,44 @@ def trees_of_one_flag(spark, sf_dir):
     )
 
 
+@query
+def boosted_splits(spark, sf_dir):
+    """The splits and leaves of two trees of depth 1 over every value of two columns."""
+    rows = d.table(spark, sf_dir, "lineitem").select(
+        F.col("l_quantity").cast("double").alias("l_quantity"), F.col("l_discount").cast("double").alias("l_discount"),
+        ((F.col("l_returnflag") == "R") | (F.col("l_quantity") > 45)).cast("int").alias("y"),
+    )
+    names = ["l_quantity", "l_discount"]
+    model = boost.fit_many(boost.binned(rows, names, "y", bins=255), [boost.Spec(trees=2, depth=1)])[0]
+    table = spark.createDataFrame(list(model.nodes()), boost.NODES)
+    root, left, right = (table.filter(F.col("node") == i) for i in range(3))
+    return root.join(left.select("tree", F.col("value").alias("left_value")), "tree").join(
+        right.select("tree", F.col("value").alias("right_value")), "tree"
+    ).select(
+        F.col("tree").cast("bigint").alias("tree"), F.element_at(F.array(*map(F.lit, names)), F.col("feature") + 1).alias("feature"),
+        F.round("threshold", 2).alias("threshold"), F.round("gain", 1).alias("gain"),
+        F.round("left_value", 6).alias("left_value"), F.round("right_value", 6).alias("right_value"),
+    )
+
+
+@query
+def shapley_of_two_flags(spark, sf_dir):
+    """Shapley values of one tree of depth 2 over two 0/1 columns, by the rows' pattern; b splits the root."""
+    rows = d.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("id"), (F.col("l_linestatus") == "F").cast("int").alias("a"),
+        (F.col("l_quantity") > 25).cast("int").alias("b"),
+        ((F.col("l_returnflag") == "R") | (F.col("l_quantity") > 45)).cast("int").alias("y"),
+    )
+    model = train.fit_boosted_trees(rows, ["a", "b"], "y", trees=1, depth=2)
+    found = explain.tree_contributions(model, rows, ["a", "b"], "id")
+    by = [F.col("values")[i].cast("bigint").alias(c) for i, c in enumerate("ab")]
+    return found.groupBy(*by).agg(
+        F.count("*").alias("n"), F.round(F.avg("margin"), 6).alias("margin"),
+        *[F.round(F.avg(F.col("contributions")[i]), 6).alias(f"{c}_value") for i, c in enumerate("ab")],
+        F.round(F.lit(explain.base_margin(model)), 6).alias("base"),
+    )
+
+
 @query
 def train_logreg(spark, sf_dir):
     rows = _model_rows(spark, sf_dir)
@@ -909,18 +951,25 @@ def train_logreg(spark, sf_dir):
 
 @query
 def train_gbt(spark, sf_dir):
-    weighted, names, test, rows = _fitted_trees(spark, sf_dir)
-    early, late = split.rolling_split(_parts(rows)[0], "inspection_date")
-    named = {
-        "trees": (train.fit_boosted_trees(early, names, valid=late), names),
-        "trees weighted": (weighted, names),
-    }
-    return tidy(train.model_metrics(named, test, "target_oai"))
+    (weighted, plain), names, test, _ = _fitted_trees(spark, sf_dir)
+    return tidy(train.model_metrics({"trees": (plain, names), "trees weighted": (weighted, names)}, test, "target_oai"))
+
+
+@query
+def watched_rounds(spark, sf_dir):
+    """Average precision on the watched year after every round, and which rounds were kept."""
+    models, _, _, _ = _fitted_trees(spark, sf_dir)
+    rows = [
+        (name, r, value, int(r < len(m.trees)))
+        for name, m in zip(("trees weighted", "trees"), models)
+        for r, value in enumerate(m.history)
+    ]
+    return tidy(spark.createDataFrame(rows, "model string, round bigint, pr_auc double, kept bigint"))
 
 
 @query
 def ablation(spark, sf_dir):
-    _, names, test, rows = _fitted_trees(spark, sf_dir)
+    names, test, rows = _model_table(spark, sf_dir)
     early, late = split.rolling_split(_parts(rows)[0], "inspection_date")
     names = [*names, split.DOMINANT_FEATURE]
     return tidy(train.ablation(early, test, names, [split.DOMINANT_FEATURE], valid=late))
@@ -928,10 +977,10 @@ def ablation(spark, sf_dir):
 
 @query
 def search(spark, sf_dir):
-    """Four draws of the default ranges over three folds, and the best one fitted again on all training rows."""
-    _, names, test, rows = _fitted_trees(spark, sf_dir)
+    """Thirty draws of the default ranges over three folds in shared scans, and the best one fitted on all training rows."""
+    names, test, rows = _model_table(spark, sf_dir)
     early, late = split.rolling_split(_parts(rows)[0], "inspection_date")
-    trials = train.random_search(early, names, draws=train.random_draws(4), stop_early=True)
+    trials = train.random_search(early, names, stop_early=True)
     tuned = train.fit_best(early, names, trials, valid=late)
     metrics_ = train.model_metrics({"tuned": (tuned, names)}, test, "target_oai").drop("model")
     return tidy(spark.createDataFrame(trials).join(F.broadcast(metrics_.withColumnsRenamed(
@@ -941,32 +990,34 @@ def search(spark, sf_dir):
 
 @query
 def feature_importance(spark, sf_dir):
-    model, names, _, _ = _fitted_trees(spark, sf_dir)
+    (model, _), names, _, _ = _fitted_trees(spark, sf_dir)
     return tidy(train.feature_importances(spark, model, names))
 
 
 @query
 def champion(spark, sf_dir):
-    """Retrain on all but the last year, and offer the model to an empty registry; v9 comes before v10."""
+    """Two retrainings on all but the last year, a small and a larger model; the registry keeps the better one."""
     folder = fresh_folder(spark)
-    _, names, _, rows = _fitted_trees(spark, sf_dir)
+    names, _, rows = _model_table(spark, sf_dir)
     names = [n for n in names if not n.endswith("_encoded")]
-    for version in ("v9", "v10"):
+    for version, size in (("v9", {"trees": 10, "depth": 2}), ("v10", {"trees": 40, "depth": 4})):
         retrain.retrain(
             rows.drop(*[f"{c}_encoded" for c in split.CATEGORIES]), names, folder, version, Date(2001, 8, 1),
-            categories=split.CATEGORIES, stop_early=True,
+            categories=split.CATEGORIES, stop_early=True, **size,
         )
-    return tidy(spark.read.parquet(f"{folder}/registry").drop("path", "codes_path"))
+    return tidy(train.registry_table(spark, f"{folder}/registry").drop("path", "codes_path"))
 
 
 @query
 def champion_scores(spark, sf_dir):
     """Retrain with stored codes, then score every facility from the registry, with audit columns, by date."""
     folder = fresh_folder(spark)
-    _, names, _, rows = _fitted_trees(spark, sf_dir)
+    names, _, rows = _model_table(spark, sf_dir)
     names = [n for n in names if not n.endswith("_encoded")]
     raw = rows.drop(*[f"{c}_encoded" for c in split.CATEGORIES])
-    retrain.retrain(raw, names, folder, "v10", Date(2001, 8, 1), categories=split.CATEGORIES, stop_early=True)
+    retrain.retrain(
+        raw, names, folder, "v10", Date(2001, 8, 1), categories=split.CATEGORIES, stop_early=True, trees=40
+    )
     scores_ = scoring.score_champion(raw, folder, AS_OF, {"threshold": 0.5})
     scoring.write_scores(scores_, f"{folder}/out", AS_OF)
     return tidy(spark.read.parquet(f"{folder}/out/facility_scores"))
@@ -997,12 +1048,9 @@ def model_gates(spark, sf_dir):
 
 
 def _explained(spark, sf_dir):
-    model, names, test, _ = _fitted_trees(spark, sf_dir)
+    (model, _), names, test, _ = _fitted_trees(spark, sf_dir)
     keep = ("fei_number", "product_type", "country", "project_area", "inspection_date", "target_oai")
-    rows = explain.tree_contributions(
-        model, test, names, "inspection_id", f"{fresh_folder(spark)}/trees", keep
-    )
-    return rows, names, model
+    return explain.tree_contributions(model, test, names, "inspection_id", keep), names, model
 
 
 @query
@@ -1014,9 +1062,9 @@ def contributions(spark, sf_dir):
 @query
 def additivity(spark, sf_dir):
     """Per row what contributions and base lack of the margin: nothing, also where ids repeat."""
-    model, names, test, _ = _fitted_trees(spark, sf_dir)
+    (model, _), names, test, _ = _fitted_trees(spark, sf_dir)
     twice = test.unionByName(test)
-    rows = explain.tree_contributions(model, twice, names, "inspection_id", f"{fresh_folder(spark)}/trees")
+    rows = explain.tree_contributions(model, twice, names, "inspection_id")
     total = F.aggregate("contributions", F.lit(explain.base_margin(model)), lambda a, x: a + x)
     return rows.select("inspection_id", F.round(F.abs(total - F.col("margin")), 6).alias("off"))
 
@@ -1074,7 +1122,7 @@ def risk_report(spark, sf_dir):
 @query
 def model_scores(spark, sf_dir):
     """Roll every facility forward, score it, and attach tier and audit columns."""
-    model, names, _, rows = _fitted_trees(spark, sf_dir)
+    (model, _), names, _, rows = _fitted_trees(spark, sf_dir)
     return tidy(
         scoring.score_facilities(
             model, rows, names, AS_OF, {"model_version": "v1", "threshold": 0.5, "scored_on": AS_OF}

@@ -55,7 +55,7 @@ def retrain(
     if floor is not None:
         quality.require(quality.model_gates(measured, len(names), floor, min_features))
     metrics = measured.first()
-    train.save_model(model, path)
+    train.save_model(spark, model, path)
     return train.register_challenger(
         spark, registry, version, path, trained_on, metrics.asDict(), names, categories, codes_path
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date as Date
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from vetrail.operators import score, split, train
@@ -13,7 +12,7 @@ from vetrail.sources import sinks
 
 
 def score_facilities(
-    model: PipelineModel,
+    model: train.Model,
     features: DataFrame,
     names: Sequence[str],
     as_of: Date | None = None,
@@ -44,7 +43,7 @@ def score_champion(
     entry = train.champion(spark, f"{folder}/registry")
     if entry is None:
         raise ValueError(f"no champion in {folder}")
-    model = train.load_model(entry["path"])
+    model = train.load_model(spark, entry["path"])
     if entry["codes_path"]:
         codes = spark.read.parquet(entry["codes_path"])
         features = split.apply_codes(features, codes, entry["categories"])
