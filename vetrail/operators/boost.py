@@ -35,6 +35,8 @@ from vetrail.session import materialized, with_package
 
 BINS = 64
 BLOCK_ROWS = 8192
+#: Rows that are worth a partition of their own; beyond ``spark.sql.shuffle.partitions`` partitions grow instead.
+PARTITION_ROWS = 4096
 #: Trees between two tables of margins (of few and of many models), and between two looks at the watched rows.
 _ADVANCE, _ADVANCE_MANY, _MANY, _LOOK = 5, 2, 8, 10
 #: Partial sums of all tasks that the driver adds up at a time; more are added by a shuffle.
@@ -211,7 +213,7 @@ def bin_edges(rows: DataFrame, features: Sequence[str], bins: int = BINS) -> tup
 
 def binned(
     rows: DataFrame, features: Sequence[str], target: str, date: str | None = None, part: str | Column | None = None,
-    bins: int = BINS, edges: tuple[np.ndarray, ...] | None = None,
+    bins: int = BINS, edges: tuple[np.ndarray, ...] | None = None, partition_rows: int = PARTITION_ROWS,
 ) -> Binned:
     """Bin rows once for any number of fits: features as doubles, absent values 0, rows without a target left out.
 
@@ -248,8 +250,9 @@ def binned(
                     names=["bins", "y", "day", "part", "draw", "margin"],
                 )
 
-    # Few large partitions would leave cores idle in every scan.
-    dealt = table.drop(*features).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Few large partitions would leave cores idle in every scan, many small ones cost each scan their start.
+    wanted = max(1, -(-table.count() // partition_rows))
+    dealt = table.drop(*features).repartition(min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     blocks = dealt.mapInArrow(
         cut, "bins binary, y binary, day binary, part binary, draw binary, margin binary"
     )

@@ -207,7 +207,8 @@ def random_search(
     no longer improves.
     """
     draws = list(draws or random_draws())
-    table = boost.binned(train, features, target, date, bins=bins)
+    # Every scan works for many models: smaller partitions than for a single one.
+    table = boost.binned(train, features, target, date, bins=bins, partition_rows=boost.PARTITION_ROWS // 4)
     first, last = Spec().fit
     specs, spans = [], []
     for a, b in expanding_folds(train, date, folds):
