@@ -106,49 +106,95 @@ def test_feistel_is_a_permutation(total):
         assert (slots != materialise.feistel_slots(numbers, total, key=10)).any()
 
 
-def test_training_order_round_trip(spark, sf_dir, tmp_path):
+def _documents_of(rows, records):
+    """Ids per document (in a list, as ids may repeat), put together from records in the order of the stream."""
+    got: dict = {}
+    for r in rows:
+        ids = np.frombuffer(records[r["slot"]], "<u2")[: r["n_tokens"]].tolist()
+        edges = [*r["starts"], r["n_tokens"]]
+        for doc, a, b in zip(r["doc_ids"], edges[:-1], edges[1:]):
+            got.setdefault(doc, []).append((r["slot"], ids[a:b]))
+    return got
+
+
+def _check_order(spark, documents, folder, rows, tokens, shard_rows, key=42):
+    n = len(rows)
+    assert sorted(r["slot"] for r in rows) == list(range(n))
+    assert all(r["shard"] == r["slot"] // shard_rows for r in rows)
+    records = list(materialise.read_records(folder, 0, n, 2 * tokens, shard_rows))
+    assert {len(p) for p in records} == {2 * tokens}
+    number = materialise.feistel_slots(np.arange(n), n, key, inverse=True)
+    stream = sorted(rows, key=lambda r: number[r["slot"]])
+    got = _documents_of(stream, records)
+    texts = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
+    want: dict = {}
+    for (doc, _), ids in zip(texts, _ids([t for _, t in texts])):
+        want.setdefault(doc, []).append(ids)
+    assert set(got) == set(want)
+    for doc, lists in want.items():
+        joined = [i for _, ids in got[doc] for i in ids]
+        if len(lists) == 1:
+            assert joined == lists[0]
+        assert sorted(joined) == sorted(i for ids in lists for i in ids)
+    short = [r for r in rows if r["n_tokens"] < tokens]
+    assert len(short) <= documents.rdd.getNumPartitions()
+    return records
+
+
+def test_training_order_round_trip(spark, sf_dir):
+    from vetrail.session import fresh_folder
+
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    ordered = QUERIES["op9_token_output"](spark, sf_dir)
-    folder = str(tmp_path / "shards")
-    materialise.write_shards(ordered, folder)
-    rows = spark.read.parquet(folder).toPandas().sort_values("slot")
-    assert rows["slot"].tolist() == list(range(len(rows)))
-    assert (rows["shard"] == rows["slot"] // materialise.SHARD_ROWS).all()
-    assert {len(p) for p in rows["payload"]} == {2 * materialise.SEQUENCE_TOKENS}
-    got: dict[int, list[int]] = {}
-    for r in rows.sort_values(["doc_id", "piece"]).itertuples():
-        got.setdefault(r.doc_id, []).extend(np.frombuffer(r.payload, "<u2")[: r.n_tokens].tolist())
-    texts = brute.texts_by_id(documents)
-    assert got == {i: ids for (i, _), ids in zip(texts, _ids([t for _, t in texts]))}
-    part = materialise.read_slots(spark, folder, 5, 9).collect()
-    assert [r["slot"] for r in part] == [5, 6, 7, 8]
+    assert QUERIES["op9_token_output"](spark, sf_dir).count() > 0
+    folder = fresh_folder(spark)
+    ordered = materialise.training_order(documents, FILE, folder, key=5)
+    rows = materialise.written_shards(ordered, folder).collect()
+    _check_order(spark, documents, folder, rows, materialise.SEQUENCE_TOKENS, materialise.SHARD_ROWS, 5)
 
 
 def test_binary_shards(awkward, spark, tmp_path):
-    """One file of fixed-stride records per shard, read by offset; a second run writes only what is broken."""
-    folder = f"{tmp_path}/shards"
-    ordered = materialise.training_order(awkward, FILE, tokens=64, shard_rows=16)
-    rows = materialise.written_shards(ordered, folder).toPandas().sort_values("slot")
-    files = sorted(p.name for p in (tmp_path / "shards").iterdir())
+    """One file of fixed-stride records per shard, read by offset; a second run writes only what is not whole."""
+    folder, shards = str(tmp_path), tmp_path / "shards"
+    ordered = materialise.training_order(awkward, FILE, folder, tokens=64, shard_rows=16)
+    rows = materialise.written_shards(ordered, folder, tokens=64).collect()
+    records = _check_order(spark, awkward, folder, rows, 64, 16)
+    names = sorted(p.name for p in shards.iterdir() if not p.name.startswith("."))
     count = -(-len(rows) // 16)
-    assert files == sorted(f"shard-{k:08d}.{e}" for k in range(count) for e in ("bin", "json")) and count > 3
-    data = [(tmp_path / "shards" / f"shard-{k:08d}.bin").read_bytes() for k in range(count)]
-    assert b"".join(data) == b"".join(rows["payload"])
-    found = sorted(map(tuple, materialise.shard_manifest(spark, folder).collect()))
+    assert names == sorted(f"shard-{k:08d}.{e}" for k in range(count) for e in ("bin", "json")) and count > 3
+    data = [(shards / f"shard-{k:08d}.bin").read_bytes() for k in range(count)]
+    assert b"".join(data) == b"".join(records)
+    found = sorted(map(tuple, materialise.shard_manifest(spark, f"{folder}/shards").collect()))
     assert found == [(k, len(d) // 128, 128, zlib.crc32(d)) for k, d in enumerate(data)]
-    wanted = [bytes(p) for p in rows["payload"][13:37]]
-    assert list(materialise.read_records(folder, 13, 37, 128, 16)) == wanted
-    (tmp_path / "shards" / "shard-00000001.bin").write_bytes(b"cut")
-    kept = (tmp_path / "shards" / "shard-00000000.bin").stat().st_mtime_ns
-    materialise.written_shards(ordered, folder).count()
-    assert (tmp_path / "shards" / "shard-00000001.bin").read_bytes() == data[1]
-    assert (tmp_path / "shards" / "shard-00000000.bin").stat().st_mtime_ns == kept
-
-
-def test_training_order_awkward(awkward):
-    rows = materialise.training_order(awkward, FILE).toPandas()
-    assert sorted(rows["slot"]) == list(range(len(rows)))
-    assert materialise.training_order(awkward.limit(0), FILE).count() == 0
+    assert list(materialise.read_records(folder, 13, 37, 128, 16)) == records[13:37]
+    # Cut short, and never told of: both are written anew, from other partitions of the same table; the rest stays.
+    (shards / "shard-00000001.bin").write_bytes(b"cut")
+    (shards / "shard-00000003.json").unlink()
+    kept = (shards / "shard-00000000.bin").stat().st_mtime_ns
+    again = materialise.training_order(awkward.repartition(5), FILE, folder, tokens=64, shard_rows=16)
+    rewritten = materialise.written_shards(again, folder, tokens=64).collect()
+    assert {r["shard"] for r in rewritten} == {1, 3}
+    assert [(shards / f"shard-{k:08d}.bin").read_bytes() for k in range(count)] == data
+    assert (shards / "shard-00000000.bin").stat().st_mtime_ns == kept
+    assert materialise.written_shards(again, folder, tokens=64).count() == 0
+
+
+def test_training_order_empty_and_too_large_vocabulary(awkward, tmp_path, monkeypatch):
+    ordered = materialise.training_order(awkward.limit(0), FILE, str(tmp_path))
+    assert materialise.written_shards(ordered, str(tmp_path)).count() == 0
+    from vetrail.llm import tokens
+
+    class Large:
+        def get_vocab_size(self):
+            return 1 << 17
+
+    import tokenizers
+
+    class Reader:
+        from_file = staticmethod(lambda file: Large())
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Reader)
+    with pytest.raises(ValueError, match="16 bits"):
+        tokens.WordTokenizer(FILE)
 
 
 def _targets(sizes: dict) -> dict:

@@ -78,9 +78,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sequences in training order; their tasks write the shards into a new shared folder."""
-    ordered = training_order(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
-    return written_shards(ordered, f"{fresh_folder(spark)}/shards")
+    """Every sequence with its slot and shard; the tasks write the shards into a new shared folder."""
+    folder = fresh_folder(spark)
+    ordered = training_order(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), folder)
+    return written_shards(ordered, folder)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(file)
+        if self._tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError(f"{file}: ids beyond 16 bits can't be stored")
         self._mark = self._ids(f" {_MARK} ")
         self._remembered = remembered
         self._forget()
