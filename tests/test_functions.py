@@ -118,3 +118,37 @@ def test_driver_text(spark):
     got = values(spark, scores.driver_text(F.lit("f"), F.lit(3.0), F.col("v")), [0.25, -0.5], "v double")
     assert got == ["↑ f = 3 (impact: +0.250)", "↓ f = 3 (impact: -0.500)"]
     assert values(spark, scores.percent_text(F.col("v")), [0.1234], "v double") == ["12.3%"]
+
+
+MARKUP = [
+    ('<a title="x>y" href=/p>Firm</a>', "Firm", "/p"),
+    ("<A HREF='/p?a=1&amp;b=2'>Firm", "Firm", "/p?a=1&b=2"),
+    ('<a data-href="/no" title="href=/no" href = "/p">F<b> ir</b>m</a> more', "Firm", "/p"),
+    ("<a disabled href=/p><img alt='>'>Firm</a>", "Firm", "/p"),
+    ("<a href='/p'>one<a href='/q'>two</a>", "one", "/p"),
+    ("<!-- <a href='/no'>no</a> --><a href=\"/p\">Firm<!-- > --></a>", "Firm", "/p"),
+    ("<script>x = '<a href=/no>no</a>'</script><a href=/p>Firm</a>", "Firm", "/p"),
+    ("<abbr href=/no>no</abbr><a name=x>Firm</a>", "Firm", ""),
+    ("<a href=''>&nbsp; Firm &amp;amp; &#8217;&#x2014;&nope;&copy &#0;</a>", "Firm &amp; ’—&nope;© &#0;", ""),
+    ("no link", "", ""),
+    ("", "", ""),
+    (None, "", ""),
+    ("<a href='/p'", "", ""),
+    ("<a/href=/p>x</a>", "x", "/p"),
+    ("<a " + "x='1' " * 2000 + "href=/p>" + "<b>y</b>" * 2000 + "</a>", "y" * 2000, "/p"),
+]
+
+
+def test_malformed_links(spark):
+    cells = [c for c, _, _ in MARKUP]
+    assert values(spark, html.anchor_text(F.col("v")), cells) == [t for _, t, _ in MARKUP]
+    assert values(spark, html.anchor_href(F.col("v")), cells) == [h for _, _, h in MARKUP]
+
+
+def test_malformed_cells(spark):
+    table = {
+        "1 < 2 <b>and 3 > 2</b>": "1 < 2and 3 > 2", "<p>a<br/>b</p>": "ab", "x<!-- never closed": "x",
+        "a<style>p > q</style>b<STYLE>c": "ab", "&lt;b&gt; &amp;lt;": "<b> &lt;", "&#128512;&#xD800;&#x110000;": "😀&#xD800;&#x110000;",
+        "&": "&", "&&amp;&": "&&&", "<td\n class='a'>\tx\n</td>": "x", "</p >x": "x", "a <3 b": "a <3 b", "&apos;&eacute;": "'é",
+    }
+    assert values(spark, html.cell_text(F.col("v")), list(table)) == list(table.values())

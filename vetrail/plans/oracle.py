@@ -394,6 +394,12 @@ select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as posted_date,
     else 'https://host.example/c/' || o_orderkey end as letter_url,
   o_orderpriority as issuing_office, '' as subject
 from orders"""
+ORACLE["html_markup"] = """
+select o_orderkey, 'Firm ’' || o_orderkey || '’' || 'AT&T' || 'é<b>' as link_text,
+  case o_orderstatus when 'F' then 'https://host.example/p?a=1&b=' || o_orderkey
+    when 'O' then 'https://host.example/q/' || o_orderkey else 'http://x.example/' || o_orderkey end as url,
+  '1 < 2' || o_orderkey || '&unknown; &lt;' || 'x' as cell
+from orders"""
 ORACLE["html_inspections"] = """
 select c_custkey, c_name as firm_name, 'Springfield' as city, '' as state,
   cast(c_nationkey as varchar) as country, '00000' as zip_code,
@@ -771,6 +777,14 @@ from lineitem where l_returnflag in ('R', 'A') group by 1, 2, 3"""
 ORACLE["document_recalls"] = """
 select cast(l_suppkey as varchar) as recalling_firm, l_returnflag as classification, count(*) as n
 from lineitem group by 1, 2"""
+ORACLE["whole_recalls"] = ORACLE["document_recalls"]
+ORACLE["array_letters"] = """
+select o_orderkey as id, 'Firm } "{' || o_custkey as company_name, cast(o_orderdate as date) as issue_date,
+  cast(null as varchar) as letter_url from orders"""
+ORACLE["document_mapping"] = "select 'letters' as source, c_name as name, c_custkey as fei from customer"
+ORACLE["stored_features"] = f"""
+with {FEATURES} select project_area, count(*) as n, cast(sum(n_prior_oai) as bigint) as n_prior_oai,
+  cast(sum(total_prior_citations) as bigint) as citations from features group by 1"""
 ORACLE["stored_mapping"] = ORACLE["match_table"]
 ORACLE["dated_partitions"] = """
 select o_orderkey, o_orderstatus, case o_orderstatus when 'P' then date '2001-08-02' else date '2001-08-01' end as run_date

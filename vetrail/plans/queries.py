@@ -538,6 +538,25 @@ def html_cells(spark, sf_dir):
     return scraped.letter_rows(rows, "cells", "https://host.example", "o_orderkey")
 
 
+@query
+def html_markup(spark, sf_dir):
+    """Links and texts out of careless markup: quoted brackets, bare values, references, scripts, open tags."""
+    orders = d.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("k"), "o_orderstatus")
+    k = F.col("k")
+    link = F.concat(
+        F.lit('<script>if (a<b) s="<a href=/no>no</a>"</script><a title="x>y href=/no" data-href=\'/no\' href='),
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("/p?a=1&amp;b="), k, F.lit(" >")))
+        .when(F.col("o_orderstatus") == "O", F.concat(F.lit("'/q/"), k, F.lit("'>")))
+        .otherwise(F.concat(F.lit('"http://x.example/'), k, F.lit('">'))),
+        F.lit(" Firm &#8217;"), k, F.lit("&#x2019; <b class='>'>&nbsp;AT&T&nbsp;</b>&eacute;&lt;b&gt;"),
+    )
+    text = F.concat(F.lit("1 < 2 <!-- > <b> --> <style>p > a {}</style><p>"), k, F.lit("&unknown; &amp;lt;</p> x"))
+    return orders.select(
+        "o_orderkey", html.anchor_text(link).alias("link_text"),
+        html.absolute_url(html.anchor_href(link), "https://host.example").alias("url"), html.cell_text(text).alias("cell"),
+    )
+
+
 @query
 def html_inspections(spark, sf_dir):
     customer = d.table(spark, sf_dir, "customer")
@@ -1294,6 +1313,56 @@ def document_recalls(spark, sf_dir):
     return rows.groupBy("recalling_firm", "classification").agg(F.count("*").alias("n"))
 
 
+@query
+def whole_recalls(spark, sf_dir):
+    """The same documents, each parsed as it is."""
+    folder = fresh_folder(spark)
+    _bulk_documents(d.table(spark, sf_dir, "lineitem")).write.partitionBy("part").text(f"{folder}/documents")
+    rows = readers.read_recalls(spark, {"bulk": f"{folder}/documents"}, ["recalling_firm", "classification"])
+    return rows.groupBy("recalling_firm", "classification").agg(F.count("*").alias("n"))
+
+
+@query
+def array_letters(spark, sf_dir):
+    """Letters out of JSON arrays, one per range of order keys, read in byte ranges."""
+    folder = fresh_folder(spark)
+    orders = d.table(spark, sf_dir, "orders")
+    letter = F.struct(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("issue_date"), F.concat(F.lit('Firm } "{'), F.col("o_custkey")).alias("company_name"),
+        F.col("o_orderkey").cast("string").alias("subject"),
+    )
+    arrays = orders.groupBy(F.floor(F.col("o_orderkey") / DOCUMENT_KEYS).alias("part")).agg(
+        F.to_json(F.collect_list(letter)).alias("value")
+    )
+    arrays.write.partitionBy("part").text(folder)
+    rows = readers.read_letter_document(spark, folder)
+    return rows.select(F.col("subject").cast("bigint").alias("id"), "company_name", "issue_date", "letter_url")
+
+
+@query
+def document_mapping(spark, sf_dir):
+    """The mapping as nested documents, one per range of facilities."""
+    folder = fresh_folder(spark)
+    customer = d.table(spark, sf_dir, "customer").select("c_name", "c_custkey")
+    names = customer.groupBy(F.floor(F.col("c_custkey") / DOCUMENT_KEYS).alias("part")).agg(
+        F.map_from_entries(F.collect_list(F.struct("c_name", F.struct(F.col("c_custkey").alias("fei"))))).alias("names")
+    )
+    documents = names.select("part", F.to_json(F.create_map(F.lit("letters"), "names")).alias("value"))
+    documents.write.partitionBy("part").text(folder)
+    return tidy(readers.read_mapping(spark, folder, "document").select("source", "name", "fei"))
+
+
+@query
+def stored_features(spark, sf_dir):
+    """The feature table, written and read back."""
+    path = fresh_folder(spark)
+    sinks.write_parquet(d.features(spark, sf_dir), path)
+    rows = readers.read_features(spark, path)
+    return tidy(rows.groupBy("project_area").agg(
+        F.count("*").alias("n"), F.sum("n_prior_oai").alias("n_prior_oai"), F.sum("total_prior_citations").alias("citations")
+    ))
+
+
 @query
 def stored_mapping(spark, sf_dir):
     """The mapping of matched names, written and read back as a table."""

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from vetrail.functions.coerce import coerced_date, coerced_long, strict_date
 from vetrail.operators.clean import complete
 from vetrail.sources import schemas
+from vetrail.sources.documents import document_records
 
 
 def read_table(
@@ -54,12 +55,18 @@ def read_forms(spark: SparkSession, path, kind: str = "csv") -> DataFrame:
 def read_letters(spark: SparkSession, path, lines: bool = False) -> DataFrame:
     """Letters from JSON arrays, or from JSON lines, which large inputs should use.
 
-    A file that is one JSON array is parsed by one task; JSON lines are split.
+    A file that is one JSON array is parsed by one task; JSON lines are split, and ``read_letter_document`` splits an array.
     """
     rows = spark.read.schema(schemas.LETTERS).option("multiLine", not lines).json(path)
     return rows.withColumn("issue_date", strict_date("issue_date"))
 
 
+def read_letter_document(spark: SparkSession, path) -> DataFrame:
+    """Letters of files that are one large JSON array each, read in byte ranges by many tasks."""
+    parsed = document_records(spark, path, None).select(F.from_json("record", schemas.LETTERS).alias("r"))
+    return parsed.select("r.*").withColumn("issue_date", strict_date("issue_date"))
+
+
 def read_recalls(
     spark: SparkSession,
     paths: Mapping[str, str | Sequence[str]],
@@ -88,16 +95,15 @@ def read_recalls(
     return every
 
 
-def document_to_lines(spark: SparkSession, path, output: str) -> None:
-    """Turn files of one ``{results: [...]}`` object into JSON lines, which many tasks can read.
+def document_to_lines(spark: SparkSession, path, output: str, field: str | None = "results") -> None:
+    """Turn documents, one object with an array of records each or one array, into JSON lines.
 
-    A document has to be parsed by one task; doing so once, and fields as they come, leaves a table that
-    splits. Files should be far smaller than an executor's memory.
+    A document is read in byte ranges by many tasks; line breaks inside a record become blanks.
     """
-    texts = spark.read.text(path, wholetext=True)
-    records = F.from_json("value", "results array<map<string,string>>")["results"]
-    rows = texts.select(F.explode(records).alias("r")).select(F.to_json("r").alias("value"))
-    rows.write.mode("overwrite").text(output)
+    records = document_records(spark, path, field)
+    # Raw line breaks can only stand between tokens.
+    lines = records.select(F.regexp_replace("record", r"[\r\n]+", " ").alias("value"))
+    lines.write.mode("overwrite").text(output)
 
 
 def with_recall_date(recalls: DataFrame, text: str = "recall_initiation_date") -> DataFrame:
