@@ -71,6 +71,41 @@ def test_matches_brute_force(spark, threshold, weights):
         assert got[name][0] == target and got[name][1] == pytest.approx(cosine, abs=2e-9)
 
 
+@pytest.mark.parametrize("threshold", [0.25, 0.6])
+@pytest.mark.parametrize("pairs", [0, 3])
+def test_hot_grams_lose_no_match(spark, monkeypatch, threshold, pairs):
+    monkeypatch.setattr(resolve, "HOT_PAIRS", pairs)
+    sources, targets = frames(spark)
+    found = resolve.best_matches(sources, targets, "name", "legal", "id", threshold)
+    got = {r["norm_name"]: (r["target_id"], round(r["cosine"], 9)) for r in found.collect()}
+    want = {norm(n): b for (n, _), b in zip(SOURCES, brute_force()) if b[1] >= threshold}
+    assert {k: v[1] for k, v in got.items()} == pytest.approx({k: v[1] for k, v in want.items()}, abs=2e-9)
+
+
+def test_names_with_one_common_prefix(spark, monkeypatch):
+    """All names begin alike: with a bound on hot grams far fewer pairs meet, and the matches are the same."""
+    words = ["amber", "birch", "cedar", "delta", "ember", "flint", "grove", "haven", "islet", "jumbo"]
+    names = [f"consolidated international {a} {b}" for a in words for b in words if a != b]
+    targets = spark.createDataFrame(list(enumerate(names)), "id long, legal string")
+    sources = spark.createDataFrame([(n.replace("o", "oo", 1) + " x",) for n in names[::2]], "name string")
+    kept = []
+    candidates = resolve._candidates
+
+    def counted(*args):
+        out = candidates(*args)
+        kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(resolve, "_candidates", counted)
+    results = []
+    for pairs in (10**9, 200):
+        monkeypatch.setattr(resolve, "HOT_PAIRS", pairs)
+        found = resolve.best_matches(sources, targets, "name", "legal", "id", 0.85)
+        results.append({r["norm_name"]: (r["target_id"], round(r["cosine"], 8)) for r in found.collect()})
+    assert results[0] == results[1] and len(results[0]) > 10
+    assert kept[1] <= 2 * kept[0]
+
+
 def test_location_rule(spark):
     threshold = 0.3
     s, t = frames(spark)

@@ -10,12 +10,18 @@ result is exact. Equal names are matched once, however many rows carry them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vetrail.functions.text import (
     char_grams, locations_overlap, normalize_location, normalize_name,
 )
+from vetrail.operators.ordered import broadcast_if_small
 from vetrail.session import materialized
 
 # The score accepted without a location, and what a confirmed location adds.
@@ -25,6 +31,8 @@ DEFAULT_THRESHOLD = 0.6
 # Scores are ranked at 9 places, so that the order of summation decides no tie.
 RANK_DIGITS = 9
 _SLACK = 1e-9
+#: Pairs that one leading gram may join; grams that would join more are keys only together with a second gram.
+HOT_PAIRS = 4_000_000
 
 
 def name_vectors(names: DataFrame, name: str, weight: str) -> DataFrame:
@@ -82,46 +90,111 @@ def _postings(vectors: DataFrame, side: str, threshold: float) -> DataFrame:
     )
 
 
-def _candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+def _hot_grams(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Leading grams that would join more than ``HOT_PAIRS`` pairs, with their largest parts on either side; written."""
+    one = left.groupBy("gram").agg(F.count("*").alias("n_s"), F.max("s_part").alias("s_max"))
+    two = right.groupBy("gram").agg(F.count("*").alias("n_t"), F.max("t_part").alias("t_max"))
+    met = one.join(two, "gram").filter(F.col("n_s") * F.col("n_t") > HOT_PAIRS)
+    return materialized(met.select("gram", "s_max", "t_max"))
+
+
+def _pair_postings(vectors: DataFrame, hot: DataFrame, side: str, other: str, threshold: float) -> DataFrame:
+    """Per hot leading gram one row per later gram that may be the second one shared, keyed by both.
+
+    What a pair shares from its second gram on is at most the norm of the rest there, so the rest must make up for what
+    the hot gram's part times the largest part of the other side leaves of the threshold.
+    """
+    size = F.size(F.filter("rest", lambda r: r >= threshold - _SLACK))
+    found = vectors.select("name", "grams", "parts", "rest", F.posexplode(F.slice("grams", 1, size)).alias("i", "gram"))
+    found = found.join(broadcast_if_small(hot), "gram").withColumn("part", F.get("parts", "i"))
+    least = threshold - _SLACK - F.col("part") * F.col(f"{other}_max")
+    later = F.transform(
+        F.filter(F.sequence(F.col("i") + 1, F.greatest(F.size("grams"), F.col("i") + 1)), lambda j: F.get("rest", j) >= least),
+        lambda j: F.struct(F.get("grams", j).alias("second"), F.get("rest", j).alias("rest")),
+    )
+    return found.select(
+        F.col("name").alias(f"{side}_name"), "gram", F.col("part").alias(f"{side}_part"), F.explode(later).alias("x")
+    ).select(f"{side}_name", "gram", f"{side}_part", "x.second", F.col("x.rest").alias(f"{side}_rest")).filter("second is not null")
+
+
+def _candidates(vectors: DataFrame, threshold: float) -> DataFrame:
     """Pairs that can still reach the threshold.
 
     The rows kept of a pair are its first shared grams, so what their sum lacks is at most the
-    product of the norms after the last of them.
+    product of the norms after the last of them. Hot grams are no keys by themselves, except among names that
+    could reach the threshold by that gram alone; a pair whose first shared gram is hot meets under it and its second one.
+    What hot grams may add to another pair is bounded by the largest parts.
     """
     least = threshold - _SLACK
+    sources, targets = vectors.filter("is_source"), vectors.filter("target is not null")
+    left, right = _postings(sources, "s", threshold), _postings(targets, "t", threshold)
+    hot = None
+    if vectors.count() ** 2 > HOT_PAIRS:
+        hot = _hot_grams(left, right)
+        hot = hot if hot.limit(1).count() else None
+    if hot is not None:
+        told = broadcast_if_small(hot)
+        left, right = left.join(told, "gram", "left"), right.join(told, "gram", "left")
+        alone = F.col("s_max").isNull()
+        over = {}
+        for side, other in (("s", "t"), ("t", "s")):
+            rows = left if side == "s" else right
+            bound = F.coalesce(F.col(f"{side}_part") * F.col(f"{other}_max"), F.lit(0.0))
+            every = rows.groupBy(f"{side}_name").agg(F.sum(bound).alias(f"{side}_hot"))
+            kept = rows.filter(alone | (bound >= least)).drop("s_max", "t_max")
+            over[side] = kept.join(every.filter(F.col(f"{side}_hot") > 0), f"{side}_name", "left").na.fill(0.0, [f"{side}_hot"])
+        left, right = over["s"], over["t"]
+    else:
+        left, right = left.withColumn("s_hot", F.lit(0.0)), right.withColumn("t_hot", F.lit(0.0))
     met = left.join(right, "gram").filter(F.col("s_rest") * F.col("t_rest") >= least)
-    return (
+    pairs = (
         met.groupBy("s_name", "t_name")
         .agg(
             F.sum(F.col("s_part") * F.col("t_part")).alias("seen"),
             F.min(F.col("s_after") * F.col("t_after")).alias("unseen"),
+            F.least(F.first("s_hot"), F.first("t_hot")).alias("hot"),
         )
-        .filter(F.col("seen") + F.col("unseen") >= least)
+        .filter(F.col("seen") + F.col("unseen") + F.col("hot") >= least)
         .select("s_name", "t_name")
     )
+    if hot is None:
+        return pairs
+    first = _pair_postings(sources, hot, "s", "t", threshold)
+    second = _pair_postings(targets, hot, "t", "s", threshold)
+    reach = F.col("s_part") * F.col("t_part") + F.col("s_rest") * F.col("t_rest")
+    by_two = first.join(second, ["gram", "second"]).filter(reach >= least).select("s_name", "t_name")
+    return pairs.union(by_two).distinct()
 
 
 def _with_cosine(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Exact cosine of candidate pairs: both vectors are joined to the pair and multiplied in the row."""
+    """Exact cosine of candidate pairs: both vectors are joined to the pair and multiplied batch by batch."""
 
     def side(s: str) -> DataFrame:
         return vectors.select(
             F.col("name").alias(f"{s}_name"), F.col("grams").alias(f"{s}_grams"), F.col("parts").alias(f"{s}_parts")
         )
 
-    shared = F.array_intersect("s_grams", "t_grams")
-    of_s, of_t = F.map_from_arrays("s_grams", "s_parts"), F.map_from_arrays("t_grams", "t_parts")
-    dot = F.aggregate(
-        F.transform("_shared", lambda g: F.element_at("_of_s", g) * F.element_at("_of_t", g)),
-        F.lit(0.0),
-        lambda total, x: total + x,
-    )
-    return (
-        pairs.join(side("s"), "s_name")
-        .join(side("t"), "t_name")
-        .select("s_name", "t_name", shared.alias("_shared"), of_s.alias("_of_s"), of_t.alias("_of_t"))
-        .select("s_name", "t_name", dot.alias("cosine"))
-    )
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, gram, part = {}, {}, {}
+            for s in "st":
+                grams, parts = (batch.column(batch.schema.get_field_index(f"{s}_{c}")) for c in ("grams", "parts"))
+                row[s] = np.repeat(np.arange(len(grams)), pc.list_value_length(grams).to_numpy(zero_copy_only=False))
+                gram[s], part[s] = grams.flatten(), parts.flatten().to_numpy(zero_copy_only=False)
+            coded = pa.concat_arrays([gram["s"], gram["t"]]).dictionary_encode()
+            code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            keys = np.concatenate([row["s"], row["t"]]) * max(1, len(coded.dictionary)) + code
+            of_s, of_t = keys[: len(row["s"])], keys[len(row["s"]) :]
+            order = np.argsort(of_t)
+            place = np.minimum(np.searchsorted(of_t[order], of_s), max(0, len(of_t) - 1))
+            shared = of_t[order][place] == of_s if len(of_t) else np.zeros(len(of_s), bool)
+            products = part["s"][shared] * part["t"][order[place[shared]]]
+            cosine = np.bincount(row["s"][shared], products, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(cosine)], names=["s_name", "t_name", "cosine"])
+
+    joined = pairs.join(side("s"), "s_name").join(side("t"), "t_name")
+    columns = ["s_name", "t_name", "s_grams", "s_parts", "t_grams", "t_parts"]
+    return joined.select(columns).mapInArrow(multiply, "s_name string, t_name string, cosine double")
 
 
 def best_matches(
@@ -168,9 +241,7 @@ def best_matches(
             names.select("name", "is_source", "target"), "name"
         )
     )
-    left = _postings(vectors.filter("is_source"), "s", threshold)
-    right = _postings(vectors.filter("target is not null"), "t", threshold)
-    pairs = _with_cosine(_candidates(left, right, threshold), vectors)
+    pairs = _with_cosine(_candidates(vectors, threshold), vectors)
     ids = vectors.filter("target is not null").select(F.col("name").alias("t_name"), "target")
     ranked = pairs.join(ids, "t_name").select(
         F.col("s_name").alias("norm_name"),
