@@ -1,5 +1,6 @@
 """Metrics, gates, splits, models and explanations by their own arithmetic."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import numpy as np
@@ -10,6 +11,7 @@ from vetrail.operators import (
     categories, explain, metrics, monitor, ordered, profile, quality, score, split, train,
 )
 from vetrail.plans import retrain, scoring
+from vetrail.sources import commits
 
 
 def scored(spark, rows):
@@ -321,3 +323,66 @@ def test_profiles_handle_nulls(spark):
     assert (r["g"], r["n"], r["rate"]) == ("a", 2, 0.5)
     assert profile.distinct_values(rows, "g").first()[0] == 1
     assert profile.distinct_values(rows, "g", approximate=True).first()[0] == 1
+
+
+def test_registrations_at_once_leave_one_champion(spark, tmp_path):
+    """Each of eight writers gets a number of its own, and each promotion is right for the entries before it."""
+    registry = str(tmp_path / "registry")
+    values = [0.3, 0.5, 0.4, 0.9, 0.2, 0.8, 0.7, 0.6]
+
+    def one(k):
+        return train.register_challenger(spark, registry, f"v{k}", "p", date(2024, 1, 1), {"roc_auc": 0.7, "pr_auc": values[k]}, NAMES)
+
+    with ThreadPoolExecutor(8) as pool:
+        promoted = list(pool.map(one, range(8)))
+    entries = sorted(train.registry_table(spark, registry).collect(), key=lambda r: r["sequence"])
+    assert [r["sequence"] for r in entries] == list(range(1, 9))
+    best = 0.0
+    for r in entries:
+        assert r["promoted"] == (r["pr_auc"] > best) == promoted[int(r["version"][1:])]
+        best = max(best, r["pr_auc"])
+    assert train.champion(spark, registry)["version"] == "v3"
+    assert not [f for f in (tmp_path / "registry").iterdir() if f.name.endswith(".tmp")]
+    assert not commits.create_if_absent(spark, registry, "000000000003.json", "{}")
+
+
+def test_drift_of_distributions(spark):
+    rng = np.random.default_rng(2)
+    base, same, wide = rng.normal(size=4000), rng.normal(size=3000), rng.normal(scale=2.0, size=3000)
+    runs = [("same", float(x)) for x in same] + [("wide", float(x)) for x in wide] + [("same", None)]
+    scores = spark.createDataFrame(runs, "run string, s double").repartition(5)
+    baseline = spark.createDataFrame([("b", float(x)) for x in base], "run string, s double")
+    edges = np.quantile(base, np.arange(1, 10) / 10)
+    exact = {r["run"]: r for r in monitor.distribution_drift(scores, baseline, "s", "run", edges.tolist()).collect()}
+    for run, x in (("same", same), ("wide", wide)):
+        p = np.diff([0, *[(x <= e).mean() for e in edges], 1])
+        q = np.diff([0, *[(base <= e).mean() for e in edges], 1])
+        assert exact[run]["n"] == 3000 and exact[run]["psi"] == pytest.approx(((p - q) * np.log(p / q)).sum())
+        assert exact[run]["ks"] == pytest.approx(np.abs(np.cumsum(p - q)).max())
+    assert (exact["same"]["alert"], exact["wide"]["alert"]) == (0, 1)
+    # Means are alike: only the distribution tells the runs apart.
+    assert {r["alert"] for r in monitor.score_drift(scores, baseline, "s", "run").collect()} == {0}
+    halves = monitor.score_sketches(baseline.withColumn("run", F.pmod(F.hash("s"), F.lit(6))), "s", "run")
+    merged = monitor.merged_sketches(halves)
+    assert merged.first()["n"] == 4000
+    rough = {r["run"]: r for r in monitor.sketch_drift(monitor.score_sketches(scores, "s", "run"), merged, "run").collect()}
+    for run in ("same", "wide"):
+        assert rough[run]["n"] == 3000 and rough[run]["ks"] == pytest.approx(exact[run]["ks"], abs=0.02)
+        assert rough[run]["psi"] == pytest.approx(exact[run]["psi"], abs=0.05)
+    with pytest.raises(ValueError, match="no scores"):
+        monitor.sketch_drift(halves, merged.limit(0), "run")
+
+
+def test_sketched_years(spark):
+    rows = spark.range(6000).select(
+        F.expr("date_add(date'2019-01-01', cast(id % 1400 as int))").alias("day"), F.col("id").alias("code"),
+        F.expr("cast(sqrt(id % 400) as int)").alias("kind"),
+    )
+    kinds, codes = (profile.yearly_sketches(rows, "day", c) for c in ("kind", "code"))
+    chosen = rows.filter(F.year("day").between(2020, 2021))
+    want = chosen.groupBy("kind").count().orderBy(F.desc("count"), "kind").limit(3).collect()
+    found = profile.counts_of_years(kinds, 2020, 2021, 3).collect()
+    assert [(r["item"], r["count"]) for r in found] == [tuple(r) for r in want]
+    assert {r["n"] for r in found} == {chosen.count()} and {r["n_distinct"] for r in found} == {20}
+    exact = profile.distinct_values(chosen, "code").first()[0]
+    assert profile.counts_of_years(codes, 2020, 2021, 1).first()["n_distinct"] == pytest.approx(exact, rel=0.03)

@@ -135,6 +135,32 @@ def distinct_values(rows: DataFrame, column: str, approximate: bool = False) ->
     )
 
 
+def yearly_sketches(rows: DataFrame, date: str, column: str, items: int = 1000) -> DataFrame:
+    """(year, n, distinct, frequent): what is needed to count distinct and frequent values of any range of years."""
+    known = rows.filter(F.col(date).isNotNull() & F.col(column).isNotNull()).select(
+        F.year(date).alias("year"), F.col(column).alias("_value")
+    )
+    return known.groupBy("year").agg(
+        F.count("*").alias("n"), F.hll_sketch_agg("_value", 14).alias("distinct"),
+        F.expr(f"approx_top_k_accumulate(_value, {int(items)})").alias("frequent"),
+    )
+
+
+def counts_of_years(sketches: DataFrame, first: int, last: int, k: int = 10) -> DataFrame:
+    """(n, n_distinct, item, count) of the k most frequent values of some years, from stored sketches alone.
+
+    Distinct counts are off by about 1 %; counts of values are exact while the years hold no more values than
+    three quarters of the sketches' items, and never below the truth.
+    """
+    chosen = sketches.filter(F.col("year").between(first, last))
+    merged = chosen.agg(
+        F.sum("n").alias("n"), F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("n_distinct"),
+        F.expr("approx_top_k_estimate(approx_top_k_combine(frequent), 500)").alias("found"),
+    )
+    every = merged.select("n", "n_distinct", F.inline_outer("found"))
+    return every.orderBy(F.desc("count"), "item").limit(k)
+
+
 def yearly_counts(rows: DataFrame, date: str) -> DataFrame:
     """Rows per calendar year."""
     return (

@@ -19,6 +19,7 @@ from vetrail.operators.boost import BoostedTrees, Spec
 from vetrail.operators.metrics import evaluate
 from vetrail.operators.score import with_absent_as_zero
 from vetrail.operators.split import expanding_folds, fold_parts
+from vetrail.sources import commits
 
 Model = PipelineModel | BoostedTrees
 
@@ -310,12 +311,7 @@ def load_model(spark: SparkSession, path: str) -> Model:
 
 def registry_table(spark: SparkSession, registry: str) -> DataFrame | None:
     """All entries of a registry, or None before the first one."""
-    try:
-        return spark.read.schema(REGISTRY).parquet(registry)
-    except Exception as e:  # the folder does not exist before the first entry
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
+    return commits.entries(spark, registry, REGISTRY)
 
 
 def champion(spark: SparkSession, registry: str) -> dict | None:
@@ -346,18 +342,19 @@ def register_challenger(
     """Append a challenger; it is promoted if there is no champion or its PR-AUC is higher.
 
     Entries are numbered in the order of registration. A version is registered once. Unknown
-    metrics (measured on one class only) never promote.
+    metrics (measured on one class only) never promote. Of several retrainings that register at once each is compared
+    with the champion of all entries before its own (see :mod:`vetrail.sources.commits`).
     """
-    refuse_known(spark, registry, version)
-    table = registry_table(spark, registry)
-    number = 1 + ((table.agg(F.max("sequence")).first()[0] or 0) if table else 0)
-    now = champion(spark, registry)
     roc_auc, pr_auc = (None if metrics[m] is None else float(metrics[m]) for m in ("roc_auc", "pr_auc"))
-    known = roc_auc is not None and pr_auc is not None
-    promoted = known and (now is None or pr_auc > now["pr_auc"])
-    row = (
-        number, version, path, trained_on, roc_auc, pr_auc, list(features), list(categories),
-        codes_path, promoted,
-    )
-    spark.createDataFrame([row], REGISTRY).write.mode("append").parquet(registry)
-    return promoted
+
+    def decide(known: list[dict], number: int) -> dict:
+        if any(e["version"] == version for e in known):
+            raise ValueError(f"version {version} is registered already")
+        now = next((e for e in reversed(known) if e["promoted"]), None)
+        promoted = roc_auc is not None and pr_auc is not None and (now is None or pr_auc > now["pr_auc"])
+        return {
+            "sequence": number, "version": version, "path": path, "trained_on": trained_on, "roc_auc": roc_auc, "pr_auc": pr_auc,
+            "features": list(features), "categories": list(categories), "codes_path": codes_path, "promoted": promoted,
+        }
+
+    return commits.append(spark, registry, REGISTRY, decide)["promoted"]

@@ -541,6 +541,24 @@ w as (select cast(date_trunc('week', dt) as date) as week, count(*) as n, avg(sc
 select week, n, round(mean_score, 6) as mean_score, round(m, 6) as baseline_mean,
   round(abs(mean_score - m) / sd, 6) as deviations, cast(abs(mean_score - m) > 0.25 * sd as bigint) as alert
 from w, b"""
+_RANKS = ", ".join(f"avg(cast(score <= {i / 10} as int)) as f{i}" for i in range(1, 10)) + ", 1.0 as f10, 0.0 as f0"
+_PSI = " + ".join(
+    f"(greatest(0.0001, o.f{i} - o.f{i - 1}) - greatest(0.0001, b.f{i} - b.f{i - 1}))"
+    f" * ln(greatest(0.0001, o.f{i} - o.f{i - 1}) / greatest(0.0001, b.f{i} - b.f{i - 1}))"
+    for i in range(1, 11)
+)
+_KS = ", ".join(f"abs(o.f{i} - b.f{i})" for i in range(1, 11))
+ORACLE["distribution_drift"] = f"""
+with {_ORDER_SCORES},
+b as (select {_RANKS} from s where year(dt) < 1998),
+o as (select cast(date_trunc('month', dt) as date) as month, count(*) as n, {_RANKS} from s where year(dt) >= 1998 group by 1)
+select month, n, round({_PSI}, 6) as psi, round(greatest({_KS}), 6) as ks, cast(({_PSI}) > 0.2 as bigint) as alert from o, b"""
+ORACLE["sketched_years"] = " union all ".join(
+    f"""select * from (select cast({a} as bigint) as first, cast({z} as bigint) as last, cast(sum(count(*)) over () as bigint) as n,
+  count(*) over () as quantities, cast(l_quantity as bigint) as item, count(*) as count, cast(1 as bigint) as near
+  from lineitem where year(l_shipdate) between {a} and {z} group by l_quantity order by count(*) desc, item limit 5)"""
+    for a, z in ((1996, 1997), (1995, 2000))
+)
 ORACLE["predicted_vs_actual"] = f"""
 with {_ORDER_SCORES}
 select cast(date_trunc('month', dt) as date) as month, count(*) as n, round(avg(score), 6) as predicted,
@@ -684,10 +702,21 @@ select a, b, n, round(ln(p / (1 - p)) + v, 6) as margin, round((of_a - of_none +
   round((of_b - of_none + v - of_a) / 2, 6) as b_value, round(ln(p / (1 - p)) + of_none, 6) as base
 from known, p"""
 
-ORACLE["registry"] = """
-select cast(s as bigint) as sequence, v as version, p * (select count(*) from orders)::double as pr_auc,
-  cast(k as bigint) as promoted, cast(v = 'v10' as bigint) as is_champion
-from (values (1, 'v8', 2.0::double, 1), (2, 'v9', 1.0, 0), (3, 'v10', 3.0, 1), (4, 'v11', 2.5, 0)) t(s, v, p, k)"""
+_PRECISION = " union all ".join(
+    f"""select {i} as sequence, '{v}' as version, sum(pos / p * tp / (tp + fp)) as pr_auc from (
+  select pos, sum(pos) over up as tp, sum(neg) over up as fp, sum(pos) over () as p
+  from (select {c} as s, sum(y)::double as pos, sum(1 - y)::double as neg from r group by 1)
+  window up as (order by s desc rows between unbounded preceding and current row))"""
+    for i, (v, c) in enumerate(
+        {"v8": "l_quantity", "v9": "-l_quantity", "v10": "l_discount", "v11": "case l_linestatus when 'F' then l_tax else -l_tax end"}.items(), 1
+    )
+)
+ORACLE["registry"] = f"""
+with r as (select *, cast(l_returnflag = 'R' as int) as y from lineitem),
+m as ({_PRECISION}),
+seen as (select *, max(pr_auc) over (order by sequence rows between unbounded preceding and 1 preceding) as best from m)
+select cast(sequence as bigint) as sequence, version, round(pr_auc, 6) as pr_auc, cast(best is null or pr_auc > best as bigint) as promoted,
+  cast(pr_auc = (select max(pr_auc) from m) as bigint) as is_champion from seen"""
 ORACLE["model_gates"] = f"""
 with u as ({ORACLE["model_comparison"]}),
 m as (select min(roc_auc) as roc, min(pr_auc) as pr from u)

@@ -713,6 +713,51 @@ def score_drift(spark, sf_dir):
     return tidy(monitor.score_drift(split.since_year(rows, "o_date", 1998), base, "score", "week", 0.25))
 
 
+SCORE_EDGES = [i / 10 for i in range(1, 10)]
+
+
+@query
+def distribution_drift(spark, sf_dir):
+    """Shift of each month's distribution of scores against the years before."""
+    rows = _order_scores(spark, sf_dir).withColumn("month", F.date_trunc("month", "o_date").cast("date"))
+    base = split.before_year(rows, "o_date", 1998)
+    late = split.since_year(rows, "o_date", 1998)
+    return tidy(monitor.distribution_drift(late, base, "score", "month", SCORE_EDGES))
+
+
+@query
+def sketch_drift(spark, sf_dir):
+    """Months against earlier years from stored weekly sketches; the exact shift beside them."""
+    path = fresh_folder(spark)
+    rows = _order_scores(spark, sf_dir)
+    sinks.write_parquet(monitor.score_sketches(rows.withColumn("week", F.date_trunc("week", "o_date").cast("date")), "score", "week"), path)
+    stored = spark.read.parquet(path)
+    base = monitor.merged_sketches(stored.filter(F.year("week") < 1998))
+    months = monitor.merged_sketches(stored.filter(F.year("week") >= 1998), F.date_trunc("month", "week").cast("date").alias("month"))
+    return tidy(monitor.sketch_drift(months, base, "month"))
+
+
+@query
+def sketched_years(spark, sf_dir):
+    """Counts of ranges of years out of stored yearly sketches; distinct counts are held against the exact ones."""
+    path = fresh_folder(spark)
+    items = d.shipped_items(spark, sf_dir).select("l_orderkey", "l_date")
+    quantities = d.table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("l_date"), F.col("l_quantity").cast("bigint").alias("q"))
+    sinks.write_parquet(profile.yearly_sketches(quantities, "l_date", "q"), f"{path}/q")
+    sinks.write_parquet(profile.yearly_sketches(items, "l_date", "l_orderkey"), f"{path}/orders")
+    out = None
+    for first, last in ((1996, 1997), (1995, 2000)):
+        frequent = profile.counts_of_years(spark.read.parquet(f"{path}/q"), first, last, 5)
+        counted = profile.counts_of_years(spark.read.parquet(f"{path}/orders"), first, last, 1).select("n_distinct")
+        exact = profile.distinct_values(items.filter(F.year("l_date").between(first, last)), "l_orderkey").scalar()
+        one = frequent.select(
+            F.lit(first).alias("first"), F.lit(last).alias("last"), "n", F.col("n_distinct").alias("quantities"), "item", "count",
+            (F.abs(counted.scalar() - exact) <= 0.05 * exact).cast("int").alias("near"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return tidy(out)
+
+
 @query
 def predicted_vs_actual(spark, sf_dir):
     rows = _order_scores(spark, sf_dir)
@@ -1044,16 +1089,20 @@ def champion_scores(spark, sf_dir):
 
 @query
 def registry(spark, sf_dir):
-    """Entries in the order of registration: a champion is replaced by a better one only, v10 counts after v9."""
+    """Entries in the order of registration, by metrics of four score columns: only a better one replaces the champion."""
     folder = f"{fresh_folder(spark)}/registry"
-    n = float(d.table(spark, sf_dir, "orders").count())
-    for version, share in (("v8", 2.0), ("v9", 1.0), ("v10", 3.0), ("v11", 2.5)):
-        metrics_ = {"roc_auc": n, "pr_auc": share * n}
-        train.register_challenger(spark, folder, version, version, Date(2001, 8, 1), metrics_, ["a"])
-    rows = train.registry_table(spark, folder)
+    rows = d.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_returnflag") == "R").cast("int").alias("y"), F.col("l_quantity").cast("double").alias("v8"),
+        (-F.col("l_quantity")).cast("double").alias("v9"), F.col("l_discount").cast("double").alias("v10"),
+        F.when(F.col("l_linestatus") == "F", F.col("l_tax")).otherwise(-F.col("l_tax")).cast("double").alias("v11"),
+    )
+    for version in ("v8", "v9", "v10", "v11"):
+        found = metrics.evaluate(rows, "y", version).first().asDict()
+        train.register_challenger(spark, folder, version, version, Date(2001, 8, 1), found, ["a"])
+    table = train.registry_table(spark, folder)
     now = train.champion(spark, folder)["version"]
     return tidy(
-        rows.select("sequence", "version", "pr_auc", F.col("promoted").cast("bigint").alias("promoted")).withColumn(
+        table.select("sequence", "version", "pr_auc", F.col("promoted").cast("bigint").alias("promoted")).withColumn(
             "is_champion", (F.col("version") == now).cast("bigint")
         )
     )
