@@ -1,6 +1,6 @@
 """Readers of the raw inputs. Schemas are declared, so nothing is inferred from the data.
 
-Workbooks are read from their tabular export (CSV or Parquet), which Spark can split among tasks.
+Workbooks are read sheet by sheet in ranges of rows (``kind="workbook"``), or from their tabular export.
 """
 
 from __future__ import annotations
@@ -15,12 +15,15 @@ from vetrail.functions.coerce import coerced_date, coerced_long, strict_date
 from vetrail.operators.clean import complete
 from vetrail.sources import schemas
 from vetrail.sources.documents import document_records
+from vetrail.sources.workbooks import read_workbook
 
 
 def read_table(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType, kind: str = "parquet"
 ) -> DataFrame:
-    """A tabular file set: ``parquet``, ``orc``, ``csv`` with header, or ``json`` lines."""
+    """A tabular file set: ``parquet``, ``orc``, ``csv`` with header, ``json`` lines, or the first sheet of a ``workbook``."""
+    if kind == "workbook":
+        return read_workbook(spark, path, schema)
     reader = spark.read.schema(schema).format(kind)
     if kind == "csv":
         reader = reader.options(header=True, mode="PERMISSIVE", escape='"', multiLine=False)
