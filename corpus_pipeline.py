@@ -24,15 +24,20 @@ TOKENIZER = "word_bpe_49k.json"
 AMBIGUOUS = 0.01
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def _row_keys(docs: DataFrame) -> tuple[DataFrame, str]:
     """The rows and the column that tells them apart: ``doc_id``, or where ids repeat or are null a written row
     number that follows the ids, null last."""
     odd = docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count()
     if not odd:
         return docs, "doc_id"
-    key = "_row"
-    while key in docs.columns:
-        key = f"_{key}"
+    key = _free(docs, "_row")
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
@@ -65,17 +70,21 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     rows, key = _row_keys(docs)
     others = [c for c in docs.columns if c not in (key, "text", "n_chars")]
-    cut = cut_repeats(rows, id_column=key, keep=others)
-    cut = cut.withColumnRenamed("kept_text", "text")
+    # A column that has the name of the result is carried under another.
+    aside = _free(docs, "_kept_text")
+    rows = rows.withColumnRenamed("kept_text", aside)
+    cut = cut_repeats(rows, id_column=key, keep=[aside if c == "kept_text" else c for c in others])
+    cut = cut.withColumnsRenamed({"kept_text": "text", aside: "kept_text"})
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it, whether or not it has an id of its own."""
     rows, key = _row_keys(docs)
-    mixed = mix_sources(rows, id_column=key).filter("copies > 0").select(key, F.col("copies").alias("_copies"))
+    copies, copy = _free(docs, "_copies"), _free(docs, "_copy")
+    mixed = mix_sources(rows, id_column=key).filter("copies > 0").select(key, F.col("copies").alias(copies))
     rows = rows.join(broadcast_ids(materialized(mixed)), key)
-    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(docs.columns)
+    return rows.withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(copies)))).select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
