@@ -4,6 +4,7 @@ import corpus_pipeline
 from llm import brute
 from pyspark.sql import functions as F
 
+from vetrail.llm.mixing import mix_sources
 from vetrail.session import materialized
 
 
@@ -38,6 +39,8 @@ def _check(docs):
         copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
         assert r["text"] == after[r["doc_id"]]
     assert set(copies) <= set(after) and max(copies.values()) <= 2
+    given = mix_sources(cut).collect()
+    assert copies == {r["doc_id"]: r["copies"] for r in given if r["copies"]}
     for table in (known, near, cut, mixed):
         assert table.columns == start.columns
     rows = packed.toPandas()
@@ -82,6 +85,28 @@ def test_rows_without_an_id_of_their_own(spark, sf_dir):
     assert set(mixed) == set(texts) and max(mixed.count(t) for t in texts) <= 2
 
 
+def test_columns_with_clashing_names(spark, sf_dir):
+    """Extra columns keep their values, whatever the stages call their own."""
+    names = ["kept_text", "_kept_text", "_copies", "_copy", "copies", "_row", "n_removed", "lang_pred", "score", "_letters", "component_id"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    docs = materialized(docs.withColumns({c: F.concat(F.lit(f"{c}-"), F.col("doc_id")) for c in names}))
+    for table in _stages(spark, docs, sf_dir)[1:-1]:
+        assert table.columns == docs.columns
+        for r in table.collect():
+            assert [r[c] for c in names] == [f"{c}-{r['doc_id']}" for c in names]
+
+
+def test_too_long_texts_are_refused():
+    import numpy as np
+    import pytest
+
+    from vetrail.llm import suffix
+
+    raw = np.broadcast_to(np.uint8(97), (1 << 28) + 1)
+    with pytest.raises(ValueError, match="at most 268435456"):
+        suffix.elected(raw, np.array([0, len(raw)]))
+
+
 def test_run_is_the_stages(spark, sf_dir):
     found = corpus_pipeline.run(spark, sf_dir)
     docs = _stages(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)[-1]

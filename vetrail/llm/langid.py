@@ -190,7 +190,7 @@ def identify_languages(
 
     Null, empty and letterless texts are ``und`` with score 0, not ambiguous. Only the text is read for the
     prediction, so equal texts get equal results. Ties go to the first language in code point order.
-    Columns of those three names are replaced; all others are kept.
+    Columns of those three names are replaced, one named ``_letters`` is dropped; all others are kept.
     """
     kept = [c for c in documents.columns if c not in ("lang_pred", "score", "ambiguous", "_letters")]
     rows = documents.select(*kept, has_letter(F.col(text)).alias("_letters"))

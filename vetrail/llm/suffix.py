@@ -87,10 +87,12 @@ class PrefixHashes:
 def elected(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, PrefixHashes]:
     """Positions elected by at least one window of a block of texts, and their gram hashes.
 
-    A block, and so a single text, may have 256 MB.
+    A block, and so a single text, may have 256 MB; longer ones raise ``ValueError``.
     """
-    hashes = PrefixHashes(raw)
     n = len(raw)
+    if n > 1 << _PLACE_BITS:
+        raise ValueError(f"a text of {n} bytes; at most {1 << _PLACE_BITS} can be searched")
+    hashes = PrefixHashes(raw)
     none = np.zeros(0, np.int64)
     if n < WINDOW:
         return none, none.astype(np.uint64), hashes
@@ -583,7 +585,8 @@ def cut_repeats(
 
     A byte is removed if a 100-byte string that covers it also starts earlier: in a document of smaller id, or
     before in the same one. Overlaps count, and strings are judged on the input. Null text is empty. Texts
-    under 100 bytes lose nothing. Rows that share an id are one document: what starts earlier in
+    under 100 bytes lose nothing, those over 256 MB raise ``ValueError``. Rows without an id keep their whole text and count for
+    no other; rows that share an id are one document: what starts earlier in
     one is earlier for all, equal places of equal rows are one place. Removal may split a character: the hash
     is that of all remaining bytes, ``kept_text`` lacks the parts of split characters. An empty table gives an empty result. Columns not named in ``keep`` are not read;
     a kept column takes the place of one of the same name.
