@@ -126,8 +126,14 @@ def test_gates(spark):
 
 def test_severity_and_absent_features(spark):
     codes = spark.createDataFrame([("21 CFR 211.113(b)",), ("820.22",), ("211.1135",), ("x",), (None,)], "c string")
-    got = [r[0] for r in codes.select(categories.severity(F.col("c"))).collect()]
-    assert got == ["sterility", "quality_system", "other", "other", None]
+    got = {r["c"]: r["severity"] for r in categories.with_severity(codes, "c").collect()}
+    assert got == {"21 CFR 211.113(b)": "sterility", "820.22": "quality_system", "211.1135": "other", "x": "other", None: None}
+    own = spark.createDataFrame(
+        [("211", "drugs"), ("211.113", "sterility"), ("211.113(b)", "validated"), ("820.22", "b"), ("820.22", "a")], "prefix string, category string"
+    )
+    more = spark.createDataFrame([("21 CFR 211.113(b)(1)",), ("211.113 (a)",), ("211.5",), ("820.22",), ("2110.5",)], "c string")
+    got = {r["c"]: r["s"] for r in categories.with_severity(more.union(more), "c", own, "s").collect()}
+    assert got == {"21 CFR 211.113(b)(1)": "validated", "211.113 (a)": "sterility", "211.5": "drugs", "820.22": "a", "2110.5": "other"}
     filled = score.with_absent_as_zero(spark.createDataFrame([(None,)], "a int"), ["a", "b"]).first()
     assert (filled["a"], filled["b"]) == (0, 0)
 
@@ -386,3 +392,21 @@ def test_sketched_years(spark):
     assert {r["n"] for r in found} == {chosen.count()} and {r["n_distinct"] for r in found} == {20}
     exact = profile.distinct_values(chosen, "code").first()[0]
     assert profile.counts_of_years(codes, 2020, 2021, 1).first()["n_distinct"] == pytest.approx(exact, rel=0.03)
+
+
+def test_subjects_of_letters(spark):
+    table = {
+        "CGMP/Finished Pharmaceuticals/Adulterated": {"wl_cgmp", "wl_adulterated"},
+        "Unapproved New Drugs/Misbranded": {"wl_unapproved_drug", "wl_misbranded"},
+        "Current  Good Manufacturing\nPractice (CGMP)": {"wl_cgmp"},
+        "CGMP/QSR/Medical Devices/Adulterated": {"wl_cgmp", "wl_medical_device", "wl_adulterated"},
+        "Foreign Supplier Verification Program (FSVP)": {"wl_fsvp"},
+        "Compounding Pharmacy/Adulterated Drug Products": {"wl_compounding", "wl_adulterated"},
+        "Seafood HACCP/CGMP for Foods": {"wl_cgmp"}, "Tobacco; unadulterated": set(), None: set(),
+    }
+    rows = spark.createDataFrame([(1, date(2020, 1, 1), s) for s in table], "e int, d date, subject string")
+    flags = categories.letter_subjects(rows, "e", "d").measures
+    found = {r["subject"]: {n for n in flags if r[n]} for r in rows.select("subject", *[c.alias(n) for n, c in flags.items()]).collect()}
+    assert found == table
+    own = categories.letter_subjects(rows, "e", "d", phrases={"food": ["seafood", "tobacco"], "none": []}).measures
+    assert [tuple(r) for r in rows.select(F.sum(own["food"]), F.sum(own["none"])).collect()] == [(2, 0)]
