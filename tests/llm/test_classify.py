@@ -2,6 +2,7 @@
 
 import hashlib
 import pickle
+import string
 import zlib
 
 import numpy as np
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from vetrail.llm import fingerprint, hnsw, langid, licenses, quality, vectors
 from vetrail.llm.queries import QUERIES
 
+CURLY = "\u2018\u2019\u201a\u201b\u201c\u201d\u201e\u201f"
+
 
 @pytest.fixture(scope="module")
 def awkward(spark):
@@ -156,17 +159,23 @@ def test_likeness_is_unbiased():
     assert abs(np.mean(errors)) < 0.02 and np.abs(errors).max() < 0.12
 
 
+def _bare_grams(text):
+    """Five-word shingles in order, of words without punctuation at their edges."""
+    words = [w.strip(string.punctuation + CURLY) for w in brute.WORD.findall((text or "").translate(brute.LOWER))]
+    words = [w for w in words if w]
+    return [tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))] if words else []
+
+
 def _scan_brute(rows, templates, least=0.8):
     """Templates whose shingles lie to ``least`` in some window of the same grid."""
     out = set()
+    known = [(name, own, licenses._class_size(len(own))) for name, t in templates if (own := set(_bare_grams(t)))]
     for i, text in rows:
-        words = brute.WORD.findall((text or "").translate(brute.LOWER))
-        grams = [tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))] if words else []
-        for name, template in templates:
-            own = brute.shingles(template)
-            if not own:
+        grams = _bare_grams(text)
+        every = set(grams)
+        for name, own, size in known:
+            if len(own & every) < least * len(own):
                 continue
-            size = licenses._class_size(len(own))
             for k in range(0, max(1, len(grams)), size):
                 if len(own & set(grams[k : k + 2 * size])) >= least * len(own):
                     out.add((i, name))
@@ -176,8 +185,11 @@ def _scan_brute(rows, templates, least=0.8):
 def test_license_query(spark, sf_dir):
     rows = brute.texts_by_id(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     passages = pd.read_parquet(f"{sf_dir}/benchmark.parquet")
-    templates = [*licenses.NOTICES.items(), *((f"passage-{i}", t) for i, t in zip(passages.item_id, passages.text))]
+    templates = [tuple(r) for r in licenses.license_templates(spark).collect()]
+    templates += [(f"passage-{i}", t) for i, t in zip(passages.item_id, passages.text)]
     found = QUERIES["op3_license_scans"](spark, sf_dir).collect()
+    assert {r["license"] for r in found} >= {None, "apache-2.0", "cc-by-nc-4.0", "mit"}
+    assert all((r["license"] is None) == r["template_id"].startswith("passage-") for r in found)
     assert {(r["doc_id"], r["template_id"]) for r in found} == _scan_brute(rows, templates)
     assert len(found) == len({(r["doc_id"], r["template_id"]) for r in found})
 
@@ -190,13 +202,45 @@ def test_license_awkward(spark, awkward, monkeypatch):
     expected = _scan_brute(brute.texts_by_id(awkward), templates)
     found = licenses.scan_templates(awkward, table).collect()
     assert {(r["doc_id"], r["template_id"]) for r in found} == expected and expected
-    monkeypatch.setattr(licenses, "TEMPLATES_AT_ONCE", 2)  # scanned for in turns
+    monkeypatch.setattr(licenses, "TEMPLATE_BYTES", 5000)  # scanned for in turns
+    assert len(licenses._turns(table.toDF("id", "text"))) >= 3
     found = licenses.scan_templates(awkward, table).collect()
     assert {(r["doc_id"], r["template_id"]) for r in found} == expected
     assert licenses.scan_templates(awkward.limit(0), table).count() == 0
     assert licenses.scan_templates(awkward, table.limit(0)).count() == 0
 
 
+def test_license_bodies(spark):
+    """Bodies under another name, as comments, rewrapped, with curly quotes and small edits; halves are not found."""
+    bodies = {r["template_id"]: r["template"] for r in licenses.license_templates(spark).collect()}
+    filler = " ".join(f"word{k % 97} other{k % 89}" for k in range(2000))
+    texts, expected = [], []
+
+    def add(text, *names):
+        texts.append((len(texts), text))
+        expected.append(set(names))
+
+    for name in ("mit/text", "bsd-3-clause/text", "gpl-3.0/text", "isc/text", "zlib/text", "mpl-2.0/text"):
+        words = f"Copyright (c) 2031 Some Holder {bodies[name]}".split()
+        lines = [" ".join(words[k : k + 9]) for k in range(0, len(words), 9)]
+        add(filler + "\n" + "\n".join(f" * {line}" for line in lines) + " */ " + filler, name)
+        add("\n".join(f"# {line}" for line in lines).replace('"AS IS"', "\u201cas is\u201d"), name)
+        add(" ".join(words[: len(words) // 2]))
+    add(bodies["mit/text"].replace("THE AUTHORS OR COPYRIGHT HOLDERS", "SOME COMPANY", 1), "mit/text")
+    add("(Released under the MIT License, see there)", "mit/released")
+    add("released under the mit licence")
+    add("code is licensed under the Apache License, Version 2.0)", "apache-2.0/licensed")
+    add(". , ; !!! \u201c\u201d")
+    found = licenses.scan_templates(
+        spark.createDataFrame(texts, "doc_id long, text string"), licenses.license_templates(spark)
+    ).collect()
+    for (i, _), names in zip(texts, expected):
+        # Relatives of a license that share 80 % of its text are found too, with a lower containment.
+        got = {r["template_id"]: r["containment"] for r in found if r["doc_id"] == i}
+        assert names == {t for t, share in got.items() if share == max(got.values())}
+    assert {(r["doc_id"], r["template_id"]) for r in found} == _scan_brute(texts, list(bodies.items()))
+
+
 def _links(rows):
     """Counts and components by brute force of (id, vector, label)."""
     groups, count = brute.Groups({i for i, _, _ in rows}), [0] * len(rows)

@@ -14,7 +14,7 @@ from vetrail.llm.common import table
 from vetrail.llm.fingerprint import fingerprints
 from vetrail.llm.jaccard import jaccard_components
 from vetrail.llm.langid import fit_languages, identify_languages
-from vetrail.llm.licenses import NOTICES, scan_templates
+from vetrail.llm.licenses import license_templates, scan_templates
 from vetrail.llm.materialise import training_order, written_shards
 from vetrail.llm.mixing import mix_sources
 from vetrail.llm.oracle import ORACLE
@@ -39,12 +39,13 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License notices, and the protected passages of the benchmark, found in all documents."""
-    notices = spark.createDataFrame(sorted(NOTICES.items()), "template_id string, template string")
+    """License texts and notices, and the protected passages of the benchmark, found in all documents."""
     passages = table(spark, sf_dir, "benchmark").select(
-        F.concat(F.lit("passage-"), F.col("item_id").cast("string")), "text"
+        F.concat(F.lit("passage-"), F.col("item_id").cast("string")).alias("template_id"), F.col("text").alias("template")
     )
-    return scan_templates(table(spark, sf_dir, "documents"), notices.union(passages))
+    found = scan_templates(table(spark, sf_dir, "documents"), license_templates(spark).unionByName(passages))
+    name = F.when(F.contains("template_id", F.lit("/")), F.substring_index("template_id", "/", 1))
+    return found.withColumn("license", name)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
