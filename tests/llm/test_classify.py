@@ -1,7 +1,6 @@
 """Language identification, quality, fingerprints, license scans, embeddings."""
 
 import hashlib
-import pickle
 import string
 import zlib
 
@@ -289,8 +288,9 @@ def test_embedding_awkward(spark, monkeypatch):
     assert vectors.near_duplicate_vectors(table.limit(0)).count() == 0
 
 
-def _shard(ids, exact):
-    return pd.DataFrame({"ids": [np.array(ids, np.int64).tobytes()], "exact": [exact.tobytes()], "graph": [pickle.dumps([])]})
+def _searched(exact, **kwargs):
+    ids = np.arange(len(exact))
+    return vectors._search(ids, exact, None, ids, exact, 0.98, **kwargs)
 
 
 def test_audit_sees_sparse_links(monkeypatch):
@@ -299,9 +299,9 @@ def test_audit_sees_sparse_links(monkeypatch):
     exact[[100, 300, 501]] = exact[[101, 302, 7]]
     own = lambda graph, exact, queries, beam, threshold: (np.arange(len(queries)),) * 2
     monkeypatch.setattr(vectors, "_links", own)
-    shard = _shard(range(600), exact)
-    ties = vectors._search_shard(0.98)(shard, shard)
-    assert sorted(zip(ties["b"], ties["a"])) == [(7, 501), (100, 101), (300, 302)]
+    a, b, beam, recall = _searched(exact)
+    assert (beam, recall) == (0, 1.0)  # worked out by brute force in the end
+    assert sorted(zip(b.tolist(), a.tolist())) == [(7, 501), (100, 101), (300, 302)]
 
 
 def test_audit_counts_queries_not_pairs(monkeypatch):
@@ -319,12 +319,29 @@ def test_audit_counts_queries_not_pairs(monkeypatch):
         return rows[kept], nodes[kept]
 
     monkeypatch.setattr(vectors, "_links", links)
-    shard = _shard(range(1600), exact)
-    ties = vectors._search_shard(0.98)(shard, shard)
-    assert beams == [32, 64] and len(ties) == 799 + 400
+    a, _, beam, recall = _searched(exact)
+    assert beams == [32, 64] and beam == 64 and recall == 1.0 and len(a) == 799 + 400
+    assert len(_searched(exact, audit_rows=None)[0]) == 799 + 400 and beams == [32, 64]
 
 
-def test_embedding_large_label(spark):
+def test_audit_asks_made_queries(monkeypatch):
+    """A block without any link still measures the graph: one that finds nothing does not pass."""
+    exact = vectors._units(np.random.default_rng(4).normal(size=(900, 24)))
+    made = vectors._made_queries(exact, 0.98)
+    near = (made @ exact.T).max(axis=1)
+    assert len(made) == vectors.AUDIT_MADE and (near >= 0.98).all() and near.max() < 1 and np.ptp(near) > 0.01
+    beams = []
+
+    def links(graph, exact, queries, beam, threshold):
+        beams.append(beam)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    monkeypatch.setattr(vectors, "_links", links)
+    a, _, beam, recall = _searched(exact)
+    assert beams == [32, 64] and beam == 0 and recall == 1.0 and len(a) == 0
+
+
+def test_embedding_large_label(spark, tmp_path):
     """Some thousand distinct vectors of one label over several shards, duplicates in few of them."""
     rng = np.random.default_rng(12)
     exact = rng.normal(size=(3000, 24))
@@ -332,7 +349,12 @@ def test_embedding_large_label(spark):
     exact[twins[:, 1]] = exact[twins[:, 0]] + rng.normal(size=(60, 24)) * 0.02
     rows = [(k, v.tolist(), "a") for k, v in enumerate(exact)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
-    found = vectors.near_duplicate_vectors(frame, shard_rows=1000).collect()
+    folder = str(tmp_path / "audits")
+    found = vectors.near_duplicate_vectors(frame, shard_rows=1000, audit_folder=folder).collect()
+    audits = spark.read.parquet(folder).collect()
+    # The graphs are asked, by beams of part of a shard, and their recall is known.
+    assert sorted((r["shard"], r["block"]) for r in audits) == [(i, j) for i in range(3) for j in range(3)]
+    assert all(0 < r["beam"] <= 128 and r["recall"] >= 0.99 and r["audited"] == vectors.AUDIT_ROWS for r in audits)
     unit = vectors._units(exact)
     a, b = np.nonzero(np.triu(unit @ unit.T >= vectors.THRESHOLD, 1))
     groups = brute.Groups(range(3000))
