@@ -142,6 +142,25 @@ def test_fingerprint_awkward(awkward):
     assert len(twice) == 2 and {r["near_next"] for r in twice} == {1.0}
 
 
+def test_fingerprint_ranges_follow_bytes(spark):
+    # A third of the bytes in one id, a third in a few neighbouring ids, the rest even; every document keeps its follower.
+    sizes = [4_000 if i == 70 else 400 if 200 <= i < 210 else 4 for i in range(1_000)]
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(n))) for i, n in enumerate(sizes)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    blocks = fingerprint.with_next_in_blocks(documents, "doc_id", "text", range_bytes=4_000)
+    own = blocks.filter("_extra = 0").groupBy("_block").agg(
+        F.sum(F.octet_length("_text")).alias("bytes"), F.count("*").alias("n"), F.max("_key") - F.min("_key") + 1
+    )
+    found = sorted(tuple(r) for r in own.collect())
+    assert all(n == width for _, _, n, width in found) and sum(n for _, _, n, _ in found) == 1_000
+    assert len(found) > 10 and max(b for _, b, n, _ in found if n > 1) < 12_000
+    assert blocks.filter("_extra = 1").count() == len(found)
+    assert blocks.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.countDistinct("_block").alias("b")).filter(
+        "b > 1"
+    ).count() == 0
+    _check_fingerprints(fingerprint.fingerprints(documents).collect(), rows)
+
+
 def test_likeness_is_unbiased():
     rng = np.random.default_rng(1)
     errors = []

@@ -87,37 +87,61 @@ def edited(text: str, following: str) -> str:
 
 
 _LOWEST = -(1 << 63)
+#: Bytes of text that a range should hold, and the finest cuts of the ids that ranges are put together from.
+RANGE_BYTES, FINE_CUTS = 16 << 20, 100_000
 
 
-def with_next_in_blocks(documents: DataFrame, id_column: str, text: str) -> DataFrame:
-    """Rows (_block, _extra, _key, id, text): id ranges, each closed by the next range's first row.
+def _range_starts(rows: DataFrame, least: int, range_bytes: int) -> np.ndarray:
+    """First keys of consecutive ranges of ids that hold about equally many bytes of text.
 
-    Ranges follow quantiles of the ids; their limits and first ids are the only things on the driver (one row per
-    range). The last range is closed by the first row of all. Null ids come first.
+    Fine ranges between quantiles of the ids are weighed, and neighbours put together. The driver holds their first
+    keys and weights: ``FINE_CUTS`` rows at most. A fine range, and so one id, stays whole.
     """
-    spark = documents.sparkSession
-    key = F.coalesce(F.col(id_column).cast("long"), F.lit(_LOWEST))
-    rows = documents.select(key.alias("_key"), id_column, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    quantiles = [i / wanted for i in range(1, wanted)] or [0.5]
-    limits = rows.agg(F.percentile_approx("_key", quantiles, 10_000)).first()[0]
+    size = F.octet_length("_text") + 64
+    total = int(rows.agg(F.sum(size)).first()[0] or 0)
+    ranges = max(least, -(-total // range_bytes))
+    cuts = min(32 * ranges, FINE_CUTS)
+    quantiles = [i / cuts for i in range(1, cuts)]
+    limits = rows.agg(F.percentile_approx("_key", quantiles, max(10_000, 4 * cuts))).first()[0]
     limits = np.unique(np.array(limits or [], np.int64))
 
     @F.pandas_udf("int")
-    def range_of(keys: pd.Series) -> pd.Series:
+    def fine_range(keys: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(limits, keys.to_numpy(np.int64), "left").astype(np.int32))
 
-    firsts = rows.select("_key", range_of("_key").alias("_block")).groupBy("_block").agg(F.min("_key"))
-    firsts = sorted((r[0], r[1]) for r in firsts.collect())
-    closes = {first: firsts[i - 1][0] for i, (_, first) in enumerate(firsts)}
+    sized = rows.select("_key", size.alias("_size")).groupBy(fine_range("_key"))
+    fine = sorted((r[1], r[2]) for r in sized.agg(F.min("_key"), F.sum("_size")).collect())
+    weights = np.array([w for _, w in fine], np.float64)
+    middle = np.cumsum(weights) - weights / 2
+    own = (middle * ranges / max(total, 1)).astype(np.int64)
+    first = np.concatenate([[True], own[1:] != own[:-1]]) if len(own) else np.zeros(0, bool)
+    return np.array([k for k, _ in fine], np.int64)[first]
+
+
+def with_next_in_blocks(
+    documents: DataFrame, id_column: str, text: str, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
+    """Rows (_block, _extra, _key, id, text): id ranges, each closed by the next range's first row.
+
+    Ranges follow the bytes of the texts, one partition each. The last range is closed by the first row of all.
+    Null ids come first.
+    """
+    spark = documents.sparkSession
+    key = F.coalesce(F.col(id_column).cast("long"), F.lit(_LOWEST))
+    rows = documents.select(key.alias("_key"), id_column, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    starts = _range_starts(rows, int(spark.conf.get("spark.sql.shuffle.partitions")), range_bytes)
 
     @F.pandas_udf("array<int>")
     def places(keys: pd.Series) -> pd.Series:
-        own = np.searchsorted(limits, keys.to_numpy(np.int64), "left")
-        return pd.Series([[b, closes[k]] if k in closes else [b] for b, k in zip(own.tolist(), keys.tolist())])
+        keys = keys.to_numpy(np.int64)
+        own = np.searchsorted(starts, keys, "right") - 1
+        opens = starts[own] == keys
+        # The range before the first one is the last.
+        return pd.Series([[b, (b or len(starts)) - 1] if o else [b] for b, o in zip(own.tolist(), opens.tolist())])
 
     placed = rows.select("*", F.posexplode(places("_key")).alias("_extra", "_block"))
-    return placed.repartition("_block").sortWithinPartitions("_block", "_extra", "_key", "_text")
+    dealt = placed.repartitionById(max(1, len(starts)), "_block")
+    return dealt.sortWithinPartitions("_block", "_extra", "_key", "_text")
 
 
 def fingerprints(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
