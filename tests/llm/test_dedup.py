@@ -158,6 +158,27 @@ def test_signatures_always_meet():
         assert len(np.intersect1d(a, b)), (trial, n)
 
 
+@pytest.mark.parametrize(("frequent", "hot"), [(jaccard.FREQUENT, jaccard.HOT), (2, 2), (1_000, 2)])
+def test_jaccard_ids_of_several_texts(spark, monkeypatch, frequent, hot):
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    monkeypatch.setattr(jaccard, "MAX_TURNS", 0)
+    rows = []
+    for k in range(12):
+        short = [f"s{k}x{i}" for i in range(16)]
+        long = [f"l{k}x{i}" for i in range(60 + 7 * k)]
+        # One id with both texts, in either order, and four others that are near copies of one of them.
+        rows += [(k, " ".join(t)) for t in ([short, long] if k % 2 else [long, short])]
+        for c in range(2):
+            rows.append((100 + 10 * k + c, " ".join([*short[:-1], f"end{c}"])))
+            rows.append((105 + 10 * k + c, " ".join([f"start{c}", *long[1:]])))
+        # Two ids with alike texts under the threshold: that both have an empty row too is no link.
+        near = [f"n{k}x{i}" for i in range(20)]
+        rows += [(300 + k, " ".join(near)), (300 + k, None), (400 + k, " ".join([*near[:10], "x", *near[11:]])), (400 + k, "")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(documents, frequent=frequent).collect()}
+    assert found == brute.jaccard_components(rows) and set(found.values()) == {*range(12), *range(300, 312), *range(400, 412)}
+
+
 @pytest.mark.parametrize("run", [suffix.cut_repeats, jaccard.jaccard_components])
 def test_empty_table(awkward, run):
     assert run(awkward.limit(0)).collect() == []

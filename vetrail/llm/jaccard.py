@@ -33,6 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -190,7 +191,7 @@ def _compare_blocks(percent: int):
     """Pairs across components and across two blocks of a cluster that the bit maps cannot rule out.
 
     A place that only one set takes holds a token the other lacks. More such places than the threshold
-    allows misses rule a pair out. A document without a map is never ruled out.
+    allows misses rule a pair out. A document without a map, or of several sizes (0), is never ruled out.
     """
 
     def places(part: pd.DataFrame) -> np.ndarray:
@@ -207,8 +208,9 @@ def _compare_blocks(percent: int):
         n, m = left["n"].to_numpy(np.int64)[:, None], right["n"].to_numpy(np.int64)[None]
         needed = -(-percent * (n + m) // (100 + percent))
         open_ = (one.sum(axis=1)[:, None] - both <= n - needed) & (two.sum(axis=1)[None] - both <= m - needed)
-        open_ |= left["bits"].isna().to_numpy()[:, None] | right["bits"].isna().to_numpy()[None]
-        open_ &= (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
+        several = (n == 0) | (m == 0)
+        open_ |= several | left["bits"].isna().to_numpy()[:, None] | right["bits"].isna().to_numpy()[None]
+        open_ &= several | (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
         open_ &= left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None]
         a, b = left["doc"].to_numpy(np.int64), right["doc"].to_numpy(np.int64)
         if i == j:
@@ -227,9 +229,15 @@ def _map_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _mapped(facts: DataFrame, texts: DataFrame, members: DataFrame) -> DataFrame:
     """(doc, n, bits) of the members. A prefix of rare tokens has no map yet: tokens beyond the bound on
-    frequent ones count as rare however many documents hold them. An id of several such texts stays without."""
-    known = facts.join(members.select("doc").distinct(), "doc", "left_semi").select("doc", "n", "bits")
-    known = known.dropDuplicates(["doc"])
+    frequent ones count as rare however many documents hold them. An id of several maps has none, one of several
+    sizes has size 0: nothing about it rules a pair out."""
+    known = facts.join(members.select("doc").distinct(), "doc", "left_semi").groupBy("doc")
+    known = known.agg(
+        F.when(F.min("n") == F.max("n"), F.min("n")).otherwise(0).alias("n"),
+        F.when(
+            (F.min("bits") == F.max("bits")) & (F.count("bits") == F.count(F.lit(1))), F.min("bits")
+        ).alias("bits"),
+    )
     bare = materialized(known.filter(F.col("bits").isNull()).select("doc"))
     drawn = (
         texts.join(broadcast_ids(bare), "doc", "left_semi")
@@ -302,7 +310,8 @@ def _index_sets(frequent, percent: int):
 
 
 def _verify(percent: int):
-    """Pairs whose sets link; the last text of column a is remembered, as pairs come sorted by it."""
+    """Pairs whose sets link; the last text of column a is remembered, as pairs come sorted by it. An id of several
+    texts brings each of them; empty sets link with nothing."""
 
     def sets(texts: pa.Array) -> list[np.ndarray]:
         out = []
@@ -316,13 +325,16 @@ def _verify(percent: int):
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
                 a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
-                heads = [i for i in range(len(a)) if not i or a[i] != a[i - 1]]
-                of_a = dict(zip((a[i] for i in heads), sets(part.column(2).take(pa.array(heads)))))
+                text_a = part.column(2)
+                changes = pc.fill_null(pc.not_equal(text_a[1:], text_a[:-1]), True).to_numpy(zero_copy_only=False)
+                heads = np.flatnonzero(np.concatenate([[True], changes]))
+                of_a = sets(text_a.take(pa.array(heads)))
+                head = np.searchsorted(heads, np.arange(len(a)), "right") - 1
                 kept = []
                 for i, own in enumerate(sets(part.column(3))):
-                    other = of_a[a[i]]
+                    other = of_a[head[i]]
                     both = len(np.intersect1d(own, other, assume_unique=True))
-                    if 100 * both >= percent * (len(own) + len(other) - both):
+                    if both and 100 * both >= percent * (len(own) + len(other) - both):
                         kept.append(i)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([a[i] for i in kept], pa.int64()), pa.array([b[i] for i in kept], pa.int64())],
@@ -401,7 +413,13 @@ def jaccard_components(
     reps = filled.join(
         classes.select(F.col("rep").alias("doc"), "one", "two", "n"), ["doc", "one", "two", "n"], "left_semi"
     )
-    facts = filled.select("doc", "n", "rare", "last")
+    # An id of several sets has size 0 and no prefix: nothing is ruled out ahead of its texts.
+    whole = (F.min("one") == F.max("one")) & (F.min("two") == F.max("two")) & (F.min("n") == F.max("n"))
+    facts = filled.groupBy("doc").agg(
+        F.when(whole, F.min("n")).otherwise(0).alias("n"),
+        (whole & F.min("rare")).alias("rare"),
+        F.min("last").alias("last"),
+    )
 
     postings = reps.select(F.explode("sigs").alias("sig"), "doc")
     met = postings.groupBy("sig").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("sig")
@@ -417,15 +435,15 @@ def jaccard_components(
         .groupBy("b")
         .agg(F.max_by("a", F.struct("_met", -F.col("a"))).alias("a"), F.max("_met").alias("_met"))
     )
-    a_facts = facts.select(*[F.col(c).alias(f"{c}_a") for c in facts.columns]).dropDuplicates(["doc_a"])
-    b_facts = facts.select(*[F.col(c).alias(f"{c}_b") for c in facts.columns]).dropDuplicates(["doc_b"])
+    a_facts = facts.select(*[F.col(c).alias(f"{c}_a") for c in facts.columns])
+    b_facts = facts.select(*[F.col(c).alias(f"{c}_b") for c in facts.columns])
 
     def sized(pairs: DataFrame) -> DataFrame:
         least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
         return (
             pairs.join(a_facts, F.col("a") == F.col("doc_a"))
             .join(b_facts, F.col("b") == F.col("doc_b"))
-            .filter(least * 100 >= most * percent)
+            .filter((least == 0) | (least * 100 >= most * percent))
         )
 
     # A heuristic limit: what it leaves out is verified in the second turn.
