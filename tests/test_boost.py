@@ -108,6 +108,41 @@ def test_splits_by_shuffle_are_the_same(spark, monkeypatch):
         assert list(a.nodes()) == list(b.nodes())
 
 
+def test_sums_reach_the_driver_once_per_node(spark, monkeypatch):
+    x, y = table(300, 2)
+    binned = boost.binned(frame(spark, x, y, 6), NAMES, "y", partition_rows=20)
+    wanted = boost.fit_many(binned, SPECS[:1])[0]
+    monkeypatch.setattr(boost, "DIRECT_BYTES", 0)
+    sent, added = [], boost._added
+    monkeypatch.setattr(boost, "_added", lambda parts, *rest: (sent.append(len(parts)), added(parts, *rest))[1])
+    assert list(boost.fit_many(binned, SPECS[:1])[0].nodes()) == list(wanted.nodes())
+    assert sent and max(sent) == 1
+
+
+def test_lanes_of_many_models_are_the_same(spark, monkeypatch):
+    x, y = table(300, 5)
+    specs = [boost.Spec(trees=4, depth=1 + k % 4, seed=k, feature_share=0.7, subsample=0.8) for k in range(10)]
+    binned = boost.binned(frame(spark, x, y, 4), NAMES, "y", partition_rows=20)
+    together = boost.fit_many(binned, specs)
+    dealt = boost._Scans(cores=8, partitions=4, rows=300, left=0)
+    assert dealt.ranges(10) == 2 and len(dealt.lanes([(k, 1) for k in range(10)], 2)) == 10
+    assert dealt.ranges(2) == 4 and len(dealt.lanes([(k, 1) for k in range(2)], 4)) == 1
+    for k in (2, 9):
+        assert list(boost.fit_many(binned, [specs[k]])[0].nodes()) == list(together[k].nodes())
+
+
+def test_bin_edges_are_the_values_at_ranks(spark):
+    rng = np.random.default_rng(4)
+    x = np.stack([rng.integers(0, 5, 999), rng.integers(-300, 300, 999), np.full(999, 2), rng.normal(size=999)], 1).astype(float)
+    rows = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double, d double").repartition(5)
+    for bins in (2, 64, 255):
+        for f, edges in enumerate(boost.bin_edges(rows, list("abcd"), bins)):
+            values = np.sort(x[:, f])
+            wanted = np.unique([values[int(np.ceil(i / bins * 999)) - 1] for i in range(1, bins)])
+            assert list(edges) == list(wanted[wanted > values[0]])
+    assert boost.bin_edges(rows.limit(0), ["a"])[0].size == 0
+
+
 def test_models_side_by_side_equal_those_fitted_alone(spark):
     x, y = table(350, 3)
     drawn = [
