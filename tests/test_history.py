@@ -221,3 +221,20 @@ def test_hot_entity_takes_the_block_layout(spark):
     a, b = (history.history_features(rows, entity_limit=n) for n in (1_000_000, 500))
     assert a.count() == 3000
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_partitions_follow_the_events(spark, monkeypatch):
+    rows = spark.range(600).select(
+        F.col("id"), (F.col("id") % 40).alias("fei"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 97).cast("int")).alias("d"),
+        (F.col("id") % 3 == 0).cast("int").alias("is_oai"), (F.col("id") % 3 == 1).cast("int").alias("is_vai"),
+        (F.col("id") % 3 == 2).cast("int").alias("is_nai"), (F.col("id") % 4).alias("n_citations"), F.lit(0).alias("n_unique_cfr"),
+        F.lit("US").alias("country"), F.lit("Drugs").alias("kind"), F.lit("A").alias("area"),
+    )
+    columns = history.EventColumns(
+        entity="fei", event_id="id", date="d", kind="kind", country="country", area="area"
+    )
+    wanted = sorted(map(tuple, history.history_features(rows, columns).collect()))
+    monkeypatch.setattr(history, "TASK_ROWS", 20)
+    found = history.history_features(rows, columns)
+    assert found.rdd.getNumPartitions() == 30
+    assert sorted(map(tuple, found.collect())) == wanted

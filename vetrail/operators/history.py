@@ -167,6 +167,16 @@ def heavy_entities(keys: DataFrame, entity: str, limit: int) -> DataFrame | None
     return None if heavy.isEmpty() else materialized(heavy)
 
 
+#: Events whose history one task works out, where the session's partitions would hold more.
+TASK_ROWS = 250_000
+
+
+def _partitions(keys: DataFrame, entity: str) -> int | None:
+    """Partitions that leave a task few enough events, or None where the session's number does (one job over the keys)."""
+    wanted = -(-keys.filter(F.col(entity).isNotNull()).count() // TASK_ROWS)
+    return wanted if wanted > int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 # What each row adds to the running totals of its entity.
 _ADDS = {"n": "_one", "oai": "target_oai", "vai": "is_vai", "nai": "is_nai", "cit": "n_citations",
          "cfr": "n_unique_cfr"}
@@ -210,9 +220,11 @@ def history_features(
     )
     adds = _ADDS | {name: f"_add_{name}" for name in totals or {}}
     daily, sums, latest = _daily_totals(side) if side else (None, [], [])
-    heavy = heavy_entities(events if keys is None else keys, cols.entity, entity_limit)
+    counted = events if keys is None else keys
+    heavy = heavy_entities(counted, cols.entity, entity_limit)
+    partitions = _partitions(counted, cols.entity)
     if heavy is None:
-        found = _by_entity(rows, daily, sums, latest, ties, adds)
+        found = _by_entity(rows, daily, sums, latest, ties, adds, partitions)
     else:
         few = F.broadcast(heavy)  # at most rows / entity_limit keys
         # Both layouts read the joined events and the daily sums; they are worked out once.
@@ -222,7 +234,7 @@ def history_features(
             return None if frame is None else frame.join(few, "_entity", how)
 
         found = _by_entity(
-            part(rows, "left_anti"), part(daily, "left_anti"), sums, latest, ties, adds
+            part(rows, "left_anti"), part(daily, "left_anti"), sums, latest, ties, adds, partitions
         ).unionByName(
             _by_day_blocks(
                 part(rows, "left_semi"), part(daily, "left_semi"), sums, latest, ties, adds
@@ -237,7 +249,7 @@ def _timeline(rows: DataFrame, daily: DataFrame | None) -> DataFrame:
     return marked if daily is None else marked.unionByName(daily, allowMissingColumns=True)
 
 
-def _by_entity(rows, daily, sums, latest, ties, per_row) -> DataFrame:
+def _by_entity(rows, daily, sums, latest, ties, per_row, partitions=None) -> DataFrame:
     """Running totals and the two newest earlier events, one window partition per entity."""
     line = Window.partitionBy("_entity").orderBy("_day", "inspection_id", "project_area")
     before = line.rowsBetween(Window.unboundedPreceding, -1)
@@ -245,7 +257,9 @@ def _by_entity(rows, daily, sums, latest, ties, per_row) -> DataFrame:
     adds = {k: F.when(F.col("_event"), 1 if c == "_one" else F.col(c)) for k, c in per_row.items()}
     # The newest earlier event, and through it the one before that. Side rows are skipped as nulls.
     newest = F.when(F.col("_event"), F.struct("_day", "inspection_id", "project_area", "target_oai", "is_vai"))
-    linked = _timeline(rows, daily).withColumn("_1", F.last(newest, ignorenulls=True).over(before))
+    placed = _timeline(rows, daily)
+    placed = placed if partitions is None else placed.repartition(partitions, "_entity")
+    linked = placed.withColumn("_1", F.last(newest, ignorenulls=True).over(before))
     own = F.when(
         F.col("_event"),
         F.struct("_day", "inspection_id", "project_area", "target_oai", "is_vai",
