@@ -82,3 +82,12 @@ def test_lines_of_a_document(spark, tmp_path, small_ranges):
     readers.document_to_lines(spark, str(tmp_path / "in"), str(tmp_path / "lines"))
     rows = readers.read_recalls(spark, {"drug": str(tmp_path / "lines")}, ["recalling_firm"], lines=True)
     assert Counter(r["recalling_firm"] for r in rows.collect()) == Counter(r["recalling_firm"] for r in records)
+
+
+def test_only_the_text_goes_through_the_shuffle(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.json").write_text('{"results": [{"a": "x } \\" {"}, {"b": [1, {"c": 2}]}]}')
+    passed, before = [], documents._before
+    monkeypatch.setattr(documents, "_before", lambda rows, *sums: (passed.append(rows.columns), before(rows, *sums))[1])
+    found = documents.document_records(spark, str(tmp_path)).collect()
+    assert sorted(r["record"] for r in found) == ['{"a": "x } \\" {"}', '{"b": [1, {"c": 2}]}']
+    assert passed and not any("_pieces" in columns for columns in passed)

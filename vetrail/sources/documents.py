@@ -69,11 +69,11 @@ def _with_depths(fragments: DataFrame) -> DataFrame:
     """Add ``braces`` and ``brackets``: open ones ahead of a fragment; ``*_after`` behind it; ``lowest``: fewest brackets
     open in it; ``string``: it ends in a string."""
     pieces = F.split(F.regexp_replace("value", r"(?s)\\.", ""), '"')
-    rows = fragments.withColumn("_pieces", pieces).withColumn("quotes", F.size("_pieces") - 1)
+    # Only the number of quotes goes through the shuffle beside the text: the pieces are several times as large.
+    rows = _before(fragments.withColumn("quotes", F.size(pieces) - 1), "quotes").withColumn("_pieces", pieces)
     # Pieces between quotes are in turn outside and inside strings.
     even = F.array_join(F.filter("_pieces", lambda _, i: i % 2 == 0), "")
     odd = F.array_join(F.filter("_pieces", lambda _, i: i % 2 == 1), "")
-    rows = _before(rows, "quotes")
     plain = F.when(F.col("quotes_before") % 2 == 0, even).otherwise(odd)
     string = (F.col("quotes_before") + F.col("quotes")) % 2 == 1
     rows = rows.select(*_PLACE, "value", plain.alias("_plain"), string.alias("string"))
