@@ -238,3 +238,20 @@ def test_partitions_follow_the_events(spark, monkeypatch):
     found = history.history_features(rows, columns)
     assert found.rdd.getNumPartitions() == 30
     assert sorted(map(tuple, found.collect())) == wanted
+
+
+@pytest.mark.parametrize("ties", ["positional", "strict"])
+def test_windows_over_events_pass_over_no_side_rows(spark, ties):
+    rows = spark.sql(
+        "SELECT id, id % 3 AS fei, date_add(date'2020-01-01', CAST(id % 5 AS int)) AS d, CAST(id % 2 AS int) AS is_oai, 0 AS is_vai, 0 AS is_nai, "
+        "id % 4 AS n_citations, 0 AS n_unique_cfr, 'US' AS country, 'Drugs' AS kind, 'A' AS area FROM range(30)"
+    )
+    columns = history.EventColumns(entity="fei", event_id="id", date="d", kind="kind", country="country", area="area")
+    side = history.SideEvents(rows, "fei", "d", {"n_warning_letters": F.lit(1)}, {"days_since_last_wl": F.lit(True)})
+    found = history.history_features(rows, columns, [side], ties=ties)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    nodes = [line.split("_event")[0] for line in plan.splitlines() if "Window [" in line or ("Filter" in line and "_event" in line)]
+    assert ["Filter" in n for n in nodes][0] is False and any("Filter" in n for n in nodes[1:-1])
+    for r in found.collect():
+        earlier = [i for i in range(30) if i % 3 == r["fei_number"] and i % 5 < (r["inspection_id"] % 5)]
+        assert r["n_warning_letters"] == len(earlier)

@@ -252,40 +252,26 @@ def _timeline(rows: DataFrame, daily: DataFrame | None) -> DataFrame:
 def _by_entity(rows, daily, sums, latest, ties, per_row, partitions=None) -> DataFrame:
     """Running totals and the two newest earlier events, one window partition per entity."""
     line = Window.partitionBy("_entity").orderBy("_day", "inspection_id", "project_area")
-    before = line.rowsBetween(Window.unboundedPreceding, -1)
     earlier = _earlier_days()
-    adds = {k: F.when(F.col("_event"), 1 if c == "_one" else F.col(c)) for k, c in per_row.items()}
-    # The newest earlier event, and through it the one before that. Side rows are skipped as nulls.
-    newest = F.when(F.col("_event"), F.struct("_day", "inspection_id", "project_area", "target_oai", "is_vai"))
+    adds = {k: F.lit(1) if c == "_one" else F.col(c) for k, c in per_row.items()}
     placed = _timeline(rows, daily)
     placed = placed if partitions is None else placed.repartition(partitions, "_entity")
-    linked = placed.withColumn("_1", F.last(newest, ignorenulls=True).over(before))
-    own = F.when(
-        F.col("_event"),
-        F.struct("_day", "inspection_id", "project_area", "target_oai", "is_vai",
-                 F.col("_1.target_oai").alias("second")),
-    )
+    # The sums over side rows come first: without them the windows over events pass over fewer rows.
+    carried = {m: F.sum(m).over(earlier) for m in sums} | {name: F.max(name).over(earlier) for name in latest}
+    events = placed.withColumns(carried).filter("_event").drop("_event")
     if ties == "strict":
-        frame, newest_two = earlier, F.max(own).over(earlier)
+        # The newest event of earlier days, and through it the one before that.
+        second = F.lag("target_oai").over(line)
+        own = F.struct("_day", "inspection_id", "project_area", "target_oai", "is_vai", F.col("_1").alias("second"))
+        frame, linked, newest = earlier, events.withColumn("_1", second), F.max(own).over(earlier)
+        found = {"last_day": "_2._day", "last_oai": "_2.target_oai", "last_vai": "_2.is_vai", "second_oai": "_2.second"}
+        two, found = {"_2": newest}, {name: F.col(c) for name, c in found.items()}
     else:
-        frame, newest_two = before, F.last(own, ignorenulls=True).over(before)
-    return (
-        linked.withColumns(
-            {
-                "_2": newest_two,
-                **{f"t_{k}": F.coalesce(F.sum(c).over(frame), F.lit(0)).cast("bigint") for k, c in adds.items()},
-                "t_max": F.max("n_citations").over(frame),
-                **{m: F.sum(m).over(earlier) for m in sums},
-                **{name: F.max(name).over(earlier) for name in latest},
-            }
-        )
-        .filter("_event")
-        .withColumns(
-            {"last_day": F.col("_2._day"), "last_oai": F.col("_2.target_oai"),
-             "last_vai": F.col("_2.is_vai"), "second_oai": F.col("_2.second")}
-        )
-        .drop("_event", "_1", "_2")
-    )
+        frame, linked, found = line.rowsBetween(Window.unboundedPreceding, -1), events, {}
+        two = {"last_day": F.lag("_day").over(line), "last_oai": F.lag("target_oai").over(line),
+               "last_vai": F.lag("is_vai").over(line), "second_oai": F.lag("target_oai", 2).over(line)}
+    totals = {f"t_{k}": F.coalesce(F.sum(c).over(frame), F.lit(0)).cast("bigint") for k, c in adds.items()}
+    return linked.withColumns(two | totals | {"t_max": F.max("n_citations").over(frame)}).withColumns(found).drop("_1", "_2")
 
 
 def _by_day_blocks(rows, daily, sums, latest, ties, per_row) -> DataFrame:
