@@ -18,7 +18,7 @@ import numpy as np
 from vetrail.operators.boost import BoostedTrees, Tree
 
 #: Rows explained at a time, and pattern values of one tree's leaves held at a time.
-_ROWS, _VALUES = 2048, 4_000_000
+_ROWS, _VALUES = 8192, 4_000_000
 
 
 @dataclass
@@ -84,19 +84,24 @@ def _parts(leaves: Leaves) -> Iterator[Leaves]:
 
 def shapley_values(model: BoostedTrees, x: np.ndarray) -> np.ndarray:
     """Shapley values in margin space (rows, features); with ``model.expected`` a row's add up to its margin."""
-    out = np.zeros(x.shape)
+    columns, out = np.ascontiguousarray(x.T), np.zeros(x.shape[::-1])
     for tree, thresholds in zip(model.trees, model.thresholds):
         for group in leaf_paths(tree, thresholds):
             n = group.share.shape[1]
             if not n:
                 continue
-            bits = 1 << np.arange(n)
+            small = np.min_scalar_type((1 << n) - 1)
             for leaves in _parts(group):
-                values = pattern_values(leaves.share, leaves.value)
+                # Feature by feature: what a row's pattern is looked up in lies side by side.
+                values = np.ascontiguousarray(pattern_values(leaves.share, leaves.value).transpose(0, 2, 1))
                 for s in range(0, len(x), _ROWS):
-                    rows = x[s : s + _ROWS]
+                    rows, found = columns[:, s : s + _ROWS], out[:, s : s + _ROWS]
                     for k, features in enumerate(leaves.feature):
-                        own = rows[:, features]
-                        pattern = ((own >= leaves.low[k]) & (own < leaves.high[k])) @ bits
-                        out[s : s + _ROWS, features] += values[k, pattern]
-    return out
+                        pattern = np.zeros(rows.shape[1], small)
+                        for j, f in enumerate(features):
+                            fits = (rows[f] >= leaves.low[k, j]) & (rows[f] < leaves.high[k, j])
+                            pattern |= fits.astype(small) << small.type(j)
+                        pattern = pattern.astype(np.intp)
+                        for j, f in enumerate(features):
+                            found[f] += values[k, j].take(pattern)
+    return np.ascontiguousarray(out.T)
