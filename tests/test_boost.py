@@ -5,6 +5,7 @@ import math
 from datetime import date, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -287,3 +288,28 @@ def test_partner_of_a_dependence(spark):
         assert r["mean_contribution"] == pytest.approx((x[mine, 0] * (x[mine, 2] - 1)).mean())
     strengths = {r["partner"]: r["strength"] for r in explain.interaction_strengths(explained, ["p", "q", "r"], ["p"]).collect()}
     assert strengths["r"] > 3 * strengths["q"]
+
+
+def test_columns_of_few_bins_are_counted_together():
+    widths = [2, 64, 5, 1, 200, 3, 3, 256, 40]
+    columns, rng = np.array([0, 1, 2, 3, 4, 6, 7, 8]), np.random.default_rng(5)
+    counted = boost.Histogram(columns, widths, 3)
+    assert len(counted.packs) == 5 and sorted(sum(counted.packs, [])) == list(range(8))
+    wanted = np.zeros((2, 3, 8, 256), np.int64)
+    for _ in range(2):
+        bins = np.stack([rng.integers(0, w, 500) for w in widths]).astype(np.uint8)
+        rows, slot = np.sort(rng.permutation(500)[:300]), rng.integers(0, 3, 300)
+        g, h = rng.integers(-(1 << 24), 1 << 24, 300).astype(float), rng.integers(0, 1 << 22, 300).astype(float)
+        counted.add(bins, rows, slot, g, h)
+        for i, c in enumerate(columns):
+            for sums, x in zip(wanted, (g, h)):
+                np.add.at(sums, (slot, i, bins[c][rows]), x.astype(np.int64))
+    assert (counted.sums(256) == wanted).all()
+
+
+def test_hashes_are_read_only_where_rows_are_drawn(spark):
+    x, y = table(300, 2)
+    binned = boost.binned(frame(spark, x, y), NAMES, "y")
+    for share, hashed in ((1.0, False), (0.7, True)):
+        models = [boost._Growing(boost.Spec(trees=1, depth=1, subsample=share), 0.0)]
+        assert ("draw" in boost._read(binned.blocks, models).columns) is hashed

@@ -53,6 +53,8 @@ RANGE_ROWS = 1 << 20
 _UNIT_BITS = 24
 #: Nodes whose sums travel together.
 _GROUP = 16
+#: Cells of columns that are counted together; they are numbered in a byte.
+_CELLS = 256
 _DAYS = (-(1 << 30), 1 << 30)
 
 
@@ -200,8 +202,9 @@ class Binned:
     target: str
 
     @property
-    def bins(self) -> int:
-        return 1 + max((len(e) for e in self.edges), default=0)
+    def widths(self) -> list[int]:
+        """Bins of each feature."""
+        return [1 + len(e) for e in self.edges]
 
 
 def bin_edges(rows: DataFrame, features: Sequence[str], bins: int = BINS) -> tuple[np.ndarray, ...]:
@@ -284,18 +287,18 @@ class _Block:
     y: np.ndarray
     day: np.ndarray
     part: np.ndarray
-    draw: np.ndarray
     margin: np.ndarray | None
+    draw: np.ndarray | None = None
 
     @classmethod
     def each(cls, batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator["_Block"]:
-        kinds = {"y": np.uint8, "day": np.int32, "part": np.int32, "draw": np.int64}
+        kinds = {"bins": np.uint8, "y": np.uint8, "day": np.int32, "part": np.int32, "draw": np.int64, "margin": np.float64}
         for batch in batches:
-            for row in batch.to_pylist():
-                parts = {c: np.frombuffer(row[c], kind) for c, kind in kinds.items()}
+            for i in range(batch.num_rows):
+                parts = {c: np.frombuffer(batch.column(c)[i].as_buffer(), k) for c, k in kinds.items() if c in batch.schema.names}
                 n = len(parts["y"])
-                bins = np.frombuffer(row["bins"], np.uint8).reshape(n_features, n)
-                margin = np.frombuffer(row["margin"], np.float64).reshape(-1, n) if row["margin"] else None
+                bins, margin = parts.pop("bins").reshape(n_features, n), parts.pop("margin")
+                margin = margin.reshape(-1, n) if margin.size else None
                 yield cls(bins, margin=margin, **parts)
 
     def places(self, tree: Tree, rows: np.ndarray | None = None) -> np.ndarray:
@@ -339,19 +342,51 @@ def gradients(margin: np.ndarray, y: np.ndarray, spec: Spec) -> tuple[np.ndarray
     return np.rint(g * spec.unit), np.rint(h * spec.unit)
 
 
-def histogram(
-    bins: np.ndarray, rows: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray, columns: np.ndarray, total: np.ndarray
-) -> None:
-    """Add the sums of g and h of some rows to ``total`` (2, columns, slots, bins), exact in 64 bits.
+def packs(columns: np.ndarray, widths: Sequence[int]) -> list[list[int]]:
+    """Places among columns that are counted as one, the product of their numbers of bins at most ``_CELLS``."""
+    out: list[list[int]] = []
+    cells: list[int] = []
+    for i in sorted(range(len(columns)), key=lambda i: -widths[columns[i]]):
+        own = widths[columns[i]]
+        k = next((k for k, c in enumerate(cells) if c * own <= _CELLS), len(out))
+        if k == len(out):
+            out.append([])
+            cells.append(1)
+        out[k].append(i)
+        cells[k] *= own
+    return out
+
+
+class Histogram:
+    """Sums of g and h per (column, slot, bin), exact in 64 bits: columns of few bins are counted together.
 
     Column by column: what a column needs stays in the cache.
     """
-    _, _, slots, n_bins = total.shape
-    first = slot * n_bins
-    for i, column in enumerate(columns):
-        key = first + bins[column].take(rows)
-        for sums, x in zip(total[:, i].reshape(2, -1), (g, h)):
-            np.add(sums, np.bincount(key, x, slots * n_bins), out=sums, casting="unsafe")
+
+    def __init__(self, columns: np.ndarray, widths: Sequence[int], slots: int):
+        self.columns, self.widths, self.slots = columns, widths, slots
+        self.packs = packs(columns, widths)
+        self.totals = [np.zeros((2, slots * math.prod(widths[columns[i]] for i in p)), np.int64) for p in self.packs]
+
+    def add(self, bins: np.ndarray, rows: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray) -> None:
+        for pack, total in zip(self.packs, self.totals):
+            cell = bins[self.columns[pack[0]]]
+            for i in pack[1:]:
+                cell = cell * np.uint8(self.widths[self.columns[i]]) + bins[self.columns[i]]  # below 256
+            key = slot * (total.shape[1] // self.slots)
+            key += cell.take(rows)
+            for sums, x in zip(total, (g, h)):
+                np.add(sums, np.bincount(key, x, len(sums)), out=sums, casting="unsafe")
+
+    def sums(self, n_bins: int) -> np.ndarray:
+        """(2, slots, columns, bins)"""
+        out = np.zeros((2, self.slots, len(self.columns), n_bins), np.int64)
+        for pack, total in zip(self.packs, self.totals):
+            cells = total.reshape(2, self.slots, *[self.widths[self.columns[i]] for i in pack])
+            for k, i in enumerate(pack):
+                others = tuple(2 + j for j in range(len(pack)) if j != k)
+                out[:, :, i, : self.widths[self.columns[i]]] = cells.sum(axis=others)
+        return out
 
 
 def best_splits(sums: np.ndarray, spec: Spec) -> list[tuple | None]:
@@ -421,11 +456,12 @@ class _Growing:
         return [2 * node + 1, 2 * node + 2]
 
 
-def _partial_sums(told: list[tuple], n_features: int, n_bins: int):
+def _partial_sums(told: list[tuple], widths: Sequence[int]):
     """A task's sums of the nodes asked, one row per model and group of nodes."""
+    n_features, n_bins = len(widths), max(widths, default=1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
+        totals: dict[int, Histogram] = {}
         for block in _Block.each(batches, n_features):
             fitted: dict[tuple, np.ndarray] = {}
             for m, spec, base, slot, pending, tree, number, columns, nodes in told:
@@ -440,11 +476,11 @@ def _partial_sums(told: list[tuple], n_features: int, n_bins: int):
                 rows, mine = rows[mine >= 0], mine[mine >= 0]
                 g, h = gradients(block.margin_of(base, slot, pending, rows), block.y[rows], spec)
                 if m not in totals:
-                    totals[m] = np.zeros((2, len(columns), len(nodes), n_bins), np.int64)
-                histogram(block.bins, rows, mine, g, h, columns, totals[m])
+                    totals[m] = Histogram(columns, widths, len(nodes))
+                totals[m].add(block.bins, rows, mine, g, h)
         model, group, sums = [], [], []
-        for m, total in totals.items():
-            total = total.transpose(0, 2, 1, 3)
+        for m, counted in totals.items():
+            total = counted.sums(n_bins)
             for k in range(0, total.shape[1], _GROUP):
                 model.append(m)
                 group.append(k // _GROUP)
@@ -515,30 +551,36 @@ def _lane(blocks: DataFrame, slots: Sequence[int | None], ranges: int) -> tuple[
     return out.coalesce(ranges), first
 
 
-def _grow_level(blocks: DataFrame, models: list[_Growing], n_features: int, n_bins: int, scans: _Scans) -> None:
+def _read(blocks: DataFrame, models: Sequence[_Growing]) -> DataFrame:
+    """What a scan of some models reads: the hashes only where rows are drawn."""
+    return blocks if any(m.spec.subsample < 1 for m in models) else blocks.drop("draw")
+
+
+def _grow_level(blocks: DataFrame, models: list[_Growing], widths: Sequence[int], scans: _Scans) -> None:
     """One more level of the trees of some models: their sums in one scan, then their splits."""
+    n_bins = max(widths, default=1)
     size = sum(_bytes_of(len(m.counted()), m, n_bins) for m in models)
     ranges = scans.ranges(len(models))
     direct = size * ranges <= DIRECT_BYTES and scans.send(size * ranges, DRIVER_BYTES // 2)
     at_reduce = not direct and (size > SUM_BYTES or not scans.send(size))
     asked = [m.level if at_reduce else m.counted() for m in models]
-    specs, widths = [m.spec for m in models], [len(m.columns) for m in models]
-    partial = None
-    lanes = scans.lanes([(k, _bytes_of(len(nodes), m, n_bins)) for k, (m, nodes) in enumerate(zip(models, asked))], ranges)
+    specs, n_columns = [m.spec for m in models], [len(m.columns) for m in models]
+    partial, blocks = None, _read(blocks, models)
+    lanes = scans.lanes([(k, _bytes_of(len(nodes), m, max(n_bins, _CELLS))) for k, (m, nodes) in enumerate(zip(models, asked))], ranges)
     for lane in lanes:
         read, first = _lane(blocks, [models[k].slot for k in lane], ranges) if len(lanes) > 1 else (blocks, 0)
         told = [
             (k, m.spec, m.base, None if m.slot is None else m.slot - first, m.done[m.saved :], m.tree, len(m.done), m.columns, asked[k])
             for k, m in ((k, models[k]) for k in lane)
         ]
-        one = read.mapInArrow(_partial_sums(told, n_features, n_bins), "model int, group int, sums binary")
+        one = read.mapInArrow(_partial_sums(told, widths), "model int, group int, sums binary")
         partial = one if partial is None else partial.unionAll(one)
     found: dict[tuple[int, int], tuple] = {}
     if at_reduce:
 
         def choose(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             model, group = int(key[0]), int(key[1])
-            sums = _added(list(rows["sums"]), widths[model], n_bins)
+            sums = _added(list(rows["sums"]), n_columns[model], n_bins)
             best = [b or (-1, 0, 0.0, 0.0, 0.0) for b in best_splits(sums, specs[model])]
             nodes = range(group * _GROUP, group * _GROUP + len(best))
             table = [(model, i, *b, *t) for i, b, t in zip(nodes, best, _totals(sums, specs[model]).T)]
@@ -553,7 +595,7 @@ def _grow_level(blocks: DataFrame, models: list[_Growing], n_features: int, n_bi
         if not direct:
 
             def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-                sums = _added(list(rows["sums"]), widths[int(key[0])], n_bins)
+                sums = _added(list(rows["sums"]), n_columns[int(key[0])], n_bins)
                 return pd.DataFrame({"model": [key[0]], "group": [key[1]], "sums": [sums.tobytes()]})
 
             partial = partial.groupBy("model", "group").applyInPandas(add, partial.schema)
@@ -664,7 +706,7 @@ def fit_many(table: Binned, specs: Sequence[Spec]) -> list[BoostedTrees]:
     ``patience`` rounds; then the trees up to the best round are kept. Scans follow the slowest model: as many
     as its trees have levels.
     """
-    n_features, n_bins = len(table.features), table.bins
+    n_features, widths = len(table.features), table.widths
     first = table.blocks.persist(StorageLevel.MEMORY_AND_DISK)
     held = [first]
     blocks = first
@@ -682,7 +724,7 @@ def fit_many(table: Binned, specs: Sequence[Spec]) -> list[BoostedTrees]:
                 growing = [m for m in open_ if m.level and m.level[0] < (1 << m.spec.depth) - 1]
                 if not growing:
                     break
-                _grow_level(blocks, growing, n_features, n_bins, scans)
+                _grow_level(blocks, growing, widths, scans)
             for m in open_:
                 m.done.append(m.tree)
                 m.sums = {}
