@@ -313,3 +313,43 @@ def test_hashes_are_read_only_where_rows_are_drawn(spark):
     for share, hashed in ((1.0, False), (0.7, True)):
         models = [boost._Growing(boost.Spec(trees=1, depth=1, subsample=share), 0.0)]
         assert ("draw" in boost._read(binned.blocks, models).columns) is hashed
+
+
+def test_small_tables_are_fitted_without_scans(spark, monkeypatch):
+    x, y = table(400, 11)
+    specs = [
+        boost.Spec(trees=1 + 3 * k, depth=1 + k % 4, seed=k, feature_share=0.7, subsample=0.8 if k % 2 else 1.0, rate=0.6,
+                   positive_weight=1.0 + k, min_gain=0.5 * (k % 3), patience=2, fit=(0, 18500 + 10 * k),
+                   watch=(18500 + 10 * k, 1 << 30) if k % 3 else None, without=(k,) if k < 2 else ())
+        for k in range(10)
+    ]
+    binned = boost.binned(frame(spark, x, y, 4), NAMES, "y", "day", partition_rows=50)
+    monkeypatch.setattr(boost, "_HELD_ROWS", 64)
+    scan = boost._grow_level
+    monkeypatch.setattr(boost, "_grow_level", lambda *_: pytest.fail("a scan"))
+    whole = boost.fit_many(binned, specs)
+    monkeypatch.setattr(boost, "_grow_level", scan)
+    monkeypatch.setattr(boost, "DIRECT_BYTES", 0)
+    monkeypatch.setattr(boost, "RANGE_ROWS", 200)
+    for a, b in zip(whole, boost.fit_many(binned, specs)):
+        assert list(a.nodes()) == list(b.nodes()) and a.base == b.base
+        assert a.history == pytest.approx(b.history, abs=1e-12)
+
+
+def test_average_precision_of_arrays():
+    rng = np.random.default_rng(3)
+    for n in (1, 7, 300):
+        y, score = rng.integers(0, 2, n), rng.integers(0, 9, n) / 4 - 1
+        y[0] = 1
+        assert boost.average_precision(y, score) == pytest.approx(average_precision(y, score), abs=1e-12)
+    assert boost.average_precision(np.zeros(4, int), np.arange(4.0)) is None
+    assert boost.average_precision(np.zeros(0, int), np.zeros(0)) is None
+
+
+def test_sums_stay_exact_beyond_the_rows_of_a_float(monkeypatch):
+    monkeypatch.setattr(boost, "_EXACT_ROWS", 5)
+    counted, bins = boost.Histogram(np.array([0, 1]), [3, 300], 1), np.array([[0, 1, 2], [5, 5, 255]], np.uint8)
+    for _ in range(4):
+        counted.add(bins, np.arange(3), np.zeros(3, int), np.array([3.0, -4.0, 5.0]), np.array([1.0, 2.0, 3.0]))
+    sums = counted.sums(300)
+    assert sums[0, 0, 0, :3].tolist() == [12, -16, 20] and sums[1, 0, 1, [5, 255]].tolist() == [12, 12]
