@@ -353,3 +353,37 @@ def test_sums_stay_exact_beyond_the_rows_of_a_float(monkeypatch):
         counted.add(bins, np.arange(3), np.zeros(3, int), np.array([3.0, -4.0, 5.0]), np.array([1.0, 2.0, 3.0]))
     sums = counted.sums(300)
     assert sums[0, 0, 0, :3].tolist() == [12, -16, 20] and sums[1, 0, 1, [5, 255]].tolist() == [12, 12]
+
+
+def test_rounds_are_measured_without_a_sort_of_all_rows(spark, monkeypatch):
+    x, y = table(700, 12)
+    half = START + timedelta(days=350)
+    day = (half - date(1970, 1, 1)).days
+    specs = [boost.Spec(trees=13, depth=2 + k, rate=0.7, patience=9, fit=(0, day), watch=(day, 1 << 30)) for k in range(2)]
+    specs.append(boost.Spec(trees=2, depth=1, fit=(0, day), watch=(1 << 29, 1 << 30)))  # nothing to watch
+    binned = boost.binned(frame(spark, x, y, 4), NAMES, "y", "day", partition_rows=50)
+    monkeypatch.setattr(boost, "DIRECT_BYTES", 0)
+    monkeypatch.setattr(boost, "_ADVANCE", 3)
+    whole = boost.fit_many(binned, specs)
+    monkeypatch.setattr(boost, "LOOK_ROWS", 60)
+    sizes, limits = [], boost._limits
+    monkeypatch.setattr(boost, "_limits", lambda *a: (found := limits(*a), sizes.extend(map(len, found)))[0])
+    for a, b in zip(whole, boost.fit_many(binned, specs)):
+        assert a.history == b.history and list(a.nodes()) == list(b.nodes())
+    assert max(sizes) == 5 and whole[2].history == [None, None]
+    for model in whole[:2]:
+        margins = np.full(350, model.base)
+        for t, tree in enumerate(model.trees):
+            margins = margins + tree.value[model.leaves(t, x[350:])]
+            assert model.history[t] == pytest.approx(average_precision(y[350:], margins.round(9)), abs=1e-12)
+
+
+def test_scans_read_only_blocks_of_their_part(spark):
+    x, y = table(500, 13)
+    rows = frame(spark, x, y, 2).withColumn("part", (F.col("a") > 4).cast("int"))
+    binned = boost.binned(rows, NAMES, "y", "day", part="part")
+    for part in (0, 1):
+        read = boost._read(binned.blocks, [boost._Growing(boost.Spec(part=part), 0.0)])
+        n = rows.filter(F.col("part") == part).count()
+        assert read.agg(F.sum(F.octet_length("y"))).first()[0] == n and 0 < n < 500
+    assert binned.blocks.filter(F.octet_length("part") != 4).count() == 0

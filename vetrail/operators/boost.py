@@ -16,8 +16,8 @@ a scan of many models is dealt over (lane of models, range of rows): each range
 
 Margins of few models move forward with every tree and are cached; every few trees a new table of blocks is written, which
 cuts the lineage. Models stop once
-the average precision on watched rows has not improved for ``patience`` rounds; the precision of all
-rounds since the last look comes from one pass and one sort over (model, round, score).
+the average precision on watched rows has not improved for ``patience`` rounds; the scores of all
+rounds since the last look come from one pass, as arrays in ranges of scores, and a task sums a round range by range.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ import pickle
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import asdict, dataclass, field, replace
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,6 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetrail.operators.metrics import evaluate
 from vetrail.operators.ordered import running_totals
 from vetrail.operators.score import with_absent_as_zero
 from vetrail.session import materialized, with_package
@@ -62,6 +62,8 @@ _CELLS = 256
 _EXACT_ROWS = 1 << 28
 #: Rows of a block where a task holds all rows, and tables of how many times ``DIRECT_BYTES`` are told to the tasks whole.
 _HELD_ROWS, _WHOLE = 32768, 4
+#: Watched rows whose scores a task sorts at a time.
+LOOK_ROWS = 1 << 22
 _DAYS = (-(1 << 30), 1 << 30)
 
 
@@ -266,16 +268,19 @@ def binned(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in range(0, batch.num_rows, BLOCK_ROWS):
-                rows = batch.slice(s, BLOCK_ROWS)
-                x = rows.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, n_features)
-                found = [np.searchsorted(e, x[:, f], "right").astype(np.uint8) for f, e in enumerate(edges)]
-                y, day, part, draw = (rows.column(i).to_numpy(zero_copy_only=False) for i in range(1, 5))
-                packed = [np.stack(found), y.astype(np.uint8), day.astype(np.int32), part.astype(np.int32), draw.astype(np.int64)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p.tobytes()], pa.binary()) for p in packed] + [pa.array([b""], pa.binary())],
-                    names=["bins", "y", "day", "part", "draw", "margin"],
-                )
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, n_features)
+            bins = np.stack([np.searchsorted(e, x[:, f], "right").astype(np.uint8) for f, e in enumerate(edges)])
+            y, day, parts, draw = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 5))
+            for part in np.unique(parts):
+                own = np.flatnonzero(parts == part)
+                for at in np.array_split(own, -(-len(own) // BLOCK_ROWS)):
+                    packed = [
+                        bins[:, at], y[at].astype(np.uint8), _short(day[at].astype(np.int32)), np.array([part], np.int32),
+                        draw[at].astype(np.int64), np.zeros(0),
+                    ]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([p.tobytes()], pa.binary()) for p in packed], names=["bins", "y", "day", "part", "draw", "margin"]
+                    )
 
     # Few large partitions would leave cores idle in every scan, many small ones cost each scan their start.
     wanted = max(1, -(-table.count() // partition_rows))
@@ -286,9 +291,14 @@ def binned(
     return Binned(materialized(blocks), tuple(features), edges, target)
 
 
+def _short(x: np.ndarray) -> np.ndarray:
+    """A column of equal values as one value."""
+    return x[:1] if (x == x[0]).all() else x
+
+
 @dataclass
 class _Block:
-    """The columns of a block as arrays."""
+    """The columns of a block as arrays; part has one value, as has the day where all are equal."""
 
     bins: np.ndarray
     y: np.ndarray
@@ -329,7 +339,8 @@ class _Block:
 
     def only(self, rows: np.ndarray) -> "_Block":
         """Some rows, without margins."""
-        return _Block(np.ascontiguousarray(self.bins[:, rows]), self.y[rows], self.day[rows], self.part[rows], None, self.draw[rows])
+        day = self.day if len(self.day) < len(self.y) else self.day[rows]
+        return _Block(np.ascontiguousarray(self.bins[:, rows]), self.y[rows], day, self.part, None, self.draw[rows])
 
     def margin_of(self, base: float, slot: int | None, pending: Sequence[Tree], rows: np.ndarray | None = None) -> np.ndarray:
         n = len(self.y) if rows is None else len(rows)
@@ -342,7 +353,8 @@ class _Block:
         return out
 
     def of(self, part: int, days: tuple[int, int]) -> np.ndarray:
-        return np.flatnonzero((self.part == part) & (self.day >= days[0]) & (self.day < days[1]))
+        fits = (self.part == part) & (self.day >= days[0]) & (self.day < days[1])
+        return np.flatnonzero(np.broadcast_to(fits, len(self.y)))
 
 
 # --- sums and splits ----------------------------------------------------------------------------
@@ -616,8 +628,10 @@ def _lane(blocks: DataFrame, slots: Sequence[int | None], ranges: int) -> tuple[
 
 
 def _read(blocks: DataFrame, models: Sequence[_Growing]) -> DataFrame:
-    """What a scan of some models reads: the hashes only where rows are drawn."""
-    return blocks if any(m.spec.subsample < 1 for m in models) else blocks.drop("draw")
+    """What a scan of some models reads: blocks of their parts, the hashes only where rows are drawn."""
+    parts = [F.lit(bytearray(np.int32(p).tobytes())) for p in sorted({m.spec.part for m in models})]
+    own = blocks.filter(F.col("part").isin(parts))
+    return own if any(m.spec.subsample < 1 for m in models) else own.drop("draw")
 
 
 def _grow_level(blocks: DataFrame, models: list[_Growing], widths: Sequence[int], scans: _Scans) -> None:
@@ -696,33 +710,106 @@ def _advanced(blocks: DataFrame, models: list[_Growing], n_features: int, writte
     return out
 
 
-def _look(blocks: DataFrame, models: list[_Growing], slots: list[tuple], n_features: int) -> None:
-    """Average precision of every round since the last look: one pass, one sort over (model, round, score)."""
+def _look(blocks: DataFrame, models: list[_Growing], slots: list[tuple], n_features: int, watched: Sequence[tuple[int, int]]) -> None:
+    """Average precision of every round since the last look: one pass, the scores of a round gathered range by range.
+
+    ``watched`` has the negative and positive rows that each model watches. A range holds about ``LOOK_ROWS`` rows; a task sums
+    the ranges of a round from the highest scores on, one at a time.
+    """
     told = [(k, m.spec, m.base, *slots[k], m.done) for k, m in enumerate(models)]
+    keys = [(k, r) for k, m in enumerate(models) for r in range(m.looked, len(m.done))]
+    place = {key: i for i, key in enumerate(keys)}
 
-    def watch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         for block in _Block.each(batches, n_features):
             for k, spec, base, slot, saved, done in told:
                 rows = block.of(spec.watch_part, spec.watch)
-                margin = block.margin_of(base, slot, (), rows)
+                if not len(rows):
+                    continue
+                y, margin = block.y[rows], block.margin_of(base, slot, (), rows)
                 for r in range(saved, len(done)):
                     margin = margin + done[r].value[block.places(done[r], rows)]
                     # Ties must not depend on the last bits of a sum.
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(rows), k, np.int32)), pa.array(np.full(len(rows), r, np.int32)),
-                            pa.array(block.y[rows].astype(np.int32)), pa.array(np.round(margin, 9)),
-                        ],
-                        names=["model", "round", "y", "score"],
-                    )
-
-    scored = blocks.mapInArrow(watch, "model int, round int, y int, score double")
-    rounds = {(r["model"], r["round"]): r["pr_auc"] for r in evaluate(scored, "y", "score", by=["model", "round"]).collect()}
+                    yield place[k, r], y, np.round(margin, 9)
+
+    ranges = max((-(-(neg + pos) // LOOK_ROWS) for neg, pos in watched), default=1)
+    limits = _limits(blocks, scores, len(keys), ranges) if ranges > 1 else [np.zeros(0)] * len(keys)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, y, score in scores(batches):
+            part = len(limits[key]) - np.searchsorted(limits[key], score, "right")  # 0: the highest scores
+            parts = [(int(p), part == p) for p in np.unique(part)] if len(limits[key]) else [(0, slice(None))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([key] * len(parts), pa.int32()), pa.array([p for p, _ in parts], pa.int32()),
+                    pa.array([score[at].tobytes() for _, at in parts], pa.binary()), pa.array([y[at].tobytes() for _, at in parts], pa.binary()),
+                ],
+                names=["key", "part", "score", "y"],
+            )
+
+    positives = [watched[k][1] for k, _ in keys]
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, own in groupby(_sorted_parts(batches), lambda r: r[0]):
+            if positives[key]:
+                found = math.fsum(_precision_terms((r[1:] for r in own), positives[key]))
+                yield pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([found])], names=["key", "pr_auc"])
+
+    dealt = blocks.mapInArrow(deal, "key int, part int, score binary, y binary").repartition(len(keys), "key")
+    found = dealt.sortWithinPartitions("key", "part").mapInArrow(measure, "key int, pr_auc double").collect()
+    rounds = {keys[r["key"]]: r["pr_auc"] for r in found}
     for k, m in enumerate(models):
         m.history += [rounds.get((k, r)) for r in range(m.looked, len(m.done))]
         m.looked = len(m.done)
 
 
+def _limits(blocks: DataFrame, scores: Callable, n: int, ranges: int) -> list[np.ndarray]:
+    """Per key the scores at which ranges of about as many rows begin: quantiles of the quantiles of blocks."""
+    points = 16 * ranges
+
+    def thin(x: np.ndarray, k: int) -> np.ndarray:
+        return np.sort(x)[np.linspace(0, len(x) - 1, k).astype(int)]
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, list[np.ndarray]] = {}
+        for key, _, score in scores(batches):
+            own = kept.setdefault(key, [])
+            own.append(thin(score, points))
+            if len(own) == 64:
+                own[:] = [thin(np.concatenate(own), 32 * points)]
+        every = [(key, thin(np.concatenate(own), points).tobytes()) for key, own in kept.items()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in every], pa.int32()), pa.array([x for _, x in every], pa.binary())], names=["key", "points"]
+        )
+
+    found: list[list[np.ndarray]] = [[] for _ in range(n)]
+    for r in blocks.mapInArrow(sketch, "key int, points binary").collect():
+        found[r["key"]].append(np.frombuffer(r["points"]))
+    return [np.unique(thin(np.concatenate(x), ranges + 1)[1:-1]) if x else np.zeros(0) for x in found]
+
+
+def _sorted_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            score, y = (np.frombuffer(batch.column(c)[i].as_buffer(), k) for c, k in ((2, np.float64), (3, np.uint8)))
+            yield batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), score, y
+
+
+def _precision_terms(pieces: Iterator[tuple[int, np.ndarray, np.ndarray]], positives: int) -> Iterator[float]:
+    """What each distinct score adds to the average precision; ranges of scores come from the highest on."""
+    above = hits = 0
+    for _, own in groupby(pieces, lambda r: r[0]):
+        scores, labels = zip(*[r[1:] for r in own])
+        score, y = np.concatenate(scores), np.concatenate(labels)
+        order = np.argsort(-score, kind="stable")
+        score, tp = score[order], hits + np.cumsum(y[order] > 0)
+        ends = np.append(np.flatnonzero(score[1:] != score[:-1]), len(score) - 1)
+        pos, tp, at = np.diff(tp[ends], prepend=hits), tp[ends], above + ends + 1
+        some = pos > 0
+        yield from (pos[some] / positives * (tp[some] / at[some])).tolist()
+        above, hits = above + len(score), int(tp[-1])
+
+
 def best_round(history: Sequence[float | None], patience: int) -> tuple[int, bool]:
     """The round of the best average precision (ties: the first) when patience ended, and whether it ended."""
     best = 0
@@ -734,21 +821,21 @@ def best_round(history: Sequence[float | None], patience: int) -> tuple[int, boo
     return best, False
 
 
-def base_margins(blocks: DataFrame, specs: Sequence[Spec], n_features: int) -> list[float]:
-    """Log odds of the weighted positives among the rows of each model."""
+def class_counts(blocks: DataFrame, spans: Sequence[tuple[int, tuple[int, int]]], n_features: int) -> list[tuple[int, int]]:
+    """Negative and positive rows of each (part, range of days)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros((len(specs), 2), np.int64)
+        n = np.zeros((len(spans), 2), np.int64)
         for block in _Block.each(batches, n_features):
-            for k, spec in enumerate(specs):
-                n[k] += np.bincount(block.y[block.of(spec.part, spec.fit)] > 0, minlength=2)
+            for k, span in enumerate(spans):
+                n[k] += np.bincount(block.y[block.of(*span)] > 0, minlength=2)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(specs)), pa.int32()), pa.array(n[:, 0]), pa.array(n[:, 1])], names=["model", "neg", "pos"]
+            [pa.array(np.arange(len(spans)), pa.int32()), pa.array(n[:, 0]), pa.array(n[:, 1])], names=["span", "neg", "pos"]
         )
 
-    counts = blocks.mapInArrow(count, "model int, neg long, pos long").groupBy("model").agg(F.sum("neg"), F.sum("pos"))
+    counts = blocks.mapInArrow(count, "span int, neg long, pos long").groupBy("span").agg(F.sum("neg"), F.sum("pos"))
     found = {m: (neg, pos) for m, neg, pos in counts.collect()}
-    return [base_margin(*found.get(k, (0, 0)), spec) for k, spec in enumerate(specs)]
+    return [found.get(k, (0, 0)) for k in range(len(spans))]
 
 
 def base_margin(neg: int, pos: int, spec: Spec) -> float:
@@ -762,15 +849,8 @@ def base_margin(neg: int, pos: int, spec: Spec) -> float:
 
 def average_precision(y: np.ndarray, score: np.ndarray) -> float | None:
     """The step sum over distinct scores as in :func:`metrics.evaluate`, correctly rounded; None without positives."""
-    order = np.argsort(-score, kind="stable")
-    score, tp = score[order], np.cumsum(y[order] > 0)
-    ends = np.append(np.flatnonzero(score[1:] != score[:-1]), len(score) - 1) if len(score) else np.zeros(0, np.int64)
-    if not len(ends) or not tp[-1]:
-        return None
-    tp, at = tp[ends], ends + 1
-    pos = np.diff(tp, prepend=0)
-    some = pos > 0
-    return math.fsum((pos[some] / tp[-1] * (tp[some] / at[some])).tolist())
+    positives = int((y > 0).sum())
+    return math.fsum(_precision_terms(iter([(0, score, y)]), positives)) if positives else None
 
 
 def _fit_whole(blocks: Sequence[_Block], spec: Spec, widths: Sequence[int]) -> _Growing:
@@ -850,17 +930,19 @@ def _fitted_whole(table: Binned, specs: Sequence[Spec]) -> list[_Growing]:
 
 
 def _rows_of(table: Binned) -> list[_Block]:
-    """All rows in blocks of even size."""
-    n = len(table.features)
+    """All rows in blocks of even size, part by part."""
     batches = table.blocks.toArrow().to_batches()
-    blocks = [b for b in _Block.each(iter(batches), n) if len(b.y)]
-    if not blocks:
-        return []
-    bins = np.concatenate([b.bins for b in blocks], axis=1)
-    columns = [np.concatenate([getattr(b, c) for b in blocks]) for c in ("y", "day", "part")]
-    draw = np.concatenate([b.draw for b in blocks])
-    cuts = [slice(s, s + _HELD_ROWS) for s in range(0, len(draw), _HELD_ROWS)]
-    return [_Block(np.ascontiguousarray(bins[:, at]), *[c[at] for c in columns], None, draw[at]) for at in cuts]
+    by_part: dict[int, list[_Block]] = {}
+    for b in _Block.each(iter(batches), len(table.features)):
+        by_part.setdefault(int(b.part[0]), []).append(b)
+    out = []
+    for part, blocks in by_part.items():
+        bins = np.concatenate([b.bins for b in blocks], axis=1)
+        y, draw = (np.concatenate([getattr(b, c) for b in blocks]) for c in ("y", "draw"))
+        day = np.concatenate([np.broadcast_to(b.day, len(b.y)) for b in blocks])
+        for at in (slice(s, s + _HELD_ROWS) for s in range(0, len(y), _HELD_ROWS)):
+            out.append(_Block(np.ascontiguousarray(bins[:, at]), y[at], day[at], np.array([part], np.int32), None, draw[at]))
+    return out
 
 
 # --- many models in scans -----------------------------------------------------------------------
@@ -885,7 +967,11 @@ def fit_many(table: Binned, specs: Sequence[Spec]) -> list[BoostedTrees]:
         rows = blocks.agg(F.sum(F.octet_length("y"))).first()[0] or 0
         cores = blocks.sparkSession.sparkContext.defaultParallelism
         scans = _Scans(cores, blocks.rdd.getNumPartitions(), rows, DRIVER_BYTES)
-        models = [_Growing(s, b) for s, b in zip(specs, base_margins(blocks, specs, n_features))]
+        none = (0, (0, 0))
+        spans = [(s.part, s.fit) for s in specs] + [none if s.watch is None else (s.watch_part, s.watch) for s in specs]
+        counts = class_counts(blocks, spans, n_features)
+        models = [_Growing(s, base_margin(*c, s)) for s, c in zip(specs, counts)]
+        rows_watched = {id(m): c for m, c in zip(models, counts[len(specs) :])}
         anchor, slots = blocks, {id(m): (None, 0) for m in models}
         while open_ := [m for m in models if m.open]:
             for m in open_:
@@ -903,7 +989,7 @@ def fit_many(table: Binned, specs: Sequence[Spec]) -> list[BoostedTrees]:
             if watched and (rounds % _LOOK == 0 or ended):
                 looking = watched if rounds % _LOOK == 0 else [m for m in ended if m.spec.watch is not None]
                 if looking:
-                    _look(anchor, looking, [slots[id(m)] for m in looking], n_features)
+                    _look(anchor, looking, [slots[id(m)] for m in looking], n_features, [rows_watched[id(m)] for m in looking])
                     for m in looking:
                         m.open = m.open and not best_round(m.history, m.spec.patience)[1]
             still = [m for m in models if m.open]
